@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import phrase_automata, suffix_dedup
+from . import icws, phrase_automata, suffix_dedup
 
 QUERIES = {
     "op4_suffix_dedup": suffix_dedup.op4_suffix_dedup,
     "op7_phrase_automata": phrase_automata.op7_phrase_automata,
+    "op10_near_duplicates": icws.op10_near_duplicates,
 }
 
 #: No entry where SQL can't express the operator; tests/llm compares those with brute force.

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import icws, phrase_automata, suffix_dedup
+from . import gam_quality, gbt_quality, icws, phrase_automata, suffix_dedup
 
 QUERIES = {
+    "op1_quality_rules": gbt_quality.op1_quality_rules,
     "op4_suffix_dedup": suffix_dedup.op4_suffix_dedup,
+    "op6_quality_classifier": gam_quality.op6_quality_classifier,
     "op7_phrase_automata": phrase_automata.op7_phrase_automata,
     "op10_near_duplicates": icws.op10_near_duplicates,
 }

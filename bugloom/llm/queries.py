@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import gam_quality, gbt_quality, icws, phrase_automata, suffix_dedup
+from . import gam_quality, gbt_quality, icws, packing, phrase_automata, suffix_dedup
 
 QUERIES = {
     "op1_quality_rules": gbt_quality.op1_quality_rules,
+    "op3_vector_packing": packing.op3_vector_packing,
     "op4_suffix_dedup": suffix_dedup.op4_suffix_dedup,
     "op6_quality_classifier": gam_quality.op6_quality_classifier,
     "op7_phrase_automata": phrase_automata.op7_phrase_automata,

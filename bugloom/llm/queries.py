@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import gam_quality, gbt_quality, icws, packing, phrase_automata, suffix_dedup
+from . import gam_quality, gbt_quality, icws, line_spread, packing, phrase_automata, qgram_decon, suffix_dedup
 
 QUERIES = {
     "op1_quality_rules": gbt_quality.op1_quality_rules,
@@ -10,8 +10,10 @@ QUERIES = {
     "op4_suffix_dedup": suffix_dedup.op4_suffix_dedup,
     "op6_quality_classifier": gam_quality.op6_quality_classifier,
     "op7_phrase_automata": phrase_automata.op7_phrase_automata,
+    "op8_qgram_decontamination": qgram_decon.op8_qgram_decontamination,
+    "op9_line_spread": line_spread.op9_line_spread,
     "op10_near_duplicates": icws.op10_near_duplicates,
 }
 
 #: No entry where SQL can't express the operator; tests/llm compares those with brute force.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op9_line_spread": line_spread.OP9_SQL}

@@ -257,7 +257,7 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     keyed = texts.select("th", F.explode("bands").alias("band"))
     buckets = keyed.groupBy("band").agg(F.min("th").alias("a"), F.max("th").alias("z")).filter("a < z").select("band", "a")
     candidates = components(keyed.join(buckets, "band").filter("th <> a").select("a", F.col("th").alias("b")).distinct(), "op10-candidates")
-    sizes = candidates.groupBy("root").agg(F.count("*").alias("size"))
+    sizes = stored(candidates.groupBy("root").agg(F.count("*").alias("size")), "op10-sizes")  # apart, so that a large group's rows can be split
     cut = F.ceil(F.col("size") / GROUP).cast("int")
     placed = candidates.join(sizes, "root").join(texts.select(F.col("th").alias("v"), "doc_id"), "v")
     placed = placed.select("doc_id", F.col("v").alias("th"), "root", F.when(cut > 1, cut).otherwise(1).alias("cut")).withColumn("block", F.pmod(F.xxhash64("th"), "cut").cast("int"))
@@ -298,10 +298,10 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     wanted = stored(placed, "op10-wanted")
     tasks = max(parts(spark), math.ceil(wanted.count() / (GROUP // 4)))
-    at_hand = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id").select("text", "th", "root", "cut", "block")
+    at_hand = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.hint("merge"), "doc_id").select("text", "th", "root", "cut", "block")
     links = at_hand.mapInArrow(fetch, "task long, th long, text string").repartition(tasks, "task").mapInArrow(link, "a long, b long")
     links = stored(links, "op10-links")
-    dropped(candidates, wanted)
+    dropped(candidates, sizes, wanted)
     roots = components(links, "op10-classes")
     first = roots.join(texts.select(F.col("th").alias("v"), "doc_id"), "v").groupBy("root").agg(F.min("doc_id").alias("class_id"))
     # the members' own th alone would do for texts alike word for word

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, byte_symbols, mix, prefix_sums, range_hash, text_buffers, word_symbols, words
+from .common import U64, byte_symbols, mix, prefix_sums, range_hash, stored, text_buffers, word_symbols, words
 
 #: Symbols handled at once; owners carry their place in 20 bits.
 BLOCK = 1 << 20
@@ -122,5 +122,6 @@ def _blocks(offs: np.ndarray) -> list[tuple[int, int]]:
 
 def shared_only(all_spans: DataFrame) -> DataFrame:
     """The spans whose core occurs twice or more; mixed: with different surroundings.  Counts combine before the shuffle."""
-    cores = all_spans.groupBy("kh").agg(F.count("*").alias("c"), F.min("sh").alias("lo"), F.max("sh").alias("hi")).filter("c > 1")
+    # stored, so that the join's other side can be split where a core is hot
+    cores = stored(all_spans.groupBy("kh").agg(F.count("*").alias("c"), F.min("sh").alias("lo"), F.max("sh").alias("hi")).filter("c > 1"), "cores")
     return all_spans.join(cores.select("kh", (F.col("lo") != F.col("hi")).alias("mixed")), "kh")

@@ -50,9 +50,9 @@ def without_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, most_share:
     keyed = docs.withColumn("rid", F.xxhash64("doc_id", "text"))
     found = boilerplate(line_rows(keyed), min_sites)
     # the lines of a document that go, by key: each key once
-    gone = line_rows(keyed).join(found, ["key", "key2"]).groupBy("rid").agg(F.collect_set("key").alias("gone"))
+    gone = line_rows(keyed).join(found.hint("merge"), ["key", "key2"]).groupBy("rid").agg(F.collect_set("key").alias("gone"))
     lines = F.split("text", "\n", -1)
-    out = keyed.join(gone, "rid", "left").withColumn("lines", F.transform(lines, lambda x: F.struct(x.alias("line"), (F.array_contains("gone", F.xxhash64(bare(x))) & (bare(x) != "")).alias("out"))))
+    out = keyed.join(gone.hint("merge"), "rid", "left").withColumn("lines", F.transform(lines, lambda x: F.struct(x.alias("line"), (F.array_contains("gone", F.xxhash64(bare(x))) & (bare(x) != "")).alias("out"))))
     size = lambda flag: F.aggregate(F.filter("lines", flag), F.lit(0), lambda a, x: a + F.length(x["line"]))
     heavy = size(lambda x: x["out"]) > most_share * size(lambda x: F.lit(True))
     kept = F.when(F.col("gone").isNull() | heavy, F.col("lines")).otherwise(F.filter("lines", lambda x: ~x["out"]))

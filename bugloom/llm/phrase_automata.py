@@ -129,7 +129,7 @@ def _compared(docs: DataFrame, kinds: DataFrame, length: int, hot: int) -> DataF
             yield pa.RecordBatch.from_arrays([pa.array(rid[span[flags]]), pa.array(at[flags]), pa.array(at[flags] + 1)], ["rid", "begin", "stop"])
 
     n_shards = max(parts(docs.sparkSession), math.ceil(kinds.count() / SHARD))
-    pieces = docs.select("rid", "text", "doc_id").join(lists, "rid").select("rid", "text", "places", "doc_id").mapInArrow(cut, PIECES)
+    pieces = docs.select("rid", "text", "doc_id").join(lists.hint("merge"), "rid").select("rid", "text", "places", "doc_id").mapInArrow(cut, PIECES)
     return pieces.repartition(n_shards, "shard").mapInArrow(search, RANGES)
 
 
@@ -149,7 +149,7 @@ def cleaned(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     ranges = stored(found, "op7-ranges")
     dropped(*tables)
     lists = ranges.groupBy("rid").agg(F.collect_list("begin").alias("begins"), F.collect_list("stop").alias("stops"))
-    return docs.join(lists, "rid", "left").select("doc_id", "text", "begins", "stops")
+    return docs.join(lists.hint("merge"), "rid", "left").select("doc_id", "text", "begins", "stops")
 
 
 def op7_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -140,7 +140,7 @@ def _compared(docs: DataFrame, mixed: DataFrame, length: int, hot: int) -> DataF
 
     rows = mixed.count()
     n_shards = max(parts(docs.sparkSession), math.ceil(rows / SHARD))
-    pieces = docs.select("rid", "text").join(lists, "rid").mapInArrow(cut, PIECES)
+    pieces = docs.select("rid", "text").join(lists.hint("merge"), "rid").mapInArrow(cut, PIECES)
     return pieces.repartition(n_shards, "shard").mapInArrow(search, RANGES)
 
 
@@ -175,7 +175,7 @@ def cleaned(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, tuple]:
     ranges = stored(found, "op4-ranges")
     dropped(*tables)
     lists = ranges.groupBy("rid").agg(F.collect_list("begin").alias("begins"), F.collect_list("stop").alias("stops"))
-    return docs.join(lists, "rid", "left").select("doc_id", "text", "begins", "stops"), (ranges,)
+    return docs.join(lists.hint("merge"), "rid", "left").select("doc_id", "text", "begins", "stops"), (ranges,)
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

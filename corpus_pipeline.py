@@ -23,7 +23,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class the document with the least doc_id stays."""
     out = icws.near_classes(docs).filter("class_id <> doc_id").select("doc_id").distinct()
-    return docs.join(out, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(out.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

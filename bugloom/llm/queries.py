@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import gam_quality, gbt_quality, icws, line_spread, packing, phrase_automata, qgram_decon, suffix_dedup
+from . import gam_quality, gbt_quality, html_template, icws, line_spread, packing, phrase_automata, qgram_decon, suffix_dedup, warc_revisit
 
 QUERIES = {
     "op1_quality_rules": gbt_quality.op1_quality_rules,
+    "op2_warc_revisit": warc_revisit.op2_warc_revisit,
     "op3_vector_packing": packing.op3_vector_packing,
     "op4_suffix_dedup": suffix_dedup.op4_suffix_dedup,
+    "op5_html_template": html_template.op5_html_template,
     "op6_quality_classifier": gam_quality.op6_quality_classifier,
     "op7_phrase_automata": phrase_automata.op7_phrase_automata,
     "op8_qgram_decontamination": qgram_decon.op8_qgram_decontamination,
@@ -16,4 +18,4 @@ QUERIES = {
 }
 
 #: No entry where SQL can't express the operator; tests/llm compares those with brute force.
-ORACLE_SQL: dict[str, str] = {"op9_line_spread": line_spread.OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_warc_revisit": warc_revisit.OP2_SQL, "op9_line_spread": line_spread.OP9_SQL}

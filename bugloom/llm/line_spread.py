@@ -23,9 +23,14 @@ def bare(line: Column) -> Column:
     return F.btrim(line, F.lit(" \t\r\v\f"))
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """d: a row of docs; rid: alike for rows alike in doc_id and text."""
+    return docs.select(F.struct(*docs.columns).alias("d"), F.xxhash64("doc_id", "text").alias("rid"))
+
+
 def line_rows(docs: DataFrame) -> DataFrame:
-    """rid, source, key and size of every line with more than white space; lines alike but for white space at their ends share a key."""
-    lines = docs.select("rid", "source", F.explode(F.split("text", "\n", -1)).alias("line")).select("rid", "source", bare(F.col("line")).alias("line")).filter("line <> ''")
+    """rid, source, key and key2 of every line with more than white space; lines alike but for white space at their ends share the keys."""
+    lines = docs.select("rid", F.col("d.source").cast("string").alias("source"), F.explode(F.split("d.text", "\n", -1)).alias("line")).select("rid", "source", bare(F.col("line")).alias("line")).filter("line <> ''")
     return lines.select("rid", "source", F.xxhash64("line").alias("key"), F.xxhash64(F.reverse("line")).alias("key2"))
 
 
@@ -42,31 +47,38 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     return found
 
 
-def without_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, most_share: float = MOST_SHARE) -> DataFrame:
-    """docs, all columns, with text changed; n_lines and n_removed added.
+def judged(docs: DataFrame, min_sites: int = MIN_SITES, most_share: float = MOST_SHARE) -> DataFrame:
+    """d: the rows of docs with their text cleaned; n_lines and n_removed.
 
-    Null texts stay null, without lines; rows that repeat are judged alike; a null doc_id stays.
+    Null texts stay null, without lines; rows that repeat are judged alike; a null doc_id or source stays.
     """
-    keyed = docs.withColumn("rid", F.xxhash64("doc_id", "text"))
-    found = boilerplate(line_rows(keyed), min_sites)
+    rows = keyed(docs)
+    found = boilerplate(line_rows(rows), min_sites)
     # the lines of a document that go, by key: each key once
-    gone = line_rows(keyed).join(found.hint("merge"), ["key", "key2"]).groupBy("rid").agg(F.collect_set("key").alias("gone"))
-    lines = F.split("text", "\n", -1)
-    out = keyed.join(gone.hint("merge"), "rid", "left").withColumn("lines", F.transform(lines, lambda x: F.struct(x.alias("line"), (F.array_contains("gone", F.xxhash64(bare(x))) & (bare(x) != "")).alias("out"))))
+    gone = line_rows(rows).join(found.hint("merge"), ["key", "key2"]).groupBy("rid").agg(F.collect_set("key").alias("gone"))
+    out = rows.join(gone.hint("merge"), "rid", "left").withColumn("lines", F.transform(F.split("d.text", "\n", -1), lambda x: F.struct(x.alias("line"), (F.array_contains("gone", F.xxhash64(bare(x))) & (bare(x) != "")).alias("out"))))
     size = lambda flag: F.aggregate(F.filter("lines", flag), F.lit(0), lambda a, x: a + F.length(x["line"]))
     heavy = size(lambda x: x["out"]) > most_share * size(lambda x: F.lit(True))
-    kept = F.when(F.col("gone").isNull() | heavy, F.col("lines")).otherwise(F.filter("lines", lambda x: ~x["out"]))
-    out = out.withColumn("kept", kept)
-    n = F.coalesce(F.size("lines"), F.lit(0)).cast("long")
-    out = out.withColumn("n_lines", F.when(F.col("text").isNull(), F.lit(0)).otherwise(n)).withColumn("n_removed", F.when(F.col("text").isNull(), F.lit(0)).otherwise(n - F.size("kept")))
-    out = out.withColumn("text", F.when(F.col("n_removed") > 0, F.array_join(F.transform("kept", lambda x: x["line"]), "\n")).otherwise(F.col("text")))
-    return out.select(*docs.columns, F.col("n_lines").cast("long").alias("n_lines"), F.col("n_removed").cast("long").alias("n_removed"))
+    out = out.withColumn("kept", F.when(F.col("gone").isNull() | heavy, F.col("lines")).otherwise(F.filter("lines", lambda x: ~x["out"])))
+    none = F.col("d.text").isNull()
+    out = out.withColumn("n_lines", F.when(none, 0).otherwise(F.size("lines")).cast("long")).withColumn("n_removed", F.when(none, 0).otherwise(F.size("lines") - F.size("kept")).cast("long"))
+    text = F.when(F.col("n_removed") > 0, F.array_join(F.transform("kept", lambda x: x["line"]), "\n")).otherwise(F.col("d.text"))
+    return out.select(F.col("d").withField("text", text).alias("d"), "n_lines", "n_removed")
+
+
+def without_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, most_share: float = MOST_SHARE) -> DataFrame:
+    """docs, all columns and rows, with texts cleaned; n_chars, if there, follows a changed text."""
+    rows = judged(docs, min_sites, most_share)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        rows = rows.withColumn("d", F.when(F.col("n_removed") > 0, F.col("d").withField("n_chars", F.length("d.text").cast(kind))).otherwise(F.col("d")))
+    return rows.select("d.*")
 
 
 def op9_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each document its lines, how many went and the hash of what is left."""
-    rows = without_boilerplate(table(spark, "documents", sf_dir).select("doc_id", "source", "text"))
-    return rows.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    rows = judged(table(spark, "documents", sf_dir).select("doc_id", "source", "text"))
+    return rows.select("d.doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("d.text", F.lit("")), 256).alias("kept_sha256"))
 
 
 OP9_SQL = f"""

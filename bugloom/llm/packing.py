@@ -40,6 +40,8 @@ def dot_product_pack(demand: np.ndarray, limits: tuple[int, ...] = LIMITS) -> li
     Examples alike in demand are alike to the heuristic, so it looks at the different rows only; ties go to the larger
     demand, then to the example that came first.
     """
+    if (demand > np.array(limits)).any():
+        raise ValueError("an example is above the limits")
     kinds, which = np.unique(demand, axis=0, return_inverse=True)
     which = which.ravel()
     waiting = [[] for _ in kinds]

@@ -1,0 +1,30 @@
+import pytest
+from pyspark.sql import SparkSession
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    s = (
+        SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse"))).config("spark.driver.memory", "4g").getOrCreate()
+    )
+    s.sparkContext.setLogLevel("ERROR")
+    if not s.conf.get("spark.checkpoint.dir", None):
+        s.conf.set("spark.checkpoint.dir", "file://" + str(tmp_path_factory.mktemp("shared")))
+    return s
+
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def store(spark, tmp_path_factory):
+    """Writes tables as a scale folder and returns its path."""
+
+    def write(**tables):
+        at = tmp_path_factory.mktemp("sf")
+        for name, df in tables.items():
+            df.write.mode("overwrite").parquet(f"{at}/{name}.parquet")
+        return str(at)
+
+    return write

@@ -66,8 +66,43 @@ def dot_product_pack(demand: np.ndarray, limits: tuple[int, ...] = LIMITS) -> li
     return out
 
 
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_UPPER = np.zeros(256, bool)
+_UPPER[range(65, 91)] = True
+_MARK = np.zeros(256, bool)
+_MARK[[ord(c) for c in "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"]] = True  # without ' and <, which begin contractions and special tokens
+_NEXT = np.zeros(256, bool)  # after C3: Latin letters with accents
+_NEXT[[x for x in range(0x80, 0xC0) if x not in (0x97, 0xB7)]] = True
+
+
+def pieces(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, begin, end, bounds, plain): parts of words that the vocabulary's splitting keeps apart.
+
+    Words of Latin letters and ASCII marks are put in lower case and cut between letters and marks, as the vocabulary does:
+    their parts are plain, one unit each.  All other words stay whole and as they are.
+    """
+    begin, end, bounds = words(data, offs)
+    pair = np.zeros(len(data), bool)
+    if len(data):
+        pair[:-1] = (data[:-1] == 0xC3) & _NEXT[data[1:]]
+    after = np.append(False, pair[:-1])
+    letter = _LETTER[data] | pair | after
+    odd = np.concatenate([[0], np.cumsum(~(letter | _MARK[data]))])
+    plain = odd[end] == odd[begin]
+    step = np.zeros(len(data) + 1, np.int8)
+    step[begin[plain]] += 1
+    step[end[plain]] -= 1
+    inside = np.cumsum(step[:-1], dtype=np.int8).astype(bool)
+    upper = inside & (_UPPER[data] | (after & (data <= 0x9E)))
+    data = data + np.where(upper, np.uint8(0x20), np.uint8(0))
+    cut = np.flatnonzero(inside[1:] & inside[:-1] & (letter[1:] != letter[:-1])) + 1
+    begin, end = np.sort(np.concatenate([begin, cut])), np.sort(np.concatenate([end, cut]))
+    return data, begin, end, np.searchsorted(begin, offs), inside[begin] if len(begin) else np.zeros(0, bool)
+
+
 class Ids:
-    """Token ids of words, found once for each different word; a text's ids are those of its words."""
+    """Token ids of words, found once for each different part of a word; a text's ids are those of its parts."""
 
     def __init__(self, vocabulary: str, end: int) -> None:
         import public_tokenizers
@@ -76,8 +111,22 @@ class Ids:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self.end = end
+        self.last = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        self.last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self.clear()
 
+    def units(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids end to end, how many for each text) of plain parts: a unit's last id, and no other, ends a word."""
+        flat = np.array([t for x in self.tokenizer.encode_batch_fast([" ".join(texts[i : i + 2000]) for i in range(0, len(texts), 2000)], add_special_tokens=False) for t in x.ids], np.uint32)
+        ends = np.flatnonzero(self.last[flat])
+        if len(ends) != len(texts):  # not such a vocabulary
+            return self.each(texts)
+        return flat, np.diff(ends, prepend=-1)
+
+    def each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([t for x in found for t in x], np.uint32), np.array([len(x) for x in found], np.int64)
+
     def clear(self) -> None:
         """Entry 0 is the id that ends a text."""
         self.hashes, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -85,24 +134,25 @@ class Ids:
 
     def __call__(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts end to end, each with the end id; bounds)."""
-        begin, end, bounds = words(data, offs)
-        h = word_symbols(data, begin, end)
-        new, one, back = np.unique(h, return_index=True, return_inverse=True)
+        data, begin, end, bounds, plain = pieces(data, offs)
+        new, one, back = np.unique(word_symbols(data, begin, end), return_index=True, return_inverse=True)
         if len(self.hashes) + len(new) > CACHE:
             self.clear()
         at = np.minimum(np.searchsorted(self.hashes, new), max(len(self.hashes) - 1, 0))
         known = self.hashes[at] == new if len(self.hashes) else np.zeros(len(new), bool)
         if not known.all():
             fresh = one[~known]
-            texts = [data[b:e].tobytes().decode() for b, e in zip(begin[fresh].tolist(), end[fresh].tolist(), strict=True)]
-            found = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            n = np.fromiter(map(len, found), np.int64, len(found))
-            entries = np.arange(len(found)) + len(self.first) - 1
-            self.flat = np.concatenate([self.flat, np.fromiter((t for x in found for t in x), np.uint32, int(n.sum()))])
-            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(n)])
-            every, e = np.concatenate([self.hashes, new[~known]]), np.concatenate([self.entry, entries])
-            order = np.argsort(every)
-            self.hashes, self.entry = every[order], e[order]
+            kind = plain[fresh]
+            raw = data.tobytes()
+            for which, ids_of in ((kind, self.units), (~kind, self.each)):
+                mine = fresh[which]
+                flat, n = ids_of([raw[b:e].decode() for b, e in zip(begin[mine].tolist(), end[mine].tolist(), strict=True)])
+                entries = np.arange(len(mine)) + len(self.first) - 1
+                self.flat = np.concatenate([self.flat, flat])
+                self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(n)])
+                every, e = np.concatenate([self.hashes, new[~known][which]]), np.concatenate([self.entry, entries])
+                order = np.argsort(every)
+                self.hashes, self.entry = every[order], e[order]
         entry = self.entry[np.searchsorted(self.hashes, new)][back.ravel()] if len(new) else np.zeros(0, np.int64)
         entry = np.insert(entry, bounds[1:], 0)
         n = self.first[entry + 1] - self.first[entry]

@@ -32,6 +32,8 @@ HASHES = ROWS * BANDS
 #: 500 / WIDTH = 0.4 % of the documents, of which the mean is taken off; idf falls below 1 from COMMON on.
 DEPTH, WIDTH, SLICE = 2, 1 << 17, 1 << 12
 COMMON, LEAST_IDF = 0.01, 0.5
+#: Documents without the shingle that are added to those seen, so that few documents don't make a shingle look common.
+PRIOR = 20_000
 #: Most texts of a candidate group that one task compares.
 GROUP = 4_000
 TASK_SHINGLES = 1 << 15
@@ -128,7 +130,7 @@ def frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 def idf_table(sketch: np.ndarray, n: int) -> np.ndarray:
     """idf by place in the sketch: 1 up to COMMON of the documents, then falling with the logarithm to LEAST_IDF."""
     df = sketch.reshape(DEPTH, WIDTH) - np.median(sketch.reshape(DEPTH, WIDTH), axis=1, keepdims=True)
-    share = np.maximum(df, 1) / max(n, 1)
+    share = np.maximum(df, 1) / (n + PRIOR)
     return np.clip(np.log(1 / share) / math.log(1 / COMMON), LEAST_IDF, 1).astype(np.float32).ravel()
 
 

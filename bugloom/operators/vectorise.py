@@ -14,17 +14,32 @@ CODE_TOKEN = r"[A-Za-z_][A-Za-z0-9_]+|[+\-=!<>]+"
 SHIPPED = 64 << 20
 
 
+def _runs(size: Column, n: int, run) -> Column:
+    """run(place) for each of the size - n + 1 places, counted from 1."""
+    return F.transform(F.sequence(F.lit(1), size - (n - 1)), run)
+
+
 def ngrams(tokens: Column, low: int, high: int) -> Column:
     """All runs of low to high tokens, joined by a space."""
-    runs = [F.when(F.size(tokens) >= n, F.transform(F.sequence(F.lit(1), F.size(tokens) - (n - 1)), lambda i, n=n: F.array_join(F.slice(tokens, i, n), " "))).otherwise(F.array().cast("array<string>")) for n in range(low, high + 1)]
-    return F.concat(*runs)
+
+    def of(n: int) -> Column:
+        runs = _runs(F.size(tokens), n, lambda i: F.array_join(F.slice(tokens, i, n), " "))
+        return F.when(F.size(tokens) >= n, runs).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(*map(of, range(low, high + 1)))
 
 
 def char_ngrams(text: Column, low: int, high: int) -> Column:
     """Runs of characters within words that are padded with a space at both ends; a shorter word is one run."""
-    word = lambda w, n: F.when(F.length(w) >= n, F.transform(F.sequence(F.lit(1), F.length(w) - (n - 1)), lambda i: F.substring(w, i, F.lit(n)))).otherwise(F.array(w))
     padded = F.transform(F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != ""), lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
-    return F.concat(*(F.flatten(F.transform(padded, lambda w, n=n: word(w, n))) for n in range(low, high + 1)))
+
+    def of(n: int) -> Column:
+        def word(w: Column) -> Column:
+            return F.when(F.length(w) >= n, _runs(F.length(w), n, lambda i: F.substring(w, i, F.lit(n)))).otherwise(F.array(w))
+
+        return F.flatten(F.transform(padded, word))
+
+    return F.concat(*map(of, range(low, high + 1)))
 
 
 def code_tokens(text: Column) -> Column:

@@ -5,8 +5,10 @@
 3. Texts alike word for word collapse to one; texts that share a band key are candidates, and candidate groups are the
    components that these links form.
 4. Within each candidate group classes grow from member to member by exact weighted Jaccard similarity, so every link
-   between two different texts of a group counts, whichever of them came first.  Groups beyond GROUP texts are dealt out
-   in pairs of blocks, each of which returns only the links of a spanning forest.
+   between two different texts of a group counts, whichever of them came first.
+5. Groups beyond GROUP texts are dealt out in blocks, each with the same PIVOTS texts of the group, so that what one class
+   holds in many blocks comes together.  Then the texts outside the group's largest class meet the group's other blocks:
+   a group that is one class of copies is shipped once, and no link between two classes is lost.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import U64, byte_symbols, dropped, in_runs, mix, parts, prefix_sums, range_hash, stored, table, text_buffers
@@ -25,8 +27,9 @@ from .graph import components
 
 SHINGLE = 5
 SIMILAR = 0.8
-ROWS, BANDS = 3, 12
-#: At similarity 0.8 a pair meets in no band once in 3,000 times: (1 - 0.8 ** ROWS) ** BANDS = 0.0002.
+ROWS, BANDS = 4, 16
+#: At similarity 0.8 a pair meets in no band twice in 10,000 times: (1 - 0.8 ** ROWS) ** BANDS = 0.0002; at 0.3 it meets
+#: in one 12 times in 100, so unlike texts seldom chain candidate groups together.
 HASHES = ROWS * BANDS
 #: The sketch of document frequencies: DEPTH rows of WIDTH counters, whatever the corpus.  Its noise is about
 #: 500 / WIDTH = 0.4 % of the documents, of which the mean is taken off; idf falls below 1 from COMMON on.
@@ -36,6 +39,7 @@ COMMON, LEAST_IDF = 0.01, 0.5
 PRIOR = 20_000
 #: Most texts of a candidate group that one task compares.
 GROUP = 4_000
+PIVOTS = 48
 TASK_SHINGLES = 1 << 15
 
 _SOLID = np.zeros(256, bool)
@@ -250,7 +254,6 @@ def forest(texts: Texts, members: np.ndarray) -> list[tuple[int, int]]:
 
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id and th of every document, v and root: th of texts in a class and the class), stored."""
-    spark = docs.sparkSession
     sketch, n = frequencies(docs)
     idf = idf_table(sketch, n)
     signed = stored(signatures(docs, idf), "op10-signed")
@@ -260,57 +263,89 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     buckets = keyed.groupBy("band").agg(F.min("th").alias("a"), F.max("th").alias("z")).filter("a < z").select("band", "a")
     candidates = components(keyed.join(buckets, "band").filter("th <> a").select("a", F.col("th").alias("b")).distinct(), "op10-candidates")
     sizes = stored(candidates.groupBy("root").agg(F.count("*").alias("size")), "op10-sizes")  # apart, so that a large group's rows can be split
-    cut = F.ceil(F.col("size") / GROUP).cast("int")
     placed = candidates.join(sizes, "root").join(texts.select(F.col("th").alias("v"), "doc_id"), "v")
+    cut = F.ceil(F.col("size") / GROUP).cast("int")
     placed = placed.select("doc_id", F.col("v").alias("th"), "root", F.when(cut > 1, cut).otherwise(1).alias("cut")).withColumn("block", F.pmod(F.xxhash64("th"), "cut").cast("int"))
+    wanted = stored(placed, "op10-wanted")
+    large = wanted.filter("cut > 1")
+    first = F.row_number().over(Window.partitionBy("root", "slice").orderBy(F.xxhash64("th", F.lit(1))))
+    # a group's pivots are found among its slices' first ones, so that no task orders a whole group
+    some = large.withColumn("slice", F.pmod(F.xxhash64("th", F.lit(2)), F.lit(1024))).withColumn("k", first).filter(F.col("k") <= PIVOTS).withColumn("slice", F.lit(0)).withColumn("k", first).filter(F.col("k") <= PIVOTS)
+    pivots = some.select("doc_id", "th", "root", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("block"))
+    task = F.xxhash64("root", "block")
+    own = wanted.select("doc_id", "th", task.alias("task")).unionByName(pivots.select("doc_id", "th", task.alias("task"))).distinct().withColumn("side", F.lit(0))
+    links = stored(_linked(docs, own, idf, wanted.count()), "op10-links")
+    if large.limit(1).count():
+        rest = stored(_across(large, components(links, "op10-large")), "op10-across")
+        links = stored(links.unionByName(_linked(docs, rest, idf, rest.count())), "op10-all-links")
+        dropped(rest)
+    dropped(candidates, sizes, wanted)
+    roots = components(links, "op10-classes")
+    first = roots.join(texts.select(F.col("th").alias("v"), "doc_id"), "v").groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    lone = texts.join(roots.select(F.col("v").alias("th")), "th", "left_anti").select("th", F.col("doc_id").alias("class_id"))
+    named = stored(roots.join(first, "root").select(F.col("v").alias("th"), "class_id").unionByName(lone), "op10-named")
+    dropped(texts, links, roots)
+    return signed, named
+
+
+def _linked(docs: DataFrame, wanted: DataFrame, idf: np.ndarray, rows: int) -> DataFrame:
+    """a, b: links of a spanning forest of the texts of each task.  wanted: doc_id, th, task, side.
+
+    side 0: all of a task's texts are compared; else those of side 1 with all, and links only count between sides.
+    """
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of texts that are as they were wanted, once for each pair of blocks that they belong to."""
+        """Texts that are as they were wanted: rows may share a doc_id."""
         for batch in batches:
-            th = shingles(batch.column(0))[2].view(np.int64)
-            keep = np.flatnonzero(th == batch.column(1).to_numpy())
-            cuts, block = batch.column(3).to_numpy()[keep], batch.column(4).to_numpy()[keep]
-            row = np.repeat(keep, cuts)
-            other, own = in_runs(cuts.astype(np.int64)), np.repeat(block, cuts)
-            lo, hi = np.minimum(own, other), np.maximum(own, other)
-            task = mix(batch.column(2).to_numpy()[row].view(U64) ^ mix((lo * 1_000_003 + hi).astype(U64))).view(np.int64)
-            where = pa.array(row)
-            yield pa.RecordBatch.from_arrays([pa.array(task), pa.array(th[row]), batch.column(0).take(where)], ["task", "th", "text"])
+            keep = []
+            for i, part in _blocks(batch.column(0)):
+                keep.append(shingles(part)[2].view(np.int64) == batch.column(1).to_numpy()[i : i + len(part)])
+            if keep:
+                yield pa.RecordBatch.from_arrays(list(batch.columns), batch.schema.names).filter(pa.array(np.concatenate(keep))).select(["task", "th", "side", "text"])
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, th, parts_ = [], [], []
+        columns, found = ([], [], []), []
         for batch in batches:
-            for i, part in _blocks(batch.column(2)):
+            for i, part in _blocks(batch.column(3)):
                 h, b, _ = shingles(part)
                 h, tf, b = counted(h, b)
-                parts_.append((h, weights(h, tf, idf), np.diff(b)))
-                task.append(batch.column(0).to_numpy()[i : i + len(part)]), th.append(batch.column(1).to_numpy()[i : i + len(part)])
-        if not task:
+                found.append((h, weights(h, tf, idf), np.diff(b)))
+                for k in range(3):
+                    columns[k].append(batch.column(k).to_numpy()[i : i + len(part)])
+        if not found:
             return
-        task, th = np.concatenate(task), np.concatenate(th)
-        h, w, n = (np.concatenate(x) for x in zip(*parts_, strict=True))
-        all_texts = Texts(h, w, np.concatenate([[0], np.cumsum(n)]))
-        order = np.lexsort((th, task))
+        task, th, side = map(np.concatenate, columns)
+        h, w, n = (np.concatenate(x) for x in zip(*found, strict=True))
+        texts = Texts(h, w, np.concatenate([[0], np.cumsum(n)]))
+        order = np.lexsort((-side, th, task))
         order = order[np.append(True, (th[order][1:] != th[order][:-1]) | (task[order][1:] != task[order][:-1]))]
         edges = np.flatnonzero(np.append(True, task[order][1:] != task[order][:-1]))
-        links = [x for g in np.split(order, edges[1:]) for x in forest(all_texts, g)]
+        links = []
+        for g in np.split(order, edges[1:]):
+            links += [(one, x) for one in g[side[g] == 1] for x in texts.similar(one, g[g != one]).tolist()] if side[g].any() else forest(texts, g)
         if links:
             a, b = np.array(links).T
             yield pa.RecordBatch.from_arrays([pa.array(th[a]), pa.array(th[b])], ["a", "b"])
 
-    wanted = stored(placed, "op10-wanted")
-    tasks = max(parts(spark), math.ceil(wanted.count() / (GROUP // 4)))
-    at_hand = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.hint("merge"), "doc_id").select("text", "th", "root", "cut", "block")
-    links = at_hand.mapInArrow(fetch, "task long, th long, text string").repartition(tasks, "task").mapInArrow(link, "a long, b long")
-    links = stored(links, "op10-links")
-    dropped(candidates, sizes, wanted)
-    roots = components(links, "op10-classes")
-    first = roots.join(texts.select(F.col("th").alias("v"), "doc_id"), "v").groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    # the members' own th alone would do for texts alike word for word
-    lone = texts.join(roots.select(F.col("v").alias("th")), "th", "left_anti").select("th", F.col("doc_id").alias("class_id"))
-    named = stored(roots.join(first, "root").select(F.col("v").alias("th"), "class_id").unionByName(lone), "op10-named")
-    dropped(texts, links, roots)
-    return signed, named
+    tasks = max(parts(docs.sparkSession), math.ceil(rows / (GROUP // 4)))
+    at_hand = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.hint("merge"), "doc_id").select("text", "th", "task", "side")
+    return at_hand.mapInArrow(fetch, "task long, th long, side int, text string").repartition(tasks, "task").mapInArrow(link, "a long, b long")
+
+
+def _across(large: DataFrame, roots: DataFrame) -> DataFrame:
+    """Tasks in which the texts outside each large group's largest class meet all of its blocks.
+
+    large: doc_id, th, root, cut, block; roots: v and root of the classes so far.  A text outside goes, on side 1, to a task
+    for each block; every text of a block goes to a task for each portion of GROUP / 2 texts outside.
+    """
+    c = large.join(roots.select(F.col("v").alias("th"), F.col("root").alias("class")), "th", "left").withColumn("class", F.coalesce("class", "th"))
+    c = stored(c, "op10-large")
+    top = c.groupBy("root", "class").agg(F.count("*").alias("n")).groupBy("root").agg(F.max_by("class", F.struct("n", "class")).alias("main"))
+    outside = c.join(top, "root").filter("class <> main")
+    portions = stored(outside.groupBy("root").agg(F.ceil(F.count("*") / (GROUP // 2)).cast("int").alias("portions")), "op10-portions")
+    both = c.join(portions, "root").select("doc_id", "th", "root", "block", F.explode(F.sequence(F.lit(0), F.col("portions") - 1)).alias("portion"), F.lit(0).alias("side"))
+    few = outside.join(portions, "root").select("doc_id", "th", "root", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("block"), F.pmod(F.xxhash64("th", F.lit(3)), "portions").cast("int").alias("portion"), F.lit(1).alias("side"))
+    return both.unionByName(few).select("doc_id", "th", F.xxhash64("root", "block", "portion").alias("task"), "side")
 
 
 def near_classes(docs: DataFrame) -> DataFrame:

@@ -377,3 +377,27 @@ def test_oracle(spark, name):
     got = QUERIES[name](spark, sf).select(*want.columns)
     key = lambda r: tuple(map(str, r))
     assert sorted(map(tuple, got.collect()), key=key) == sorted(want.fetchall(), key=key)
+
+
+def test_op10_large_groups_of_several_classes(spark, monkeypatch):
+    rng = random.Random(11)
+    texts, base = [], prose(rng, 200).split()
+    # a chain: each base is near the next by steps, with copies around each; steps of 7 words keep 0.8, of 60 don't
+    for c in range(4):
+        base = base[60 * (c > 0) :] + prose(rng, 60 * (c > 0) + 1).split() if c else base
+        for k in range(25):
+            w = list(base)
+            w[rng.randrange(len(w))] = f"x{c}y{k}"
+            texts.append((len(texts), " ".join(w)))
+    sets = {i: shingle_set(t) for i, t in texts}
+    root = {i: i for i in sets}
+    for i in sets:
+        for j in sets:
+            if i < j and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8:
+                a, b = sorted((root[i], root[j]))
+                root = {k: a if v == b else v for k, v in root.items()}
+    monkeypatch.setattr(icws, "GROUP", 16)
+    monkeypatch.setattr(icws, "PIVOTS", 3)
+    monkeypatch.setattr(icws, "ROWS", 1)  # so that unlike texts chain one large group
+    got = {r.doc_id: r.class_id for r in icws.near_classes(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got == root and len(set(root.values())) > 1

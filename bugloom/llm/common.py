@@ -58,6 +58,18 @@ def freed(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+#: Rows that a Python worker gets at once: bounds its memory where texts are long.
+BATCH_ROWS = 1000
+
+
+def mapped(df: DataFrame, f, schema) -> DataFrame:
+    """df.mapInArrow in small batches."""
+    spark = df.sparkSession
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) not in range(1, BATCH_ROWS + 1):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df.mapInArrow(f, schema)
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -84,21 +96,30 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+class Kept:
+    """What a process has worked out once; it travels empty to other processes."""
+
+    def __init__(self) -> None:
+        self.tables: tuple[np.ndarray, ...] = ()
+
+    def __reduce__(self):
+        return Kept, ()
+
+
 _BASE = U64(0x9E3779B97F4A7C15 | 1)
-_POW: dict[str, np.ndarray] = {}
+_POWERS = Kept()
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2^64."""
-    if len(_POW.get("p", ())) < n:
-        size = max(n, 1 << 20)
+    if not _POWERS.tables or len(_POWERS.tables[0]) < n:
+        size = 1 << max(16, (n - 1).bit_length())
         p = np.full(size, _BASE, U64)
         p[0] = 1
         q = np.full(size, U64(pow(int(_BASE), -1, 1 << 64)), U64)
         q[0] = 1
-        with np.errstate(over="ignore"):
-            _POW["p"], _POW["q"] = np.cumprod(p, dtype=U64), np.cumprod(q, dtype=U64)
-    return _POW["p"][:n], _POW["q"][:n]
+        _POWERS.tables = np.cumprod(p, dtype=U64), np.cumprod(q, dtype=U64)
+    return _POWERS.tables[0][:n], _POWERS.tables[1][:n]
 
 
 def prefix_sums(symbols: np.ndarray) -> np.ndarray:
@@ -143,7 +164,7 @@ def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return begin, end, np.searchsorted(begin, offs)
 
 
-def word_symbols(data: np.ndarray, begin: np.ndarray, end: np.ndarray, block: int = 1 << 22) -> np.ndarray:
+def word_symbols(data: np.ndarray, begin: np.ndarray, end: np.ndarray, block: int = 1 << 20) -> np.ndarray:
     """A 64-bit hash for each word."""
     out, i = np.empty(len(begin), U64), 0
     while i < len(begin):

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import mapped, table
 from .textstats import FEATURES, binned, blocks, cuts_of, labelled_sample, matrix, stats
 
 #: Most labelled documents that the tables are learnt on.
@@ -133,7 +133,7 @@ def scored(docs: DataFrame, model: Additive) -> DataFrame:
                 score = model.score(matrix(stats(data, offs)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, len(score)), pa.array(score)], ["doc_id", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(of, "doc_id long, score double")
+    return mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), of, "doc_id long, score double")
 
 
 def accepted(docs: DataFrame, model: Additive) -> DataFrame:
@@ -147,7 +147,7 @@ def accepted(docs: DataFrame, model: Additive) -> DataFrame:
             if score:
                 yield batch.filter(pa.array(np.concatenate(score) >= THRESHOLD))
 
-    return docs.mapInArrow(of, schema)
+    return mapped(docs, of, schema)
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
+from .common import mapped, table
 from .textstats import BASE, FEATURES, binned, blocks, cuts_of, labelled_sample, matrix, stats
 
 #: Most labelled documents that the trees are grown on.
@@ -110,7 +110,7 @@ def judged(docs: DataFrame, model: Trees) -> DataFrame:
                 failed = (s["n_words"] < 20) | (100 * s["n_repeat_words"] > 30 * s["n_words"])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, len(score)), *(pa.array(s[k].astype(np.int64)) for k in BASE), pa.array(failed), pa.array(~failed & (score >= KEEP)), pa.array(score)], ["doc_id", *BASE, "base_failed", "kept", "score"])
 
-    return docs.select(docs.doc_id.cast("long").alias("doc_id"), "text").mapInArrow(of, "doc_id long, " + "".join(f"{k} long, " for k in BASE) + "base_failed boolean, kept boolean, score double")
+    return mapped(docs.select(docs.doc_id.cast("long").alias("doc_id"), "text"), of, "doc_id long, " + "".join(f"{k} long, " for k in BASE) + "base_failed boolean, kept boolean, score double")
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

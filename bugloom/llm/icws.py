@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import U64, byte_symbols, dropped, in_runs, mix, parts, prefix_sums, range_hash, stored, table, text_buffers
+from .common import U64, byte_symbols, dropped, in_runs, mapped, mix, parts, prefix_sums, range_hash, stored, table, text_buffers
 from .graph import components
 
 SHINGLE = 5
@@ -88,11 +88,11 @@ def counted(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _blocks(arr: pa.Array) -> Iterator[tuple[int, pa.Array]]:
-    """Parts of a column of about 2 MB each."""
+    """Parts of a column of about half a MB each."""
     _, offs = text_buffers(arr)
     i = 0
     while i < len(arr):
-        j = max(i + 1, int(np.searchsorted(offs, offs[i] + (1 << 21), "right")) - 1)
+        j = max(i + 1, int(np.searchsorted(offs, offs[i] + (1 << 19), "right")) - 1)
         yield i, arr.slice(i, j - i)
         i = j
 
@@ -124,8 +124,8 @@ def frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
                 sums[k] = sums[k] + x if k in sums else x
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["k", "c"])
 
-    partial = docs.select("text").mapInArrow(count, "k int, c binary")
-    found = {r.k: np.frombuffer(bytes(r.c), np.int64) for r in partial.repartition("k").mapInArrow(add, "k int, c binary").collect()}
+    partial = mapped(docs.select("text"), count, "k int, c binary")
+    found = {r.k: np.frombuffer(bytes(r.c), np.int64) for r in mapped(partial.repartition("k"), add, "k int, c binary").collect()}
     if not found:
         return np.zeros(DEPTH * WIDTH), 0
     return np.concatenate([found[k] for k in range(DEPTH * WIDTH // SLICE)]), int(found[-1][0])
@@ -212,7 +212,7 @@ def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
                 bands = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(keys.ravel().view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, len(part)), pa.array(th.view(np.int64)), bands], ["doc_id", "th", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(of, "doc_id long, th long, bands array<long>")
+    return mapped(docs.select(F.col("doc_id").cast("long"), "text"), of, "doc_id long, th long, bands array<long>")
 
 
 class Texts:
@@ -329,7 +329,7 @@ def _linked(docs: DataFrame, wanted: DataFrame, idf: np.ndarray, rows: int) -> D
 
     tasks = max(parts(docs.sparkSession), math.ceil(rows / (GROUP // 4)))
     at_hand = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.hint("merge"), "doc_id").select("text", "th", "task", "side")
-    return at_hand.mapInArrow(fetch, "task long, th long, side int, text string").repartition(tasks, "task").mapInArrow(link, "a long, b long")
+    return mapped(mapped(at_hand, fetch, "task long, th long, side int, text string").repartition(tasks, "task"), link, "a long, b long")
 
 
 def _across(large: DataFrame, roots: DataFrame) -> DataFrame:

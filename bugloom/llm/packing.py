@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_runs, table, word_symbols, words
+from .common import in_runs, mapped, table, word_symbols, words
 from .textstats import blocks
 
 VOCABULARY = "word_bpe_49k.json"
@@ -227,7 +227,7 @@ def packed(docs: DataFrame, vocabulary: str = VOCABULARY, end: int = END_ID, lim
         if packer.rows:
             yield packer.batch()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(of, SCHEMA)
+    return mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), of, SCHEMA)
 
 
 def op3_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, dropped, in_runs, mix, parts, prefix_sums, range_hash, stored, table, text_buffers
+from .common import U64, dropped, in_runs, mapped, mix, parts, prefix_sums, range_hash, stored, table, text_buffers
 from .spans import keyed, shared_only, spans
 from .suffix_dedup import covered
 
@@ -129,8 +129,8 @@ def _compared(docs: DataFrame, kinds: DataFrame, length: int, hot: int) -> DataF
             yield pa.RecordBatch.from_arrays([pa.array(rid[span[flags]]), pa.array(at[flags]), pa.array(at[flags] + 1)], ["rid", "begin", "stop"])
 
     n_shards = max(parts(docs.sparkSession), math.ceil(kinds.count() / SHARD))
-    pieces = docs.select("rid", "text", "doc_id").join(lists.hint("merge"), "rid").select("rid", "text", "places", "doc_id").mapInArrow(cut, PIECES)
-    return pieces.repartition(n_shards, "shard").mapInArrow(search, RANGES)
+    pieces = mapped(docs.select("rid", "text", "doc_id").join(lists.hint("merge"), "rid").select("rid", "text", "places", "doc_id"), cut, PIECES)
+    return mapped(pieces.repartition(n_shards, "shard"), search, RANGES)
 
 
 def pc_fill(column: pa.ChunkedArray) -> np.ndarray:
@@ -178,4 +178,4 @@ def op7_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
                 sha.append(hashlib.sha256(b" ".join(kept)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    return cleaned(table(spark, "documents", sf_dir)).mapInArrow(digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return mapped(cleaned(table(spark, "documents", sf_dir)), digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")

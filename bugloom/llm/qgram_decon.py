@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, in_runs, mix, prefix_sums, range_hash, table
+from .common import U64, in_runs, mapped, mix, prefix_sums, range_hash, table
 from .textstats import blocks
 
 Q = 12
@@ -178,7 +178,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                         text, *rest = zip(*found, strict=True)
                         yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(text, pa.int64()) if not i else pc.add(pa.array(text, pa.int64()), i)), *(pa.array(c, k) for c, k in zip(rest, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32()), strict=True))], ["doc_id", "item_id", "passage", "begin", "stop", "edits"])
 
-        return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(of, SCHEMA)
+        return mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), of, SCHEMA)
 
     out = None
     for p in query_blocks(benchmark):
@@ -202,7 +202,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     schema = docs.schema
     for p in query_blocks(benchmark):
-        docs = docs.mapInArrow(without(p), schema)
+        docs = mapped(docs, without(p), schema)
     return docs
 
 

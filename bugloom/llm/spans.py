@@ -16,10 +16,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, byte_symbols, mix, prefix_sums, range_hash, stored, text_buffers, word_symbols, words
+from .common import U64, byte_symbols, mapped, mix, prefix_sums, range_hash, stored, text_buffers, word_symbols, words
 
-#: Symbols handled at once; owners carry their place in 20 bits.
-BLOCK = 1 << 20
+#: Symbols handled at once; owners carry their place in as many low bits.
+BLOCK = 1 << 19
 SPAN_SCHEMA = "kh long, sh long, rid long, doc_id long, start long, n int"
 
 
@@ -108,13 +108,13 @@ def spans(docs: DataFrame, length: int, core: int, unit: str) -> DataFrame:
                 ids = [pc.fill_null(batch.column(c).cast(pa.int64()), -(1 << 63)).to_numpy(zero_copy_only=False)[text] for c in (2, 0)]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (kh.view(np.int64), sh.view(np.int64), *ids, start, n.astype(np.int32))], ["kh", "sh", "rid", "doc_id", "start", "n"])
 
-    return docs.select("doc_id", "text", "rid").mapInArrow(of, SPAN_SCHEMA)
+    return mapped(docs.select("doc_id", "text", "rid"), of, SPAN_SCHEMA)
 
 
 def _blocks(offs: np.ndarray) -> list[tuple[int, int]]:
     out, i = [], 0
     while i < len(offs) - 1:
-        j = max(i + 1, int(np.searchsorted(offs, offs[i] + 4 * BLOCK, "right")) - 1)
+        j = max(i + 1, int(np.searchsorted(offs, offs[i] + BLOCK, "right")) - 1)
         out.append((i, j))
         i = j
     return out

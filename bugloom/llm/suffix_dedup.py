@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import byte_symbols, dropped, in_runs, parts, prefix_sums, range_hash, stored, table, text_buffers
+from .common import byte_symbols, dropped, in_runs, mapped, parts, prefix_sums, range_hash, stored, table, text_buffers
 from .spans import keyed, shared_only, spans
 
 LENGTH = 200
@@ -140,8 +140,8 @@ def _compared(docs: DataFrame, mixed: DataFrame, length: int, hot: int) -> DataF
 
     rows = mixed.count()
     n_shards = max(parts(docs.sparkSession), math.ceil(rows / SHARD))
-    pieces = docs.select("rid", "text").join(lists.hint("merge"), "rid").mapInArrow(cut, PIECES)
-    return pieces.repartition(n_shards, "shard").mapInArrow(search, RANGES)
+    pieces = mapped(docs.select("rid", "text").join(lists.hint("merge"), "rid"), cut, PIECES)
+    return mapped(pieces.repartition(n_shards, "shard"), search, RANGES)
 
 
 def _pieces(shard, rid, start, n, pieces) -> pa.RecordBatch:
@@ -210,4 +210,4 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offs)), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(sha)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     rows, _ = cleaned(table(spark, "documents", sf_dir))
-    return rows.mapInArrow(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return mapped(rows, digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

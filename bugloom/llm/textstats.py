@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, byte_symbols, in_runs, mix, prefix_sums, range_hash, text_buffers, word_symbols, words
+from .common import U64, byte_symbols, in_runs, mapped, mix, prefix_sums, range_hash, text_buffers, word_symbols, words
 
 WINDOW = 8
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -108,7 +108,7 @@ def stats(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def blocks(arr: pa.Array, size: int = 1 << 21) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def blocks(arr: pa.Array, size: int = 1 << 19) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first text, bytes, offsets) of parts of a string column of about size bytes each."""
     data, offs = text_buffers(arr)
     i = 0
@@ -138,7 +138,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int) -> tuple[np.n
                 k = len(offs) - 1
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, k), batch.column(2).slice(i, k), pa.FixedSizeListArray.from_arrays(pa.array(m.ravel()), m.shape[1]).cast(pa.list_(pa.float32()))], ["doc_id", "quality", "x"])
 
-    got = rows.select("doc_id", "text", "quality").mapInArrow(of, "doc_id long, quality int, x array<float>").toPandas().sort_values("doc_id", kind="stable")
+    got = mapped(rows.select("doc_id", "text", "quality"), of, "doc_id long, quality int, x array<float>").toPandas().sort_values("doc_id", kind="stable")
     if not len(got):
         return np.zeros((0, len(FEATURES))), np.zeros(0)
     return np.stack(got.x.to_numpy()).astype(np.float64), (got.quality.to_numpy() > 0).astype(np.float64)

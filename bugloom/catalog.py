@@ -416,6 +416,89 @@ def line_context_window(spark, at):
     return rules.context_window(lines, "doc_id", F.lower("value").rlike("licen[sc]e"), 2)
 
 
+@query("SELECT CASE WHEN year(o_orderdate) <= 2018 THEN '2014-2018' WHEN year(o_orderdate) <= 2022 THEN '2019-2022' ELSE '2023-2026' END AS era, count(*) AS n FROM orders GROUP BY ALL")
+def era_buckets(spark, at):
+    return table(spark, "orders", at).groupBy(T.era(F.lit(None).cast("string"), F.col("o_orderdate").cast("string")).alias("era")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT doc_id, CAST(length(left(text, p - 1)) - length(replace(left(text, p - 1), chr(10), '')) + 1 AS INTEGER) AS line, trim(replace(substr(text, p, 200), chr(10), ' ')) AS snippet
+  FROM (SELECT doc_id, text, strpos(lower(text), 'license') AS p FROM documents) WHERE p > 0""")
+def match_places(spark, at):
+    p = F.expr("instr(lower(text), 'license')")
+    return table(spark, "documents", at).withColumn("p", p).filter("p > 0").select("doc_id", T.line_at(F.col("text"), F.col("p")).alias("line"), T.snippet_at(F.col("text"), F.col("p")).alias("snippet"))
+
+
+@query("SELECT count(*) AS n, count(*) FILTER (WHERE l) AS linked, 100.0 * count(*) FILTER (WHERE l) / greatest(count(*), 1) AS percentage FROM (SELECT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) AS l FROM orders)")
+def linked_percentage(spark, at):
+    return report.linked_percentage(table(spark, "orders", at), table(spark, "lineitem", at).withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
+
+
+@query("SELECT lang, avg(CASE WHEN n_chars > 2000 THEN 1 ELSE 0 END) AS share FROM documents GROUP BY lang")
+def share_by_language(spark, at):
+    return report.share(table(spark, "documents", at), "lang", F.col("n_chars") > 2000)
+
+
+@query("SELECT event_id, user_id FROM events WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)")
+def latest_iteration_only(spark, at):
+    return report.latest_only(table(spark, "events", at).withColumn("day", F.to_date("ts")), "day").select("event_id", "user_id")
+
+
+@query("SELECT arg_max(event_id, (ts, event_id)) AS commit_sha FROM events")
+def last_commit(spark, at):
+    return report.last_commit(table(spark, "events", at).select(F.col("event_id").alias("commit_sha"), F.col("ts").alias("committed_at")))
+
+
+@query("SELECT c_custkey, coalesce(k, -1) AS cluster_id FROM customer LEFT JOIN (SELECT o_custkey, arg_max(CAST(o_orderkey % 7 AS INTEGER), o_orderkey) AS k FROM orders WHERE o_totalprice > 300000 GROUP BY o_custkey) ON o_custkey = c_custkey")
+def scatter_colour(spark, at):
+    c = table(spark, "orders", at).filter("o_totalprice > 300000").select(F.col("o_custkey").alias("c_custkey"), (F.col("o_orderkey") % 7).cast("int").alias("cluster_id"), F.col("o_orderkey").alias("ord"))
+    return report.scatter_colour(table(spark, "customer", at).select("c_custkey"), c, "c_custkey")
+
+
+@query("SELECT verdict, coalesce(n, 0) AS n FROM (VALUES ('EXACT'), ('OVERLAP'), ('DISTINCT')) v(verdict) LEFT JOIN (SELECT CASE WHEN quality = 1 THEN 'DISTINCT' ELSE 'EXACT' END AS verdict, count(*) AS n FROM labels GROUP BY 1) USING (verdict)")
+def verdict_counts(spark, at):
+    rows = table(spark, "labels", at).select(F.when(F.col("quality") == 1, "DISTINCT").otherwise("EXACT").alias("verdict"))
+    return report.verdict_counts(rows, ["EXACT", "OVERLAP", "DISTINCT"])
+
+
+@query("SELECT c_custkey, c_name FROM customer JOIN (SELECT o_custkey, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS s FROM orders GROUP BY 1) ON o_custkey = c_custkey WHERE s = 'F'")
+def shippable_rules(spark, at):
+    results = table(spark, "orders", at).select(F.col("o_custkey").alias("c_custkey"), "o_orderdate", "o_orderkey", (F.col("o_orderstatus") == "F").alias("ship"))
+    return corpus.shippable(table(spark, "customer", at).select("c_custkey", "c_name"), results, "c_custkey", "o_orderdate", "o_orderkey")
+
+
+@query(f"SELECT 'deep' AS rule, 'medium' AS severity, doc_id AS file, CAST(line AS INTEGER) AS line, left(regexp_replace(value, '^\\s+|\\s+$', '', 'g'), 200) AS snippet, 'pending_llm_review' AS message FROM {LINES} WHERE regexp_matches(value, 'license|License|token')")
+def deep_prefilter(spark, at):
+    return rules.deep_prefilter(_files(spark, at), "deep", None, ["token", "License", "license", "abc"])
+
+
+@query("SELECT a.vec_id AS id, round(sqrt(greatest(2 - 2 * list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 0)), 5) AS distance FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1")
+def unit_distances(spark, at):
+    v = _vectors(spark, at)
+    other = v.select((F.col("id") - 1).alias("id"), F.col("vector").alias("next"))
+    return v.join(other, "id").select("id", F.round(V.unit_distance(V.cosine(F.col("vector"), F.col("next"))), 5).alias("distance"))
+
+
+@query(f"SELECT rule, count(*) AS n, '## ' || rule || ' (' || count(*) || ')' AS title FROM {HITS} GROUP BY rule")
+def scan_markdown(spark, at):
+    from .sources import sinks
+
+    return sinks.scan_markdown(rules.line_findings(_files(spark, at))).select("rule", "n", F.split("markdown", "\n")[0].alias("title"))
+
+
+@query("SELECT label AS cluster_id, CAST(count(*) AS INTEGER) AS size, CAST(count(DISTINCT vec_id % 7) AS INTEGER) AS n_commits FROM embeddings WHERE label >= 0 GROUP BY label HAVING count(DISTINCT vec_id % 7) >= 3")
+def cluster_bundles(spark, at):
+    from .sources import sinks
+
+    e = table(spark, "embeddings", at).select(F.col("label").alias("cluster_id"), (F.col("vec_id") % 7).cast("string").alias("bug_key"), F.concat(F.lit("a/b/c/"), (F.col("vec_id") % 5).cast("string")).alias("file_path"), F.lit("s").alias("bug_summary"), F.lit("c").alias("buggy_code"), F.col("vec_id").alias("ord"))
+    return sinks.cluster_bundles(e).select("cluster_id", "size", "n_commits")
+
+
+@query("SELECT doc_id, lang || ',' || source AS parts, upper(left(lang, 1)) || lower(substr(lang, 2)) || 'Rule' AS class_name FROM documents")
+def parsed_answers(spark, at):
+    d = table(spark, "documents", at).withColumn("answer", F.concat(F.lit("<rule_id> "), F.upper("lang"), F.lit("_rule! </rule_id><rule>```\nx\n```</rule><bad>"), "lang", F.lit("\n// ---\n"), "source", F.lit("</bad><rationale>w</rationale>")))
+    return corpus.parsed_answer(d, dashes=False).select("doc_id", F.array_join("test_inputs", ",").alias("parts"), T.class_name(F.col("rule_id")).alias("class_name"))
+
+
 @query()
 def hdbscan_clusters(spark, at):
     vectors = table(spark, "embeddings", at).select(F.col("vec_id").alias("id"), V.normalised(F.col("embedding")).alias("vector"), (F.col("vec_id") % 2).alias("part"))

@@ -221,6 +221,15 @@ def citation_urls(text: Column, base: str, repo: str) -> Column:
     return F.array_distinct(F.concat(full, bare))
 
 
+def citations(text: Column, base: str, repo: str) -> Column:
+    """The links of citation_urls with their titles: in brackets after a full link, after a dash or colon else."""
+    full = F.transform(F.regexp_extract_all(text, F.lit(rf"({base}/[\w\-]+/pull/\d+(?:\s*\([^)]{{1,200}}\))?)"), 1), lambda m: F.struct(F.regexp_extract(m, r"^(\S+?/pull/\d+)", 1).alias("pr_url"), strip(F.regexp_extract(m, r"\(([^)]+)\)$", 1)).alias("title")))
+    bare = F.transform(F.regexp_extract_all(text, F.lit(r"(\bPR[ \-#]?\d{3,6}\b(?:\s*[\u2014\-:]\s*[^\n]{1,160})?)"), 1), lambda m: F.struct(F.concat(F.lit(f"{base}/{repo}/pull/"), F.regexp_extract(m, r"^PR[ \-#]?(\d{3,6})", 1)).alias("pr_url"), strip(F.regexp_extract(m, r"(?s)^PR[ \-#]?\d{3,6}\s*[\u2014\-:]\s*(.*)$", 1)).alias("title")))
+    every = F.concat(full, bare)
+    urls = F.transform(every, lambda c: c["pr_url"])
+    return F.filter(every, lambda c, i: F.array_position(urls, c["pr_url"]) == i + 1)
+
+
 def glob_to_regex(pattern: str) -> str:
     """`**/` spans folders, also none; `*` and `?` stay within one."""
     import re

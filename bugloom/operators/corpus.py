@@ -54,6 +54,11 @@ def parsed_answer(answers: DataFrame, dashes: bool = True) -> DataFrame:
     return out.filter("rule_id <> '' AND rule_source <> '' AND rationale <> ''")
 
 
+def shippable(rules: DataFrame, results: DataFrame, key: str, *order: str) -> DataFrame:
+    """Rules whose last result by order lets them ship."""
+    return rules.join(last_of(results, [key], *order).filter("ship").select(key), key, "left_semi")
+
+
 def latest_by(df: DataFrame, key: list[str], stamp: str) -> DataFrame:
     """One row for each key with the greatest stamp; of equal stamps the least row."""
     w = Window.partitionBy(*key).orderBy(F.desc(stamp), *[c for c in df.columns if c not in key and c != stamp])

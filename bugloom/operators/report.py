@@ -77,6 +77,12 @@ def share(rows: DataFrame, group: str, flag) -> DataFrame:
     return rows.groupBy(group).agg(F.avg(flag.cast("int")).alias("share"))
 
 
+def linked_percentage(rows: DataFrame, links: DataFrame, key: str) -> DataFrame:
+    """Of rows that have a link, in a hundred; 0 without rows."""
+    flagged = rows.join(links.select(key).distinct().withColumn("_l", F.lit(1)), key, "left")
+    return flagged.agg(F.count("*").alias("n"), F.count("_l").alias("linked")).withColumn("percentage", 100.0 * F.col("linked") / F.greatest("n", F.lit(1)))
+
+
 def scatter_colour(points: DataFrame, clusters: DataFrame, key: str) -> DataFrame:
     """points with the cluster of their key, the last one by ord; -1 if it has none."""
     last = last_of(clusters.select(key, "cluster_id", "ord"), [key], "ord").drop("ord")

@@ -84,7 +84,7 @@ def rule_specs(sources: DataFrame, rationales: DataFrame, base: str, repo: str)
     why = first_of(word, ["name"], "rationale_path")
     out = rules.join(why, "name", "left")
     text = F.coalesce("rationale", F.lit(""))
-    links = F.transform(T.citation_urls(text, base, repo), lambda u: F.struct(u.alias("pr_url"), F.lit("").alias("title")))
+    links = T.citations(text, base, repo)
     hint = F.regexp_extract(text, r"(?m)^\s*regex_hint\s*[:=]\s*`?(.+?)`?\s*$", 1)
     return out.select("name", F.col("path").alias("source_path"), "rationale_path", T.severity_of(text).alias("severity"), F.regexp_extract_all("text", F.lit(r'Diagnostic\(\s*"[^"]*"\s*,\s*s?"([^"]+)"'), 1).alias("diagnostic_keywords"), F.nullif(hint, F.lit("")).alias("regex_hint"), links.alias("citations"))
 

@@ -31,9 +31,9 @@ def test_config():
 
 def test_rule_discovery(spark):
     src = spark.createDataFrame([("b", 'class Foo extends SemanticRule("Foo") { Diagnostic("id", "Bad Thing") }'), ("a", 'class Foo extends SyntacticRule("Foo")'), ("c", "object None")], "path string, text string")
-    why = spark.createDataFrame([("r.md", "Foo leaks data loss. PR 12345\nregex_hint: `x+`")], "path string, text string")
+    why = spark.createDataFrame([("r.md", "Foo leaks data loss. PR 12345 - a title\nhttps://h/o/r/pull/12345 (another)\nregex_hint: `x+`")], "path string, text string")
     got = readers.rule_specs(src, why, "https://h/o", "r").collect()
-    assert [(r.name, r.source_path, r.severity, r.regex_hint, r.citations[0].pr_url) for r in got] == [("Foo", "a", "high", "x+", "https://h/o/r/pull/12345")]
+    assert [(r.name, r.source_path, r.severity, r.regex_hint, [tuple(c) for c in r.citations]) for r in got] == [("Foo", "a", "high", "x+", [("https://h/o/r/pull/12345", "another")])]
     yaml = spark.createDataFrame([("opengrep/a.yaml", "rules:\n- id: r1\n  severity: ERROR\n  languages: [go]\n  message: >\n    a\n    b\n"), ("x/b.yml", "other: 1"), ("deferred/c.yaml", "rules: []"), ("x/d.yaml", "rules: [")], "path string, text string")
     files = readers.yaml_rule_files(yaml)
     assert {r.path for r in files.collect()} == {"opengrep/a.yaml", "x/d.yaml"}

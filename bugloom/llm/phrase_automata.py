@@ -77,9 +77,9 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, core: int = CORE, hot
     sampled = stored(spans(docs, length, core, "words"), "op7-spans")
     shared = stored(shared_only(sampled), "op7-shared")
     dropped(sampled)
-    kinds = shared.groupBy("kh", "sh", "mixed").agg(F.min(F.struct("doc_id", "rid", "start", "n")).alias("one"))
+    kinds = shared.groupBy("kh", "sh", "mixed").agg(F.min(F.struct("doc_id", "rid", F.col("starts")[0].alias("start"), "n")).alias("one"))
     kinds = stored(kinds, "op7-kinds")
-    whole = shared.drop("mixed").join(kinds.select("kh", "sh", "one"), ["kh", "sh"]).filter("NOT (one.rid = rid AND one.start = start)")
+    whole = shared.drop("mixed").join(kinds.select("kh", "sh", "one"), ["kh", "sh"]).withColumn("start", F.explode("starts")).filter("NOT (one.rid = rid AND one.start = start)")
     whole = whole.select("rid", F.col("start").alias("begin"), (F.col("start") + F.col("n")).alias("stop"))
     return whole.unionByName(_compared(docs, kinds.filter("mixed"), length, hot)), (shared, kinds)
 

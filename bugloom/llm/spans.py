@@ -3,7 +3,8 @@
 Every window of `length` symbols owns the smallest hash among its sub-windows of `core` symbols; which one that is depends
 on the window's content alone.  Consecutive windows with the same owner form a run; a run, with all symbols its windows
 cover, is a span.  Equal windows have equal cores, so a window repeats only if its run's core hash occurs twice.  One
-short row for each run (about one for (length - core) / 2 symbols) is all that is shuffled to find the repeats.
+short row for each run (about one for (length - core) / 2 symbols) is all that is shuffled to find the repeats; runs of one
+text that are alike, as where it repeats a word over and over, share a row.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from .common import U64, byte_symbols, mapped, mix, prefix_sums, range_hash, sto
 
 #: Symbols handled at once; owners carry their place in as many low bits.
 BLOCK = 1 << 19
-SPAN_SCHEMA = "kh long, sh long, rid long, doc_id long, start long, n int"
+SPAN_SCHEMA = "kh long, sh long, rid long, doc_id long, starts array<long>, n int"
 
 
 def runs_of(symbols: np.ndarray, bounds: np.ndarray, length: int, core: int) -> tuple[np.ndarray, ...]:
@@ -106,7 +107,13 @@ def spans(docs: DataFrame, length: int, core: int, unit: str) -> DataFrame:
             if parts:
                 kh, sh, text, start, n = (np.concatenate(x) for x in zip(*parts, strict=True))
                 ids = [pc.fill_null(batch.column(c).cast(pa.int64()), -(1 << 63)).to_numpy(zero_copy_only=False)[text] for c in (2, 0)]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (kh.view(np.int64), sh.view(np.int64), *ids, start, n.astype(np.int32))], ["kh", "sh", "rid", "doc_id", "start", "n"])
+                order = np.lexsort((start, sh, kh, text))
+                kh, sh, text, n = kh[order], sh[order], text[order], n[order]
+                new = np.ones(len(order), bool)
+                new[1:] = (kh[1:] != kh[:-1]) | (sh[1:] != sh[:-1]) | (text[1:] != text[:-1])
+                first = np.flatnonzero(new)
+                starts = pa.ListArray.from_arrays(pa.array(np.append(first, len(order)).astype(np.int32)), pa.array(start[order]))
+                yield pa.RecordBatch.from_arrays([*(pa.array(x[first]) for x in (kh.view(np.int64), sh.view(np.int64), *(i[order] for i in ids))), starts, pa.array(n[first].astype(np.int32))], ["kh", "sh", "rid", "doc_id", "starts", "n"])
 
     return mapped(docs.select("doc_id", "text", "rid"), of, SPAN_SCHEMA)
 
@@ -123,5 +130,5 @@ def _blocks(offs: np.ndarray) -> list[tuple[int, int]]:
 def shared_only(all_spans: DataFrame) -> DataFrame:
     """The spans whose core occurs twice or more; mixed: with different surroundings.  Counts combine before the shuffle."""
     # stored, so that the join's other side can be split where a core is hot
-    cores = stored(all_spans.groupBy("kh").agg(F.count("*").alias("c"), F.min("sh").alias("lo"), F.max("sh").alias("hi")).filter("c > 1"), "cores")
+    cores = stored(all_spans.groupBy("kh").agg(F.sum(F.size("starts")).alias("c"), F.min("sh").alias("lo"), F.max("sh").alias("hi")).filter("c > 1"), "cores")
     return all_spans.join(cores.select("kh", (F.col("lo") != F.col("hi")).alias("mixed")), "kh")

@@ -92,10 +92,10 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, core: int = CORE, hot
     sampled = stored(spans(docs, length, core, "bytes").drop("doc_id"), "op4-spans")
     shared = stored(shared_only(sampled), "op4-shared")
     dropped(sampled)
-    alike = shared.filter("mixed").groupBy("kh", "sh").agg(F.count("*").alias("copies"), F.min(F.struct("rid", "start", "n")).alias("one"))
+    alike = shared.filter("mixed").groupBy("kh", "sh").agg(F.sum(F.size("starts")).alias("copies"), F.min(F.struct("rid", F.col("starts")[0].alias("start"), "n")).alias("one"))
     mixed = stored(alike, "op4-mixed")
-    whole = shared.filter("NOT mixed").select("rid", "start", "n").unionByName(shared.filter("mixed").join(mixed.filter("copies > 1").select("kh", "sh"), ["kh", "sh"]).select("rid", "start", "n"))
-    whole = whole.select("rid", F.col("start").alias("begin"), (F.col("start") + F.col("n")).alias("stop"))
+    whole = shared.filter("NOT mixed").select("rid", "starts", "n").unionByName(shared.filter("mixed").join(mixed.filter("copies > 1").select("kh", "sh"), ["kh", "sh"]).select("rid", "starts", "n"))
+    whole = whole.select("rid", "n", F.explode("starts").alias("start")).select("rid", F.col("start").alias("begin"), (F.col("start") + F.col("n")).alias("stop"))
     return whole.unionByName(_compared(docs, mixed, length, hot)), (shared, mixed)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .functions import text as T
 from .functions import vectors as V
 from .operators import corpus, diffs, hdbscan, quality, relational, report, rules, scanners, vectorise
-from .session import table
+from .session import shared_folder, table
 from .sources import readers
 from .streaming import incremental
 
@@ -546,11 +546,9 @@ def emulators_scala(spark, at):
 
 def _run(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     """The stream's rows over what is there, kept in the shared folder."""
-    import tempfile
     import uuid
 
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="bugloom-stream-")
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     incremental.run_once(stream, path + "-state", path=path)
     return spark.read.schema(stream.schema).parquet(path)
 

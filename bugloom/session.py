@@ -19,3 +19,16 @@ def session(name: str = "bugloom", **conf: str) -> SparkSession:
 
 def table(spark: SparkSession, name: str, at: str):
     return spark.read.parquet(f"{at}/{name}.parquet")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one in local mode only."""
+    import tempfile
+
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        at = "file://" + tempfile.mkdtemp(prefix="bugloom-")
+        spark.conf.set("spark.checkpoint.dir", at)
+    return at.rstrip("/")

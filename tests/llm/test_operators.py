@@ -334,6 +334,11 @@ def test_op5_articles(spark):
     assert got == want
 
 
+def test_op5_hidden_parts():
+    page = html_template.Page('<article><div class="overflow-hidden">a</div><p hidden>b</p><p aria-hidden="true">c</p><p aria-hidden="false">d</p></article>')
+    assert html_template.main_text(page, set(), {}) == "a\nd"
+
+
 def test_op5_without_article_keeps_what_varies(spark):
     page = "<html><body><div id=top>Site name</div><div class=links><a href=1>one {k}</a> <a href=2>two</a></div><div class=b><p>Story {k} is long</p><p>and {k}</p></div><div>Contact us</div></body></html>"
     pages = [(k, "http://h.example/" + str(k), page.replace("{k}", str(k))) for k in range(6)]

@@ -34,7 +34,7 @@ HASHES = ROWS * BANDS
 #: The sketch of document frequencies: DEPTH rows of WIDTH counters, whatever the corpus.  Its noise is about
 #: 500 / WIDTH = 0.4 % of the documents, of which the mean is taken off; idf falls below 1 from COMMON on.
 DEPTH, WIDTH, SLICE = 2, 1 << 17, 1 << 12
-COMMON, LEAST_IDF = 0.01, 0.5
+COMMON, LEAST_IDF = 0.05, 0.5
 #: Documents without the shingle that are added to those seen, so that few documents don't make a shingle look common.
 PRIOR = 20_000
 #: Most texts of a candidate group that one task compares.

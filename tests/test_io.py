@@ -121,3 +121,14 @@ def test_cli_scan(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "out/summary")).count() == 7
     (tmp_path / "hits.jsonl").write_text('{"rule": "x", "positive": true}\n{"rule": "y", "positive": false}\n')
     assert cli.main(["gate", str(tmp_path / "hits.jsonl")]) == 1
+
+
+def test_sql_table_functions(spark):
+    from bugloom.catalog import FIXTURE_DIFF, FIXTURE_SOURCE
+    from bugloom.functions import registry
+
+    registry.register(spark)
+    spark.createDataFrame([("a.scala", FIXTURE_SOURCE, FIXTURE_DIFF)], "path string, text string, diff string").createOrReplaceTempView("inputs")
+    assert {(r.rule, r.line) for r in spark.sql("SELECT f.* FROM inputs, LATERAL scan_text(path, text, NULL) f").collect()} == {("UnclampedOpenSpots", 2), ("BrokenInterpolationFieldAccess", 3)}
+    assert [(r.path, r.removed) for r in spark.sql("SELECT f.* FROM inputs, LATERAL parse_diff(diff, true) f ORDER BY ord").collect()] == [("src/A.scala", "old line"), ("src/Gone.scala", "val gone = 1")]
+    assert [tuple(r) for r in spark.sql("SELECT f.* FROM inputs, LATERAL diff_ranges(diff) f").collect()] == [("src/A.scala", 3, 5)]

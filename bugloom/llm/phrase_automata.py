@@ -72,7 +72,7 @@ def later_windows(pieces: list[bytes], counts: np.ndarray, rank: np.ndarray, len
     return later
 
 
-def repeated_ranges(docs: DataFrame, length: int = LENGTH, core: int = CORE, hot: int = HOT_CORE) -> tuple[DataFrame, tuple]:
+def repeated_ranges(docs: DataFrame, length: int = LENGTH, core: int = CORE, hot: int = HOT_CORE) -> DataFrame:
     """RANGES of the word windows (starts begin to stop - 1) that also stand earlier; docs of keyed()."""
     sampled = stored(spans(docs, length, core, "words"), "op7-spans")
     shared = stored(shared_only(sampled), "op7-shared")
@@ -81,7 +81,10 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, core: int = CORE, hot
     kinds = stored(kinds, "op7-kinds")
     whole = shared.drop("mixed").join(kinds.select("kh", "sh", "one"), ["kh", "sh"]).withColumn("start", F.explode("starts")).filter("NOT (one.rid = rid AND one.start = start)")
     whole = whole.select("rid", F.col("start").alias("begin"), (F.col("start") + F.col("n")).alias("stop"))
-    return whole.unionByName(_compared(docs, kinds.filter("mixed"), length, hot)), (shared, kinds)
+    whole = stored(whole, "op7-whole")  # one after the other, so that the shuffles of only one are on disk
+    found = whole.unionByName(stored(_compared(docs, kinds.filter("mixed"), length, hot), "op7-compared"))
+    dropped(shared, kinds)
+    return found
 
 
 def _compared(docs: DataFrame, kinds: DataFrame, length: int, hot: int) -> DataFrame:
@@ -145,10 +148,7 @@ def _pieces(rows: list[tuple]) -> pa.RecordBatch:
 def cleaned(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, text, begins and stops of the word windows to remove (null: none)."""
     docs = keyed(docs)
-    found, tables = repeated_ranges(docs, length)
-    ranges = stored(found, "op7-ranges")
-    dropped(*tables)
-    lists = ranges.groupBy("rid").agg(F.collect_list("begin").alias("begins"), F.collect_list("stop").alias("stops"))
+    lists = repeated_ranges(docs, length).groupBy("rid").agg(F.collect_list("begin").alias("begins"), F.collect_list("stop").alias("stops"))
     return docs.join(lists.hint("merge"), "rid", "left").select("doc_id", "text", "begins", "stops")
 
 

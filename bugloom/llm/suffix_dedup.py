@@ -96,7 +96,10 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, core: int = CORE, hot
     mixed = stored(alike, "op4-mixed")
     whole = shared.filter("NOT mixed").select("rid", "starts", "n").unionByName(shared.filter("mixed").join(mixed.filter("copies > 1").select("kh", "sh"), ["kh", "sh"]).select("rid", "starts", "n"))
     whole = whole.select("rid", "n", F.explode("starts").alias("start")).select("rid", F.col("start").alias("begin"), (F.col("start") + F.col("n")).alias("stop"))
-    return whole.unionByName(_compared(docs, mixed, length, hot)), (shared, mixed)
+    whole = stored(whole, "op4-whole")  # one after the other, so that the shuffles of only one are on disk
+    found = whole.unionByName(stored(_compared(docs, mixed, length, hot), "op4-compared"))
+    dropped(shared, mixed)
+    return found
 
 
 def _compared(docs: DataFrame, mixed: DataFrame, length: int, hot: int) -> DataFrame:
@@ -168,14 +171,11 @@ def covered(begin: np.ndarray, stop: np.ndarray, length: int) -> np.ndarray:
     return np.stack([b[first], e[np.append(first[1:], len(b)) - 1]], axis=1)
 
 
-def cleaned(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, tuple]:
-    """doc_id, text, begins and stops of the maximal byte runs to remove (null: none); also the tables it is read from."""
+def cleaned(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """doc_id, text, begins and stops of the byte windows to remove (null: none)."""
     docs = keyed(docs)
-    found, tables = repeated_ranges(docs, length)
-    ranges = stored(found, "op4-ranges")
-    dropped(*tables)
-    lists = ranges.groupBy("rid").agg(F.collect_list("begin").alias("begins"), F.collect_list("stop").alias("stops"))
-    return docs.join(lists.hint("merge"), "rid", "left").select("doc_id", "text", "begins", "stops"), (ranges,)
+    lists = repeated_ranges(docs, length).groupBy("rid").agg(F.collect_list("begin").alias("begins"), F.collect_list("stop").alias("stops"))
+    return docs.join(lists.hint("merge"), "rid", "left").select("doc_id", "text", "begins", "stops")
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,5 +209,4 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                 sha.append(h.hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offs)), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(sha)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    rows, _ = cleaned(table(spark, "documents", sf_dir))
-    return mapped(rows, digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return mapped(cleaned(table(spark, "documents", sf_dir)), digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

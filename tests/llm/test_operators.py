@@ -101,7 +101,7 @@ def test_op4_hot_cores_and_cut_blocks(spark, docs, monkeypatch):
 
 def _ranges(docs, module, **named):
     """Single repeated window starts."""
-    found, _ = module.repeated_ranges(module.keyed(docs), **named)
+    found = module.repeated_ranges(module.keyed(docs), **named)
     return {(r.rid, i) for r in found.collect() for i in range(r.begin, r.stop)}
 
 

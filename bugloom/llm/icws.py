@@ -1,7 +1,9 @@
 """Near-duplicate classes by improved consistent weighted sampling.
 
-1. Document frequencies of word shingles over all documents, in a count sketch of fixed size.
-2. Each text's shingles get weights (1 + ln tf) * idf; HASHES consistent weighted samples of them form BANDS band keys.
+1. Each text's shingles get weights (1 + ln tf) * idf; HASHES consistent weighted samples of them form BANDS band keys.
+2. At first idf is 1.  The classes so found are merged: one text of each counts in the document frequencies of shingles,
+   a count sketch of fixed size, so copies don't lower their own weights.  Texts that hold a common shingle are sampled
+   anew, and steps 3 to 5 are done once more with these weights.
 3. Texts alike word for word collapse to one; texts that share a band key are candidates, and candidate groups are the
    components that these links form.
 4. Within each candidate group classes grow from member to member by exact weighted Jaccard similarity, so every link
@@ -32,11 +34,9 @@ ROWS, BANDS = 4, 16
 #: in one 12 times in 100, so unlike texts seldom chain candidate groups together.
 HASHES = ROWS * BANDS
 #: The sketch of document frequencies: DEPTH rows of WIDTH counters, whatever the corpus.  Its noise is about
-#: 500 / WIDTH = 0.4 % of the documents, of which the mean is taken off; idf falls below 1 from COMMON on.
+#: 500 / WIDTH = 0.4 % of the documents, of which the mean is taken off; idf falls below 1 from a share of COMMON on.
 DEPTH, WIDTH, SLICE = 2, 1 << 17, 1 << 12
 COMMON, LEAST_IDF = 0.05, 0.5
-#: Documents without the shingle that are added to those seen, so that few documents don't make a shingle look common.
-PRIOR = 20_000
 #: Most texts of a candidate group that one task compares.
 GROUP = 4_000
 PIVOTS = 48
@@ -102,15 +102,23 @@ def _places(h: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """The sketch of document frequencies, DEPTH * WIDTH counters, and the number of documents with a word."""
+    """The sketch of document frequencies, DEPTH * WIDTH counters, and the number of documents with a word.
+
+    docs: th, text.  Rows whose text isn't that of th don't count, and rows alike count once: rows may share a doc_id.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = np.zeros(DEPTH * WIDTH, np.int64), 0
+        total, n, seen = np.zeros(DEPTH * WIDTH, np.int64), 0, set()
         for batch in batches:
-            for _, part in _blocks(batch.column(0)):
-                h, _, b = counted(*shingles(part)[:2])
-                n += int((np.diff(b) > 0).sum())
-                for at in _places(h):
+            for i, part in _blocks(batch.column(1)):
+                h, b, th = shingles(part)
+                h, _, b = counted(h, b)
+                keep = th.view(np.int64) == batch.column(0).to_numpy()[i : i + len(part)]
+                for k in np.flatnonzero(keep).tolist():
+                    keep[k] = th[k] not in seen
+                    seen.add(th[k])
+                n += int((keep & (np.diff(b) > 0)).sum())
+                for at in _places(h[np.repeat(keep, np.diff(b))]):
                     total += np.bincount(at, minlength=len(total))
         if n:
             slices = [x.astype(np.int64).tobytes() for x in np.split(total, len(total) // SLICE)]
@@ -124,7 +132,7 @@ def frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
                 sums[k] = sums[k] + x if k in sums else x
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["k", "c"])
 
-    partial = mapped(docs.select("text"), count, "k int, c binary")
+    partial = mapped(docs.select("th", "text"), count, "k int, c binary")
     found = {r.k: np.frombuffer(bytes(r.c), np.int64) for r in mapped(partial.repartition("k"), add, "k int, c binary").collect()}
     if not found:
         return np.zeros(DEPTH * WIDTH), 0
@@ -134,14 +142,17 @@ def frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 def idf_table(sketch: np.ndarray, n: int) -> np.ndarray:
     """idf by place in the sketch: 1 up to COMMON of the documents, then falling with the logarithm to LEAST_IDF."""
     df = sketch.reshape(DEPTH, WIDTH) - np.median(sketch.reshape(DEPTH, WIDTH), axis=1, keepdims=True)
-    share = np.maximum(df, 1) / (n + PRIOR)
+    share = np.maximum(df, 1) / max(n, 1)
     return np.clip(np.log(1 / share) / math.log(1 / COMMON), LEAST_IDF, 1).astype(np.float32).ravel()
 
 
-def weights(h: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """A shingle is as rare as the smallest of its counters says."""
-    best = np.maximum.reduce([idf[at] for at in _places(h)]) if len(h) else np.zeros(0, np.float32)
-    return ((1 + np.log(tf)) * best).astype(np.float32)
+def rarity(h: np.ndarray, idf: np.ndarray | None) -> np.ndarray:
+    """A shingle is as rare as the smallest of its counters says; all are without a table."""
+    return np.ones(len(h), np.float32) if idf is None else np.maximum.reduce([idf[at] for at in _places(h)])
+
+
+def weights(h: np.ndarray, tf: np.ndarray, idf: np.ndarray | None) -> np.ndarray:
+    return ((1 + np.log(tf)) * rarity(h, idf)).astype(np.float32)
 
 
 def _gamma_quantiles(n: int) -> np.ndarray:
@@ -195,14 +206,20 @@ def samples(h: np.ndarray, w: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
-    """doc_id, th (0: no word), bands."""
+def signatures(docs: DataFrame, idf: np.ndarray | None = None) -> DataFrame:
+    """doc_id, th (0: no word), bands; with a table of idf only texts that hold a shingle under 1, as it changes no other."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, part in _blocks(batch.column(1)):
                 h, b, th = shingles(part)
                 h, tf, b = counted(h, b)
+                ids = batch.column(0).slice(i, len(part))
+                if idf is not None:
+                    low = np.concatenate([[0], np.cumsum(rarity(h, idf) < 1)])[b]
+                    keep = np.diff(low) > 0
+                    inside = np.repeat(keep, np.diff(b))
+                    h, tf, b, th, ids = h[inside], tf[inside], np.concatenate([[0], np.cumsum(np.diff(b)[keep])]), th[keep], ids.filter(pa.array(keep))
                 s = samples(h, weights(h, tf, idf), b)
                 keys = np.zeros((len(s), BANDS), U64)
                 for k in range(BANDS):
@@ -210,7 +227,7 @@ def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
                         keys[:, k] = mix(keys[:, k] + s[:, k * ROWS + c] + U64(k))
                 n = np.where(np.diff(b) > 0, BANDS, 0)
                 bands = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(keys.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, len(part)), pa.array(th.view(np.int64)), bands], ["doc_id", "th", "bands"])
+                yield pa.RecordBatch.from_arrays([ids, pa.array(th.view(np.int64)), bands], ["doc_id", "th", "bands"])
 
     return mapped(docs.select(F.col("doc_id").cast("long"), "text"), of, "doc_id long, th long, bands array<long>")
 
@@ -253,12 +270,29 @@ def forest(texts: Texts, members: np.ndarray) -> list[tuple[int, int]]:
 
 
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id and th of every document, v and root: th of texts in a class and the class), stored."""
-    sketch, n = frequencies(docs)
-    idf = idf_table(sketch, n)
-    signed = stored(signatures(docs, idf), "op10-signed")
+    """(doc_id and th of every document; th, class_id and whether the text stands for its class), stored."""
+    signed = stored(signatures(docs), "op10-signed")
     texts = signed.filter("th <> 0 AND doc_id IS NOT NULL").groupBy("th").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
     texts = stored(texts, "op10-texts")
+    named = _named(docs, texts, None)
+    one = texts.select("th", "doc_id").join(named.filter("first").select("th"), "th").select("doc_id", "th")
+    idf = idf_table(*frequencies(_with_text(docs, one)))
+    if (idf < 1).any():
+        anew = signatures(docs, idf).filter("th <> 0").groupBy("th").agg(F.first("bands").alias("anew"))
+        again = stored(texts.join(anew.hint("merge"), "th", "left").select("th", "doc_id", F.coalesce("anew", "bands").alias("bands")), "op10-again")
+        dropped(named)
+        named = _named(docs, again, idf)
+        dropped(again)
+    dropped(texts)
+    return signed, named
+
+
+def _with_text(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.hint("merge"), "doc_id")
+
+
+def _named(docs: DataFrame, texts: DataFrame, idf: np.ndarray | None) -> DataFrame:
+    """th, class_id and first (one text of each class), stored.  texts: th, doc_id, bands."""
     keyed = texts.select("th", F.explode("bands").alias("band"))
     buckets = keyed.groupBy("band").agg(F.min("th").alias("a"), F.max("th").alias("z")).filter("a < z").select("band", "a")
     candidates = components(keyed.join(buckets, "band").filter("th <> a").select("a", F.col("th").alias("b")).distinct(), "op10-candidates")
@@ -282,13 +316,13 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     dropped(candidates, sizes, wanted)
     roots = components(links, "op10-classes")
     first = roots.join(texts.select(F.col("th").alias("v"), "doc_id"), "v").groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    lone = texts.join(roots.select(F.col("v").alias("th")), "th", "left_anti").select("th", F.col("doc_id").alias("class_id"))
-    named = stored(roots.join(first, "root").select(F.col("v").alias("th"), "class_id").unionByName(lone), "op10-named")
-    dropped(texts, links, roots)
-    return signed, named
+    lone = texts.join(roots.select(F.col("v").alias("th")), "th", "left_anti").select("th", F.col("doc_id").alias("class_id"), F.lit(True).alias("first"))
+    named = stored(roots.join(first, "root").select(F.col("v").alias("th"), "class_id", (F.col("v") == F.col("root")).alias("first")).unionByName(lone), "op10-named")
+    dropped(links, roots)
+    return named
 
 
-def _linked(docs: DataFrame, wanted: DataFrame, idf: np.ndarray, rows: int) -> DataFrame:
+def _linked(docs: DataFrame, wanted: DataFrame, idf: np.ndarray | None, rows: int) -> DataFrame:
     """a, b: links of a spanning forest of the texts of each task.  wanted: doc_id, th, task, side.
 
     side 0: all of a task's texts are compared; else those of side 1 with all, and links only count between sides.
@@ -328,7 +362,7 @@ def _linked(docs: DataFrame, wanted: DataFrame, idf: np.ndarray, rows: int) -> D
             yield pa.RecordBatch.from_arrays([pa.array(th[a]), pa.array(th[b])], ["a", "b"])
 
     tasks = max(parts(docs.sparkSession), math.ceil(rows / (GROUP // 4)))
-    at_hand = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.hint("merge"), "doc_id").select("text", "th", "task", "side")
+    at_hand = _with_text(docs, wanted).select("text", "th", "task", "side")
     return mapped(mapped(at_hand, fetch, "task long, th long, side int, text string").repartition(tasks, "task"), link, "a long, b long")
 
 

@@ -406,3 +406,37 @@ def test_op10_large_groups_of_several_classes(spark, monkeypatch):
     monkeypatch.setattr(icws, "ROWS", 1)  # so that unlike texts chain one large group
     got = {r.doc_id: r.class_id for r in icws.near_classes(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
     assert got == root and len(set(root.values())) > 1
+
+
+def linked(ids, alike):
+    """The least id of the component of each."""
+    root = {i: i for i in ids}
+    for i in ids:
+        for j in ids:
+            if i < j and alike(i, j):
+                a, b = sorted((root[i], root[j]))
+                root = {k: a if v == b else v for k, v in root.items()}
+    return root
+
+
+def test_op10_weighs_by_share_of_merged_groups(spark):
+    rng = random.Random(12)
+    word = lambda n: [f"{rng.choice('bcdfg')}{rng.randrange(10**6)}" for _ in range(n)]
+    base, passage, texts = word(100), word(100), []
+    texts.append(base)
+    for _ in range(35):  # a third of the rows: near the first only, at 0.81
+        w = list(base)
+        for i in rng.sample(range(5, 95, 6), 2):
+            w[i] = word(1)[0]
+        texts.append(w)
+    texts += [passage + word(110) for _ in range(25)] + [word(80) for _ in range(40)]
+    texts += [passage + word(8) for _ in range(3)]  # alike by the passage alone: 0.86 without idf, 0.75 with it
+    sets = {i: shingle_set(" ".join(t)) for i, t in enumerate(texts)}
+    plain = linked(sets, lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]))
+    df = collections.Counter(x for i in set(plain.values()) for x in sets[i])
+    idf = lambda x: min(1, max(icws.LEAST_IDF, np.log(len(set(plain.values())) / max(1, df[x])) / np.log(1 / icws.COMMON)))
+    mass = lambda s: sum(map(idf, s))
+    want = linked(sets, lambda i, j: len(sets[i] & sets[j]) > 0 and mass(sets[i] & sets[j]) >= 0.8 * mass(sets[i] | sets[j]))
+    assert want != plain and list(want.values()).count(0) == 36
+    got = icws.near_classes(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == want

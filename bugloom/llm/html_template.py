@@ -1,11 +1,15 @@
-"""Main text of web pages by equivalence classes of tokens over the pages of a host.
+"""Main text of web pages by the structural tokens that the pages of a host share.
 
 1. Every page is read as a tree of structural tokens: elements under their path of tags and classes.
-2. Tokens of a host whose occurrence vectors over its pages are alike form a class; a vector is a pair of sums over the
-   pages, so it is aggregated before any shuffle and no host's pages meet in one task.
-3. Classes that occur on enough pages and nest in each other make the host's template.  A slot is what lies directly in
-   a template token; slots in menus, forms, adverts and the like, and slots that never vary, are the site's own.
-4. The remaining slots are extracted from every page, block by block.
+2. For each token of a host the pages that have it and the least and largest hash of its text are aggregated before any
+   shuffle, so no host's pages meet in one task.
+3. Tokens on enough pages make the host's template.  A slot is the text directly in one token; slots in menus, forms,
+   adverts and the like, and slots that never vary, are the site's own.
+4. The remaining slots are extracted from every page, block by block.  Text whose token isn't in the template stays.
+
+This departs from equivalence classes of tokens by occurrence vectors: tokens alike in their vectors are on equally many
+pages and their parents on no fewer, so such classes would pass or fail SUPPORT just as their tokens do.  Order within a
+class is not validated.
 """
 
 from __future__ import annotations
@@ -29,23 +33,28 @@ MOST_LINKED = 0.5
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var wbr img label".split())
 RAW = "script|style|noscript|template|svg|iframe|textarea|title|object|math"
-#: Elements that are never part of the text, and words of class, id or role that say the same.
+#: Elements that are never part of the text, and classes, ids and roles that say the same if a host's pages share them.
 CHROME_TAGS = frozenset("head nav header footer aside form menu dialog button select input fieldset".split())
 CHROME_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert comment comments disqus reply replies sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead share sharing social related newsletter subscribe subscription signup login search popup modal overlay pagination pager toolbar widget".split()
 )
 CONTENT = frozenset("article main".split())
+#: Their ids are made of what they are about.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+TITLED = HEADINGS | frozenset("section body html".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 CLOSES_OWN = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 _TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|[^<]+|<", re.S | re.I)
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
+#: Between the elements of a path, and before a chrome word: neither stands in a tag or class name.
+SEP, MARK = "/", "\t"
 
 
-def label(tag: str, attrs: str) -> tuple[str, bool]:
-    """A structural token of an element, and whether its content isn't the page's text."""
-    names, chrome = [], tag in CHROME_TAGS
+def label(tag: str, attrs: str) -> tuple[str, bool, str]:
+    """A structural token of an element, whether its content isn't the page's text, and a name that hints so or ''."""
+    names, chrome, word = [], tag in CHROME_TAGS, ""
     if attrs:
         for kind, *value in _NAMED.findall(attrs):
             v = "".join(value).lower()
@@ -55,16 +64,17 @@ def label(tag: str, attrs: str) -> tuple[str, bool]:
         if "hidden" in attrs:  # the attribute itself, not a class that is named so
             bare = re.sub(r"\"[^\"]*\"|'[^']*'", "", attrs)
             chrome |= bool(re.search(r"(?<![\w-])hidden(?![\w-])", bare) or re.search(r"aria-hidden\s*=\s*[\"']?true", attrs))
-    return ".".join([tag, *names]), chrome
+    return ".".join([tag, *names]), chrome, word
 
 
 class Page:
-    """paths: how often each structural token occurs; blocks: (path, chrome, in content, text, characters of links)."""
+    """paths: the structural tokens, and those with a chrome word; blocks: (path, chrome, in content, text, characters of
+    links, [token with a chrome word, whether its element holds an article] of each element around it that has one)."""
 
     def __init__(self, source: str) -> None:
-        self.paths: dict[str, int] = {"": 1}
-        self.blocks: list[tuple[str, bool, bool, str, int]] = []
-        stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # tag, path, chrome, content
+        self.paths: set[str] = {""}
+        self.blocks: list[tuple[str, bool, bool, str, int, list[list]]] = []
+        stack: list[tuple[str, str, bool, bool, list | None]] = [("", "", False, False, None)]  # tag, path, chrome, content, mark
         text: list[str] = []
         linked, in_link = 0, 0
 
@@ -72,8 +82,8 @@ class Page:
             nonlocal linked
             if text:
                 if joined := " ".join(html.unescape("".join(text)).split()):
-                    _, path, chrome, content = next(x for x in reversed(stack) if x[0] not in INLINE)
-                    self.blocks.append((path, any(x[2] for x in stack), content, joined, linked))
+                    _, path, _, content, _ = next(x for x in reversed(stack) if x[0] not in INLINE)
+                    self.blocks.append((path, any(x[2] for x in stack), content, joined, linked, [x[4] for x in stack if x[4]]))
                 text.clear()
             linked = 0
 
@@ -113,15 +123,22 @@ class Page:
                         break
                     if stack[i][0] not in INLINE:
                         break
-            name, chrome = label(tag, m["attrs"])
-            _, path, _, content = stack[-1]
+            name, chrome, word = label(tag, m["attrs"])
+            _, path, _, content, _ = stack[-1]
+            mark = [f"{path}{SEP}{name}{MARK}{word}", False] if word else None
+            if mark:
+                self.paths.add(mark[0])
             if tag in INLINE:
-                stack.append((tag, path, chrome, content))
+                stack.append((tag, path, chrome, content, mark))
                 in_link += tag == "a"
             else:
-                path = f"{path}/{name}"
-                self.paths[path] = self.paths.get(path, 0) + 1
-                stack.append((tag, path, chrome, content or tag in CONTENT))
+                path = f"{path}{SEP}{name}"
+                self.paths.add(path)
+                if tag in CONTENT:
+                    for x in stack:
+                        if x[4]:
+                            x[4][1] = True
+                stack.append((tag, path, chrome, content or tag in CONTENT, mark))
         close()
 
 
@@ -129,74 +146,80 @@ def _hash(*parts: object) -> int:
     return int.from_bytes(hashlib.blake2b("\x1f".join(map(str, parts)).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
-def slot_of(path: str, template: set[str]) -> str:
-    """The deepest template token that holds a path."""
-    while path and path not in template:
-        path = path.rpartition("/")[0]
-    return path
+def _tags(path: str) -> list[str]:
+    return [x.partition(".")[0] for x in path.split(SEP)]
 
 
 def template_of(tokens: list[dict], pages: int) -> tuple[set[str], dict[str, bool]]:
-    """(structural tokens of the template, for each whether its slot is constant or made of links).
+    """(structural tokens of the template, for each whether its slot is the site's own).
 
-    tokens: of one host, with path, pages, vector (x, s), lo and hi (text hashes), chars and linked.  A class is valid if
-    it occurs on SUPPORT of the pages and its tokens' parents belong to valid classes.
+    tokens: of one host, with path, pages, lo and hi (text hashes), chars and linked.  A slot is the site's own if it is
+    constant or, outside articles, made of links.  Inside articles headings stay, and everything does where the articles
+    or their first headings are constant: such a host holds copies.
     """
-    classes: dict[tuple, list[dict]] = {}
-    for t in tokens:
-        classes.setdefault((t["pages"], t["x"], t["s"]), []).append(t)
-    template: set[str] = set()
-    for t in sorted((t for c in classes.values() for t in c), key=lambda t: t["path"].count("/")):
-        parent = t["path"].rpartition("/")[0]
-        if t["pages"] >= SUPPORT * pages and (not t["path"] or parent in template):
-            template.add(t["path"])
-    own = {t["path"]: (pages >= MIN_PAGES and t["pages"] >= MIN_PAGES and t["lo"] is not None and t["lo"] == t["hi"]) or (t["chars"] > 0 and t["linked"] > MOST_LINKED * t["chars"]) for t in tokens if t["path"] in template}
+    often = [t for t in tokens if t["pages"] >= SUPPORT * pages]
+    template = {t["path"] for t in often if MARK not in t["path"] or t["pages"] >= MIN_PAGES}
+    constant = {t["path"] for t in often if t["pages"] >= MIN_PAGES and t["lo"] is not None and t["lo"] == t["hi"]}
+    inside = {t["path"]: tags for t in often if t["lo"] is not None and not CONTENT.isdisjoint(tags := _tags(t["path"]))}
+    copies = constant.issuperset(inside) or any(tags[-1] == "h1" and path in constant for path, tags in inside.items())
+    own = {}
+    for t in often:
+        if (tags := inside.get(path := t["path"])) is not None:
+            own[path] = path in constant and not copies and tags[-1] not in HEADINGS
+        else:
+            own[path] = path in constant or t["chars"] > 0 and t["linked"] > MOST_LINKED * t["chars"]
     return template, own
 
 
+def slot_of(path: str, template: set[str]) -> str:
+    """The deepest template token that holds a path."""
+    while path and path not in template:
+        path = path.rpartition(SEP)[0]
+    return path
+
+
 def main_text(page: Page, template: set[str], own: dict[str, bool]) -> str:
-    """The blocks of the remaining slots.  Where a page marks its article, these are the slots in it; else those that vary."""
-    blocks = [b for b in page.blocks if not b[1]]
-    if any(b[2] for b in blocks):
-        return "\n".join(b[3] for b in blocks if b[2])
-    return "\n".join(b[3] for b in blocks if not own.get(slot_of(b[0], template), False))
+    """The blocks of the remaining slots.  Where a page marks its article, these are the slots in it; else those outside.
+
+    A chrome word drops what its element holds if the host's pages share the element, but never an article.
+    """
+    blocks = [b for b in page.blocks if not b[1] and not any(mark in template and not holds for mark, holds in b[5])]
+    content = any(b[2] for b in blocks)
+    return "\n".join(b[3] for b in blocks if b[2] == content and not own.get(slot_of(b[0], template), False))
 
 
 def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^\s*[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)", 1)), F.lit(""))
 
 
-TOKENS = "host string, path string, pages long, x long, s long, lo long, hi long, chars long, linked long"
+TOKENS = "host string, path string, pages long, lo long, hi long, chars long, linked long"
 
 
 def tokens_of(pages: DataFrame) -> DataFrame:
-    """TOKENS: for each host its structural tokens with their occurrence vectors; pages: host, page_id, html."""
+    """TOKENS: for each host its structural tokens with what their texts have in common; pages: host, html."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: dict[tuple[str, str], list] = {}
-            for host, page_id, source in zip(*(batch.column(k).to_pylist() for k in (0, 1, 2)), strict=True):
+            for host, source in zip(*(batch.column(k).to_pylist() for k in (0, 1)), strict=True):
                 page = Page(source or "")
                 texts: dict[str, list[tuple[str, int]]] = {}
-                for path, _, _, text, linked in page.blocks:
-                    texts.setdefault(path, []).append((text, linked))
-                key = _hash(page_id, len(source or ""))
-                for path, n in page.paths.items():
-                    h = _hash(key, n)
-                    r = rows.setdefault((host, path), [0, 0, 0, None, None, 0, 0])
+                for path, chrome, _, text, linked, _ in page.blocks:
+                    if not chrome:
+                        texts.setdefault(path, []).append((text, linked))
+                for path in page.paths:
+                    r = rows.setdefault((host, path), [0, None, None, 0, 0])
                     r[0] += 1
-                    r[1] ^= h
-                    r[2] += h & 0xFFFFFFFF
                     if path in texts:
                         t = _hash(*(x for x, _ in texts[path]))
-                        r[3], r[4] = (t, t) if r[3] is None else (min(r[3], t), max(r[4], t))
-                        r[5] += sum(len(x) for x, _ in texts[path])
-                        r[6] += sum(x for _, x in texts[path])
-            columns = list(zip(*((*k, *v) for k, v in rows.items()), strict=True)) or [[]] * 9
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.string()] * 2 + [pa.int64()] * 7, strict=True)], ["host", "path", "pages", "x", "s", "lo", "hi", "chars", "linked"])
+                        r[1], r[2] = (t, t) if r[1] is None else (min(r[1], t), max(r[2], t))
+                        r[3] += sum(len(x) for x, _ in texts[path])
+                        r[4] += sum(x for _, x in texts[path])
+            columns = list(zip(*((*k, *v) for k, v in rows.items()), strict=True)) or [[]] * 7
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.string()] * 2 + [pa.int64()] * 5, strict=True)], ["host", "path", "pages", "lo", "hi", "chars", "linked"])
 
-    found = mapped(pages.select("host", "page_id", "html"), of, TOKENS)
-    return found.groupBy("host", "path").agg(F.sum("pages").alias("pages"), F.bit_xor("x").alias("x"), F.sum("s").alias("s"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
+    found = mapped(pages.select("host", "html"), of, TOKENS)
+    return found.groupBy("host", "path").agg(F.sum("pages").alias("pages"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
 
 
 def extracted(pages: DataFrame) -> DataFrame:
@@ -208,7 +231,7 @@ def extracted(pages: DataFrame) -> DataFrame:
     tokens = stored(tokens_of(pages), "op5-tokens")
     hosts = tokens.filter("path = ''").select("host", F.col("pages").alias("total"))
     often = tokens.join(hosts, "host").filter(F.col("pages") >= SUPPORT * F.col("total"))  # at most a page's tokens / SUPPORT for a host
-    kind = F.struct("path", "pages", "x", "s", "lo", "hi", "chars", "linked")
+    kind = F.struct("path", "pages", "lo", "hi", "chars", "linked")
     templates = stored(often.groupBy("host").agg(F.first("total").alias("total"), F.collect_list(kind).alias("tokens")), "op5-templates")
     dropped(tokens)
 

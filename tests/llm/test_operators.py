@@ -440,3 +440,15 @@ def test_op10_weighs_by_share_of_merged_groups(spark):
     assert want != plain and list(want.values()).count(0) == 36
     got = icws.near_classes(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")).collect()
     assert {r.doc_id: r.class_id for r in got} == want
+
+
+def texts_of(spark, sources):
+    pages = [(k, f"http://h.example/{k}", x) for k, x in enumerate(sources)]
+    return {r.page_id: r.text for r in html_template.extracted(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+
+
+def test_op5_constant_parts_of_articles(spark):
+    page = "<main><h1>Head {k}</h1><div class=x1>Read this in our app</div><p>Story {k}</p></main>"
+    assert texts_of(spark, [page.replace("{k}", str(k)) for k in range(5)]) == {k: f"Head {k}\nStory {k}" for k in range(5)}
+    copies = texts_of(spark, [page.replace("{k}", "")] * 4)
+    assert set(copies.values()) == {"Head\nRead this in our app\nStory"}

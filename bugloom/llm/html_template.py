@@ -49,7 +49,7 @@ _TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^>\"']++|\"[^\"]*+
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
 #: Between the elements of a path, and before a chrome word: neither stands in a tag or class name.
-SEP, MARK = "/", "\t"
+SEP, MARK = " ", "\t"
 
 
 def label(tag: str, attrs: str) -> tuple[str, bool, str]:
@@ -171,13 +171,6 @@ def template_of(tokens: list[dict], pages: int) -> tuple[set[str], dict[str, boo
     return template, own
 
 
-def slot_of(path: str, template: set[str]) -> str:
-    """The deepest template token that holds a path."""
-    while path and path not in template:
-        path = path.rpartition(SEP)[0]
-    return path
-
-
 def main_text(page: Page, template: set[str], own: dict[str, bool]) -> str:
     """The blocks of the remaining slots.  Where a page marks its article, these are the slots in it; else those outside.
 
@@ -185,7 +178,7 @@ def main_text(page: Page, template: set[str], own: dict[str, bool]) -> str:
     """
     blocks = [b for b in page.blocks if not b[1] and not any(mark in template and not holds for mark, holds in b[5])]
     content = any(b[2] for b in blocks)
-    return "\n".join(b[3] for b in blocks if b[2] == content and not own.get(slot_of(b[0], template), False))
+    return "\n".join(b[3] for b in blocks if b[2] == content and not own.get(b[0], False))
 
 
 def host_of(url: Column) -> Column:

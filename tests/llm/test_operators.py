@@ -452,3 +452,10 @@ def test_op5_constant_parts_of_articles(spark):
     assert texts_of(spark, [page.replace("{k}", str(k)) for k in range(5)]) == {k: f"Head {k}\nStory {k}" for k in range(5)}
     copies = texts_of(spark, [page.replace("{k}", "")] * 4)
     assert set(copies.values()) == {"Head\nRead this in our app\nStory"}
+
+
+def test_op5_rare_layouts_keep_their_text(spark):
+    a = "<body>Skip to content<div class=a><p>Story {k}</p></div></body>"
+    b = '<body>Skip to content<div class="b w-1/2"><p>Tale {k}</p></div></body>'
+    got = texts_of(spark, [(a if k < 6 else b).replace("{k}", str(k)) for k in range(10)])
+    assert got == {k: f"Story {k}" if k < 6 else f"Tale {k}" for k in range(10)}

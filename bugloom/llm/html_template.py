@@ -47,7 +47,6 @@ CLOSES_OWN = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
 
 _TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|[^<]+|<", re.S | re.I)
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_WORD = re.compile(r"[a-z]+")
 #: Between the elements of a path, and before a chrome word: neither stands in a tag or class name.
 SEP, MARK = " ", "\t"
 
@@ -58,7 +57,8 @@ def label(tag: str, attrs: str) -> tuple[str, bool, str]:
     if attrs:
         for kind, *value in _NAMED.findall(attrs):
             v = "".join(value).lower()
-            chrome |= any(w in CHROME_WORDS for w in _WORD.findall(v))
+            if tag not in CONTENT and not (kind.lower() == "id" and tag in TITLED):
+                word = next((w for w in v.split() if w in CHROME_WORDS), word)
             if kind.lower() == "class":
                 names = sorted(v.split())
         if "hidden" in attrs:  # the attribute itself, not a class that is named so

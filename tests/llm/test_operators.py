@@ -459,3 +459,9 @@ def test_op5_rare_layouts_keep_their_text(spark):
     b = '<body>Skip to content<div class="b w-1/2"><p>Tale {k}</p></div></body>'
     got = texts_of(spark, [(a if k < 6 else b).replace("{k}", str(k)) for k in range(10)])
     assert got == {k: f"Story {k}" if k < 6 else f"Tale {k}" for k in range(10)}
+
+
+def test_op5_words_need_a_host(spark):
+    article = '<div class="post has-banner widget"><article id="search-engines-history"><h2 id="related-work">Work {k}</h2><section id="share">Prices {k}</section><div class=comments>nice {k}</div>{notice}</article></div>'
+    got = texts_of(spark, [article.replace("{notice}", "<div class=notice>Note {k}</div>" * (k == 1)).replace("{k}", str(k)) for k in range(4)])
+    assert got == {k: f"Work {k}\nPrices {k}" + f"\nNote {k}" * (k == 1) for k in range(4)}

@@ -1,12 +1,13 @@
 """Removal of repeated passages, located by sharded Aho-Corasick automata.
 
 1. Content-sampled spans (spans.py) of the word sequence of every text; only spans whose core recurs go on.
-2. Spans alike from end to end: all but the earliest are repeats throughout.
-3. Spans that share a core but differ around it go, as words, to one of many shards by core.  A shard confirms which of
-   its word windows recur, compiles one automaton of these phrases over word numbers, and streams every span of the
-   corpus that has such a core through it; of the occurrences of a phrase all but the earliest are repeats.
+2. Spans alike from end to end, by the hashes of core and span: all but the earliest are repeats throughout.  Their words
+   are not compared, and they don't reach an automaton.
+3. Where spans share a core but differ around it, one of each kind goes, as words, to one of many shards by core.  A shard confirms which of
+   its word windows recur, compiles one automaton of these phrases over word numbers, and streams these
+   spans through it; of the occurrences of a phrase all but the earliest are repeats.
 
-Each span of a document goes to the one shard of its core, so automata and streams grow in proportion to the corpus
+Each such span goes to the one shard of its core, so automata and streams grow in proportion to the corpus
 rather than every document meeting every automaton.  Cores with very many surroundings are dealt out by window.
 """
 

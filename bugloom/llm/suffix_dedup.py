@@ -1,8 +1,9 @@
 """Removal of long repeated byte strings with a logarithmic family of suffix arrays.
 
 1. Content-sampled spans (spans.py) of every text; one short row each is shuffled, and spans whose core is unique end here.
-2. Spans alike from end to end are counted; all of their windows repeat.
-3. Where spans share a core but differ around it, their bytes go to one of many shards by core.  A shard takes them in
+2. Spans alike from end to end are counted by the hashes of core and span; all of their windows repeat.  Their bytes are
+   not compared, and they don't reach a suffix array.
+3. Where spans share a core but differ around it, the bytes of one of each kind go to one of many shards by core.  A shard takes them in
    batches: each batch gets a suffix array of its window starts, which is merge-scanned against the arrays of earlier
    levels for matches of the full length; arrays of equal rank then merge, so a shard holds logarithmically many.
 4. Each document's repeated windows become byte ranges, which are cut out of it.

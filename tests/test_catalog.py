@@ -38,3 +38,15 @@ def test_query(spark, duck, name):
 def test_entry(spark):
     assert {r.rule: r.n for r in entry.entry(spark).collect()}["never-seen"] == 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_hdbscan_clusters_the_whole_table(spark):
+    import numpy as np
+
+    from bugloom.operators import hdbscan
+
+    rows = sorted((r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect())
+    x = np.array([v for _, v in rows], float)
+    want = hdbscan.labels_of(x / np.linalg.norm(x, axis=1, keepdims=True), 5, 2, True)
+    got = {r.id: r.label for r in QUERIES["hdbscan_clusters"](spark, SF).collect()}
+    assert got == dict(zip((i for i, _ in rows), want.tolist(), strict=True))

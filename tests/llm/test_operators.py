@@ -304,26 +304,46 @@ def test_aligned_is_edit_distance():
         assert got[0] == min(cost[12])
 
 
+def without_boilerplate(rows):
+    """Brute force: for each row its lines, how many go and what is left."""
+    bare = lambda x: x.strip(" \t\r\v\f")
+    split = [(r, (r[1] or "").split("\n") if r[1] is not None else []) for r in rows]
+
+    def spread(lines_of):
+        sites = collections.defaultdict(set)
+        for r, lines in lines_of:
+            for x in lines:
+                if bare(x) and r[3] is not None:
+                    sites[bare(x)].add(r[3])
+        return {x for x, s in sites.items() if len(s) >= line_spread.MIN_SITES}
+
+    found = spread(split)
+    gone = spread([(r, [x for x in lines if bare(x) in found]) for r, lines in split if 2 * sum(len(x) for x in lines if bare(x) in found) <= sum(map(len, lines))])
+    for r, lines in split:
+        yield r, lines, [x for x in lines if bare(x) not in gone]
+
+
 def test_op9(spark, sf, rows):
-    sites = collections.defaultdict(set)
-    for r in rows:
-        for line in (r[1] or "").split("\n"):
-            if line.strip(" \t\r\v\f") and r[3] is not None:
-                sites[line.strip(" \t\r\v\f")].add(r[3])
     want = collections.Counter()
-    for r in rows:
-        lines = (r[1] or "").split("\n") if r[1] is not None else []
-        out = [len(sites[x.strip(" \t\r\v\f")]) >= line_spread.MIN_SITES if x.strip(" \t\r\v\f") else False for x in lines]
-        if sum(len(x) for x, o in zip(lines, out, strict=True) if o) > 0.5 * sum(map(len, lines)):
-            out = [False] * len(lines)
-        text = "\n".join(x for x, o in zip(lines, out, strict=True) if not o)
-        want[r[0], len(lines), sum(out), hashlib.sha256(text.encode()).hexdigest()] += 1
+    for r, lines, kept in without_boilerplate(rows):
+        want[r[0], len(lines), len(lines) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()] += 1
     assert collections.Counter(map(tuple, line_spread.op9_line_spread(spark, sf).collect())) == want
     assert sum(k[2] for k in want) >= 12
     kept = line_spread.without_boilerplate(spark.read.parquet(f"{sf}/documents.parquet"))
     assert kept.columns == spark.read.parquet(f"{sf}/documents.parquet").columns and kept.filter("d <> 'clash' OR kept <> 'clash'").count() == 0
 
 
+def test_op9_short_pages_lose_boilerplate_and_copies_stay(spark):
+    rng = random.Random(8)
+    article = [prose(rng, 20) for _ in range(5)]
+    rows = [(k, prose(rng, 60) + "\nCookies, please.\nAll rights reserved", "en", f"s{k}", 0) for k in range(12)]
+    rows += [(100 + k, "Cookies, please.\nmine\nAll rights reserved", "en", f"s{k}", 0) for k in range(3)]
+    rows += [(200 + k, "\n".join([*article[: k % 5], prose(rng, 20), *article[k % 5 :]]), "en", f"s{k}", 0) for k in range(30)] + [(300, "Cookies, please.", "en", "s1", 0)]
+    got = {r.doc_id: r.text for r in line_spread.without_boilerplate(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == {r[0]: "\n".join(kept) for r, _, kept in without_boilerplate(rows)}
+    assert all(got[100 + k] == "mine" for k in range(3)) and got[300] == "" and all(len(got[200 + k].split("\n")) == 6 for k in range(30))
+
+
 PAGE = '<!DOCTYPE html><html><head><title>T {k}</title><script>var a="</p>";</script></head><body><nav><ul><li><a href=/>Home</a></li></ul></nav><div class="side-ad x">Buy</div><article><h1>Head {k}</h1><p>Fish &amp; chips\n {k}<br>next<p><b>bold</b> end</p><form>mail</form><div class="comments"><p>nice</p></div></article><footer>&copy; us</footer></body></html>'
 
 

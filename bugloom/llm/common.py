@@ -32,14 +32,15 @@ def table(spark: SparkSession, name: str, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as a Parquet table in the shared folder and reads it back; this cuts lineage."""
+def stored(df: DataFrame, name: str, light: bool = False) -> DataFrame:
+    """Writes df as a Parquet table in the shared folder and reads it back; this cuts lineage.  light: it shuffled little."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
-    freed(spark)
+    if not light:
+        freed(spark)
     return out
 
 

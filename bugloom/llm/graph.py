@@ -15,16 +15,16 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     before the shuffle; then labels are followed once more, so distances shrink at least by half in each round.
     """
     both = stored(edges.filter("a <> b").select("a", "b").union(edges.filter("a <> b").select("b", "a")).distinct(), f"{name}-edges")
-    labels = stored(both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.first("a")).alias("root")), f"{name}-labels")
+    labels = stored(both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.first("a")).alias("root")), f"{name}-labels", light=True)
     while True:
         near = both.join(labels, both.b == labels.v).groupBy(F.col("a").alias("v")).agg(F.min("root").alias("near"))
         mine = labels.join(near, "v").select("v", F.col("root").alias("old"), F.least("root", "near").alias("root"))
         # a label is a vertex too: what its holders have learnt is handed to it, and all follow it once
         learnt = mine.groupBy(F.col("old").alias("v")).agg(F.min("root").alias("hint"))
         mine = mine.join(learnt, "v", "left").select("v", "old", F.least("root", F.coalesce("hint", "root")).alias("root"))
-        step = stored(mine, f"{name}-step")
+        step = stored(mine, f"{name}-step", light=True)
         up = step.select(F.col("v").alias("u"), F.col("root").alias("up"))
-        new = stored(step.join(up, step.root == up.u, "left").select("v", "old", F.least("root", F.coalesce("up", "root")).alias("root")), f"{name}-labels")
+        new = stored(step.join(up, step.root == up.u, "left").select("v", "old", F.least("root", F.coalesce("up", "root")).alias("root")), f"{name}-labels", light=True)
         dropped(step, labels)
         labels = new.select("v", "root")
         labels._scratch = new._scratch

@@ -1,16 +1,18 @@
-"""Near-duplicate classes by improved consistent weighted sampling.
+"""Near-duplicate classes by improved consistent weighted sampling over TF-IDF shingles.
 
-1. Each text's shingles get weights (1 + ln tf) * idf; HASHES consistent weighted samples of them form BANDS band keys.
-2. At first idf is 1.  The classes so found are merged: one text of each counts in the document frequencies of shingles,
-   a count sketch of fixed size, so copies don't lower their own weights.  Texts that hold a common shingle are sampled
-   anew, and steps 3 to 5 are done once more with these weights.
+1. Document frequencies.  Copies must not lower the weights of what they share, so one text of each group of near copies
+   counts: groups are found by steps 3 to 5 from plain minima of hashes, with every shingle weighing the same.  Counts go
+   into a sketch of fixed size.
+2. A shingle's weight is (1 + ln tf) * idf with idf = ln((1 + n) / (1 + df)) + 1, as a share of the greatest idf; HASHES
+   consistent weighted samples of a text's shingles form BANDS band keys.
 3. Texts alike word for word collapse to one; texts that share a band key are candidates, and candidate groups are the
    components that these links form.
 4. Within each candidate group classes grow from member to member by exact weighted Jaccard similarity, so every link
    between two different texts of a group counts, whichever of them came first.
-5. Groups beyond GROUP texts are dealt out in blocks, each with the same PIVOTS texts of the group, so that what one class
-   holds in many blocks comes together.  Then the texts outside the group's largest class meet the group's other blocks:
-   a group that is one class of copies is shipped once, and no link between two classes is lost.
+5. Groups beyond GROUP texts or GROUP_SHINGLES shingles are dealt out in blocks, each with the same PIVOTS texts of the
+   group, so that what one class holds in many blocks comes together.  Then the texts outside the group's largest class
+   meet the group's other blocks: a group that is one class of copies is shipped once, and no link between two classes is
+   lost.
 """
 
 from __future__ import annotations
@@ -33,12 +35,14 @@ ROWS, BANDS = 4, 16
 #: At similarity 0.8 a pair meets in no band twice in 10,000 times: (1 - 0.8 ** ROWS) ** BANDS = 0.0002; at 0.3 it meets
 #: in one 12 times in 100, so unlike texts seldom chain candidate groups together.
 HASHES = ROWS * BANDS
-#: The sketch of document frequencies: DEPTH rows of WIDTH counters, whatever the corpus.  Its noise is about
-#: 500 / WIDTH = 0.4 % of the documents, of which the mean is taken off; idf falls below 1 from a share of COMMON on.
-DEPTH, WIDTH, SLICE = 2, 1 << 17, 1 << 12
-COMMON, LEAST_IDF = 0.05, 0.5
-#: Most texts of a candidate group that one task compares.
-GROUP = 4_000
+#: Bands of plain minima, ROWS each, by which the texts that count are found: at similarity 0.8 a pair meets in none 2 times in 1,000.
+PLAIN_BANDS = 12
+#: The sketch of document frequencies: DEPTH rows of WIDTH counters, whatever the corpus.  A counter also holds the other
+#: shingles that fall on it, m on average; df is what is above m if that is beyond NOISE standard deviations of m, else 1.
+DEPTH, WIDTH, SLICE, NOISE = 3, 1 << 17, 1 << 12, 2.5
+#: Most texts, and most shingles, of a candidate group that one task compares.
+GROUP = 1_000
+GROUP_SHINGLES = 1 << 21
 PIVOTS = 48
 TASK_SHINGLES = 1 << 15
 
@@ -101,6 +105,27 @@ def _places(h: np.ndarray) -> tuple[np.ndarray, ...]:
     return tuple(((h >> U64(20 * d)) & U64(WIDTH - 1)).astype(np.int64) + d * WIDTH for d in range(DEPTH))
 
 
+def plain_bands(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A row of PLAIN_BANDS keys for each text that has shingles."""
+    full = np.flatnonzero(np.diff(bounds))
+    keys = np.zeros((len(full), PLAIN_BANDS), U64)
+    for k in range(PLAIN_BANDS * ROWS if len(full) else 0):
+        least = np.minimum.reduceat((h ^ _SEEDS[k]) * U64(0xD6E8FEB86659FD93), bounds[full])
+        keys[:, k // ROWS] = mix(keys[:, k // ROWS] + least + U64(k))
+    return keys
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """doc_id, th of the texts that document frequencies count, stored; docs: doc_id, text."""
+    signed = stored(signatures(docs, None), "op10-plain")
+    texts = stored(_texts(signed), "op10-plain-texts")
+    dropped(signed)
+    named = _named(docs, texts, None)
+    one = stored(texts.join(named, "th").filter("doc_id = class_id").select("doc_id", "th"), "op10-chosen")
+    dropped(texts, named)
+    return one
+
+
 def frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     """The sketch of document frequencies, DEPTH * WIDTH counters, and the number of documents with a word.
 
@@ -140,19 +165,23 @@ def frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def idf_table(sketch: np.ndarray, n: int) -> np.ndarray:
-    """idf by place in the sketch: 1 up to COMMON of the documents, then falling with the logarithm to LEAST_IDF."""
-    df = sketch.reshape(DEPTH, WIDTH) - np.median(sketch.reshape(DEPTH, WIDTH), axis=1, keepdims=True)
-    share = np.maximum(df, 1) / max(n, 1)
-    return np.clip(np.log(1 / share) / math.log(1 / COMMON), LEAST_IDF, 1).astype(np.float32).ravel()
+    """ln((1 + n) / (1 + df)) + 1 by place in the sketch, as a share of that of a shingle of one document."""
+    c = sketch.reshape(DEPTH, WIDTH).astype(float)
+    mean = np.median(c, axis=1, keepdims=True)
+    spread = np.sqrt(mean)
+    df = np.where(c - mean > NOISE * spread, c - mean + 0.85 * spread, 1)  # the least of three counters is 0.85 under the mean
+    most = math.log((1 + n) / 2) + 1
+    return np.clip((np.log((1 + n) / (1 + np.clip(df, 1, max(n, 1)))) + 1) / most, 0, 1).astype(np.float32).ravel()
 
 
-def rarity(h: np.ndarray, idf: np.ndarray | None) -> np.ndarray:
-    """A shingle is as rare as the smallest of its counters says; all are without a table."""
-    return np.ones(len(h), np.float32) if idf is None else np.maximum.reduce([idf[at] for at in _places(h)])
+def rarity(h: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """A shingle is as rare as the smallest of its counters says."""
+    return np.maximum.reduce([idf[at] for at in _places(h)])
 
 
 def weights(h: np.ndarray, tf: np.ndarray, idf: np.ndarray | None) -> np.ndarray:
-    return ((1 + np.log(tf)) * rarity(h, idf)).astype(np.float32)
+    """All alike without a table."""
+    return np.ones(len(h), np.float32) if idf is None else ((1 + np.log(tf)) * rarity(h, idf)).astype(np.float32)
 
 
 def _gamma_quantiles(n: int) -> np.ndarray:
@@ -206,30 +235,34 @@ def samples(h: np.ndarray, w: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def signatures(docs: DataFrame, idf: np.ndarray | None = None) -> DataFrame:
-    """doc_id, th (0: no word), bands; with a table of idf only texts that hold a shingle under 1, as it changes no other."""
+def weighted_bands(h: np.ndarray, w: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A row of BANDS keys for each text that has shingles."""
+    s = samples(h, w, bounds)
+    keys = np.zeros((len(s), BANDS), U64)
+    for k in range(ROWS * BANDS):
+        keys[:, k // ROWS] = mix(keys[:, k // ROWS] + s[:, k] + U64(k))
+    return keys
+
+
+def signatures(docs: DataFrame, idf: np.ndarray | None) -> DataFrame:
+    """doc_id, th (0: no word), n (different shingles), bands: plain ones without a table."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, part in _blocks(batch.column(1)):
                 h, b, th = shingles(part)
                 h, tf, b = counted(h, b)
-                ids = batch.column(0).slice(i, len(part))
-                if idf is not None:
-                    low = np.concatenate([[0], np.cumsum(rarity(h, idf) < 1)])[b]
-                    keep = np.diff(low) > 0
-                    inside = np.repeat(keep, np.diff(b))
-                    h, tf, b, th, ids = h[inside], tf[inside], np.concatenate([[0], np.cumsum(np.diff(b)[keep])]), th[keep], ids.filter(pa.array(keep))
-                s = samples(h, weights(h, tf, idf), b)
-                keys = np.zeros((len(s), BANDS), U64)
-                for k in range(BANDS):
-                    for c in range(ROWS):
-                        keys[:, k] = mix(keys[:, k] + s[:, k * ROWS + c] + U64(k))
-                n = np.where(np.diff(b) > 0, BANDS, 0)
+                keys = plain_bands(h, b) if idf is None else weighted_bands(h, weights(h, tf, idf), b)
+                n = np.where(np.diff(b) > 0, keys.shape[1], 0)
                 bands = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(keys.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(th.view(np.int64)), bands], ["doc_id", "th", "bands"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, len(part)), pa.array(th.view(np.int64)), pa.array(np.diff(b)), bands], ["doc_id", "th", "n", "bands"])
+
+    return mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), of, "doc_id long, th long, n long, bands array<long>")
 
-    return mapped(docs.select(F.col("doc_id").cast("long"), "text"), of, "doc_id long, th long, bands array<long>")
+
+def _texts(signed: DataFrame) -> DataFrame:
+    """th, doc_id (the least), n, bands of each different text with a word."""
+    return signed.filter("th <> 0 AND doc_id IS NOT NULL").groupBy("th").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
 
 
 class Texts:
@@ -269,20 +302,20 @@ def forest(texts: Texts, members: np.ndarray) -> list[tuple[int, int]]:
     return links
 
 
-def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id and th of every document; th, class_id and whether the text stands for its class), stored."""
-    signed = stored(signatures(docs), "op10-signed")
-    texts = signed.filter("th <> 0 AND doc_id IS NOT NULL").groupBy("th").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
-    texts = stored(texts, "op10-texts")
-    named = _named(docs, texts, None)
-    one = texts.select("th", "doc_id").join(named.filter("first").select("th"), "th").select("doc_id", "th")
+def weighing(docs: DataFrame) -> np.ndarray:
+    """The table of idf for docs."""
+    one = representatives(docs)
     idf = idf_table(*frequencies(_with_text(docs, one)))
-    if (idf < 1).any():
-        anew = signatures(docs, idf).filter("th <> 0").groupBy("th").agg(F.first("bands").alias("anew"))
-        again = stored(texts.join(anew.hint("merge"), "th", "left").select("th", "doc_id", F.coalesce("anew", "bands").alias("bands")), "op10-again")
-        dropped(named)
-        named = _named(docs, again, idf)
-        dropped(again)
+    dropped(one)
+    return idf
+
+
+def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id and th of every document; th and class_id of every text), stored."""
+    idf = weighing(docs)
+    signed = stored(signatures(docs, idf), "op10-signed")
+    texts = stored(_texts(signed), "op10-texts")
+    named = _named(docs, texts, idf)
     dropped(texts)
     return signed, named
 
@@ -292,38 +325,38 @@ def _with_text(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _named(docs: DataFrame, texts: DataFrame, idf: np.ndarray | None) -> DataFrame:
-    """th, class_id and first (one text of each class), stored.  texts: th, doc_id, bands."""
+    """th and class_id of every text, stored.  texts: th, doc_id, n, bands."""
     keyed = texts.select("th", F.explode("bands").alias("band"))
     buckets = keyed.groupBy("band").agg(F.min("th").alias("a"), F.max("th").alias("z")).filter("a < z").select("band", "a")
     candidates = components(keyed.join(buckets, "band").filter("th <> a").select("a", F.col("th").alias("b")).distinct(), "op10-candidates")
-    sizes = stored(candidates.groupBy("root").agg(F.count("*").alias("size")), "op10-sizes")  # apart, so that a large group's rows can be split
-    placed = candidates.join(sizes, "root").join(texts.select(F.col("th").alias("v"), "doc_id"), "v")
-    cut = F.ceil(F.col("size") / GROUP).cast("int")
-    placed = placed.select("doc_id", F.col("v").alias("th"), "root", F.when(cut > 1, cut).otherwise(1).alias("cut")).withColumn("block", F.pmod(F.xxhash64("th"), "cut").cast("int"))
+    members = stored(candidates.join(texts.select(F.col("th").alias("v"), "doc_id", "n"), "v"), "op10-members")
+    # apart, so that a large group's rows can be split
+    sizes = stored(members.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / GROUP), F.ceil(F.sum("n") / GROUP_SHINGLES)).cast("int").alias("cut")), "op10-sizes")
+    placed = members.join(sizes, "root").select("doc_id", F.col("v").alias("th"), "n", "root", "cut", F.pmod(F.xxhash64("v"), "cut").cast("int").alias("block"))
     wanted = stored(placed, "op10-wanted")
     large = wanted.filter("cut > 1")
     first = F.row_number().over(Window.partitionBy("root", "slice").orderBy(F.xxhash64("th", F.lit(1))))
     # a group's pivots are found among its slices' first ones, so that no task orders a whole group
     some = large.withColumn("slice", F.pmod(F.xxhash64("th", F.lit(2)), F.lit(1024))).withColumn("k", first).filter(F.col("k") <= PIVOTS).withColumn("slice", F.lit(0)).withColumn("k", first).filter(F.col("k") <= PIVOTS)
-    pivots = some.select("doc_id", "th", "root", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("block"))
+    pivots = some.select("doc_id", "th", "n", "root", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("block"))
     task = F.xxhash64("root", "block")
-    own = wanted.select("doc_id", "th", task.alias("task")).unionByName(pivots.select("doc_id", "th", task.alias("task"))).distinct().withColumn("side", F.lit(0))
-    links = stored(_linked(docs, own, idf, wanted.count()), "op10-links")
+    own = wanted.select("doc_id", "th", "n", task.alias("task")).unionByName(pivots.select("doc_id", "th", "n", task.alias("task"))).distinct().withColumn("side", F.lit(0))
+    links = stored(_linked(docs, own, idf), "op10-links")
     if large.limit(1).count():
         rest = stored(_across(large, components(links, "op10-large")), "op10-across")
-        links = stored(links.unionByName(_linked(docs, rest, idf, rest.count())), "op10-all-links")
+        links = stored(links.unionByName(_linked(docs, rest, idf)), "op10-all-links")
         dropped(rest)
-    dropped(candidates, sizes, wanted)
+    dropped(candidates, members, sizes, wanted)
     roots = components(links, "op10-classes")
     first = roots.join(texts.select(F.col("th").alias("v"), "doc_id"), "v").groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    lone = texts.join(roots.select(F.col("v").alias("th")), "th", "left_anti").select("th", F.col("doc_id").alias("class_id"), F.lit(True).alias("first"))
-    named = stored(roots.join(first, "root").select(F.col("v").alias("th"), "class_id", (F.col("v") == F.col("root")).alias("first")).unionByName(lone), "op10-named")
+    lone = texts.join(roots.select(F.col("v").alias("th")), "th", "left_anti").select("th", F.col("doc_id").alias("class_id"))
+    named = stored(roots.join(first, "root").select(F.col("v").alias("th"), "class_id").unionByName(lone), "op10-named")
     dropped(links, roots)
     return named
 
 
-def _linked(docs: DataFrame, wanted: DataFrame, idf: np.ndarray | None, rows: int) -> DataFrame:
-    """a, b: links of a spanning forest of the texts of each task.  wanted: doc_id, th, task, side.
+def _linked(docs: DataFrame, wanted: DataFrame, idf: np.ndarray | None) -> DataFrame:
+    """a, b: links of a spanning forest of the texts of each task.  wanted: doc_id, th, n, task, side.
 
     side 0: all of a task's texts are compared; else those of side 1 with all, and links only count between sides.
     """
@@ -361,7 +394,8 @@ def _linked(docs: DataFrame, wanted: DataFrame, idf: np.ndarray | None, rows: in
             a, b = np.array(links).T
             yield pa.RecordBatch.from_arrays([pa.array(th[a]), pa.array(th[b])], ["a", "b"])
 
-    tasks = max(parts(docs.sparkSession), math.ceil(rows / (GROUP // 4)))
+    rows, size = wanted.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    tasks = max(parts(docs.sparkSession), math.ceil(rows / GROUP), math.ceil(size / GROUP_SHINGLES))
     at_hand = _with_text(docs, wanted).select("text", "th", "task", "side")
     return mapped(mapped(at_hand, fetch, "task long, th long, side int, text string").repartition(tasks, "task"), link, "a long, b long")
 
@@ -369,7 +403,7 @@ def _linked(docs: DataFrame, wanted: DataFrame, idf: np.ndarray | None, rows: in
 def _across(large: DataFrame, roots: DataFrame) -> DataFrame:
     """Tasks in which the texts outside each large group's largest class meet all of its blocks.
 
-    large: doc_id, th, root, cut, block; roots: v and root of the classes so far.  A text outside goes, on side 1, to a task
+    large: doc_id, th, n, root, cut, block; roots: v and root of the classes so far.  A text outside goes, on side 1, to a task
     for each block; every text of a block goes to a task for each portion of GROUP / 2 texts outside.
     """
     c = large.join(roots.select(F.col("v").alias("th"), F.col("root").alias("class")), "th", "left").withColumn("class", F.coalesce("class", "th"))
@@ -377,16 +411,18 @@ def _across(large: DataFrame, roots: DataFrame) -> DataFrame:
     top = c.groupBy("root", "class").agg(F.count("*").alias("n")).groupBy("root").agg(F.max_by("class", F.struct("n", "class")).alias("main"))
     outside = c.join(top, "root").filter("class <> main")
     portions = stored(outside.groupBy("root").agg(F.ceil(F.count("*") / (GROUP // 2)).cast("int").alias("portions")), "op10-portions")
-    both = c.join(portions, "root").select("doc_id", "th", "root", "block", F.explode(F.sequence(F.lit(0), F.col("portions") - 1)).alias("portion"), F.lit(0).alias("side"))
-    few = outside.join(portions, "root").select("doc_id", "th", "root", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("block"), F.pmod(F.xxhash64("th", F.lit(3)), "portions").cast("int").alias("portion"), F.lit(1).alias("side"))
-    return both.unionByName(few).select("doc_id", "th", F.xxhash64("root", "block", "portion").alias("task"), "side")
+    both = c.join(portions, "root").select("doc_id", "th", "n", "root", "block", F.explode(F.sequence(F.lit(0), F.col("portions") - 1)).alias("portion"), F.lit(0).alias("side"))
+    few = outside.join(portions, "root").select("doc_id", "th", "n", "root", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("block"), F.pmod(F.xxhash64("th", F.lit(3)), "portions").cast("int").alias("portion"), F.lit(1).alias("side"))
+    return both.unionByName(few).select("doc_id", "th", "n", F.xxhash64("root", "block", "portion").alias("task"), "side")
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
     """doc_id, class_id of every row of docs.
 
     class_id is the least doc_id of the documents that links of weighted Jaccard similarity SIMILAR or more connect.
-    Texts without a word (null and empty ones) are alone in their class.  A row without doc_id takes no part: null.
+    Texts without a word (null and empty ones) are alone in their class.  Rows that repeat, also under one doc_id, each get
+    their class; of rows of one doc_id with different texts each is classed by its own text.  A row without doc_id takes
+    no part: null.  Texts of any length are read whole; further columns are ignored, whatever their names.
     """
     signed, named = classes(docs)
     return signed.select("doc_id", "th").join(named, "th", "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"))

@@ -228,21 +228,56 @@ def test_dot_product_pack_keeps_limits():
         packing.dot_product_pack(demand, (100, 4, 45))
 
 
-def shingle_set(t):
-    w = re.findall("[a-z0-9\x80-\U0010ffff]+", t.lower())
-    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+def shingle_counts(t):
+    w = re.findall("[a-z0-9\x80-\U0010ffff]+", (t or "").lower())
+    return collections.Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else collections.Counter()
 
 
-def test_op10(spark, sf, rows):
-    got = {(r.doc_id, r.class_id) for r in icws.op10_near_duplicates(spark, sf).collect()}
-    ids = sorted({r[0] for r in rows if r[0] is not None})
-    sets, root = {r[0]: shingle_set(r[1] or "") for r in rows}, {i: i for i in ids}
+def linked(ids, alike):
+    """The least id of the component of each."""
+    root = {i: i for i in ids}
     for i in ids:
         for j in ids:
-            if i < j and sets[i] and len(sets[i] & sets[j]) / max(1, len(sets[i] | sets[j])) >= 0.8:
+            if i < j and root[i] != root[j] and alike(i, j):
                 a, b = sorted((root[i], root[j]))
                 root = {k: a if v == b else v for k, v in root.items()}
-    assert got == {*root.items(), (None, None)}
+    return root
+
+
+def weighted_classes(texts, counted):
+    """Brute force: classes by weighted Jaccard similarity, where the texts of the ids `counted` give document frequencies."""
+    counts = {i: shingle_counts(t) for i, t in texts.items()}
+    df = collections.Counter(x for i in counted for x in counts[i])
+    idf = {x: np.log((1 + len(counted)) / (1 + max(1, df[x]))) + 1 for c in counts.values() for x in c}
+    weights = {i: {x: (1 + np.log(n)) * idf[x] for x, n in c.items()} for i, c in counts.items()}
+    sums = {i: sum(w.values()) for i, w in weights.items()}
+
+    def alike(i, j):
+        if min(sums[i], sums[j]) < 0.8 * max(sums[i], sums[j]) or not sums[i]:
+            return False
+        shared = sum(min(w, weights[j].get(x, 0)) for x, w in weights[i].items())
+        return shared >= 0.8 * (sums[i] + sums[j] - shared) - 1e-6
+
+    return linked(sorted(texts), alike)
+
+
+def test_op10(spark, sf, rows):
+    got = {(r.doc_id, r.class_id) for r in icws.op10_near_duplicates(spark, sf).collect()}
+    chosen = {r.doc_id for r in icws.representatives(spark.read.parquet(f"{sf}/documents.parquet")).collect()}
+    texts = {r[0]: r[1] for r in rows if r[0] is not None}
+    assert got == {*weighted_classes(texts, chosen).items(), (None, None)}
+    assert len(chosen) < len({t for t in texts.values() if shingle_counts(t)})
+
+
+def test_op10_on_driver_data(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    chosen = {r.doc_id for r in icws.representatives(docs).collect()}
+    got = {r.doc_id: r.class_id for r in icws.near_classes(docs).collect()}
+    assert got == weighted_classes(texts, chosen) and len(set(got.values())) < len(got)
+    idf = icws.weighing(docs)
+    h, _, _ = icws.shingles(docs.select("text").toArrow()["text"].combine_chunks())
+    assert (icws.rarity(h, idf) < 1).mean() > 0.01
 
 
 def test_op10_large_groups_in_blocks(spark, monkeypatch):
@@ -404,7 +439,8 @@ def test_oracle(spark, name):
     assert sorted(map(tuple, got.collect()), key=key) == sorted(want.fetchall(), key=key)
 
 
-def test_op10_large_groups_of_several_classes(spark, monkeypatch):
+@pytest.mark.parametrize("bound", ["GROUP", "GROUP_SHINGLES"])
+def test_op10_large_groups_of_several_classes(spark, monkeypatch, bound):
     rng = random.Random(11)
     texts, base = [], prose(rng, 200).split()
     # a chain: each base is near the next by steps, with copies around each; steps of 7 words keep 0.8, of 60 don't
@@ -414,32 +450,16 @@ def test_op10_large_groups_of_several_classes(spark, monkeypatch):
             w = list(base)
             w[rng.randrange(len(w))] = f"x{c}y{k}"
             texts.append((len(texts), " ".join(w)))
-    sets = {i: shingle_set(t) for i, t in texts}
-    root = {i: i for i in sets}
-    for i in sets:
-        for j in sets:
-            if i < j and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8:
-                a, b = sorted((root[i], root[j]))
-                root = {k: a if v == b else v for k, v in root.items()}
-    monkeypatch.setattr(icws, "GROUP", 16)
+    monkeypatch.setattr(icws, bound, 16 if bound == "GROUP" else 3000)
     monkeypatch.setattr(icws, "PIVOTS", 3)
     monkeypatch.setattr(icws, "ROWS", 1)  # so that unlike texts chain one large group
-    got = {r.doc_id: r.class_id for r in icws.near_classes(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    root = weighted_classes(dict(texts), {r.doc_id for r in icws.representatives(docs).collect()})
+    got = {r.doc_id: r.class_id for r in icws.near_classes(docs).collect()}
     assert got == root and len(set(root.values())) > 1
 
 
-def linked(ids, alike):
-    """The least id of the component of each."""
-    root = {i: i for i in ids}
-    for i in ids:
-        for j in ids:
-            if i < j and alike(i, j):
-                a, b = sorted((root[i], root[j]))
-                root = {k: a if v == b else v for k, v in root.items()}
-    return root
-
-
-def test_op10_weighs_by_share_of_merged_groups(spark):
+def test_op10_weighs_by_merged_groups(spark):
     rng = random.Random(12)
     word = lambda n: [f"{rng.choice('bcdfg')}{rng.randrange(10**6)}" for _ in range(n)]
     base, passage, texts = word(100), word(100), []
@@ -450,16 +470,14 @@ def test_op10_weighs_by_share_of_merged_groups(spark):
             w[i] = word(1)[0]
         texts.append(w)
     texts += [passage + word(110) for _ in range(25)] + [word(80) for _ in range(40)]
-    texts += [passage + word(8) for _ in range(3)]  # alike by the passage alone: 0.86 without idf, 0.75 with it
-    sets = {i: shingle_set(" ".join(t)) for i, t in enumerate(texts)}
-    plain = linked(sets, lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]))
-    df = collections.Counter(x for i in set(plain.values()) for x in sets[i])
-    idf = lambda x: min(1, max(icws.LEAST_IDF, np.log(len(set(plain.values())) / max(1, df[x])) / np.log(1 / icws.COMMON)))
-    mass = lambda s: sum(map(idf, s))
-    want = linked(sets, lambda i, j: len(sets[i] & sets[j]) > 0 and mass(sets[i] & sets[j]) >= 0.8 * mass(sets[i] | sets[j]))
+    texts += [passage + word(8) for _ in range(3)]  # alike by the passage alone: 0.86 without idf, less with it
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    chosen = {r.doc_id for r in icws.representatives(docs).collect()}
+    assert chosen & set(range(36)) == {0}  # so the group doesn't hide its own likeness
+    want = weighted_classes({i: " ".join(t) for i, t in enumerate(texts)}, chosen)
+    plain = weighted_classes({i: " ".join(t) for i, t in enumerate(texts)}, set())
     assert want != plain and list(want.values()).count(0) == 36
-    got = icws.near_classes(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")).collect()
-    assert {r.doc_id: r.class_id for r in got} == want
+    assert {r.doc_id: r.class_id for r in icws.near_classes(docs).collect()} == want
 
 
 def texts_of(spark, sources):

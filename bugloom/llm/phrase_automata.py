@@ -1,20 +1,18 @@
 """Removal of repeated passages, located by sharded Aho-Corasick automata.
 
 1. Content-sampled spans (spans.py) of the word sequence of every text; only spans whose core recurs go on.
-2. Spans alike from end to end, by the hashes of core and span: all but the earliest are repeats throughout.  Their words
-   are not compared, and they don't reach an automaton.
-3. Where spans share a core but differ around it, one of each kind goes, as words, to one of many shards by core.  A shard confirms which of
-   its word windows recur, compiles one automaton of these phrases over word numbers, and streams these
-   spans through it; of the occurrences of a phrase all but the earliest are repeats.
-
-Each such span goes to the one shard of its core, so automata and streams grow in proportion to the corpus
-rather than every document meeting every automaton.  Cores with very many surroundings are dealt out by window.
+2. Their words go to shards, in which all spans that may hold equal windows meet.  A shard picks the word windows that seem
+   to recur, by their hashes, compiles one automaton of these phrases over word numbers, and streams all of its spans
+   through it, which locates every occurrence by its words.
+3. Of the occurrences of a phrase all but the earliest are repeats.
+
+Every part of a document that can hold a repeat is streamed, to the shard of its core, so automata and streams grow in
+proportion to the corpus rather than every document meeting every automaton.  Spans of equal words are streamed once.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import ahocorasick
@@ -23,19 +21,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, dropped, in_runs, mapped, mix, parts, prefix_sums, range_hash, stored, table, text_buffers
-from .spans import keyed, shared_only, spans
-from .suffix_dedup import covered
+from .common import U64, dropped, in_runs, mapped, mix, prefix_sums, range_hash, stored, table, text_buffers
+from .spans import Shard, keyed, pieces, runs_in, shared_only, spans
+from .suffix_dedup import RANGES, covered
 
 LENGTH = 20
 CORE = 6
-#: Different spans of one core beyond which its windows are dealt out one by one, and spans in a shard.
+#: Kinds of spans of one core beyond which its windows are dealt out one by one, and spans in a shard.
 HOT_CORE = 5_000
 SHARD = 5_000
 
-PIECES = "shard long, rid long, doc_id long, start long, n int, piece binary"
-RANGES = "rid long, begin long, stop long"
-
 
 def automaton(phrases: list[tuple[int, ...]]) -> ahocorasick.Automaton:
     """Finds each phrase, by its number, in a sequence of word numbers."""
@@ -46,104 +41,59 @@ def automaton(phrases: list[tuple[int, ...]]) -> ahocorasick.Automaton:
     return a
 
 
-def later_windows(pieces: list[bytes], counts: np.ndarray, rank: np.ndarray, length: int) -> np.ndarray:
-    """For each piece's windows, laid end to end, whether the phrase also stands at a lower rank (one for each window)."""
+def located(texts: list[bytes], counts: np.ndarray, often: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, offset, phrase) of every occurrence of the phrases of `length` words that recur, in order of text and offset.
+
+    counts: the windows of each text; often: texts that stand in many places, so all their windows recur.
+    """
     numbers: dict[bytes, int] = {}
-    texts = [[numbers.setdefault(w, len(numbers)) for w in p.split(b" ")] for p in pieces]
-    flat = np.fromiter((w for t in texts for w in t), np.int64, sum(map(len, texts)))
-    first = np.concatenate([[0], np.cumsum(counts)]).astype(int)
+    words = [[numbers.setdefault(w, len(numbers)) for w in t.split(b" ")] for t in texts]
+    flat = np.fromiter((w for t in words for w in t), np.int64, sum(map(len, words)))
     sums = prefix_sums(mix(flat.astype(U64) + U64(1)))
-    at = np.repeat(first[:-1] + np.arange(len(pieces)) * (length - 1), counts) + in_runs(counts)
-    _, one, n = np.unique(range_hash(sums, at, at + length), return_index=True, return_counts=True)
-    confirmed = one[n > 1]
-    if not len(confirmed):
-        return np.zeros(len(at), bool)
-    piece = np.repeat(np.arange(len(pieces)), counts)
-    off = at - (first[:-1] + np.arange(len(pieces)) * (length - 1))[piece]
-    find = automaton([tuple(texts[piece[i]][off[i] : off[i] + length]) for i in confirmed])
-    window, phrase = [], []
-    for i, t in enumerate(texts):
-        for end, p in find.iter(tuple(t)):
-            window.append(first[i] + end - length + 1), phrase.append(p)
-    window, phrase = np.array(window, np.int64), np.array(phrase, np.int64)
-    order = np.lexsort((rank[window], phrase))
-    window, phrase = window[order], phrase[order]
-    later = np.zeros(len(at), bool)
-    later[window[1:][phrase[1:] == phrase[:-1]]] = True
-    return later
-
-
-def repeated_ranges(docs: DataFrame, length: int = LENGTH, core: int = CORE, hot: int = HOT_CORE) -> DataFrame:
-    """RANGES of the word windows (starts begin to stop - 1) that also stand earlier; docs of keyed()."""
+    text, offset = np.repeat(np.arange(len(texts)), counts), in_runs(counts)
+    begin = np.concatenate([[0], np.cumsum(list(map(len, words)))])[text] + offset
+    _, one, which, n = np.unique(range_hash(sums, begin, begin + length), return_index=True, return_inverse=True, return_counts=True)
+    n[which[often[text]]] += 1
+    phrases = one[n > 1]
+    if not len(phrases):
+        return (np.zeros(0, np.int64),) * 3
+    find = automaton([tuple(words[text[i]][offset[i] : offset[i] + length]) for i in phrases])
+    found = [(i, end - length + 1, p) for i, t in enumerate(words) for end, p in find.iter(tuple(t))]
+    return tuple(np.array(found, np.int64).reshape(-1, 3).T)
+
+
+def repeated_ranges(docs: DataFrame, length: int = LENGTH, core: int = CORE, hot: int = HOT_CORE, shard: int = SHARD) -> DataFrame:
+    """RANGES of the word windows (starts begin to stop - 1) that also stand earlier, stored; docs of keyed()."""
     sampled = stored(spans(docs, length, core, "words"), "op7-spans")
-    shared = stored(shared_only(sampled), "op7-shared")
+    shared = shared_only(sampled)
     dropped(sampled)
-    kinds = shared.groupBy("kh", "sh", "mixed").agg(F.min(F.struct("doc_id", "rid", F.col("starts")[0].alias("start"), "n")).alias("one"))
-    kinds = stored(kinds, "op7-kinds")
-    whole = shared.drop("mixed").join(kinds.select("kh", "sh", "one"), ["kh", "sh"]).withColumn("start", F.explode("starts")).filter("NOT (one.rid = rid AND one.start = start)")
-    whole = whole.select("rid", F.col("start").alias("begin"), (F.col("start") + F.col("n")).alias("stop"))
-    whole = stored(whole, "op7-whole")  # one after the other, so that the shuffles of only one are on disk
-    found = whole.unionByName(stored(_compared(docs, kinds.filter("mixed"), length, hot), "op7-compared"))
-    dropped(shared, kinds)
-    return found
-
-
-def _compared(docs: DataFrame, kinds: DataFrame, length: int, hot: int) -> DataFrame:
-    per_core = kinds.groupBy("kh").agg(F.count("*").alias("kinds"))
-    wanted = kinds.join(per_core, "kh").select("kh", "one.rid", "one.start", "one.n", (F.col("kinds") > hot).alias("hot"))
-    lists = wanted.groupBy("rid").agg(F.collect_list(F.struct("kh", "start", "n", "hot")).alias("places"))
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offs = text_buffers(batch.column(1))
-            rids, docs_ = batch.column(0).to_pylist(), batch.column(3).to_pylist()
-            out: list[tuple] = []
-            for i, places in enumerate(batch.column(2).to_pylist()):
-                text = data[offs[i] : offs[i + 1]].tobytes().split()
-                for p in places:
-                    piece = text[p["start"] : p["start"] + p["n"] + length - 1]
-                    if not p["hot"]:
-                        out.append((p["kh"], rids[i], docs_[i], p["start"], p["n"], b" ".join(piece)))
-                        continue
-                    for k in range(p["n"]):
-                        window = b" ".join(piece[k : k + length])
-                        out.append((int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "big", signed=True), rids[i], docs_[i], p["start"] + k, 1, window))
-                if len(out) > 20_000:
-                    yield _pieces(out)
-                    out = []
-            if out:
-                yield _pieces(out)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [b for b in batches if b.num_rows]
-        if rows:
-            t = pa.Table.from_batches(rows)
-            rid, doc, start, n = (pc_fill(t[k]) for k in ("rid", "doc_id", "start", "n"))
-            _, keep = np.unique(np.stack([rid, start]), axis=1, return_index=True)  # a row that repeats counts once
-            keep = keep[np.lexsort((start[keep], rid[keep], doc[keep]))]
-            rid, start, n = rid[keep], start[keep], n[keep].astype(np.int64)
-            pieces = t["piece"].take(pa.array(keep)).to_pylist()
-            new = np.ones(len(keep), bool)
-            new[1:] = rid[1:] != rid[:-1]
-            span = np.repeat(np.arange(len(n)), n)
-            at = start[span] + in_runs(n)
-            rank = np.empty(len(at), np.int64)
-            rank[np.lexsort((at, np.cumsum(new)[span]))] = np.arange(len(at))
-            flags = np.flatnonzero(later_windows(pieces, n, rank, length))
-            yield pa.RecordBatch.from_arrays([pa.array(rid[span[flags]]), pa.array(at[flags]), pa.array(at[flags] + 1)], ["rid", "begin", "stop"])
-
-    n_shards = max(parts(docs.sparkSession), math.ceil(kinds.count() / SHARD))
-    pieces = mapped(docs.select("rid", "text", "doc_id").join(lists.hint("merge"), "rid").select("rid", "text", "places", "doc_id"), cut, PIECES)
-    return mapped(pieces.repartition(n_shards, "shard"), search, RANGES)
-
-
-def pc_fill(column: pa.ChunkedArray) -> np.ndarray:
-    return column.fill_null(-(1 << 63)).to_numpy() if column.type == pa.int64() else column.to_numpy()
-
-
-def _pieces(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["shard", "rid", "doc_id", "start", "n", "piece"])
+        s = Shard(batches, by_shard=False)
+        if not len(s.entry):
+            return
+        often = np.bincount(s.entry, s.how_many, len(s.pieces)) > 1
+        text, offset, phrase = located(s.pieces, s.n, often, length)
+        # the earliest row of each piece, and of these the earliest occurrence of each phrase
+        order = np.lexsort((s.first, s.rid, s.doc, s.entry))
+        lead = order[np.append(True, s.entry[order][1:] != s.entry[order][:-1])]
+        doc, rid, at = s.doc[lead][text], s.rid[lead][text], s.first[lead][text] + offset
+        order = np.lexsort((at, rid, doc, phrase))
+        new = np.append(True, phrase[order][1:] != phrase[order][:-1])[: len(order)]
+        group, head = np.cumsum(new) - 1, order[new]
+        earliest = np.empty(len(order), bool)
+        # a span may have come by several shards: the same place is as early
+        earliest[order] = (doc[order] == doc[head][group]) & (rid[order] == rid[head][group]) & (at[order] == at[head][group])
+        row, start, is_first = s.occurrences()
+        leads = np.zeros(len(s.entry), bool)
+        leads[lead] = True
+        first = leads[row] & is_first
+        yield s.ranges(row[~first], start[~first], *runs_in(text, offset, len(s.n)))
+        yield s.ranges(row[first], start[first], *runs_in(text[~earliest], offset[~earliest], len(s.n)))
+
+    found = stored(mapped(pieces(docs, shared, length, "words", hot, shard), search, RANGES), "op7-ranges")
+    dropped(shared)
+    return found
 
 
 def cleaned(docs: DataFrame, length: int = LENGTH) -> DataFrame:

@@ -5,10 +5,20 @@ on the window's content alone.  Consecutive windows with the same owner form a r
 cover, is a span.  Equal windows have equal cores, so a window repeats only if its run's core hash occurs twice.  One
 short row for each run (about one for (length - core) / 2 symbols) is all that is shuffled to find the repeats; runs of one
 text that are alike, as where it repeats a word over and over, share a row.
+
+pieces() then fetches the symbols of every span whose core recurs and deals them out in shards, in which all spans that
+may hold equal windows meet.  Hashes only choose who meets; what is equal is told there, by bytes or words:
+
+* The spans of a core go to one shard.  A core with more than `shard` of them gets several: one span of each kind (alike
+  in their hashes) goes to all of these, the others to one each.
+* Where a core has more than `hot` kinds, a shard is for one kind, and of each kind one span's windows are also dealt out
+  one by one, by content.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, byte_symbols, mapped, mix, prefix_sums, range_hash, stored, text_buffers, word_symbols, words
+from .common import U64, byte_symbols, dropped, in_runs, mapped, mix, parts, prefix_sums, range_hash, stored, text_buffers, word_symbols, words
 
 #: Symbols handled at once; owners carry their place in as many low bits.
 BLOCK = 1 << 19
@@ -128,7 +138,160 @@ def _blocks(offs: np.ndarray) -> list[tuple[int, int]]:
 
 
 def shared_only(all_spans: DataFrame) -> DataFrame:
-    """The spans whose core occurs twice or more; mixed: with different surroundings.  Counts combine before the shuffle."""
+    """The spans whose core occurs twice or more, stored.  Counts combine before the shuffle."""
     # stored, so that the join's other side can be split where a core is hot
-    cores = stored(all_spans.groupBy("kh").agg(F.sum(F.size("starts")).alias("c"), F.min("sh").alias("lo"), F.max("sh").alias("hi")).filter("c > 1"), "cores")
-    return all_spans.join(cores.select("kh", (F.col("lo") != F.col("hi")).alias("mixed")), "kh")
+    cores = stored(all_spans.groupBy("kh").agg(F.sum(F.size("starts")).alias("c")).filter("c > 1").select("kh"), "cores")
+    shared = stored(all_spans.join(cores, "kh"), "shared")
+    dropped(cores)
+    return shared
+
+
+#: times: how many rows alike in doc_id and text hold the piece; starts: where it begins in them.
+PIECES = "shard long, rid long, doc_id long, times int, starts array<long>, n int, piece binary"
+_PLACE = ("kh", "sh", "n", "rep", "hot", "shards")
+
+
+def _routes(shared: DataFrame, hot: int, shard: int) -> DataFrame:
+    """shared with rep (the first of its kind), hot and shards (how many its core has, or its kind if the core is hot)."""
+    kinds = stored(shared.groupBy("kh", "sh").agg(F.count("*").alias("rows"), F.min(F.struct("doc_id", "rid")).alias("one")), "kinds")
+    cores = stored(kinds.groupBy("kh").agg((F.count("*") > hot).alias("hot"), F.sum("rows").alias("all")), "kinds-of-cores")
+    rows = F.when(F.col("hot"), F.col("rows")).otherwise(F.col("all"))
+    routes = stored(kinds.join(cores, "kh").select("kh", "sh", "one", "hot", F.ceil(rows / shard).cast("int").alias("shards")), "routes")
+    dropped(kinds, cores)
+    out = shared.join(routes.hint("merge"), ["kh", "sh"]).withColumn("rep", F.struct("doc_id", "rid") == F.col("one"))
+    out._scratch = routes._scratch
+    return out
+
+
+def pieces(docs: DataFrame, shared: DataFrame, length: int, unit: str, hot: int, shard: int) -> DataFrame:
+    """PIECES of the spans in shared, dealt out by shard; docs: of keyed()."""
+    routes = _routes(shared, hot, shard)
+    lists = stored(routes.groupBy("rid").agg(F.collect_list(F.struct(*_PLACE, "starts")).alias("places")), "places")
+    dropped(routes)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        for batch in batches:
+            data, offs = text_buffers(batch.column(1))
+            rids, ids = batch.column(0).to_pylist(), batch.column(3).to_pylist()
+            for i in range(batch.num_rows):
+                places = batch.column(2)[i].values
+                kh, sh, n, rep, is_hot, shards = (places.field(k).to_numpy(zero_copy_only=False) for k in _PLACE)
+                kh, sh = kh.view(U64), sh.view(U64)
+                first, times = _alike(kh, sh)
+                edges, every = places.field("starts").offsets.to_numpy().tolist(), places.field("starts").values.to_numpy().tolist()
+                text = data[offs[i] : offs[i + 1]].tobytes()
+                symbols, glue = (text, None) if unit == "bytes" else (text.split(), b" ")
+                base = np.where(is_hot, mix(kh ^ mix(sh + U64(1))), kh)
+                salt = mix(kh + sh + U64(rids[i] & (1 << 64) - 1)) % shards.astype(U64)
+                to = _shard(base, salt).tolist()
+                for j, m in zip(first.tolist(), times.tolist(), strict=True):
+                    size = int(n[j])
+                    into = _shard(base[j], np.arange(shards[j], dtype=U64)).tolist() if rep[j] and shards[j] > 1 else to[j : j + 1]
+                    for piece, at in _by_piece(symbols, every[edges[j] : edges[j + 1]], size + length - 1, glue):
+                        out += [(s, rids[i], ids[i], m, at, size, piece) for s in into]
+                        if is_hot[j] and rep[j]:
+                            for k in range(size):
+                                window, here = next(_by_piece(symbols, [at[0] + k], length, glue))
+                                out.append((_digest(window), rids[i], ids[i], m, [*here, *(a + k for a in at[1:])], 1, window))
+                    if len(out) > 5_000:
+                        yield _piece_rows(out)
+                        out = []
+        if out:
+            yield _piece_rows(out)
+
+    rows = shared.count()
+    n_shards = max(parts(docs.sparkSession), math.ceil(rows / shard))
+    at_hand = docs.select("rid", "text", "doc_id").join(lists.hint("merge"), "rid").select("rid", "text", "places", "doc_id")
+    return mapped(at_hand, cut, PIECES).repartition(n_shards, "shard")
+
+
+def _alike(kh: np.ndarray, sh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first of each, how often) of places alike: those of rows that repeat."""
+    order = np.lexsort((sh, kh))
+    k, s = kh[order], sh[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (k[1:] != k[:-1]) | (s[1:] != s[:-1])
+    at = np.flatnonzero(new)
+    return order[at], np.diff(np.append(at, len(order)))
+
+
+def _shard(base: np.ndarray, salt: np.ndarray) -> np.ndarray:
+    return mix(base + salt * U64(0xA24BAED4963EE407)).view(np.int64)
+
+
+def _by_piece(symbols, starts: list[int], size: int, glue: bytes | None) -> Iterator[tuple[bytes, list[int]]]:
+    """The pieces that begin at starts, each different one once, with its starts."""
+    found: dict[bytes, list[int]] = {}
+    for a in starts:
+        found.setdefault(symbols[a : a + size] if glue is None else glue.join(symbols[a : a + size]), []).append(a)
+    return iter(found.items())
+
+
+def _digest(window: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "big", signed=True)
+
+
+def _piece_rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["shard", "rid", "doc_id", "times", "starts", "n", "piece"])
+
+
+class Shard:
+    """The pieces of a task: each different one once, and the rows that hold it.
+
+    by_shard: pieces of different shards differ, whatever they hold.  A row that came twice (as its document's row repeats)
+    counts once here; `times` says how often it stands.
+    """
+
+    def __init__(self, batches: Iterator[pa.RecordBatch], by_shard: bool) -> None:
+        rows = [b for b in batches if b.num_rows]
+        t = pa.Table.from_batches(rows).combine_chunks() if rows else None
+        size = len(t) if t else 0
+        self.keys: dict = {}
+        self.pieces: list[bytes] = []
+        entry, keep, seen, n = [], [], set(), []
+        if size:
+            shard, rid, count = (t[k].to_numpy() for k in ("shard", "rid", "n"))
+            lists = t["starts"].chunk(0)
+            starts, edges = lists.values.to_numpy(), lists.offsets.to_numpy()
+            begins = starts[edges[:-1]]
+            places = zip(shard.tolist() if by_shard else [0] * size, rid.tolist(), begins.tolist(), count.tolist(), strict=True)
+            for i, (place, piece) in enumerate(zip(places, t["piece"].to_pylist(), strict=True)):
+                if place in seen:
+                    continue
+                seen.add(place)
+                key = (place[0], piece)
+                if key not in self.keys:
+                    self.keys[key] = len(self.pieces)
+                    self.pieces.append(piece), n.append(place[3])
+                entry.append(self.keys[key]), keep.append(i)
+        self.n, self.entry = np.array(n, np.int64), np.array(entry, np.int64)
+        keep = np.array(keep, np.int64)
+        self.rid = rid[keep] if size else keep
+        self.doc = t["doc_id"].fill_null(-(1 << 63)).to_numpy()[keep] if size else keep
+        self.times = t["times"].to_numpy()[keep].astype(np.int64) if size else keep
+        self.first = begins[keep] if size else keep
+        self.how_many = np.diff(edges)[keep] if size else keep
+        self.starts = starts[np.repeat(edges[:-1][keep], self.how_many) + in_runs(self.how_many)] if size else keep
+
+    def ranges(self, row: np.ndarray, start: np.ndarray, bounds: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> pa.RecordBatch:
+        """RANGES for occurrences (row, start) of entries, whose offsets are begin to stop; bounds: where each entry's are."""
+        e = self.entry[row]
+        many = bounds[e + 1] - bounds[e]
+        at = np.repeat(bounds[e], many) + in_runs(many)
+        start = np.repeat(start, many)
+        return pa.RecordBatch.from_arrays([pa.array(self.rid[np.repeat(row, many)]), pa.array(start + begin[at]), pa.array(start + stop[at])], ["rid", "begin", "stop"])
+
+    def occurrences(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, start, whether it is the row's first) of all."""
+        return np.repeat(np.arange(len(self.entry)), self.how_many), self.starts, in_runs(self.how_many) == 0
+
+
+def runs_in(entry: np.ndarray, offset: np.ndarray, entries: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bounds by entry, begin, stop) of runs of offsets, which are in order of entry and offset, each once."""
+    new = np.ones(len(entry), bool)
+    new[1:] = (entry[1:] != entry[:-1]) | (offset[1:] != offset[:-1] + 1)
+    at = np.flatnonzero(new)
+    last = np.append(at[1:], len(entry)) - 1 if len(at) else at
+    return np.searchsorted(entry[at], np.arange(entries + 1)), offset[at].astype(np.int64), offset[last].astype(np.int64) + 1

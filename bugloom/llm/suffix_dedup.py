@@ -1,20 +1,19 @@
 """Removal of long repeated byte strings with a logarithmic family of suffix arrays.
 
 1. Content-sampled spans (spans.py) of every text; one short row each is shuffled, and spans whose core is unique end here.
-2. Spans alike from end to end are counted by the hashes of core and span; all of their windows repeat.  Their bytes are
-   not compared, and they don't reach a suffix array.
-3. Where spans share a core but differ around it, the bytes of one of each kind go to one of many shards by core.  A shard takes them in
-   batches: each batch gets a suffix array of its window starts, which is merge-scanned against the arrays of earlier
-   levels for matches of the full length; arrays of equal rank then merge, so a shard holds logarithmically many.
-4. Each document's repeated windows become byte ranges, which are cut out of it.
-
-Cores with very many different surroundings are dealt out by window instead, so no shard grows with a hot passage.
+2. The bytes of all other spans go to shards, in which all that may hold equal windows meet.  A shard takes its pieces in
+   batches: each batch gets a suffix array of its window starts, whose common prefixes with its neighbours tell the matches
+   within the batch, and is merge-scanned against the arrays of earlier levels for matches of the full length; arrays of
+   equal rank then merge, so a shard holds logarithmically many.  A piece that many places hold stands in the arrays twice.
+3. Each document's repeated windows become byte ranges, which are cut out of it.
+
+The arrays order suffixes by their first LENGTH bytes, as longer matches consist of such.  They live as long as their
+shard's task: a lost one is built anew.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,20 +21,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import byte_symbols, dropped, in_runs, mapped, parts, prefix_sums, range_hash, stored, table, text_buffers
-from .spans import keyed, shared_only, spans
+from .common import dropped, in_runs, mapped, stored, table, text_buffers
+from .spans import Shard, keyed, pieces, runs_in, shared_only, spans
 
 LENGTH = 200
 CORE = 32
-#: Different spans of one core beyond which its windows are dealt out one by one, and spans in a shard.
+#: Kinds of spans of one core beyond which its windows are dealt out one by one, and spans in a shard.
 HOT_CORE = 5_000
 SHARD = 3_000
 BATCH = 500
 
-PIECES = "shard long, rid long, start long, n int, piece binary"
 RANGES = "rid long, begin long, stop long"
 
 
+def common_prefixes(ordered: np.ndarray) -> np.ndarray:
+    """How many bytes each suffix but the first shares with the one before it; ordered: fixed-length byte strings."""
+    size = ordered.dtype.itemsize
+    x = ordered.view(np.uint8).reshape(len(ordered), size)
+    out = np.empty(max(len(x) - 1, 0), np.int64)
+    for i in range(0, len(out), 1 << 14):
+        differ = x[i + 1 : i + 1 + (1 << 14)] != x[i : i + (1 << 14)][: len(x) - 1 - i]
+        out[i : i + len(differ)] = np.where(differ.any(1), differ.argmax(1), size)
+    return out
+
+
 class SuffixFamily:
     """Suffix arrays of window starts in levels of geometric size.
 
@@ -51,7 +60,7 @@ class SuffixFamily:
         order = np.argsort(windows, kind="stable")
         keys, numbers = windows[order], numbers[order]
         same = np.zeros(len(keys), bool)
-        same[1:] = keys[1:] == keys[:-1]
+        same[1:] = common_prefixes(keys) == keys.dtype.itemsize
         repeated = same.copy()
         repeated[:-1] |= same[1:]
         hits = [numbers[repeated]]
@@ -72,94 +81,46 @@ class SuffixFamily:
         return np.concatenate(hits)
 
 
-def repeated_windows(pieces: list[bytes], counts: np.ndarray, length: int, batch: int = BATCH) -> np.ndarray:
-    """For each piece's first counts windows, laid end to end, whether the string stands elsewhere in the pieces."""
+def repeated_windows(texts: list[bytes], counts: np.ndarray, length: int, marks: np.ndarray | None = None, batch: int = BATCH) -> np.ndarray:
+    """For each text's first counts windows, laid end to end, whether the string stands elsewhere in texts of its mark."""
     flags, first = np.zeros(int(counts.sum()), bool), np.concatenate([[0], np.cumsum(counts)])
+    marks = np.zeros(len(texts), np.int64) if marks is None else marks
     family = SuffixFamily()
-    for i in range(0, len(pieces), batch):
-        some = pieces[i : i + batch]
+    for i in range(0, len(texts), batch):
+        some = texts[i : i + batch]
         data = np.frombuffer(b"".join(some), np.uint8)
         at = np.cumsum([0, *map(len, some[:-1])])
         n = counts[i : i + batch]
         where = np.repeat(at, n) + in_runs(n)
-        windows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, length)[where]).view(f"S{length}").ravel()
-        flags[family.add(windows, np.arange(first[i], first[i + len(some)]))] = True
+        windows = np.empty((len(where), length + 8), np.uint8)
+        windows[:, :length] = np.lib.stride_tricks.sliding_window_view(data, length)[where]
+        windows[:, length:] = np.repeat(marks[i : i + batch], n).view(np.uint8).reshape(-1, 8)
+        flags[family.add(windows.view(f"S{length + 8}").ravel(), np.arange(first[i], first[i + len(some)]))] = True
     return flags
 
 
-def repeated_ranges(docs: DataFrame, length: int = LENGTH, core: int = CORE, hot: int = HOT_CORE) -> DataFrame:
-    """RANGES of the byte windows (starts begin to stop - 1) of docs (of keyed()) that stand elsewhere too."""
-    spark = docs.sparkSession
-    sampled = stored(spans(docs, length, core, "bytes").drop("doc_id"), "op4-spans")
-    shared = stored(shared_only(sampled), "op4-shared")
+def repeated_ranges(docs: DataFrame, length: int = LENGTH, core: int = CORE, hot: int = HOT_CORE, shard: int = SHARD) -> DataFrame:
+    """RANGES of the byte windows (starts begin to stop - 1) of docs (of keyed()) that stand elsewhere too, stored."""
+    sampled = stored(spans(docs, length, core, "bytes"), "op4-spans")
+    shared = shared_only(sampled)
     dropped(sampled)
-    alike = shared.filter("mixed").groupBy("kh", "sh").agg(F.sum(F.size("starts")).alias("copies"), F.min(F.struct("rid", F.col("starts")[0].alias("start"), "n")).alias("one"))
-    mixed = stored(alike, "op4-mixed")
-    whole = shared.filter("NOT mixed").select("rid", "starts", "n").unionByName(shared.filter("mixed").join(mixed.filter("copies > 1").select("kh", "sh"), ["kh", "sh"]).select("rid", "starts", "n"))
-    whole = whole.select("rid", "n", F.explode("starts").alias("start")).select("rid", F.col("start").alias("begin"), (F.col("start") + F.col("n")).alias("stop"))
-    whole = stored(whole, "op4-whole")  # one after the other, so that the shuffles of only one are on disk
-    found = whole.unionByName(stored(_compared(docs, mixed, length, hot), "op4-compared"))
-    dropped(shared, mixed)
-    return found
-
-
-def _compared(docs: DataFrame, mixed: DataFrame, length: int, hot: int) -> DataFrame:
-    """The ranges that repeat in other surroundings, told for single spans; those with copies take part in the search."""
-    per_core = mixed.groupBy("kh").agg(F.count("*").alias("kinds"))
-    wanted = mixed.join(per_core, "kh").select("kh", F.col("one.rid").alias("rid"), F.col("one.start").alias("start"), F.col("one.n").alias("n"), (F.col("kinds") > hot).alias("hot"))
-    lists = wanted.groupBy("rid").agg(F.collect_list(F.struct("kh", "start", "n", "hot")).alias("places"))
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offs = text_buffers(batch.column(1))
-            places = batch.column(2)
-            flat, edges = places.flatten(), np.concatenate([[0], np.cumsum(places.value_lengths().to_numpy(zero_copy_only=False))]).astype(int)
-            kh, start, n, is_hot = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("kh", "start", "n", "hot"))
-            row = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
-            rid, base = batch.column(0).to_numpy(zero_copy_only=False)[row], offs[row] + start
-            if is_hot.any():
-                h = np.flatnonzero(is_hot)
-                pick, off = np.repeat(h, n[h]), in_runs(n[h])
-                for a in range(0, len(pick), 20_000):
-                    p, o = pick[a : a + 20_000], off[a : a + 20_000]
-                    windows = [data[x : x + length].tobytes() for x in base[p] + o]
-                    joined = np.frombuffer(b"".join(windows), np.uint8)
-                    sums, at = prefix_sums(byte_symbols(joined)), np.arange(len(p)) * length
-                    yield _pieces(range_hash(sums, at, at + length).view(np.int64), rid[p], start[p] + o, np.ones(len(p)), windows)
-            c = np.flatnonzero(~is_hot)
-            for a in range(0, len(c), 50_000):
-                p = c[a : a + 50_000]
-                yield _pieces(kh[p], rid[p], start[p], n[p], [data[x : x + k + length - 1].tobytes() for x, k in zip(base[p], n[p], strict=True)])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rid, start, n, pieces in _shards(batches):
-            flags = np.flatnonzero(repeated_windows(pieces, n, length))
-            span = np.repeat(np.arange(len(n)), n)[flags]
-            at = (start[span] + in_runs(n)[flags]).astype(np.int64)
-            new = np.ones(len(at), bool)
-            new[1:] = (span[1:] != span[:-1]) | (at[1:] != at[:-1] + 1)
-            b = np.flatnonzero(new)
-            e = np.append(b[1:], len(at)) - 1 if len(b) else b
-            yield pa.RecordBatch.from_arrays([pa.array(rid[span[b]]), pa.array(at[b]), pa.array(at[e] + 1)], ["rid", "begin", "stop"])
-
-    rows = mixed.count()
-    n_shards = max(parts(docs.sparkSession), math.ceil(rows / SHARD))
-    pieces = mapped(docs.select("rid", "text").join(lists.hint("merge"), "rid"), cut, PIECES)
-    return mapped(pieces.repartition(n_shards, "shard"), search, RANGES)
-
-
-def _pieces(shard, rid, start, n, pieces) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.asarray(shard, np.int64)), pa.array(rid), pa.array(np.asarray(start, np.int64)), pa.array(np.asarray(n, np.int32)), pa.array(pieces, pa.binary())], ["shard", "rid", "start", "n", "piece"])
-
-
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """A task's rows as arrays; a place that came twice (a row that repeats) counts once."""
-    rows = pa.Table.from_batches([b for b in batches if b.num_rows]) if (batches := list(batches)) else None
-    if rows is not None and rows.num_rows:
-        rid, start, n = (rows[k].to_numpy() for k in ("rid", "start", "n"))
-        pieces = rows["piece"].to_pylist()
-        _, keep = np.unique(np.stack([rid, start]), axis=1, return_index=True)
-        yield rid[keep], start[keep], n[keep].astype(np.int64), [pieces[i] for i in keep]
+        s = Shard(batches, by_shard=True)
+        if not len(s.entry):
+            return
+        often = np.bincount(s.entry, s.times * s.how_many, len(s.pieces)) > 1
+        texts = [*s.pieces, *(p for p, o in zip(s.pieces, often.tolist(), strict=True) if o)]
+        marks = np.array([k for k, _ in s.keys], np.int64)
+        again = np.flatnonzero(often)
+        flags = repeated_windows(texts, np.append(s.n, s.n[again]), length, np.append(marks, marks[again]))[: int(s.n.sum())]
+        found = np.flatnonzero(flags)
+        row, start, _ = s.occurrences()
+        yield s.ranges(row, start, *runs_in(np.repeat(np.arange(len(s.n)), s.n)[found], in_runs(s.n)[found], len(s.n)))
+
+    found = stored(mapped(pieces(docs, shared, length, "bytes", hot, shard), search, RANGES), "op4-ranges")
+    dropped(shared)
+    return found
 
 
 def covered(begin: np.ndarray, stop: np.ndarray, length: int) -> np.ndarray:

@@ -95,6 +95,7 @@ def test_op4_hot_cores_and_cut_blocks(spark, docs, monkeypatch):
 
     wanted = {tuple(r) for r in _ranges(docs, suffix_dedup)}
     assert wanted == {tuple(r) for r in _ranges(docs, suffix_dedup, hot=1)}
+    assert wanted == {tuple(r) for r in _ranges(docs, suffix_dedup, shard=3)} == {tuple(r) for r in _ranges(docs, suffix_dedup, hot=1, shard=2)}
     monkeypatch.setattr(spans, "BLOCK", 1 << 11)
     assert wanted == {tuple(r) for r in _ranges(docs, suffix_dedup)}
 
@@ -136,7 +137,20 @@ def test_op7(spark, sf, rows):
 
 
 def test_op7_hot_cores(docs):
-    assert _ranges(docs, phrase_automata) == _ranges(docs, phrase_automata, hot=1)
+    assert _ranges(docs, phrase_automata) == _ranges(docs, phrase_automata, hot=1) == _ranges(docs, phrase_automata, shard=3) == _ranges(docs, phrase_automata, hot=1, shard=2)
+
+
+def test_op4_and_op7_rows_come_from_the_method(docs, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "repeated_windows", lambda texts, counts, *_: np.zeros(int(counts.sum()), bool))
+    monkeypatch.setattr(phrase_automata, "automaton", lambda phrases: type("None_", (), {"iter": staticmethod(lambda words: [])}))
+    assert not _ranges(docs, suffix_dedup) and not _ranges(docs, phrase_automata)
+
+
+def test_common_prefixes():
+    rng = random.Random(2)
+    w = sorted(bytes(rng.choice(b"ab") for _ in range(9)) for _ in range(60))
+    want = [next((i for i in range(9) if a[i] != b[i]), 9) for a, b in zip(w, w[1:], strict=False)]
+    assert suffix_dedup.common_prefixes(np.array(w, "S9")).tolist() == want
 
 
 def test_op1(spark, sf, rows):

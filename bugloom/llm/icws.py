@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import U64, byte_symbols, dropped, in_runs, mapped, mix, parts, prefix_sums, range_hash, stored, table, text_buffers
@@ -244,8 +244,13 @@ def weighted_bands(h: np.ndarray, w: np.ndarray, bounds: np.ndarray) -> np.ndarr
     return keys
 
 
+def row_id() -> Column:
+    """Alike for rows alike in doc_id and text."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("rid")
+
+
 def signatures(docs: DataFrame, idf: np.ndarray | None) -> DataFrame:
-    """doc_id, th (0: no word), n (different shingles), bands: plain ones without a table."""
+    """doc_id, rid, th (0: no word), n (different shingles), bands: plain ones without a table."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,9 +260,10 @@ def signatures(docs: DataFrame, idf: np.ndarray | None) -> DataFrame:
                 keys = plain_bands(h, b) if idf is None else weighted_bands(h, weights(h, tf, idf), b)
                 n = np.where(np.diff(b) > 0, keys.shape[1], 0)
                 bands = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(keys.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, len(part)), pa.array(th.view(np.int64)), pa.array(np.diff(b)), bands], ["doc_id", "th", "n", "bands"])
+                ids = [batch.column(k).slice(i, len(part)) for k in (0, 2)]
+                yield pa.RecordBatch.from_arrays([*ids, pa.array(th.view(np.int64)), pa.array(np.diff(b)), bands], ["doc_id", "rid", "th", "n", "bands"])
 
-    return mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), of, "doc_id long, th long, n long, bands array<long>")
+    return mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_id()), of, "doc_id long, rid long, th long, n long, bands array<long>")
 
 
 def _texts(signed: DataFrame) -> DataFrame:
@@ -311,7 +317,7 @@ def weighing(docs: DataFrame) -> np.ndarray:
 
 
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id and th of every document; th and class_id of every text), stored."""
+    """(doc_id, rid and th of every row; th, class_id and root of every text), stored; root tells classes apart."""
     idf = weighing(docs)
     signed = stored(signatures(docs, idf), "op10-signed")
     texts = stored(_texts(signed), "op10-texts")
@@ -325,7 +331,7 @@ def _with_text(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _named(docs: DataFrame, texts: DataFrame, idf: np.ndarray | None) -> DataFrame:
-    """th and class_id of every text, stored.  texts: th, doc_id, n, bands."""
+    """th, class_id and root (a text of the class) of every text, stored.  texts: th, doc_id, n, bands."""
     keyed = texts.select("th", F.explode("bands").alias("band"))
     buckets = keyed.groupBy("band").agg(F.min("th").alias("a"), F.max("th").alias("z")).filter("a < z").select("band", "a")
     candidates = components(keyed.join(buckets, "band").filter("th <> a").select("a", F.col("th").alias("b")).distinct(), "op10-candidates")
@@ -349,8 +355,8 @@ def _named(docs: DataFrame, texts: DataFrame, idf: np.ndarray | None) -> DataFra
     dropped(candidates, members, sizes, wanted)
     roots = components(links, "op10-classes")
     first = roots.join(texts.select(F.col("th").alias("v"), "doc_id"), "v").groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    lone = texts.join(roots.select(F.col("v").alias("th")), "th", "left_anti").select("th", F.col("doc_id").alias("class_id"))
-    named = stored(roots.join(first, "root").select(F.col("v").alias("th"), "class_id").unionByName(lone), "op10-named")
+    lone = texts.join(roots.select(F.col("v").alias("th")), "th", "left_anti").select("th", F.col("doc_id").alias("class_id"), F.col("th").alias("root"))
+    named = stored(roots.join(first, "root").select(F.col("v").alias("th"), "class_id", "root").unionByName(lone), "op10-named")
     dropped(links, roots)
     return named
 
@@ -428,6 +434,28 @@ def near_classes(docs: DataFrame) -> DataFrame:
     return signed.select("doc_id", "th").join(named, "th", "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"))
 
 
+def without_near_copies(docs: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, that are left when one row of each class stays: that of the least doc_id.
+
+    Of rows alike in doc_id and text one stays, the least by its other columns; of one doc_id's different texts each is
+    judged by its own.  Texts without a word stay, once for a doc_id; rows without doc_id all stay.  Columns may have any
+    names.
+    """
+    signed, named = classes(docs)
+    rows = signed.filter("doc_id IS NOT NULL").groupBy("rid").agg(F.first("doc_id").alias("doc_id"), F.first("th").alias("th"), F.count("*").alias("copies"))
+    marked = stored(rows.join(named.select("th", "root"), "th", "left").select("rid", "doc_id", "root", "copies"), "op10-marked")
+    stay = marked.filter("root IS NOT NULL").groupBy("root").agg(F.min(F.struct("doc_id", "rid")).alias("one")).select("one.rid")
+    out = stored(marked.filter("root IS NOT NULL").join(stay.hint("merge"), "rid", "left_anti").select("rid"), "op10-out")
+    many = stored(marked.filter("copies > 1").join(out.hint("merge"), "rid", "left_anti").select("rid"), "op10-many")
+    dropped(signed, named, marked)
+    keyed = docs.select(F.struct(*docs.columns).alias("d"), row_id())
+    left = keyed.join(out.unionByName(many).hint("merge"), "rid", "left_anti").select("d.*")
+    if many.limit(1).count():
+        least = F.min_by("d", F.to_json(F.struct(*(F.col("d")[c] for c in docs.columns if c != "text"))))
+        left = left.unionByName(keyed.join(many.hint("merge"), "rid", "left_semi").groupBy("rid").agg(least.alias("d")).select("d.*"))
+    return left
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each document with its class."""
     return near_classes(table(spark, "documents", sf_dir))

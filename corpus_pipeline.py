@@ -1,4 +1,7 @@
-"""A corpus pipeline: quality, lines, near-duplicates, benchmark leaks, packing."""
+"""A corpus pipeline: quality, lines, near-duplicates, benchmark leaks, packing.
+
+Stages take whole tables of any columns, also empty ones, texts of any length, and keep the columns that they don't change.
+"""
 
 from __future__ import annotations
 
@@ -9,27 +12,27 @@ from bugloom.llm.common import stored, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier scores under its threshold go."""
+    """Documents that the classifier scores under its threshold go; null and empty texts are scored too, rows that repeat alike."""
     return gam_quality.accepted(docs, gam_quality.fitted(docs, table(spark, "labels", sf_dir)))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that stand on many sites go; n_chars follows the text."""
+    """Lines that stand on many sites go; n_chars follows the text.  All rows stay, null texts as they are, also those left empty."""
     return line_spread.without_boilerplate(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class the document with the least doc_id stays."""
-    out = icws.near_classes(docs).filter("class_id <> doc_id").select("doc_id").distinct()
-    return docs.join(out.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    """Of each class one row stays, that of the least doc_id; a row that repeats stays once, empty texts and rows without doc_id stay."""
+    return icws.without_near_copies(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark passage go."""
+    """Documents that hold a benchmark passage go; null and empty texts hold none, each of several like rows is judged."""
     return qgram_decon.decontaminated(docs, table(spark, "benchmark", sf_dir))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each piece of each row's tokens; null and empty texts are the end id alone."""
     return packing.packed(docs)
 
 

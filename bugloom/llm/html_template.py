@@ -1,15 +1,16 @@
-"""Main text of web pages by the structural tokens that the pages of a host share.
-
-1. Every page is read as a tree of structural tokens: elements under their path of tags and classes.
-2. For each token of a host the pages that have it and the least and largest hash of its text are aggregated before any
-   shuffle, so no host's pages meet in one task.
-3. Tokens on enough pages make the host's template.  A slot is the text directly in one token; slots in menus, forms,
-   adverts and the like, and slots that never vary, are the site's own.
-4. The remaining slots are extracted from every page, block by block.  Text whose token isn't in the template stays.
-
-This departs from equivalence classes of tokens by occurrence vectors: tokens alike in their vectors are on equally many
-pages and their parents on no fewer, so such classes would pass or fail SUPPORT just as their tokens do.  Order within a
-class is not validated.
+"""Main text of web pages by the template that equivalence classes of tokens show.
+
+1. A page is a sequence of tokens: elements under their path of tags and classes, and the texts of blocks under theirs.
+2. For each token of a host its occurrence vector (how often it stands on which page) is aggregated as a hash, with the
+   sum of its places, before any shuffle, so no host's pages meet in one task.
+3. Tokens of one vector are a class.  One that holds elements and texts and is on enough pages may be part of the host's
+   template.  It is valid on a page if its tokens stand there in their order (that of their places' sums), once or over
+   and over, and if its instances nest with those of classes on more pages: each in one gap of the other.
+4. Texts of a valid class in one of its own elements (in marked articles: directly) are the template's; what stands in the
+   remaining slots is extracted, block by block.  A class that holds an article's heading is of copies: its texts stay.
+5. Of the slots, those that tags mark as no text (menus, forms), and those that link away or bear a name such as
+   `comments` on most of the host's pages are left out; where slots remain in a marked article and outside, those in it
+   are the text.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from bisect import bisect
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,9 +27,13 @@ from pyspark.sql import functions as F
 
 from .common import dropped, mapped, stored, table
 
-#: Share of a host's pages that a template token occurs on, and pages from which a slot's constancy says something.
-SUPPORT = 0.5
+#: Pages, and share of a host's pages, from which a class says something: a host has at most a page's tokens / CLASS_SHARE.
 MIN_PAGES = 3
+CLASS_SHARE = 0.05
+#: Share of a host's pages from which links or a name tell what a slot is.
+SUPPORT = 0.5
+#: Bytes of all templates up to which they are shipped to every task; beyond, pages meet them by host.
+SHIPPED = 16 << 20
 MOST_LINKED = 0.5
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -68,22 +74,28 @@ def label(tag: str, attrs: str) -> tuple[str, bool, str]:
 
 
 class Page:
-    """paths: the structural tokens, and those with a chrome word; blocks: (path, chrome, in content, text, characters of
-    links, [token with a chrome word, whether its element holds an article] of each element around it that has one)."""
+    """The tokens of a page.
+
+    elements: places of each element's path; marks: elements with a chrome word; blocks: (path, chrome, in content, text,
+    characters of links, [element with a chrome word, whether it holds an article] of each around it that has one, place).
+    """
 
     def __init__(self, source: str) -> None:
-        self.paths: set[str] = {""}
-        self.blocks: list[tuple[str, bool, bool, str, int, list[list]]] = []
+        self.elements: dict[str, list[int]] = {"": [0]}
+        self.marks: set[str] = set()
+        self.blocks: list[tuple[str, bool, bool, str, int, list[list], int]] = []
+        place = 0
         stack: list[tuple[str, str, bool, bool, list | None]] = [("", "", False, False, None)]  # tag, path, chrome, content, mark
         text: list[str] = []
         linked, in_link = 0, 0
 
         def close() -> None:
-            nonlocal linked
+            nonlocal linked, place
             if text:
                 if joined := " ".join(html.unescape("".join(text)).split()):
                     _, path, _, content, _ = next(x for x in reversed(stack) if x[0] not in INLINE)
-                    self.blocks.append((path, any(x[2] for x in stack), content, joined, linked, [x[4] for x in stack if x[4]]))
+                    place += 1
+                    self.blocks.append((path, any(x[2] for x in stack), content, joined, linked, [x[4] for x in stack if x[4]], place))
                 text.clear()
             linked = 0
 
@@ -127,13 +139,14 @@ class Page:
             _, path, _, content, _ = stack[-1]
             mark = [f"{path}{SEP}{name}{MARK}{word}", False] if word else None
             if mark:
-                self.paths.add(mark[0])
+                self.marks.add(mark[0])
             if tag in INLINE:
                 stack.append((tag, path, chrome, content, mark))
                 in_link += tag == "a"
             else:
                 path = f"{path}{SEP}{name}"
-                self.paths.add(path)
+                place += 1
+                self.elements.setdefault(path, []).append(place)
                 if tag in CONTENT:
                     for x in stack:
                         if x[4]:
@@ -146,103 +159,192 @@ def _hash(*parts: object) -> int:
     return int.from_bytes(hashlib.blake2b("\x1f".join(map(str, parts)).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
-def _tags(path: str) -> list[str]:
-    return [x.partition(".")[0] for x in path.split(SEP)]
+def _tag(path: str) -> str:
+    return path.rpartition(SEP)[2].partition(".")[0]
 
 
-def template_of(tokens: list[dict], pages: int) -> tuple[set[str], dict[str, bool]]:
-    """(structural tokens of the template, for each whether its slot is the site's own).
+class Template:
+    """What a host's pages share: total pages; classes as (pages, tokens in order); hashes of paths that link and of marks."""
 
-    tokens: of one host, with path, pages, lo and hi (text hashes), chars and linked.  A slot is the site's own if it is
-    constant or, outside articles, made of links.  Inside articles headings stay, and everything does where the articles
-    or their first headings are constant: such a host holds copies.
-    """
-    often = [t for t in tokens if t["pages"] >= SUPPORT * pages]
-    template = {t["path"] for t in often if MARK not in t["path"] or t["pages"] >= MIN_PAGES}
-    constant = {t["path"] for t in often if t["pages"] >= MIN_PAGES and t["lo"] is not None and t["lo"] == t["hi"]}
-    inside = {t["path"]: tags for t in often if t["lo"] is not None and not CONTENT.isdisjoint(tags := _tags(t["path"]))}
-    copies = constant.issuperset(inside) or any(tags[-1] == "h1" and path in constant for path, tags in inside.items())
-    own = {}
-    for t in often:
-        if (tags := inside.get(path := t["path"])) is not None:
-            own[path] = path in constant and not copies and tags[-1] not in HEADINGS
-        else:
-            own[path] = path in constant or t["chars"] > 0 and t["linked"] > MOST_LINKED * t["chars"]
-    return template, own
-
-
-def main_text(page: Page, template: set[str], own: dict[str, bool]) -> str:
-    """The blocks of the remaining slots.  Where a page marks its article, these are the slots in it; else those outside.
-
-    A chrome word drops what its element holds if the host's pages share the element, but never an article.
+    def __init__(self, total: int = 0, classes: list[tuple[int, list[int]]] = (), linking: list[int] = (), marks: list[int] = ()) -> None:
+        self.total, self.linking, self.marks = total, frozenset(linking), frozenset(marks)
+        self.classes = sorted(classes, key=lambda c: (-c[0], c[1]))
+        self.of = {t: k for k, (_, tokens) in enumerate(self.classes) for t in tokens}
+        self.order = {t: i for _, tokens in self.classes for i, t in enumerate(tokens)}
+
+    def valid(self, places: dict[int, list[int]]) -> set[int]:
+        """The numbers of the classes that are ordered and nest on a page; places: of its tokens."""
+        held: dict[int, list[tuple[int, int]]] = {}
+        for t, at in places.items():
+            if (k := self.of.get(t)) is not None:
+                held.setdefault(k, []).extend((x, self.order[t]) for x in at)
+        accepted: dict[int, list[list[int]]] = {}
+        for k in sorted(held):
+            size, found = len(self.classes[k][1]), sorted(held[k])
+            if len(found) % size or any(i % size != o for i, (_, o) in enumerate(found)):
+                continue
+            instances = [[x for x, _ in found[i : i + size]] for i in range(0, len(found), size)]
+            if all(_nest(a, b) for others in accepted.values() for a in others for b in instances):
+                accepted[k] = instances
+        return set(accepted)
+
+
+def _nest(a: list[int], b: list[int]) -> bool:
+    """Whether one instance stands in one gap of the other, or before or after it."""
+    return bisect(a, b[0]) == bisect(a, b[-1]) or bisect(b, a[0]) == bisect(b, a[-1])
+
+
+class Hashes(dict):
+    """Hashes of paths, each worked out once."""
+
+    def __missing__(self, path: str) -> int:
+        self[path] = out = _hash(path)
+        return out
+
+
+def tokens_on(page: Page, hashes: Hashes) -> tuple[dict[int, list[int]], list[int]]:
+    """(places of every token of a page, the token of each block); blocks that are no text have none: 0."""
+    places = {hashes[path]: at for path, at in page.elements.items()}
+    texts = []
+    for path, chrome, _, text, _, _, place in page.blocks:
+        texts.append(0 if chrome else _hash(path, text))
+        if not chrome:
+            places.setdefault(texts[-1], []).append(place)
+    return places, texts
+
+
+def main_text(page: Page, template: Template, hashes: Hashes | None = None) -> str:
+    """The blocks of the slots that the template leaves.
+
+    Where it leaves none, as on a host of copies, it can't tell the page from itself: then all blocks outside chrome count.
     """
-    blocks = [b for b in page.blocks if not b[1] and not any(mark in template and not holds for mark, holds in b[5])]
-    content = any(b[2] for b in blocks)
-    return "\n".join(b[3] for b in blocks if b[2] == content and not own.get(b[0], False))
+    hashes = Hashes() if hashes is None else hashes
+    places, texts = tokens_on(page, hashes)
+    good = template.valid(places) if template.classes else ()
+    copies, site = set(), []
+    for (path, chrome, content, *_), t in zip(page.blocks, texts, strict=True):
+        k = template.of.get(t)
+        site.append(k if not chrome and k in good and any(template.of.get(hashes[p]) == k for p in ((path,) if content else _around(path))) else None)
+        if site[-1] is not None and _tag(path) in HEADINGS and (content or template.classes[k][0] < template.total):
+            copies.add(k)
+    slots, rest = [], []
+    for b, k in zip(page.blocks, site, strict=True):
+        path, chrome, content, _, _, marks, _ = b
+        if chrome or any(hashes[m] in template.marks and not holds for m, holds in marks) or (not content and hashes[path] in template.linking):
+            continue
+        rest.append(b)
+        if k is None or (content and (k in copies or _tag(path) in HEADINGS)) or (not content and k in copies):
+            slots.append(b)
+    slots = slots or rest
+    inside = any(b[2] for b in slots)
+    return "\n".join(b[3] for b in slots if b[2] == inside)
+
+
+def _around(path: str) -> Iterator[str]:
+    """The path and those of the elements around it."""
+    while path:
+        yield path
+        path = path.rpartition(SEP)[0]
+    yield ""
 
 
 def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^\s*[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)", 1)), F.lit(""))
 
 
-TOKENS = "host string, path string, pages long, lo long, hi long, chars long, linked long"
+#: kind: 0 element, 1 text, 2 mark; vector: hash of the occurrence vector; many: occurrences; place: sum of their places.
+TOKENS = "host string, token long, kind int, pages long, vector long, many long, place long, chars long, linked long"
+_U = (1 << 64) - 1
+
+
+def _seen(page: int, many: int) -> int:
+    """A page's part of an occurrence vector's hash; parts are combined by exclusive or."""
+    x = (page ^ (many * 0x9E3779B97F4A7C15)) * 0xD6E8FEB86659FD93 & _U
+    x = (x ^ (x >> 32)) * 0xD6E8FEB86659FD93 & _U
+    x ^= x >> 32
+    return x - (1 << 64) if x >> 63 else x
 
 
 def tokens_of(pages: DataFrame) -> DataFrame:
-    """TOKENS: for each host its structural tokens with what their texts have in common; pages: host, html."""
+    """TOKENS of each host; pages: page_id, host, html."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = Hashes()
         for batch in batches:
-            rows: dict[tuple[str, str], list] = {}
-            for host, source in zip(*(batch.column(k).to_pylist() for k in (0, 1)), strict=True):
-                page = Page(source or "")
-                texts: dict[str, list[tuple[str, int]]] = {}
-                for path, chrome, _, text, linked, _ in page.blocks:
+            if len(hashes) > 1_000_000:
+                hashes.clear()
+            rows: dict[tuple[str, int], list[int]] = {}
+            for page_id, host, source in zip(*(batch.column(k).to_pylist() for k in (0, 1, 2)), strict=True):
+                page, number = Page(source or ""), _hash(page_id, source)
+                places, texts = tokens_on(page, hashes)
+                is_text, once = set(texts), _seen(number, 1)
+                for t, at in places.items():
+                    r = rows.setdefault((host, t), [int(t in is_text), 0, 0, 0, 0, 0, 0])
+                    r[1] += 1
+                    r[2] ^= once if len(at) == 1 else _seen(number, len(at))
+                    r[3] += len(at)
+                    r[4] += sum(at)
+                for m in page.marks:
+                    rows.setdefault((host, hashes[m]), [2, 0, 0, 0, 0, 0, 0])[1] += 1
+                for path, chrome, _, text, linked, _, _ in page.blocks:
                     if not chrome:
-                        texts.setdefault(path, []).append((text, linked))
-                for path in page.paths:
-                    r = rows.setdefault((host, path), [0, None, None, 0, 0])
-                    r[0] += 1
-                    if path in texts:
-                        t = _hash(*(x for x, _ in texts[path]))
-                        r[1], r[2] = (t, t) if r[1] is None else (min(r[1], t), max(r[2], t))
-                        r[3] += sum(len(x) for x, _ in texts[path])
-                        r[4] += sum(x for _, x in texts[path])
-            columns = list(zip(*((*k, *v) for k, v in rows.items()), strict=True)) or [[]] * 7
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.string()] * 2 + [pa.int64()] * 5, strict=True)], ["host", "path", "pages", "lo", "hi", "chars", "linked"])
-
-    found = mapped(pages.select("host", "html"), of, TOKENS)
-    return found.groupBy("host", "path").agg(F.sum("pages").alias("pages"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
+                        r = rows[host, hashes[path]]
+                        r[5] += len(text)
+                        r[6] += linked
+            columns = list(zip(*((*k, *v) for k, v in rows.items()), strict=True)) or [[]] * 9
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.string(), pa.int64(), pa.int32()] + [pa.int64()] * 6, strict=True)], [x.split()[0] for x in TOKENS.split(", ")])
+
+    found = mapped(pages.select("page_id", "host", "html"), of, TOKENS)
+    return found.groupBy("host", "token").agg(F.max("kind").alias("kind"), *(F.sum(c).alias(c) for c in ("pages", "many", "place", "chars", "linked")), F.bit_xor("vector").alias("vector"))
+
+
+def templates_of(tokens: DataFrame) -> DataFrame:
+    """host, total, classes, linking, marks; tokens: of tokens_of()."""
+    hosts = tokens.filter(F.col("token") == F.lit(_hash(""))).select("host", F.col("pages").alias("total"))
+    t = tokens.join(hosts, "host").filter(F.col("pages") >= CLASS_SHARE * F.col("total"))
+    groups = t.filter((F.col("kind") < 2) & (F.col("pages") >= MIN_PAGES)).groupBy("host", "pages", "vector", "many")
+    classes = groups.agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("t"), F.min("kind").alias("least"), F.max("kind").alias("most")).filter("least = 0 AND most = 1")
+    classes = classes.groupBy("host").agg(F.collect_list(F.struct("pages", F.col("t.token").alias("tokens"))).alias("classes"))
+    most = F.col("pages") >= SUPPORT * F.col("total")
+    links = most & (F.col("kind") == 0) & (F.col("chars") > 0) & (F.col("linked") > MOST_LINKED * F.col("chars"))
+    marks = most & (F.col("kind") == 2) & (F.col("pages") >= MIN_PAGES)
+    rest = t.groupBy("host").agg(F.first("total").alias("total"), F.collect_list(F.when(links, F.col("token"))).alias("linking"), F.collect_list(F.when(marks, F.col("token"))).alias("marks"))
+    return rest.join(classes, "host", "left").select("host", "total", "classes", "linking", "marks")
 
 
 def extracted(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row.
 
-    Null and empty html: an empty text; pages without a url share a host; each of several like rows is extracted.
+    Null and empty html: an empty text; pages without a url share a host; each of several like rows is extracted; html of
+    any length is read whole; further columns are ignored, whatever their names.
     """
-    pages = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), "html")
+    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host_of(F.col("url")).alias("host"), "html")
     tokens = stored(tokens_of(pages), "op5-tokens")
-    hosts = tokens.filter("path = ''").select("host", F.col("pages").alias("total"))
-    often = tokens.join(hosts, "host").filter(F.col("pages") >= SUPPORT * F.col("total"))  # at most a page's tokens / SUPPORT for a host
-    kind = F.struct("path", "pages", "lo", "hi", "chars", "linked")
-    templates = stored(often.groupBy("host").agg(F.first("total").alias("total"), F.collect_list(kind).alias("tokens")), "op5-templates")
+    templates = stored(templates_of(tokens), "op5-templates")
     dropped(tokens)
+    in_classes = F.aggregate(F.coalesce("classes", F.array()), F.lit(0), lambda a, c: a + F.size(c["tokens"]) + 4)
+    size = templates.agg(F.sum(8 * (in_classes + F.size("linking") + F.size("marks") + 16))).first()[0] or 0
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[set[str], dict[str, bool]]] = {}
+        known: dict[str, Template] = {}
+        hashes = Hashes()
         for batch in batches:
+            if len(hashes) > 1_000_000:
+                hashes.clear()
             texts, hosts = [], batch.column(2).to_pylist()
             for i, source in enumerate(batch.column(3).to_pylist()):
                 if hosts[i] not in known:
-                    if len(known) > 1000:
+                    if len(known) > 10_000:
                         known.clear()
-                    known[hosts[i]] = template_of(batch.column(5)[i].as_py() or [], batch.column(4)[i].as_py() or 0)
-                texts.append(main_text(Page(source or ""), *known[hosts[i]]))
+                    classes = [(c["pages"], c["tokens"]) for c in batch.column(5)[i].as_py() or []]
+                    known[hosts[i]] = Template(batch.column(4)[i].as_py() or 0, classes, *(batch.column(k)[i].as_py() or [] for k in (6, 7)))
+                texts.append(main_text(Page(source or ""), known[hosts[i]], hashes))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    joined = pages.join(templates.hint("merge"), "host", "left").select(F.col("page_id").cast("long").alias("page_id"), "url", "host", "html", "total", "tokens")
-    return mapped(joined, of, "page_id long, url string, text string, n_chars long")
+    joined = pages.join(F.broadcast(templates) if size <= SHIPPED else templates.hint("merge"), "host", "left")
+    return mapped(joined.select("page_id", "url", "host", "html", "total", "classes", "linking", "marks"), of, "page_id long, url string, text string, n_chars long")
 
 
 def op5_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of each page; see extracted() for nulls, empty tables and rows that repeat."""
     return extracted(table(spark, "pages", sf_dir))

@@ -405,7 +405,7 @@ def test_op5_articles(spark):
 
 def test_op5_hidden_parts():
     page = html_template.Page('<article><div class="overflow-hidden">a</div><p hidden>b</p><p aria-hidden="true">c</p><p aria-hidden="false">d</p></article>')
-    assert html_template.main_text(page, set(), {}) == "a\nd"
+    assert html_template.main_text(page, html_template.Template()) == "a\nd"
 
 
 def test_op5_without_article_keeps_what_varies(spark):
@@ -517,3 +517,51 @@ def test_op5_words_need_a_host(spark):
     article = '<div class="post has-banner widget"><article id="search-engines-history"><h2 id="related-work">Work {k}</h2><section id="share">Prices {k}</section><div class=comments>nice {k}</div>{notice}</article></div>'
     got = texts_of(spark, [article.replace("{notice}", "<div class=notice>Note {k}</div>" * (k == 1)).replace("{k}", str(k)) for k in range(4)])
     assert got == {k: f"Work {k}\nPrices {k}" + f"\nNote {k}" * (k == 1) for k in range(4)}
+
+
+def test_op5_classes_decide(spark, monkeypatch):
+    a = "<body><div class=top>Daily</div><div class=a><h1>Head {k}</h1><p>Story {k}</p><p>of layout A</p></div><div class=end>Imprint</div></body>"
+    b = "<body><div class=top>Daily</div><section class=w><b>Sport</b><p>Tale {k}</p>{items}</section><div class=end>Imprint</div></body>"
+    item = "<div class=it><p>said {k}.{j}</p><div class=r>Reply</div></div>"
+    pages = [a.replace("{k}", str(k)) for k in range(6)]
+    pages += [b.replace("{items}", "".join(item.replace("{j}", str(j)) for j in range(k % 3 + 1))).replace("{k}", str(k)) for k in range(6, 12)]
+    want = {k: f"Head {k}\nStory {k}" for k in range(6)} | {k: "\n".join([f"Tale {k}", *(f"said {k}.{j}" for j in range(k % 3 + 1))]) for k in range(6, 12)}
+    got = texts_of(spark, pages)
+    assert got == want
+    monkeypatch.setattr(html_template, "MIN_PAGES", 100)  # no classes
+    assert texts_of(spark, pages)[7].split("\n")[:2] == ["Daily", "Sport"]
+
+
+def test_op5_classes_out_of_order_or_crossing_are_none():
+    page = lambda x: html_template.Page(x)
+    h = html_template.Hashes()
+    toks = lambda *x: [h[t] if isinstance(t, str) else html_template._hash(*t) for t in x]
+    x, y, ax, by = toks(" div.x", " div.y", (" div.x", "A"), (" div.y", "B"))
+    right, wrong = "<div class=x>A</div><div class=y>B</div><p>t", "<div class=y>B</div><div class=x>A</div><p>t"
+    t = html_template.Template(9, [(5, [x, ax, y, by])])
+    assert html_template.main_text(page(right), t) == "t" and html_template.main_text(page(wrong), t) == "B\nA\nt"
+    again = html_template.main_text(page(right.replace("<p>t", "") + right), t)
+    assert again == "t"
+    # the second class crosses the first: it holds a token on either side of one of the first's
+    u, cu = toks(" div.u", (" div.u", "C"))
+    crossing = html_template.Template(9, [(5, [x, ax, y, by]), (4, [u, cu])])
+    source = "<div class=x>A</div><div class=u>C</div><div class=y>B</div><p>t"
+    assert html_template.main_text(page(source), crossing) == "t"
+    assert not html_template._nest([1, 4], [2, 6]) and html_template._nest([1, 4], [2, 3]) and html_template._nest([1, 4], [5, 6])
+    crossed = html_template.Template(9, [(5, [x, ax, u, cu]), (4, [y, by])])
+    two = "<div class=x>A</div><div class=y>B</div><div class=u>C</div><p>t"
+    assert html_template.main_text(page(two), crossed) == "t"
+    late = html_template.Template(9, [(5, [x, ax, u]), (4, [y, by, cu])])
+    assert html_template.main_text(page(two), late) == "B\nC\nt"
+
+
+def test_op5_heads_inside_articles_stay(spark):
+    page = '<article><h1 class="post-header">Title {k}</h1><div class="share-price">The price rose {k}.</div><p>Body {k}</p></article>'
+    assert texts_of(spark, [page.replace("{k}", str(k)) for k in range(4)]) == {k: f"Title {k}\nThe price rose {k}.\nBody {k}" for k in range(4)}
+
+
+def test_op5_by_host_as_by_broadcast(spark, monkeypatch):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").selectExpr("*", "'c' AS host", "'c' AS total", "'c' AS classes")
+    want = sorted(map(tuple, html_template.extracted(pages).collect()))
+    monkeypatch.setattr(html_template, "SHIPPED", 0)
+    assert sorted(map(tuple, html_template.extracted(pages).collect())) == want

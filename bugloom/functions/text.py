@@ -268,28 +268,21 @@ def grep_line(line: Column) -> Column:
 
 # --- words of summaries ---
 
+# fixed values: words of change, which name no domain
 NON_DOMAIN = (
     "fix add update remove use make new support refactor feat chore test improve allow enable disable revert release version deps bump rename move cleanup clean implement create build log handle show hide open close send receive"
 ).split()
-FUNCTION_WORDS = (
-    "the and for with from this that into have has was were are but not you your all any can will should would could its his her him their they them our out off over under than then when where what which who why how been being does did doing done had having got getting let lets via per due etc also such some more less most least much many few one two three four five six seven eight nine ten first second third last next prev previous now yet still just only even ever never always sometimes often rarely really very quite rather almost nearly about around above below after before during while until since between among through across along behind beyond inside outside near far here there everywhere anywhere nowhere somewhere"
-).split()
-CHANGE_WORDS = "get fix add update remove use make set change support test move improve allow enable disable revert release bump rename implement create build log handle show hide open close send receive click tap press view screen page merge commit clean draft".split()
-OTHER_WORDS = "old feature minor major small big wip automerge prs dep dependency dependencies improvement improvements implementation fixup print console handler handlers todo draftpr back front main secondary primary versions refactoring made built sent shown hidden clicked tapped".split()
 
 
 def stop_words() -> list[str]:
-    """Function words, words of change with their regular endings, and others; all of three letters or more."""
-    out = {*NON_DOMAIN, *FUNCTION_WORDS, *OTHER_WORDS}
-    for w in CHANGE_WORDS:
-        stem = w[:-1] if w.endswith("e") else w
-        twice = w + w[-1] if len(w) == 3 and w[-1] not in "aeiouwxy" else stem
-        out |= {w, w + ("es" if w[-1] in "sxh" else "s"), stem + "ed", stem + "ing", twice + "ed", twice + "ing"}
-    return sorted(w for w in out if len(w) >= 3)
+    """The English stop words of Spark's own StopWordsRemover, of three letters or more; needs a session."""
+    from pyspark.ml.feature import StopWordsRemover
+
+    return sorted({w for w in StopWordsRemover.loadDefaultStopWords("english") if w.isalpha() and len(w) >= 3})
 
 
 def tokens(text: Column, stop: list[str] | None = None) -> Column:
-    """Runs of ASCII letters of the text in lower case, three letters or more, without stop words."""
+    """Runs of ASCII letters of the text in lower case, three letters or more, without stop words (stop: a list of one's own)."""
     found = F.filter(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z]+"), 0), lambda t: F.length(t) >= 3)
     return F.array_except(F.array_distinct(found), F.array(*map(F.lit, stop_words() if stop is None else stop)))
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 
 _SHOW = re.compile(r"diff --git a/(.+) b/(.+)$")
+_GIT = re.compile(r"diff --git a/\S+ b/(\S+)")
 _HUNK = re.compile(r"^@@ -\d+(?:,\d+)? \+(\d+)(?:,(\d+))? @@")
 
 
@@ -75,17 +76,15 @@ def removed_lines(body: str) -> str:
 
 
 def ranges_of(diff: str) -> list[tuple[str, int, int]]:
-    """(file, start, end) of the new side of every hunk; a hunk without a count has one line, an empty one none."""
+    """(file, start, end) of the new side of every hunk; a hunk without a count has one line, an empty one none.
+
+    The file is the header line's: `+++ ` and `--- ` also begin lines of content.
+    """
     out = []
-    for _, *lines in _sections(diff):
-        file = None
-        for line in lines:
-            if line.startswith("+++ "):
-                file = _path_after(line, "b/") or file
-            elif file and (hunk := _HUNK.match(line)):
-                start, n = int(hunk[1]), int(hunk[2] or 1)
-                if n:
-                    out.append((file, start, start + n - 1))
+    for header, *lines in _sections(diff):
+        if named := _GIT.match(header):
+            hunks = (m for line in lines if (m := _HUNK.match(line)))
+            out += [(named[1], start, start + n - 1) for start, n in ((int(m[1]), int(m[2] or 1)) for m in hunks) if n]
     return out
 
 

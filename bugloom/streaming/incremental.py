@@ -75,22 +75,56 @@ def run_once(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int]
 
 
 class Table:
-    """A Parquet table that is rewritten to a new version and then switched, never onto what is being read."""
+    """A Parquet table in a folder, in versions: what is being read is never written.
 
-    def __init__(self, spark: SparkSession, root: str, schema: str) -> None:
-        self.spark, self.root, self.schema, self.version = spark, root, schema, 0
-
-    def read(self) -> DataFrame:
-        if not self.version:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.root}/v{self.version}")
-
-    def _switch(self, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(f"{self.root}/v{self.version + 1}")
-        self.version += 1
+    Rows lie in buckets by a hash of their key.  A change writes the buckets that its rows fall into, below the new
+    version's folder, then a manifest, which names the version that holds each bucket and makes the change count.  A new
+    object on the folder takes the newest manifest, so the table outlives its driver; what a lost driver left without a
+    manifest is written anew.  One writer at a time.
+    """
 
-    def upsert(self, new: DataFrame, key: list[str], updated: list[str], required: list[str] = ()) -> None:
-        self._switch(upsert(self.read(), new, key, updated, required))
+    def __init__(self, spark: SparkSession, root: str, schema: str, key: list[str], buckets: int = 64) -> None:
+        self.spark, self.root, self.key, self.buckets = spark, root.rstrip("/"), list(key), buckets
+        self.schema = spark.createDataFrame([], schema).schema
+        jvm = spark._jvm
+        self._path = jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+        names = [x.getPath().getName() for x in self._fs.globStatus(self._path(f"{self.root}/_manifests/*")) or []]
+        self.version = max((int(n) for n in names if n.isdigit()), default=0)
+        self.held: dict[int, int] = {}  # bucket: version
+        if self.version:
+            rows = spark.read.schema("bucket int, version int").parquet(f"{self.root}/_manifests/{self.version}").collect()  # at most `buckets`
+            self.held = {r.bucket: r.version for r in rows}
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
+
+    def _rows(self, buckets: list[int]) -> DataFrame:
+        paths = [f"{self.root}/v{self.held[b]}/_b={b}" for b in buckets if b in self.held]
+        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
 
-    def append_new(self, new: DataFrame, key: list[str], *order: str) -> None:
-        self._switch(append_new(self.read(), new, key, *order))
+    def read(self) -> DataFrame:
+        return self._rows(sorted(self.held))
+
+    def _change(self, new: DataFrame, change: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+        touched = [r.b for r in new.select(self._bucket().alias("b")).distinct().collect()]  # at most `buckets`
+        version = self.version + 1
+        rows = change(self._rows(touched), new).select(*(f.name for f in self.schema)).withColumn("_b", self._bucket())
+        rows.repartition(len(touched) or 1, "_b").write.mode("overwrite").partitionBy("_b").parquet(f"{self.root}/v{version}")
+        held = {**self.held, **dict.fromkeys(touched, version)}
+        there = {b: v for b, v in held.items() if v != version or self._fs.exists(self._path(f"{self.root}/v{version}/_b={b}"))}
+        done = f"{self.root}/_manifests/{version}"
+        self.spark.createDataFrame(sorted(there.items()), "bucket int, version int").coalesce(1).write.mode("overwrite").parquet(f"{self.root}/_manifests/_{version}")
+        self._fs.rename(self._path(f"{self.root}/_manifests/_{version}"), self._path(done))
+        self.version, self.held = version, there
+
+    def upsert(self, new: DataFrame, updated: list[str], required: list[str] = ()) -> None:
+        self._change(new, lambda old, rows: upsert(old, rows, self.key, updated, required))
+
+    def append_new(self, new: DataFrame, *order: str) -> None:
+        self._change(new, lambda old, rows: append_new(old, rows, self.key, *order))
+
+
+def kept_for_batch(routed_rows: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """The rows of vectors that no cluster took, which the next run over everything clusters anew; for Table.append_new."""
+    return rows.join(routed_rows.filter("route = 'batch'").select(F.col("id").alias(key)).distinct(), key, "left_semi")

@@ -75,12 +75,21 @@ def test_sinks(spark, tmp_path):
 
 
 def test_table_versions(spark, tmp_path):
-    t = incremental.Table(spark, str(tmp_path), "k string, v int")
+    opened = lambda: incremental.Table(spark, str(tmp_path), "k string, v int", ["k"], 4)
+    t = opened()
     rows = spark.createDataFrame([("a", 1), ("b", 2)], t.schema)
-    t.append_new(rows, ["k"], "v")
-    t.append_new(rows, ["k"], "v")
-    t.upsert(spark.createDataFrame([("a", 5)], t.schema), ["k"], ["v"])
+    t.append_new(rows, "v")
+    t.append_new(rows, "v")
+    t.upsert(spark.createDataFrame([("a", 5)], t.schema), ["v"])
     assert {tuple(r) for r in t.read().collect()} == {("a", 5), ("b", 2)} and t.version == 3
+    again = opened()  # another driver
+    assert again.version == 3 and {tuple(r) for r in again.read().collect()} == {("a", 5), ("b", 2)}
+    again.append_new(spark.createDataFrame([("c", 7), ("a", 9)], t.schema), "v")
+    (tmp_path / "v5").mkdir()  # left by a writer that was lost
+    last = opened()
+    assert last.version == 4 and {tuple(r) for r in last.read().collect()} == {("a", 5), ("b", 2), ("c", 7)}
+    last.upsert(spark.createDataFrame([(f"k{i}", i) for i in range(20)], t.schema), ["v"])
+    assert opened().read().count() == 23
 
 
 def test_stream_state_over_restarts(spark, tmp_path):

@@ -21,6 +21,7 @@ def test_diffs_of_shows_and_pulls():
     assert set(pulled) == {"x/A.scala", "D.scala"}
     assert pulled["x/A.scala"] == ("@@ -1,2 +1,2 @@\n keep\n-old\n+new", "old")  # a removed line that looks like a header is none
     assert diffs.ranges_of("diff --git a/f b/f\n+++ b/f\n@@ -1 +3 @@\n@@ -5,2 +7,4 @@ x\n@@ -9,2 +9,0 @@") == [("f", 3, 3), ("f", 7, 10)]
+    assert diffs.ranges_of("diff --git a/f b/f\n+++ b/f\n@@ -1 +1,2 @@\n+++ other.txt\n x\n@@ -9 +10 @@\n+y") == [("f", 1, 2), ("f", 10, 10)]
     assert diffs.files_of_show("") == [] == diffs.files_of_pull(None)
 
 

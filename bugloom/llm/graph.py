@@ -17,8 +17,8 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     both = stored(edges.filter("a <> b").select("a", "b").union(edges.filter("a <> b").select("b", "a")).distinct(), f"{name}-edges")
     labels = stored(both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.first("a")).alias("root")), f"{name}-labels", light=True)
     while True:
-        near = both.join(labels, both.b == labels.v).groupBy(F.col("a").alias("v")).agg(F.min("root").alias("near"))
-        mine = labels.join(near, "v").select("v", F.col("root").alias("old"), F.least("root", "near").alias("root"))
+        near = both.join(labels, both.b == labels.v).select(F.col("a").alias("v"), "root", F.lit(None).cast("long").alias("old"))
+        mine = near.unionByName(labels.select("v", "root", F.col("root").alias("old"))).groupBy("v").agg(F.max("old").alias("old"), F.min("root").alias("root"))
         # a label is a vertex too: what its holders have learnt is handed to it, and all follow it once
         learnt = mine.groupBy(F.col("old").alias("v")).agg(F.min("root").alias("hint"))
         mine = mine.join(learnt, "v", "left").select("v", "old", F.least("root", F.coalesce("hint", "root")).alias("root"))

@@ -8,7 +8,7 @@
 3. Texts alike word for word collapse to one; texts that share a band key are candidates, and candidate groups are the
    components that these links form.
 4. Within each candidate group classes grow from member to member by exact weighted Jaccard similarity, so every link
-   between two different texts of a group counts, whichever of them came first.
+   between two different texts of a group counts, whichever of them came first.  A group is compared in one task.
 5. Groups beyond GROUP texts or GROUP_SHINGLES shingles are dealt out in blocks, each with the same PIVOTS texts of the
    group, so that what one class holds in many blocks comes together.  Then the texts outside the group's largest class
    meet the group's other blocks: a group that is one class of copies is shipped once, and no link between two classes is
@@ -41,7 +41,7 @@ PLAIN_BANDS = 12
 #: shingles that fall on it, m on average; df is what is above m if that is beyond NOISE standard deviations of m, else 1.
 DEPTH, WIDTH, SLICE, NOISE = 3, 1 << 17, 1 << 12, 2.5
 #: Most texts, and most shingles, of a candidate group that one task compares.
-GROUP = 1_000
+GROUP = 4_000
 GROUP_SHINGLES = 1 << 21
 PIVOTS = 48
 TASK_SHINGLES = 1 << 15
@@ -295,17 +295,18 @@ class Texts:
         return others[shared >= SIMILAR * (s[others] + s[one] - shared) - 1e-9]
 
 
-def forest(texts: Texts, members: np.ndarray) -> list[tuple[int, int]]:
-    """Links that connect what similarity connects: every text is compared with those not yet reached, until none are left."""
-    links, left = [], members
-    while len(left) > 1:
+def grown(texts: Texts, members: np.ndarray) -> list[list[int]]:
+    """The classes that similarity connects: every text is compared with those not yet reached, until none are left."""
+    out, left = [], members
+    while len(left):
         front, left = [left[0]], left[1:]
+        out.append(list(front))
         while front and len(left):
-            near = texts.similar(one := front.pop(), left)
-            links += [(one, x) for x in near.tolist()]
+            near = texts.similar(front.pop(), left)
+            out[-1] += near.tolist()
             front += near.tolist()
             left = np.setdiff1d(left, near, assume_unique=True)
-    return links
+    return out
 
 
 def weighing(docs: DataFrame) -> np.ndarray:
@@ -340,30 +341,36 @@ def _named(docs: DataFrame, texts: DataFrame, idf: np.ndarray | None) -> DataFra
     sizes = stored(members.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / GROUP), F.ceil(F.sum("n") / GROUP_SHINGLES)).cast("int").alias("cut")), "op10-sizes")
     placed = members.join(sizes, "root").select("doc_id", F.col("v").alias("th"), "n", "root", "cut", F.pmod(F.xxhash64("v"), "cut").cast("int").alias("block"))
     wanted = stored(placed, "op10-wanted")
+    task = F.xxhash64("root", "block").alias("task")
+    own = wanted.select("doc_id", "th", "n", task, (F.col("cut") > 1).alias("part"), F.lit(0).alias("side"))
     large = wanted.filter("cut > 1")
-    first = F.row_number().over(Window.partitionBy("root", "slice").orderBy(F.xxhash64("th", F.lit(1))))
-    # a group's pivots are found among its slices' first ones, so that no task orders a whole group
-    some = large.withColumn("slice", F.pmod(F.xxhash64("th", F.lit(2)), F.lit(1024))).withColumn("k", first).filter(F.col("k") <= PIVOTS).withColumn("slice", F.lit(0)).withColumn("k", first).filter(F.col("k") <= PIVOTS)
-    pivots = some.select("doc_id", "th", "n", "root", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("block"))
-    task = F.xxhash64("root", "block")
-    own = wanted.select("doc_id", "th", "n", task.alias("task")).unionByName(pivots.select("doc_id", "th", "n", task.alias("task"))).distinct().withColumn("side", F.lit(0))
+    if some := bool(large.limit(1).count()):
+        first = F.row_number().over(Window.partitionBy("root", "slice").orderBy(F.xxhash64("th", F.lit(1))))
+        # a group's pivots are found among its slices' first ones, so that no task orders a whole group
+        few = large.withColumn("slice", F.pmod(F.xxhash64("th", F.lit(2)), F.lit(1024))).withColumn("k", first).filter(F.col("k") <= PIVOTS).withColumn("slice", F.lit(0)).withColumn("k", first).filter(F.col("k") <= PIVOTS)
+        pivots = few.select("doc_id", "th", "n", "root", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("block"))
+        own = own.unionByName(pivots.select("doc_id", "th", "n", task, F.lit(True).alias("part"), F.lit(0).alias("side")))
     links = stored(_linked(docs, own, idf), "op10-links")
-    if large.limit(1).count():
-        rest = stored(_across(large, components(links, "op10-large")), "op10-across")
-        links = stored(links.unionByName(_linked(docs, rest, idf)), "op10-all-links")
+    dropped(candidates, members, sizes)
+    roots = links.filter("NOT part").select(F.col("a").alias("th"), "class_id", F.col("b").alias("root"))
+    if some:
+        near = links.filter("part").select("a", "b")
+        rest = stored(_across(large, components(near, "op10-large")), "op10-across")
+        near = stored(near.unionByName(_linked(docs, rest, idf).select("a", "b")), "op10-all-links")
         dropped(rest)
-    dropped(candidates, members, sizes, wanted)
-    roots = components(links, "op10-classes")
-    first = roots.join(texts.select(F.col("th").alias("v"), "doc_id"), "v").groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    lone = texts.join(roots.select(F.col("v").alias("th")), "th", "left_anti").select("th", F.col("doc_id").alias("class_id"), F.col("th").alias("root"))
-    named = stored(roots.join(first, "root").select(F.col("v").alias("th"), "class_id", "root").unionByName(lone), "op10-named")
-    dropped(links, roots)
+        found = components(near, "op10-classes").withColumnRenamed("v", "th")
+        least = found.join(texts.select("th", "doc_id"), "th").groupBy("root").agg(F.min("doc_id").alias("class_id"))
+        roots = roots.unionByName(found.join(least, "root").select("th", "class_id", "root"))
+    lone = texts.join(roots.select("th"), "th", "left_anti").select("th", F.col("doc_id").alias("class_id"), F.col("th").alias("root"))
+    named = stored(roots.unionByName(lone), "op10-named")
+    dropped(links, wanted)
     return named
 
 
 def _linked(docs: DataFrame, wanted: DataFrame, idf: np.ndarray | None) -> DataFrame:
-    """a, b: links of a spanning forest of the texts of each task.  wanted: doc_id, th, n, task, side.
+    """a, b, class_id, part: every text (a) of a class of two or more with the class's least text (b) and least doc_id.
 
+    wanted: doc_id, th, n, task, side, part (whether the task holds a part of a group only, so that its classes may grow).
     side 0: all of a task's texts are compared; else those of side 1 with all, and links only count between sides.
     """
 
@@ -374,36 +381,42 @@ def _linked(docs: DataFrame, wanted: DataFrame, idf: np.ndarray | None) -> DataF
             for i, part in _blocks(batch.column(0)):
                 keep.append(shingles(part)[2].view(np.int64) == batch.column(1).to_numpy()[i : i + len(part)])
             if keep:
-                yield pa.RecordBatch.from_arrays(list(batch.columns), batch.schema.names).filter(pa.array(np.concatenate(keep))).select(["task", "th", "side", "text"])
+                yield pa.RecordBatch.from_arrays(list(batch.columns), batch.schema.names).filter(pa.array(np.concatenate(keep))).select(["task", "th", "side", "doc_id", "part", "text"])
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns, found = ([], [], []), []
+        columns, found = ([], [], [], [], []), []
         for batch in batches:
-            for i, part in _blocks(batch.column(3)):
+            for i, part in _blocks(batch.column(5)):
                 h, b, _ = shingles(part)
                 h, tf, b = counted(h, b)
                 found.append((h, weights(h, tf, idf), np.diff(b)))
-                for k in range(3):
-                    columns[k].append(batch.column(k).to_numpy()[i : i + len(part)])
+                for k in range(5):
+                    columns[k].append(batch.column(k).to_numpy(zero_copy_only=False)[i : i + len(part)])
         if not found:
             return
-        task, th, side = map(np.concatenate, columns)
+        task, th, side, doc, is_part = map(np.concatenate, columns)
         h, w, n = (np.concatenate(x) for x in zip(*found, strict=True))
         texts = Texts(h, w, np.concatenate([[0], np.cumsum(n)]))
         order = np.lexsort((-side, th, task))
         order = order[np.append(True, (th[order][1:] != th[order][:-1]) | (task[order][1:] != task[order][:-1]))]
         edges = np.flatnonzero(np.append(True, task[order][1:] != task[order][:-1]))
-        links = []
+        rows: list[tuple[int, int, int]] = []  # text, least text, least doc_id
         for g in np.split(order, edges[1:]):
-            links += [(one, x) for one in g[side[g] == 1] for x in texts.similar(one, g[g != one]).tolist()] if side[g].any() else forest(texts, g)
-        if links:
-            a, b = np.array(links).T
-            yield pa.RecordBatch.from_arrays([pa.array(th[a]), pa.array(th[b])], ["a", "b"])
+            if side[g].any():
+                rows += [(x, one, -1) for one in g[side[g] == 1].tolist() for x in texts.similar(one, g[g != one]).tolist()]
+            else:
+                for members in grown(texts, g):
+                    if len(members) > 1:
+                        least = members[int(np.argmin(th[members]))]
+                        rows += [(x, least, int(doc[members].min())) for x in members]
+        if rows:
+            a, b, c = np.array(rows, np.int64).T
+            yield pa.RecordBatch.from_arrays([pa.array(th[a]), pa.array(th[b]), pa.array(c), pa.array(is_part[a])], ["a", "b", "class_id", "part"])
 
     rows, size = wanted.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     tasks = max(parts(docs.sparkSession), math.ceil(rows / GROUP), math.ceil(size / GROUP_SHINGLES))
-    at_hand = _with_text(docs, wanted).select("text", "th", "task", "side")
-    return mapped(mapped(at_hand, fetch, "task long, th long, side int, text string").repartition(tasks, "task"), link, "a long, b long")
+    at_hand = _with_text(docs, wanted).select("text", "th", "task", "side", "doc_id", "part")
+    return mapped(mapped(at_hand, fetch, "task long, th long, side int, doc_id long, part boolean, text string").repartition(tasks, "task"), link, "a long, b long, class_id long, part boolean")
 
 
 def _across(large: DataFrame, roots: DataFrame) -> DataFrame:
@@ -419,7 +432,7 @@ def _across(large: DataFrame, roots: DataFrame) -> DataFrame:
     portions = stored(outside.groupBy("root").agg(F.ceil(F.count("*") / (GROUP // 2)).cast("int").alias("portions")), "op10-portions")
     both = c.join(portions, "root").select("doc_id", "th", "n", "root", "block", F.explode(F.sequence(F.lit(0), F.col("portions") - 1)).alias("portion"), F.lit(0).alias("side"))
     few = outside.join(portions, "root").select("doc_id", "th", "n", "root", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("block"), F.pmod(F.xxhash64("th", F.lit(3)), "portions").cast("int").alias("portion"), F.lit(1).alias("side"))
-    return both.unionByName(few).select("doc_id", "th", "n", F.xxhash64("root", "block", "portion").alias("task"), "side")
+    return both.unionByName(few).select("doc_id", "th", "n", F.xxhash64("root", "block", "portion").alias("task"), "side", F.lit(True).alias("part"))
 
 
 def near_classes(docs: DataFrame) -> DataFrame:

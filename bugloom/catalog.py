@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .functions import text as T
 from .functions import vectors as V
-from .operators import corpus, diffs, hdbscan, quality, relational, report, rules, scanners, vectorise
+from .operators import corpus, hdbscan, quality, relational, report, rules, vectorise
 from .session import shared_folder, table
 from .sources import readers
 from .streaming import incremental
@@ -278,10 +278,10 @@ def pipeline_summary_per_language(spark, at):
     return report.language_summary(table(spark, "documents", at), "lang", F.lower("text").rlike("licen[sc]e"), 20, "source")
 
 
-@query("SELECT label, list(round(x, 5) ORDER BY i)[1] AS c1, list(round(x, 5) ORDER BY i)[64] AS c64, CAST(max(n) AS BIGINT) AS size FROM (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS x, count(*) AS n FROM (SELECT label, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings) GROUP BY label, i) GROUP BY label")
+@query("SELECT label, i AS place, round(x, 5) AS mean, n AS size FROM (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS x, count(*) AS n FROM (SELECT label, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings) GROUP BY label, i)")
 def centroids(spark, at):
     c = vectorise.centroids(table(spark, "embeddings", at), "label", "embedding")
-    return c.select("label", F.round(F.element_at("centroid", 1), 5).alias("c1"), F.round(F.element_at("centroid", 64), 5).alias("c64"), "size")
+    return c.select("label", "size", F.posexplode("centroid").alias("pos", "x")).select("label", (F.col("pos") + 1).cast("long").alias("place"), F.round("x", 5).alias("mean"), "size")
 
 
 CENTROIDS_SQL = "(SELECT label AS k, list(x ORDER BY i) AS c FROM (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS x FROM (SELECT label, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings) GROUP BY label, i) GROUP BY label)"
@@ -479,19 +479,27 @@ def unit_distances(spark, at):
     return v.join(other, "id").select("id", F.round(V.unit_distance(V.cosine(F.col("vector"), F.col("next"))), 5).alias("distance"))
 
 
-@query(f"SELECT rule, count(*) AS n, '## ' || rule || ' (' || count(*) || ')' AS title FROM {HITS} GROUP BY rule")
+@query(f"""SELECT rule, count(*) AS n, '## ' || rule || ' (' || count(*) || ')' || chr(10) || string_agg('- `' || file || ':' || line || '` ' || snippet, chr(10) ORDER BY k) FILTER (WHERE k <= 50) || CASE WHEN count(*) > 50 THEN chr(10) || '- and ' || (count(*) - 50) || ' more' ELSE '' END AS markdown
+  FROM (SELECT *, row_number() OVER (PARTITION BY rule ORDER BY file, line, snippet) AS k FROM {HITS}) GROUP BY rule""")
 def scan_markdown(spark, at):
     from .sources import sinks
 
-    return sinks.scan_markdown(rules.line_findings(_files(spark, at))).select("rule", "n", F.split("markdown", "\n")[0].alias("title"))
+    return sinks.scan_markdown(rules.line_findings(_files(spark, at)))
 
 
-@query("SELECT label AS cluster_id, CAST(count(*) AS INTEGER) AS size, CAST(count(DISTINCT vec_id % 7) AS INTEGER) AS n_commits FROM embeddings WHERE label >= 0 GROUP BY label HAVING count(DISTINCT vec_id % 7) >= 3")
+@query("""WITH e AS (SELECT label AS cluster_id, vec_id, 'd/' || vec_id % 3 || '/c/x/f' || vec_id % 7 AS path FROM embeddings WHERE label >= 0),
+  files AS (SELECT cluster_id, string_agg('f' || f || '=' || n, ',' ORDER BY n DESC, 'f' || f) AS top_files FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY n DESC, o) AS k FROM (SELECT cluster_id, vec_id % 7 AS f, count(*) AS n, min(vec_id) AS o FROM e GROUP BY ALL)) WHERE k <= 5 GROUP BY cluster_id),
+  dirs AS (SELECT cluster_id, string_agg('d/' || f || '/c=' || n, ',' ORDER BY n DESC, f) AS top_dirs FROM (SELECT cluster_id, vec_id % 3 AS f, count(*) AS n FROM e GROUP BY ALL) GROUP BY cluster_id),
+  shown AS (SELECT cluster_id, string_agg('s' || vec_id, ',' ORDER BY vec_id) AS summaries, string_agg('s' || vec_id, chr(10) ORDER BY vec_id) || repeat(chr(10), 2) || string_agg('## ' || path || chr(10) || 'c' || vec_id, repeat(chr(10), 2) ORDER BY vec_id) AS tail FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY vec_id) AS k FROM e) WHERE k <= 8 GROUP BY cluster_id),
+  sizes AS (SELECT cluster_id, CAST(count(*) AS INTEGER) AS size, CAST(count(DISTINCT vec_id % 7) AS INTEGER) AS n_commits FROM e GROUP BY 1 HAVING count(DISTINCT vec_id % 7) >= 3)
+  SELECT cluster_id, size, n_commits, top_files, top_dirs, summaries, '# Cluster ' || cluster_id || ': ' || size || ' entries, ' || n_commits || ' commits' || repeat(chr(10), 2) || tail AS prompt FROM sizes JOIN files USING (cluster_id) JOIN dirs USING (cluster_id) JOIN shown USING (cluster_id)""")
 def cluster_bundles(spark, at):
     from .sources import sinks
 
-    e = table(spark, "embeddings", at).select(F.col("label").alias("cluster_id"), (F.col("vec_id") % 7).cast("string").alias("bug_key"), F.concat(F.lit("a/b/c/"), (F.col("vec_id") % 5).cast("string")).alias("file_path"), F.lit("s").alias("bug_summary"), F.lit("c").alias("buggy_code"), F.col("vec_id").alias("ord"))
-    return sinks.cluster_bundles(e).select("cluster_id", "size", "n_commits")
+    n = F.col("vec_id")
+    e = table(spark, "embeddings", at).select(F.col("label").alias("cluster_id"), (n % 7).cast("string").alias("bug_key"), F.concat(F.lit("d/"), n % 3, F.lit("/c/x/f"), n % 7).alias("file_path"), F.concat(F.lit("s"), n).alias("bug_summary"), F.concat(F.lit("c"), n).alias("buggy_code"), n.alias("ord"))
+    listed = lambda c: F.array_join(F.transform(c, lambda x: F.concat(x["name"], F.lit("="), x["count"])), ",")
+    return sinks.cluster_bundles(e).select("cluster_id", "size", "n_commits", listed("top_files").alias("top_files"), listed("top_dirs").alias("top_dirs"), F.array_join("bug_summaries", ",").alias("summaries"), "prompt")
 
 
 @query("SELECT doc_id, lang || ',' || source AS parts, upper(left(lang, 1)) || lower(substr(lang, 2)) || 'Rule' AS class_name FROM documents")
@@ -512,39 +520,6 @@ def svd_scatter(spark, at):
     return vectorise.svd_view(docs, vectorise.code_tokens(F.col("text")), 500, 6)
 
 
-FIXTURE_DIFF = """diff --git a/src/A.scala b/src/A.scala
-index 1..2 100644
---- a/src/A.scala
-+++ b/src/A.scala
-@@ -3,2 +3,3 @@ class A
- same
--old line
-+new line
-+another
-diff --git a/src/Gone.scala b/src/Gone.scala
-deleted file mode 100644
---- a/src/Gone.scala
-+++ /dev/null
-@@ -1 +0,0 @@
--val gone = 1
-"""
-
-
-@query()
-def parse_diff(spark, at):
-    d = table(spark, "documents", at).select("doc_id", F.lit(FIXTURE_DIFF).alias("diff"))
-    return diffs.parsed(d, pull=True)
-
-
-FIXTURE_SOURCE = 'class OpenSpots {\n  val openSpots = capacity - participants\n  def f = logger.info(s"got $form.id")\n}\n'
-
-
-@query()
-def emulators_scala(spark, at):
-    d = table(spark, "documents", at).select(F.concat(F.lit("src/F"), F.col("doc_id").cast("string"), F.lit(".scala")).alias("path"), F.concat(F.lit(FIXTURE_SOURCE), "text").alias("text"))
-    return scanners.scan(d)
-
-
 def _run(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     """The stream's rows over what is there, kept in the shared folder."""
     import uuid
@@ -572,3 +547,6 @@ def stream_assign_route(spark, at):
 @query()
 def stream_threshold_cross(spark, at):
     return _run(spark, incremental.threshold_crossings(incremental.table_stream(spark, at, "events").select("user_id"), "user_id", 5), "crossings")
+
+
+from . import catalog_more  # noqa: E402, F401  registers further queries

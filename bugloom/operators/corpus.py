@@ -47,6 +47,12 @@ def prompt_examples(entries: DataFrame, n: int = 5) -> DataFrame:
     return rows.groupBy("cluster_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ord", "text"))), lambda x: x["text"]), "\n\n").alias("examples"))
 
 
+def routed_clusters(entries: DataFrame, cluster: str, language: str, least: int = 2) -> DataFrame:
+    """cluster, language, n, engine of each language of a cluster with enough entries to write a rule from."""
+    n = entries.groupBy(cluster, language).agg(F.count("*").alias("n")).filter(F.col("n") >= least)
+    return n.withColumn("engine", T.engine_of(F.col(language)))
+
+
 def parsed_answer(answers: DataFrame, dashes: bool = True) -> DataFrame:
     """A rule synthesiser's answers (column answer) as rule id, source, snippets and rationale; answers that lack a part go."""
     s = lambda tag: T.section(F.col("answer"), tag)

@@ -53,6 +53,11 @@ def pull_requests(df: DataFrame, ticket: str = T.TICKET) -> DataFrame:
     return df.filter(F.col("merged") & named).withColumns({"org": part(1), "repo": part(2), "number": part(3).try_cast("int")})
 
 
+def merged_since(df: DataFrame, since: str, limit: int, key: str = "number") -> DataFrame:
+    """The latest merged pull requests since a day."""
+    return df.filter(F.col("merged") & (F.col("merged_at") >= F.lit(since).cast("timestamp"))).orderBy(F.desc("merged_at"), key).limit(limit)
+
+
 def git_log(spark: SparkSession, path: str) -> DataFrame:
     """sha, author, date, subject, body of a log whose fields end with NUL and whose records end with RS; short records go."""
     parts = F.split(F.regexp_replace("value", r"^\n", ""), "\u0000", -1)

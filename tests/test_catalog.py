@@ -21,7 +21,7 @@ def duck():
 
 
 def plain(row):
-    return tuple("" if v is None else f"{v:.4f}" if isinstance(v, float) else str(v) for v in row)
+    return tuple("NULL" if v is None else f"{v:.4f}" if isinstance(v, float) else str(v) for v in row)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -295,17 +295,55 @@ class Texts:
         return others[shared >= SIMILAR * (s[others] + s[one] - shared) - 1e-9]
 
 
+class Partners:
+    """Finds the texts of a group that are similar to one of them.
+
+    Each text's shingles in order of how many of the group's texts hold them, the rarest first: two similar texts share one
+    of those that make up the first 1 - SIMILAR of either's weight, so only texts that do are compared.
+    """
+
+    def __init__(self, texts: Texts, members: np.ndarray) -> None:
+        self.texts, self.members = texts, members
+        n = np.diff(texts.bounds)[members]
+        at = np.repeat(texts.bounds[members], n) + in_runs(n)
+        who = np.repeat(np.arange(len(members)), n)
+        _, ids, many = np.unique(texts.h[at], return_inverse=True, return_counts=True)
+        order = np.lexsort((ids, many[ids], who))
+        ids, weight = ids[order], texts.w[at][order]
+        first = np.concatenate([[0], np.cumsum(n)])
+        before = np.concatenate([[0], np.cumsum(weight)])
+        keep = before[:-1] - before[first[:-1]][who] <= (1 - SIMILAR) * texts.sums[members][who] + 1e-6
+        self.ids, self.bounds = ids[keep], np.concatenate([[0], np.cumsum(np.bincount(who, keep, len(members)))]).astype(np.int64)
+        order = np.argsort(self.ids, kind="stable")
+        self.holders = who[keep][order]
+        self.first = np.searchsorted(self.ids[order], np.arange(len(many) + 1))
+
+    def of(self, one: int, alive: np.ndarray) -> np.ndarray:
+        """Places in members of the alive ones that are similar to the one at a place."""
+        ids = self.ids[self.bounds[one] : self.bounds[one + 1]]
+        n = self.first[ids + 1] - self.first[ids]
+        met = np.zeros(len(self.members), bool)
+        met[self.holders[np.repeat(self.first[ids], n) + in_runs(n)]] = True
+        met &= alive
+        met[one] = False
+        some = np.flatnonzero(met)
+        return some[np.isin(self.members[some], self.texts.similar(self.members[one], self.members[some]))]
+
+
 def grown(texts: Texts, members: np.ndarray) -> list[list[int]]:
     """The classes that similarity connects: every text is compared with those not yet reached, until none are left."""
-    out, left = [], members
-    while len(left):
-        front, left = [left[0]], left[1:]
-        out.append(list(front))
-        while front and len(left):
-            near = texts.similar(front.pop(), left)
-            out[-1] += near.tolist()
+    partners, alive, out = Partners(texts, members), np.ones(len(members), bool), []
+    for k in range(len(members)):
+        if not alive[k]:
+            continue
+        alive[k] = False
+        front, found = [k], [k]
+        while front and alive.any():
+            near = partners.of(front.pop(), alive)
+            alive[near] = False
             front += near.tolist()
-            left = np.setdiff1d(left, near, assume_unique=True)
+            found += near.tolist()
+        out.append(members[found].tolist())
     return out
 
 
@@ -403,7 +441,8 @@ def _linked(docs: DataFrame, wanted: DataFrame, idf: np.ndarray | None) -> DataF
         rows: list[tuple[int, int, int]] = []  # text, least text, least doc_id
         for g in np.split(order, edges[1:]):
             if side[g].any():
-                rows += [(x, one, -1) for one in g[side[g] == 1].tolist() for x in texts.similar(one, g[g != one]).tolist()]
+                partners, everyone = Partners(texts, g), np.ones(len(g), bool)
+                rows += [(x, g[k], -1) for k in np.flatnonzero(side[g] == 1).tolist() for x in g[partners.of(k, everyone)].tolist()]
             else:
                 for members in grown(texts, g):
                     if len(members) > 1:

@@ -307,6 +307,22 @@ def test_op10_large_groups_in_blocks(spark, monkeypatch):
     assert {r.class_id for r in got} == {0} and len(got) == 60
 
 
+def test_partners_miss_no_similar_text():
+    rng = np.random.default_rng(5)
+    sets = [np.sort(rng.choice(40, rng.integers(1, 30), replace=False)) for _ in range(120)]
+    sets += [np.delete(x, rng.integers(0, len(x))) if len(x) > 1 else x for x in sets for _ in range(2)]
+    bounds = np.concatenate([[0], np.cumsum(list(map(len, sets)))])
+    every = np.concatenate(sets).astype(np.uint64)
+    for w in (np.ones(len(every), np.float32), rng.random(40).astype(np.float32)[every.astype(int)] + np.float32(0.01)):
+        texts = icws.Texts(every, w, bounds)
+        members = np.arange(0, len(sets), 2)
+        partners, alive = icws.Partners(texts, members), rng.random(len(members)) < 0.8
+        for k in range(len(members)):
+            want = set(texts.similar(members[k], members[alive & (members != members[k])]).tolist())
+            assert set(members[partners.of(k, alive)].tolist()) == want
+        assert sorted(x for c in icws.grown(texts, members) for x in c) == members.tolist()
+
+
 def test_samples_estimate_weighted_similarity():
     rng = np.random.default_rng(3)
     h = rng.integers(0, 1 << 62, 600).astype(np.uint64)

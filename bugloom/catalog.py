@@ -146,11 +146,11 @@ def upsert_partial_columns(spark, at):
     return relational.upsert(d.filter("doc_id % 3 <> 0"), new, ["doc_id"], ["lang", "n_chars"], ["lang"])
 
 
-@query("""WITH o AS (SELECT doc_id, source FROM documents WHERE doc_id % 3 = 0), n AS (SELECT doc_id, 'again' AS source FROM documents WHERE doc_id % 2 = 0)
+@query("""WITH o AS (SELECT doc_id, source FROM documents WHERE doc_id % 3 = 0), n AS (SELECT doc_id, 'again' AS source FROM documents WHERE doc_id % 3 <> 0 OR doc_id % 2 = 0)
   SELECT * FROM o UNION ALL SELECT * FROM n WHERE doc_id NOT IN (SELECT doc_id FROM o)""")
 def append_idempotent(spark, at):
     d = table(spark, "documents", at).select("doc_id", "source")
-    new = d.filter("doc_id % 2 = 0").withColumn("source", F.lit("again"))
+    new = d.filter("doc_id % 3 <> 0 OR doc_id % 2 = 0").withColumn("source", F.lit("again"))
     once = relational.append_new(d.filter("doc_id % 3 = 0"), new, ["doc_id"], "source")
     return relational.append_new(once, new, ["doc_id"], "source")
 
@@ -377,10 +377,10 @@ def validation_ship_gate(spark, at):
     return quality.ship_gate(rows).select("rule_id", "target", F.round("precision", 6).alias("precision"), "ship")
 
 
-@query("""SELECT rule_id, CAST(cluster AS INTEGER) AS cluster, vec_id FROM (SELECT r.label AS rule_id, r.label AS cluster, vec_id, row_number() OVER (PARTITION BY r.label ORDER BY vec_id) AS n FROM embeddings e, (SELECT DISTINCT label FROM embeddings WHERE label < 3) r WHERE e.label <> r.label) WHERE n <= 20""")
+@query("""SELECT rule_id, CAST(cluster AS INTEGER) AS cluster, vec_id FROM (SELECT r.label AS rule_id, r.label AS cluster, vec_id, row_number() OVER (PARTITION BY r.label ORDER BY vec_id) AS n FROM embeddings e, (SELECT DISTINCT label FROM embeddings) r WHERE e.label <> r.label) WHERE n <= 20""")
 def off_cluster_sample(spark, at):
     e = table(spark, "embeddings", at).select("vec_id", F.col("label").alias("cluster_id"), F.lit("any").alias("language"), F.col("vec_id").alias("ord"))
-    r = e.filter("cluster_id < 3").select(F.col("cluster_id").alias("rule_id"), "cluster_id", "language").distinct()
+    r = e.select(F.col("cluster_id").alias("rule_id"), "cluster_id", "language").distinct()
     return quality.off_cluster(e, r).select("rule_id", F.col("rule_id").alias("cluster"), "vec_id")
 
 
@@ -532,7 +532,7 @@ def _run(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
 @query("SELECT DISTINCT user_id, event_type FROM events")
 def stream_first_seen(spark, at):
     events = incremental.table_stream(spark, at, "events")
-    return _run(spark, incremental.first_seen(events, ["user_id", "event_type"]).select("user_id", "event_type"), "first-seen")
+    return _run(spark, incremental.first_seen(events, ["user_id", "event_type"], "ts", "60 days").select("user_id", "event_type"), "first-seen")
 
 
 @query(f"""SELECT id, CASE WHEN cos >= 0.3 THEN k END AS cluster_id, CASE WHEN cos < 0.3 THEN 'batch' WHEN k % 3 = 0 THEN 'regression' WHEN size >= 50 THEN 'synthesise' ELSE 'wait' END AS route

@@ -484,3 +484,38 @@ def kept_for_batch(spark, at):
     e = table(spark, "embeddings", at)
     routes = e.select(F.col("vec_id").alias("id"), F.when(F.col("vec_id") % 3 == 0, "batch").otherwise("wait").alias("route"))
     return incremental.kept_for_batch(routes, e, "vec_id").select("vec_id")
+
+
+# --- declarative rules: a text that each fires on and one that it doesn't ---
+
+#: ending of the path, text, rule or None, line, match
+PATTERN_FIXTURES = (
+    ("a.ts", "book({\n  id, startTime: new Date(), x })", "calendar-scheduled-time-without-explicit-timezone", 2, "startTime: new Date()"),
+    ("a.spec.ts", "book({ startTime: new Date() })", None, None, None),
+    ("b.ts", "const a = bookingSubmission.fields.name", "form-payload-direct-access-without-validation", 1, "bookingSubmission.fields.name"),
+    ("b.ts", "if (validateForm(submission)) {\n  use(submission.fields.name)\n}\nother.fields.name", None, None, None),
+    ("c.go", "for _, p := range paths {\n\tf, _ := os.Open(p)\n}", "go-defer-in-loop", 2, "f, _ := os.Open(p)"),
+    ("c.go", "f, _ := os.Open(p)\nfor i := 0; i < 3; i++ {\n}", None, None, None),
+    ("d.go", "var x int\nx, _ = parse(s, f(1))", "go-ignored-error", 2, "x, _ = parse(s, f(1))"),
+    ("d.go", "x, err = parse(s)", None, None, None),
+    ("e.py", "try:\n    f()\nexcept:\n    pass", "py-bare-except", 3, "except:"),
+    ("e.py", "try:\n    f()\nexcept ValueError:\n    pass", None, None, None),
+    ("f.py", "def f(a, b=[]):\n    b.append(a)", "py-mutable-default-arg", 1, "def f(a, b=[])"),
+    ("f.py", "def f(a, b=None):\n    pass", None, None, None),
+    ("g.ts", "const d = prices.sort()", "ts-array-sort-numbers-without-comparator", 1, "prices.sort()"),
+    ("g.ts", "names.sort(); prices.sort((a, b) => a - b)", None, None, None),
+    ("g.ts", "Array.from(new Set(xs)).sort()", "ts-array-sort-numbers-without-comparator", 1, "Array.from(new Set(xs)).sort()"),
+    ("h.ts", "await this.staffApi.list({ id, q: { a: 1 } })", "ts-staff-query-missing-appdefid", 1, "staffApi.list({ id, q: { a: 1 } })"),
+    ("h.ts", "staffApi.list({ id, appDefId: x }); membersRepository.list({})", None, None, None),
+)
+PATTERN_ROWS = ", ".join("(" + ", ".join(_sql(v) for v in (k, *f)) + ")" for k, f in enumerate(PATTERN_FIXTURES))
+
+
+@query(f"""SELECT rule, CASE WHEN rule IN ('go-ignored-error', 'py-mutable-default-arg') THEN 'high' ELSE 'medium' END AS severity, CASE WHEN rule LIKE 'go-%' OR rule LIKE 'py-%' THEN 'correctness' ELSE 'uncategorized' END AS category, doc_id || '/' || path AS file, line, snippet
+  FROM documents JOIN (VALUES {PATTERN_ROWS}) f(k, path, body, rule, line, snippet) ON k = doc_id % {len(PATTERN_FIXTURES)} WHERE rule IS NOT NULL""")
+def declarative_rules(spark, at):
+    from .operators import patterns
+
+    n = F.col("doc_id")
+    files = _docs(spark, at).select(F.concat(n, F.lit("/"), _pick(n, *(f[0] for f in PATTERN_FIXTURES))).alias("path"), F.concat(_pick(n, *(f[1] for f in PATTERN_FIXTURES)), F.lit("\n# "), "source").alias("text"))
+    return patterns.pattern_findings(files).drop("message")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .relational import first_of, similar_sets
+from .relational import first_n, first_of, similar_sets
 
 # fixed values
 ANCHORS = (r'Term\.Name\s*\(\s*"([^"]+)"\s*\)', r'Type\.Name\s*\(\s*"([^"]+)"\s*\)', r'endsWith\s*\(\s*"([^"]+)"\s*\)', r'startsWith\s*\(\s*"([^"]+)"\s*\)')
@@ -41,11 +41,11 @@ def ship_gate(validation: DataFrame, p: float = 0.85, r: float = 0.50, fp_rate:
 
 def off_cluster(entries: DataFrame, rules: DataFrame, n: int = 20) -> DataFrame:
     """For each rule the first n entries by ord of its language and another cluster or none.  entries: cluster_id, language, ord."""
-    from pyspark.sql import Window
-
-    e = entries.join(rules.select("rule_id", F.col("cluster_id").alias("_c"), F.col("language").alias("_l")), (F.col("language") == F.col("_l")) & ~F.col("cluster_id").eqNullSafe(F.col("_c")))
-    w = Window.partitionBy("rule_id").orderBy("ord")
-    return e.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= n).drop("_n", "_c", "_l")
+    # of a language's first 2 n entries, n a cluster at most, n or all that there are aren't of any one cluster
+    first = first_n(first_n(entries, ["language", "cluster_id"], n, F.col("ord")), ["language"], 2 * n, F.col("ord"))
+    r = rules.select("rule_id", F.col("cluster_id").alias("_c"), F.col("language").alias("_l"))
+    others = first.join(r, (F.col("language") == F.col("_l")) & ~F.col("cluster_id").eqNullSafe(F.col("_c")))
+    return first_n(others, ["rule_id"], n, F.col("ord")).drop("_c", "_l")
 
 
 def anchors(source: Column, *own: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,13 +53,19 @@ def sampled_seeds(df: DataFrame, n: int, seeds: list, *key: Column) -> DataFrame
 def stride(df: DataFrame, most: int, *order: Column) -> DataFrame:
     """Every k-th row by order, k = n // most + 1, if there are more than most; else all.
 
-    Places are counted in two steps, so that no task sorts all rows: rows of each range, then the ranges' sizes.
+    Places are counted in two steps, so that no task sorts all rows: rows of each range, then the ranges' sizes.  The
+    ranged rows are written to the shared folder: bounds are sampled, and a second run might draw others.
     """
+    from ..session import shared_folder
+
     n = df.count()
     step = n // most + 1 if n > most else 1
     if step == 1:
         return df
-    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+    path = f"{shared_folder(df.sparkSession)}/ranged-{uuid.uuid4().hex}"
+    ranged.write.parquet(path)
+    parts = df.sparkSession.read.schema(ranged.schema).parquet(path)
     sizes = parts.groupBy("_p").count().orderBy("_p").collect()  # one number for each partition
     base, at = [], 0
     for r in sizes:
@@ -117,8 +125,9 @@ def most_common(df: DataFrame, group: list[str], item: str, n: int, order: str)
 def similar_sets(left: DataFrame, right: DataFrame, threshold: float, same: bool = False) -> DataFrame:
     """left_id, right_id, jaccard of pairs of sets (columns id, items) of similarity threshold or more.
 
-    Prefix filtering: a set's rarest items suffice to find its partners, so frequent items don't meet.  same: left and
-    right are one table, whose pairs count once.
+    Prefix filtering: a set's rarest items suffice to find its partners, so frequent items don't meet.  What two sets share
+    of these and how much of each is left bounds their similarity; only pairs that may reach the threshold are compared.
+    same: left and right are one table, whose pairs count once.
     """
     from ..functions.vectors import jaccard
 
@@ -128,10 +137,14 @@ def similar_sets(left: DataFrame, right: DataFrame, threshold: float, same: bool
         ranked = sets.select("id", F.size("items").alias("size"), F.explode("items").alias("item")).join(df, "item")
         ordered = ranked.groupBy("id", "size").agg(F.array_sort(F.collect_list(F.struct("count", "item"))).alias("items"))
         keep = F.col("size") - F.ceil(threshold * F.col("size")) + 1
-        return ordered.select(F.col("id").alias(name), F.explode(F.slice("items", F.lit(1), keep.cast("int"))).alias("x")).select(name, "x.item")
+        rare = F.posexplode(F.slice("items", F.lit(1), keep.cast("int"))).alias("pos", "x")
+        return ordered.select(F.col("id").alias(f"{name}_id"), F.col("size").alias(f"{name}_size"), rare).select(f"{name}_id", f"{name}_size", (F.col(f"{name}_size") - F.col("pos") - 1).alias(f"{name}_left"), "x.item")
 
-    pairs = prefix(left, "left_id").join(prefix(right, "right_id"), "item").select("left_id", "right_id").distinct()
+    a, b = F.col("left_size"), F.col("right_size")
+    met = prefix(left, "left").join(prefix(right, "right"), "item").filter((a >= threshold * b - 1e-9) & (b >= threshold * a - 1e-9))
     if same:
-        pairs = pairs.filter("left_id < right_id")
+        met = met.filter("left_id < right_id")
+    pairs = met.groupBy("left_id", "right_id").agg(F.first("left_size").alias("left_size"), F.first("right_size").alias("right_size"), (F.count("*") + F.least(F.min("left_left"), F.min("right_left"))).alias("most"))
+    pairs = pairs.filter(F.col("most") >= threshold * (a + b - F.col("most")) - 1e-9).select("left_id", "right_id")
     out = pairs.join(left.select(F.col("id").alias("left_id"), F.col("items").alias("a")), "left_id").join(right.select(F.col("id").alias("right_id"), F.col("items").alias("b")), "right_id")
     return out.select("left_id", "right_id", jaccard(F.col("a"), F.col("b")).alias("jaccard")).filter(F.col("jaccard") >= threshold)

@@ -52,8 +52,9 @@ def lines_of(files: DataFrame, text: str = "text") -> DataFrame:
 def line_findings(files: DataFrame, rules: tuple[Rule, ...] = CATALOGUE, path: str | None = None) -> DataFrame:
     """A finding for each line and rule that hits it.  files: file, text.
 
-    Rules become columns of one projection over the exploded lines.
+    Texts without any match of any rule go first; then rules become columns of one projection over the exploded lines.
     """
+    files = files.filter(F.lower("text").rlike("(?m)" + "|".join(f"(?:{r.pattern})" for r in rules)))
     low = F.lower("value")
     p = F.col(path) if path else None
     found = F.filter(F.array(*(F.when(hits(F.col("value"), low, r, p), F.struct(F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity"))) for r in rules)), lambda x: x.isNotNull())
@@ -85,8 +86,9 @@ def guarded(lines: DataFrame, key: str, pattern: str, context: str, back: int =
 
 def context_window(lines: DataFrame, key: str, marked: Column, around: int = 15) -> DataFrame:
     """For each marked line its neighbourhood as text, numbers right-aligned and the line itself marked."""
-    hit = lines.filter(marked).select(key, F.col("line").alias("at"))
-    near = hit.join(lines, key).filter(F.col("line").between(F.col("at") - around, F.col("at") + around))
+    at = F.col("line").alias("at")
+    wanted = lines.filter(marked).select(key, at, F.explode(F.sequence(F.col("line") - around, F.col("line") + around)).alias("line"))
+    near = wanted.join(lines, [key, "line"])
     text = F.concat(F.when(F.col("line") == F.col("at"), ">>").otherwise("  "), F.lit(" "), F.lpad(F.col("line").cast("string"), 5, " "), F.lit("  "), F.col("value"))
     rows = near.groupBy(key, "at").agg(F.sort_array(F.collect_list(F.struct("line", text.alias("text")))).alias("x"))
     return rows.select(key, F.col("at").alias("line"), F.array_join(F.transform("x", lambda v: v["text"]), "\n").alias("context"))
@@ -106,8 +108,12 @@ def either_not(files: DataFrame, text: str, either: list[str], none: list[str])
     return files.filter(T.any_of(F.col(text), either) & ~T.any_of(F.col(text), none))
 
 
-def inside(outer: DataFrame, inner: DataFrame, negate: bool = False) -> DataFrame:
-    """inner spans (file, begin, stop) that lie within an outer span of their file, or don't."""
-    o = outer.select(F.col("file").alias("_f"), F.col("begin").alias("_b"), F.col("stop").alias("_s"))
-    on = (F.col("file") == F.col("_f")) & (F.col("begin") >= F.col("_b")) & (F.col("stop") <= F.col("_s"))
+def inside(outer: DataFrame, inner: DataFrame, negate: bool = False, bucket: int = 4096) -> DataFrame:
+    """inner spans (file, begin, stop) that lie within an outer span of their file, or don't.
+
+    Outer spans are cut at multiples of bucket, so that an inner one meets those only that reach the bucket it begins in.
+    """
+    cut = F.explode(F.sequence(F.floor(F.col("begin") / bucket), F.floor(F.col("stop") / bucket))).alias("_k")
+    o = outer.select(F.col("file").alias("_f"), F.col("begin").alias("_b"), F.col("stop").alias("_s"), cut)
+    on = (F.col("file") == F.col("_f")) & (F.floor(F.col("begin") / bucket) == F.col("_k")) & (F.col("begin") >= F.col("_b")) & (F.col("stop") <= F.col("_s"))
     return inner.join(o, on, "left_anti" if negate else "left_semi")

@@ -107,8 +107,8 @@ def knn(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     Each task keeps k for each query before rows meet.  queries, vectors: id, vector.
     """
     q = queries.select(F.col("id").alias("query"), F.col("vector").alias("_q"))
-    n = q.count()
-    blocks = max(1, math.ceil(n / 20_000))
+    size = q.agg(F.sum(8 * F.size("_q") + 16)).first()[0] or 0
+    blocks = max(1, math.ceil(size / SHIPPED))
     out = None
     for b in range(blocks):
         part = q.filter(F.pmod(F.xxhash64("query"), F.lit(blocks)) == b) if blocks > 1 else q

@@ -299,9 +299,12 @@ def tokens_of(pages: DataFrame) -> DataFrame:
 
 
 def templates_of(tokens: DataFrame) -> DataFrame:
-    """host, total, classes, linking, marks; tokens: of tokens_of()."""
-    hosts = tokens.filter(F.col("token") == F.lit(_hash(""))).select("host", F.col("pages").alias("total"))
-    t = tokens.join(hosts, "host").filter(F.col("pages") >= CLASS_SHARE * F.col("total"))
+    """host, total, classes, linking, marks, stored; tokens: of tokens_of()."""
+    hosts = stored(tokens.filter(F.col("token") == F.lit(_hash(""))).select("host", F.col("pages").alias("total")), "op5-hosts")
+    size = hosts.agg(F.sum(F.octet_length("host") + 32)).first()[0] or 0
+    # stored, so that a host with most of the tokens is thinned out before its rows meet
+    kept = tokens.join(F.broadcast(hosts) if size <= SHIPPED else hosts.hint("merge"), "host").filter(F.col("pages") >= CLASS_SHARE * F.col("total"))
+    t = stored(kept, "op5-often")
     groups = t.filter((F.col("kind") < 2) & (F.col("pages") >= MIN_PAGES)).groupBy("host", "pages", "vector", "many")
     classes = groups.agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("t"), F.min("kind").alias("least"), F.max("kind").alias("most")).filter("least = 0 AND most = 1")
     classes = classes.groupBy("host").agg(F.collect_list(F.struct("pages", F.col("t.token").alias("tokens"))).alias("classes"))
@@ -309,7 +312,9 @@ def templates_of(tokens: DataFrame) -> DataFrame:
     links = most & (F.col("kind") == 0) & (F.col("chars") > 0) & (F.col("linked") > MOST_LINKED * F.col("chars"))
     marks = most & (F.col("kind") == 2) & (F.col("pages") >= MIN_PAGES)
     rest = t.groupBy("host").agg(F.first("total").alias("total"), F.collect_list(F.when(links, F.col("token"))).alias("linking"), F.collect_list(F.when(marks, F.col("token"))).alias("marks"))
-    return rest.join(classes, "host", "left").select("host", "total", "classes", "linking", "marks")
+    out = stored(rest.join(classes, "host", "left").select("host", "total", "classes", "linking", "marks"), "op5-templates")
+    dropped(hosts, t)
+    return out
 
 
 def extracted(pages: DataFrame) -> DataFrame:
@@ -320,7 +325,7 @@ def extracted(pages: DataFrame) -> DataFrame:
     """
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host_of(F.col("url")).alias("host"), "html")
     tokens = stored(tokens_of(pages), "op5-tokens")
-    templates = stored(templates_of(tokens), "op5-templates")
+    templates = templates_of(tokens)
     dropped(tokens)
     in_classes = F.aggregate(F.coalesce("classes", F.array()), F.lit(0), lambda a, c: a + F.size(c["tokens"]) + 4)
     size = templates.agg(F.sum(8 * (in_classes + F.size("linking") + F.size("marks") + 16))).first()[0] or 0

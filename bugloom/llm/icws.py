@@ -509,5 +509,5 @@ def without_near_copies(docs: DataFrame) -> DataFrame:
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row for each document with its class."""
+    """One row for each document with its class; see near_classes() for nulls, empty tables and rows that repeat."""
     return near_classes(table(spark, "documents", sf_dir))

@@ -1,8 +1,10 @@
 """Packing of tokenised examples into sequences under simultaneous limits.
 
-An example takes tokens, one segment and its loss-bearing tokens from a sequence's room.  The dot-product heuristic fills
-one sequence after another, each time with the example that fits and has the largest inner product of its demand and the
-room left, both as shares of the limits.  Each task packs what it reads, so nothing is shuffled and a task holds at most
+An example takes tokens, one segment and its loss-bearing tokens from a sequence's room: all but its first token, or, for
+instruction data, the response at its end, whose length a column names.  The dot-product heuristic fills one sequence
+after another, each time with the example that fits and has the largest inner product of its demand and the room left,
+both as shares of the limits.  Where all of an example but one token bears loss, as in documents, the limits are collinear
+and the heuristic packs by length.  Each task packs what it reads, so nothing is shuffled and a task holds at most
 FLUSH tokens.  A sequence that no example fits any more and that is less than FULL full is cut at powers of two.
 """
 
@@ -170,31 +172,37 @@ class Packer:
 
     def __init__(self, first_sequence: int, limits: tuple[int, ...] = LIMITS) -> None:
         self.limits, self.next = limits, first_sequence
-        self.held: list[tuple[int | None, int, int, np.ndarray]] = []  # doc_id, start, doc_tokens, ids
+        self.held: list[tuple[int | None, int, int, np.ndarray, int]] = []  # doc_id, start, doc_tokens, ids, tokens that bear loss
         self.size, self.rows = 0, []
 
     def row(self, doc: int | None, start: int, total: int, ids: np.ndarray, offset: int) -> None:
         self.rows.append((doc, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), total, self.next, offset))
 
-    def add(self, doc: int | None, ids: np.ndarray) -> None:
-        """Whole sequences leave at once, the rest waits."""
-        most, n = min(self.limits[0], self.limits[2]), len(ids)
-        for a in range(0, n - n % most, most):
-            self.row(doc, a, n, ids[a : a + most], 0)
-            self.next += 1
-        if n % most:
-            self.held.append((doc, n - n % most, n, ids[n - n % most :].copy()))
-            self.size += n % most
+    def add(self, doc: int | None, ids: np.ndarray, loss: int | None = None) -> None:
+        """Whole sequences leave at once, other parts wait.  loss: how many tokens at the end bear it; null: all but the first of a part."""
+        n, a = len(ids), 0
+        quiet = None if loss is None else n - min(max(loss, 0), n)  # the first place that bears loss
+        while a < n:
+            most = self.limits[0] if quiet is not None else min(self.limits[0], self.limits[2])
+            stop = min(n, a + most) if quiet is None else min(n, a + most, max(a, quiet) + self.limits[2])
+            if stop - a == self.limits[0]:
+                self.row(doc, a, n, ids[a:stop], 0)
+                self.next += 1
+            else:
+                self.held.append((doc, a, n, ids[a:stop].copy(), stop - a - 1 if quiet is None else max(0, stop - max(a, quiet))))
+                self.size += stop - a
+            a = stop
         if self.size >= FLUSH:
             self.flush()
 
     def flush(self) -> None:
         n = np.array([len(x[3]) for x in self.held], np.int64)
-        for members in dot_product_pack(np.stack([n, np.ones_like(n), n - 1], axis=1), self.limits) if len(n) else []:
+        loss = np.array([x[4] for x in self.held], np.int64)
+        for members in dot_product_pack(np.stack([n, np.ones_like(n), loss], axis=1), self.limits) if len(n) else []:
             size = int(n[members].sum())
             ends = np.cumsum([size] if size >= FULL * self.limits[0] else powers_of_two(size)).tolist()
             at, begun = 0, 0  # ids so far, and where the sequence began
-            for doc, start, total, ids in (self.held[i] for i in members):
+            for doc, start, total, ids, _ in (self.held[i] for i in members):
                 a = 0
                 while a < len(ids):
                     step = min(len(ids) - a, ends[0] - at)
@@ -211,23 +219,25 @@ class Packer:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
 
-def packed(docs: DataFrame, vocabulary: str = VOCABULARY, end: int = END_ID, limits: tuple[int, ...] = LIMITS) -> DataFrame:
-    """SCHEMA for docs (doc_id, text)."""
+def packed(docs: DataFrame, vocabulary: str = VOCABULARY, end: int = END_ID, limits: tuple[int, ...] = LIMITS, loss: str | None = None) -> DataFrame:
+    """SCHEMA for docs (doc_id, text).  loss: the column with the number of tokens at an example's end that bear loss (null: all but the first)."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, packer = Ids(vocabulary, end), Packer(TaskContext.get().partitionId() << 33, limits)
         for batch in batches:
             for i, data, offs in blocks(batch.column(1)):
                 flat, bounds = tokens(data, offs)
+                some = batch.column(2).slice(i, len(offs) - 1).to_pylist()
                 for k, doc in enumerate(batch.column(0).slice(i, len(offs) - 1).to_pylist()):
-                    packer.add(doc, flat[bounds[k] : bounds[k + 1]])
+                    packer.add(doc, flat[bounds[k] : bounds[k + 1]], some[k])
                 if packer.rows:
                     yield packer.batch()
         packer.flush()
         if packer.rows:
             yield packer.batch()
 
-    return mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), of, SCHEMA)
+    bearing = F.lit(None).cast("int") if loss is None else F.col(loss).cast("int")
+    return mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", bearing.alias("loss")), of, SCHEMA)
 
 
 def op3_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -79,33 +79,49 @@ def grams_of(x: np.ndarray) -> np.ndarray:
     return range_hash(sums, np.arange(len(x) - Q + 1), np.arange(Q, len(x) + 1)) if len(x) >= Q else np.zeros(0, U64)
 
 
+#: Shared q-grams, once for each passage that holds one, that are at hand at a time.
+AT_HAND = 1 << 21
+
+
 def bands(x: np.ndarray, bounds: np.ndarray, p: Passages) -> np.ndarray:
-    """Rows (text, passage, first diagonal) of the bands that share enough q-grams; x: texts end to end."""
+    """Rows (text, passage, first diagonal) of the bands that share enough q-grams; x: texts end to end.
+
+    A q-gram that many passages hold is worked through in parts, whose counts by band are added up.
+    """
     grams = grams_of(x)
     maybe = np.flatnonzero(p.sieve[(grams & U64(SIEVE - 1)).astype(np.int64)])
     k = np.searchsorted(p.grams, grams[maybe])
     hit = k < len(p.grams)
     hit[hit] = p.grams[k[hit]] == grams[maybe[hit]]
     at, k = maybe[hit], k[hit]
+    most = len(x) + 2 * PASSAGE + 8  # bands of a text are fewer
+    keys, count, a = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+    total = np.concatenate([[0], np.cumsum(p.first[k + 1] - p.first[k])])
+    while a < len(k):
+        b = max(a + 1, int(np.searchsorted(total, total[a] + AT_HAND, "right")) - 1)
+        row, band = _hits(at[a:b], k[a:b], bounds, p)
+        every, which = np.unique(np.concatenate([keys, row * most + band, row * most + band - 1]), return_inverse=True)
+        count = np.bincount(which, np.concatenate([count, np.ones(2 * len(row))]), len(every)).astype(np.int64)
+        keys, a = every, b
+    row, band = keys // most, keys % most
+    text, owner = row // max(len(p.size), 1), row % max(len(p.size), 1)
+    enough = count >= p.least[owner]
+    text, owner, band = text[enough], owner[enough], band[enough]
+    wide = p.budget[owner] + 1
+    return np.stack([text, owner, (band - PASSAGE // wide - 2) * wide], axis=1)
+
+
+def _hits(at: np.ndarray, k: np.ndarray, bounds: np.ndarray, p: Passages) -> tuple[np.ndarray, np.ndarray]:
+    """(text and passage in one number, band) of each shared q-gram, for each passage that holds it."""
     n = p.first[k + 1] - p.first[k]
-    e = np.repeat(p.first[k], n) + in_runs(n)
-    at = np.repeat(at, n)
+    e, at = np.repeat(p.first[k], n) + in_runs(n), np.repeat(at, n)
     text = np.searchsorted(bounds, at, "right") - 1
     inside = at + Q <= bounds[text + 1]
     at, e, text = at[inside], e[inside], text[inside]
     owner = p.owner[e]
     wide = p.budget[owner] + 1
     base = PASSAGE // wide + 2  # keeps bands positive
-    band = (at - bounds[text] - p.place[e]) // wide + base
-    row = text * len(p.size) + owner
-    most = int(band.max()) + 2 if len(band) else 1
-    keys, count = np.unique(np.concatenate([row * most + band, row * most + band - 1]), return_counts=True)
-    row, band = keys // most, keys % most
-    text, owner = row // max(len(p.size), 1), row % max(len(p.size), 1)
-    enough = count >= p.least[owner]
-    text, owner, band = text[enough], owner[enough], band[enough]
-    wide = p.budget[owner] + 1
-    return np.stack([text, owner, (band - PASSAGE // wide - 2) * wide], axis=1)
+    return text * len(p.size) + owner, (at - bounds[text] - p.place[e]) // wide + base
 
 
 def aligned(x: np.ndarray, passage: np.ndarray, first: int, width: int) -> tuple[int, int, int]:
@@ -167,7 +183,9 @@ def query_blocks(benchmark: DataFrame) -> Iterator[Passages]:
 def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """SCHEMA: for each document and benchmark passage found in it, where (characters of the text) and with how many edits.
 
-    Null and empty texts match nothing; each of several like rows is reported; a null doc_id stays null.
+    Null and empty texts and items match nothing, nor do empty tables; each of several like rows is reported, equal items
+    count once; a null doc_id stays null.  Texts of any length are read whole; further columns are ignored, whatever their
+    names.
     """
 
     def scan(p: Passages):
@@ -187,7 +205,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs, with all their columns, that hold no benchmark passage."""
+    """The rows of docs, with all their columns, that hold no benchmark passage; null and empty texts and rows that repeat stay."""
     at = docs.columns.index("text")
 
     def without(p: Passages):
@@ -207,4 +225,5 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def op8_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark passage found in documents; see contaminations() for nulls, empty tables and rows that repeat."""
     return contaminations(table(spark, "documents", sf_dir), table(spark, "benchmark", sf_dir))

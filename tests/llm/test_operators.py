@@ -242,6 +242,33 @@ def test_dot_product_pack_keeps_limits():
         packing.dot_product_pack(demand, (100, 4, 45))
 
 
+def test_op3_loss_limits_bind(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    rng, t = random.Random(3), Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
+    rows = [(k, prose(rng, rng.randrange(0, 60)), rng.choice([None, 0, 5, 30, 10_000])) for k in range(150)] + [(None, None, None), (7, "", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, answer int").coalesce(1)
+    limits, hit = (64, 4, 24), collections.Counter()
+    lengths = {r[0]: (len(t.encode(r[1] or "", add_special_tokens=False).ids) + 1, r[2]) for r in rows[:150]}
+    taken, sequences = collections.Counter(), collections.defaultdict(list)
+    for r in packing.packed(docs, limits=limits, loss="answer").collect():
+        taken[r.doc_id] += r.length
+        sequences[r.sequence_id].append(r)
+    assert all(taken[k] == n for k, (n, _) in lengths.items() if k != 7)
+    for s in sequences.values():
+        loss = 0
+        for r in s:
+            n, answer = lengths.get(r.doc_id, (1, None))
+            loss += r.length - 1 if answer is None else max(0, r.start + r.length - max(r.start, n - min(answer, n)))
+        size = sum(r.length for r in s)
+        assert size <= 64 and len(s) <= 4
+        if 7 not in {r.doc_id for r in s}:
+            assert loss <= 24
+            hit.update({"tokens": size >= 62, "segments": len(s) == 4, "loss": loss == 24})
+    assert min(hit.values()) > 0
+
+
 def shingle_counts(t):
     w = re.findall("[a-z0-9\x80-\U0010ffff]+", (t or "").lower())
     return collections.Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else collections.Counter()
@@ -356,6 +383,40 @@ def test_op8_against_edit_distance(spark, docs, store):
     assert left == {*range(100, 120), 200, 201}
 
 
+def fewest_edits(p, x):
+    """Edits between p and the part of x that is most like it."""
+    row = [0] * (len(x) + 1)
+    for i, c in enumerate(p):
+        new = [i + 1]
+        for j, d in enumerate(x):
+            new.append(min(row[j] + (c != d), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return min(row)
+
+
+@pytest.mark.parametrize("at_hand", [1 << 21, 50])
+def test_op8_whole_answer_against_edit_distance(spark, monkeypatch, at_hand):
+    monkeypatch.setattr(qgram_decon, "AT_HAND", at_hand)
+    rng = random.Random(14)
+    word = lambda n: " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "eps"]) + str(rng.randrange(30)) for _ in range(n))
+    items = [word(6) for _ in range(5)] + [word(3)[:13], word(6)]
+    items.append(items[0][:20] + items[1][20:])  # shares q-grams with others
+    texts = []
+    for k in range(40):
+        v = list(items[k % len(items)])
+        for _ in range(rng.randrange(0, 5)):  # up to and beyond the budget
+            v[rng.randrange(len(v))] = rng.choice("xyz")
+        texts.append(word(rng.randrange(0, 6)) + " " + "".join(v) + " " + word(rng.randrange(0, 6)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "'c' AS item_id", "'c' AS passage")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string").selectExpr("*", "'c' AS doc_id")
+    budget = lambda p: min(int(qgram_decon.EDIT_RATE * len(p)), len(p) // qgram_decon.Q - 1)
+    want = {(i, j, e) for i, t in enumerate(texts) for j, p in enumerate(items) if (e := fewest_edits(p.lower(), " ".join(t.lower().split()))) <= budget(p)}
+    got = qgram_decon.contaminations(docs, bench).collect()
+    assert {(r.doc_id, r.item_id, r.edits) for r in got} == want and len(want) > 12
+    for r in got:
+        assert fewest_edits(items[r.item_id], " ".join(texts[r.doc_id][r.begin : r.stop].lower().split())) <= r.edits
+
+
 def test_aligned_is_edit_distance():
     rng = random.Random(6)
     for _ in range(40):

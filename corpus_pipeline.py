@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from bugloom.llm import gam_quality, icws, line_spread, packing, qgram_decon
-from bugloom.llm.common import stored, table
+from bugloom.llm.common import dropped, stored, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,5 +46,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written and read again."""
     docs = table(spark, "documents", sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        before, docs = docs, stored(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        dropped(before)  # but for the input, which isn't a scratch table
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -519,3 +519,11 @@ def declarative_rules(spark, at):
     n = F.col("doc_id")
     files = _docs(spark, at).select(F.concat(n, F.lit("/"), _pick(n, *(f[0] for f in PATTERN_FIXTURES))).alias("path"), F.concat(_pick(n, *(f[1] for f in PATTERN_FIXTURES)), F.lit("\n# "), "source").alias("text"))
     return patterns.pattern_findings(files).drop("message")
+
+
+@query("""SELECT lang, count(*) FILTER (WHERE label >= 0) AS n_clusters, count(*) FILTER (WHERE label >= 0 AND c >= 5) AS n_surviving, count(*) FILTER (WHERE label >= 0 AND c < 5) AS n_dropped, CAST(coalesce(sum(n) FILTER (WHERE label = -1), 0) AS BIGINT) AS n_noise
+  FROM (SELECT lang, label, count(*) AS n, count(DISTINCT k) AS c FROM (SELECT 'l' || vec_id % 3 AS lang, CASE WHEN vec_id % 4 = 0 THEN -1 ELSE label END AS label, vec_id % (label + 2) AS k FROM embeddings) GROUP BY ALL) GROUP BY lang""")
+def cluster_summary(spark, at):
+    n = F.col("vec_id")
+    e = table(spark, "embeddings", at).select(F.concat(F.lit("l"), n % 3).alias("lang"), F.when(n % 4 == 0, -1).otherwise(F.col("label")).alias("label"), (n % (F.col("label") + 2)).alias("k"))
+    return report.cluster_summary(e, "lang", "label", "k", 5)

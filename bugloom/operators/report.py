@@ -67,6 +67,14 @@ def language_summary(entries: DataFrame, group: str, noise, cap: int, key: str,
     return sizes.groupBy(group).agg(F.sum("n").alias("n_raw"), F.sum("kept").alias("n_filtered"), F.sum(F.least("kept", F.lit(cap))).cast("long").alias("n_capped"))
 
 
+def cluster_summary(entries: DataFrame, group: str, cluster: str, commit: str, least: int) -> DataFrame:
+    """n_clusters, n_surviving (with enough commits), n_dropped and n_noise of each group."""
+    sizes = entries.groupBy(group, cluster).agg(F.count("*").alias("n"), F.countDistinct(commit).alias("commits"))
+    real, enough = F.col(cluster) >= 0, F.col("commits") >= least
+    out = sizes.groupBy(group).agg(F.count_if(real).alias("n_clusters"), F.count_if(real & enough).alias("n_surviving"), F.coalesce(F.sum(F.when(F.col(cluster) == -1, F.col("n"))), F.lit(0)).alias("n_noise"))
+    return out.withColumn("n_dropped", F.col("n_clusters") - F.col("n_surviving"))
+
+
 def verdict_counts(rows: DataFrame, names: list[str]) -> DataFrame:
     """A row for each name, also of verdicts that don't occur."""
     zero = rows.sparkSession.createDataFrame([(n,) for n in names], "verdict string")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.vectors import normalised
 from ..operators import corpus, hdbscan, quality, report, vectorise
 from ..sources import sinks
 
@@ -44,6 +45,18 @@ def run(inducing: DataFrame, bugs: DataFrame, fixes: DataFrame, embed, settings:
     return {"corpus": entries.drop("ord"), "clusters": cents, "bundles": sinks.cluster_bundles(entries, settings.min_commits), "top": top}
 
 
+def clustered_by_era(rows: DataFrame, cap: int, seed: int, min_cluster_size: int, min_samples: int = 2) -> tuple[DataFrame, DataFrame]:
+    """(entries without noise and beyond the cap, with id and era; id and cluster_id).  Each language's eras are clustered apart.
+
+    rows: corpus rows with embeddings.  Eras with too few rows have no clusters and take no numbers.
+    """
+    kept = corpus.cleaned(rows, cap, seed).withColumn("id", F.xxhash64("bug_key", "file_path", "buggy_code")).dropDuplicates(["id"])
+    entries = kept.drop("cluster_id").withColumn("era", T.era(F.col("committed_at")))
+    vectors = entries.select("language", "era", "id", normalised(F.col("embedding")).alias("vector"))
+    labels = hdbscan.clustered(vectors, ["language", "era"], min_cluster_size, min_samples, True)
+    return entries, hdbscan.numbered(labels, ["language", "era"], least=min_cluster_size)
+
+
 def validated(rules: DataFrame, hits: DataFrame, n_sampled: DataFrame) -> DataFrame:
     """rule_id, precision, recall, ship.  rules: rule_id, target, n_tests; hits: rule_id, matched, fp, clean; n_sampled: rule_id, n."""
     r = rules.join(hits, "rule_id", "left").join(n_sampled, "rule_id", "left").na.fill(0, ["matched", "fp", "clean", "n"])

@@ -132,8 +132,26 @@ def test_cli_scan(spark, tmp_path):
     assert cli.main(["gate", str(tmp_path / "hits.jsonl")]) == 1
 
 
+FIXTURE_DIFF = """diff --git a/src/A.scala b/src/A.scala
+index 1..2 100644
+--- a/src/A.scala
++++ b/src/A.scala
+@@ -3,2 +3,3 @@ class A
+ same
+-old line
++new line
++another
+diff --git a/src/Gone.scala b/src/Gone.scala
+deleted file mode 100644
+--- a/src/Gone.scala
++++ /dev/null
+@@ -1 +0,0 @@
+-val gone = 1
+"""
+FIXTURE_SOURCE = 'class OpenSpots {\n  val openSpots = capacity - participants\n  def f = logger.info(s"got $form.id")\n}\n'
+
+
 def test_sql_table_functions(spark):
-    from bugloom.catalog import FIXTURE_DIFF, FIXTURE_SOURCE
     from bugloom.functions import registry
 
     registry.register(spark)
@@ -141,3 +159,27 @@ def test_sql_table_functions(spark):
     assert {(r.rule, r.line) for r in spark.sql("SELECT f.* FROM inputs, LATERAL scan_text(path, text, NULL) f").collect()} == {("UnclampedOpenSpots", 2), ("BrokenInterpolationFieldAccess", 3)}
     assert [(r.path, r.removed) for r in spark.sql("SELECT f.* FROM inputs, LATERAL parse_diff(diff, true) f ORDER BY ord").collect()] == [("src/A.scala", "old line"), ("src/Gone.scala", "val gone = 1")]
     assert [tuple(r) for r in spark.sql("SELECT f.* FROM inputs, LATERAL diff_ranges(diff) f").collect()] == [("src/A.scala", 3, 5)]
+
+
+def test_cli_cluster(spark, tmp_path):
+    rows = []
+    for era, year in enumerate((2016, 2020)):
+        for k in range(24):
+            centre = [1.0, 0.0] if k % 2 else [0.0, 1.0]
+            rows.append({"bug_key": f"B{era}-{k}", "file_path": f"a/f{k}.scala", "language": "scala", "buggy_code": f"x{era}{k}", "bug_summary": "crash", "embedding": [c + 0.001 * k for c in centre], "committed_at": f"{year}-01-01"})
+    rows.append({**rows[0], "bug_key": "N", "bug_summary": "Merge branch x"})
+    (tmp_path / "c.jsonl").write_text("\n".join(map(json.dumps, rows)))
+    assert cli.main(["cluster", str(tmp_path / "c.jsonl"), str(tmp_path / "out")]) == 0
+    found = spark.read.json(str(tmp_path / "out/bundles")).collect()
+    assert sum(r.size for r in found) >= 40 and {r.cluster_id // 1000 for r in found} == {0, 1}
+    s = spark.read.json(str(tmp_path / "out/summary")).first()
+    assert (s.language, s.n_raw, s.n_filtered, s.n_clusters, s.n_dropped) == ("scala", 49, 48, len(found), 0)
+
+
+def test_pattern_rules(spark):
+    from bugloom.operators import patterns
+
+    files = spark.createDataFrame([("a.go", "x, _ = f()\n"), ("a.py", "x, _ = f()\n"), ("b.go", None), (None, "x, _ = f()"), ("src/__tests__/a.ts", "prices.sort()"), ("src/a.ts", "prices.sort()\nnew Date()")], "path string, text string")
+    assert sorted((r.rule, r.file, r.line) for r in patterns.pattern_findings(files).collect()) == [("go-ignored-error", "a.go", 1), ("ts-array-sort-numbers-without-comparator", "src/__tests__/a.ts", 1), ("ts-array-sort-numbers-without-comparator", "src/a.ts", 1)]
+    named = patterns.pattern_findings(files, names=("calendar-now-without-explicit-timezone",)).collect()
+    assert [(r.file, r.line) for r in named] == [("src/a.ts", 2)]

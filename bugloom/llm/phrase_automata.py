@@ -42,24 +42,44 @@ def automaton(phrases: list[tuple[int, ...]]) -> ahocorasick.Automaton:
 
 
 def located(texts: list[bytes], counts: np.ndarray, often: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, offset, phrase) of every occurrence of the phrases of `length` words that recur, in order of text and offset.
+    """(text, offset, phrase) of every window of `length` words that recurs, in order of text and offset; alike windows have one phrase.
 
-    counts: the windows of each text; often: texts that stand in many places, so all their windows recur.
+    counts: the windows of each text; often: texts that stand in many places, so all their windows recur.  A passage of
+    such a text is one phrase of the automaton from end to end, if none of its windows seems to stand in another text.
     """
     numbers: dict[bytes, int] = {}
-    words = [[numbers.setdefault(w, len(numbers)) for w in t.split(b" ")] for t in texts]
-    flat = np.fromiter((w for t in words for w in t), np.int64, sum(map(len, words)))
+    words = [[numbers.setdefault(w, len(numbers)) for w in t.split()] for t in texts]
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    flat = np.fromiter((w for t in words for w in t), np.int64, int(size.sum()))
     sums = prefix_sums(mix(flat.astype(U64) + U64(1)))
+    first = np.concatenate([[0], np.cumsum(counts)])
     text, offset = np.repeat(np.arange(len(texts)), counts), in_runs(counts)
-    begin = np.concatenate([[0], np.cumsum(list(map(len, words)))])[text] + offset
+    begin = np.concatenate([[0], np.cumsum(size)])[text] + offset
     _, one, which, n = np.unique(range_hash(sums, begin, begin + length), return_index=True, return_inverse=True, return_counts=True)
-    n[which[often[text]]] += 1
-    phrases = one[n > 1]
-    if not len(phrases):
+    alone = np.bincount(text, n[which] > 1, len(texts)) == 0
+    passages = np.flatnonzero(often & alone)
+    seen = n.copy()
+    seen[which[often[text]]] += 1
+    windows = one[(seen > 1) & ~(often & alone)[text[one]]]
+    phrases = [tuple(words[text[i]][offset[i] : offset[i] + length]) for i in windows.tolist()] + [tuple(words[i]) for i in passages.tolist()]
+    if not phrases:
         return (np.zeros(0, np.int64),) * 3
-    find = automaton([tuple(words[text[i]][offset[i] : offset[i] + length]) for i in phrases])
-    found = [(i, end - length + 1, p) for i, t in enumerate(words) for end, p in find.iter(tuple(t))]
-    return tuple(np.array(found, np.int64).reshape(-1, 3).T)
+    find = automaton(phrases)
+    hits = np.array([(i, end, p) for i, t in enumerate(words) for end, p in find.iter(tuple(t))], np.int64).reshape(-1, 3)
+    whole = hits[:, 2] >= len(windows)
+    i, end, p = hits[~whole].T
+    where, until, passage = hits[whole].T
+    # a passage's windows: numbered after the windows that are phrases of their own
+    passage = passages[passage - len(windows)]
+    many = counts[passage]
+    begin = until - size[passage] + 1
+    runs = in_runs(many)
+    found = [np.concatenate(x) for x in ((i, np.repeat(where, many)), (end - length + 1, np.repeat(begin, many) + runs), (p, len(windows) + first[np.repeat(passage, many)] + runs))]
+    # a passage may repeat a window within itself, and be told by several phrases
+    order = np.lexsort((found[2], found[1], found[0]))
+    i, o, p = (x[order] for x in found)
+    new = np.append(True, (i[1:] != i[:-1]) | (o[1:] != o[:-1]))[: len(order)]
+    return i[new], o[new], p[new]
 
 
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, core: int = CORE, hot: int = HOT_CORE, shard: int = SHARD) -> DataFrame:
@@ -91,9 +111,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, core: int = CORE, hot
         yield s.ranges(row[~first], start[~first], *runs_in(text, offset, len(s.n)))
         yield s.ranges(row[first], start[first], *runs_in(text[~earliest], offset[~earliest], len(s.n)))
 
-    found = stored(mapped(pieces(docs, shared, length, "words", hot, shard), search, RANGES), "op7-ranges")
-    dropped(shared)
-    return found
+    return stored(mapped(pieces(docs, shared, length, "words", hot, shard), search, RANGES), "op7-ranges")
 
 
 def cleaned(docs: DataFrame, length: int = LENGTH) -> DataFrame:

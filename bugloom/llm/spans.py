@@ -146,134 +146,140 @@ def shared_only(all_spans: DataFrame) -> DataFrame:
     return shared
 
 
-#: times: how many rows alike in doc_id and text hold the piece; starts: where it begins in them.
+#: starts: where in the document the piece begins; times: how many rows alike in doc_id and text hold it.
 PIECES = "shard long, rid long, doc_id long, times int, starts array<long>, n int, piece binary"
-_PLACE = ("kh", "sh", "n", "rep", "hot", "shards")
 
 
-def _routes(shared: DataFrame, hot: int, shard: int) -> DataFrame:
-    """shared with rep (the first of its kind), hot and shards (how many its core has, or its kind if the core is hot)."""
+def _routes(shared: DataFrame, hot: int, shard: int) -> tuple[DataFrame, int]:
+    """(rid, to, n, deal, starts: a row for each span of shared and shard that it goes to; the number of spans).
+
+    deal: whether the span's windows are also dealt out one by one: it is the first of its kind and its core is hot.
+    """
     kinds = stored(shared.groupBy("kh", "sh").agg(F.count("*").alias("rows"), F.min(F.struct("doc_id", "rid")).alias("one")), "kinds")
     cores = stored(kinds.groupBy("kh").agg((F.count("*") > hot).alias("hot"), F.sum("rows").alias("all")), "kinds-of-cores")
+    size = cores.agg(F.sum("all")).first()[0] or 0
     rows = F.when(F.col("hot"), F.col("rows")).otherwise(F.col("all"))
-    routes = stored(kinds.join(cores, "kh").select("kh", "sh", "one", "hot", F.ceil(rows / shard).cast("int").alias("shards")), "routes")
+    base = F.when(F.col("hot"), F.xxhash64("kh", "sh")).otherwise(F.col("kh"))
+    routes = stored(kinds.join(cores, "kh").select("kh", "sh", "one", "hot", base.alias("base"), F.ceil(rows / shard).cast("int").alias("shards")), "routes")
     dropped(kinds, cores)
     out = shared.join(routes.hint("merge"), ["kh", "sh"]).withColumn("rep", F.struct("doc_id", "rid") == F.col("one"))
+    own = F.array(F.pmod(F.xxhash64("rid", "sh"), "shards").cast("int"))
+    out = out.withColumn("salt", F.explode(F.when(F.col("rep"), F.sequence(F.lit(0), F.col("shards") - 1)).otherwise(own)))
+    deal = F.col("rep") & F.col("hot") & (F.col("salt") == 0)
+    out = out.select("rid", F.xxhash64("base", "salt").alias("to"), "n", deal.alias("deal"), "starts")
     out._scratch = routes._scratch
-    return out
+    return out, size
 
 
 def pieces(docs: DataFrame, shared: DataFrame, length: int, unit: str, hot: int, shard: int) -> DataFrame:
-    """PIECES of the spans in shared, dealt out by shard; docs: of keyed()."""
-    routes = _routes(shared, hot, shard)
-    lists = stored(routes.groupBy("rid").agg(F.collect_list(F.struct(*_PLACE, "starts")).alias("places")), "places")
-    dropped(routes)
+    """PIECES of the spans in shared, dealt out by shard; docs: of keyed().  shared is deleted."""
+    routes, size = _routes(shared, hot, shard)
+    lists = stored(routes.groupBy("rid").agg(F.collect_list(F.struct("to", "n", "deal", "starts")).alias("places")), "places")
+    dropped(routes, shared)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
         for batch in batches:
             data, offs = text_buffers(batch.column(1))
-            rids, ids = batch.column(0).to_pylist(), batch.column(3).to_pylist()
-            for i in range(batch.num_rows):
-                places = batch.column(2)[i].values
-                kh, sh, n, rep, is_hot, shards = (places.field(k).to_numpy(zero_copy_only=False) for k in _PLACE)
-                kh, sh = kh.view(U64), sh.view(U64)
-                first, times = _alike(kh, sh)
-                edges, every = places.field("starts").offsets.to_numpy().tolist(), places.field("starts").values.to_numpy().tolist()
-                text = data[offs[i] : offs[i + 1]].tobytes()
-                symbols, glue = (text, None) if unit == "bytes" else (text.split(), b" ")
-                base = np.where(is_hot, mix(kh ^ mix(sh + U64(1))), kh)
-                salt = mix(kh + sh + U64(rids[i] & (1 << 64) - 1)) % shards.astype(U64)
-                to = _shard(base, salt).tolist()
-                for j, m in zip(first.tolist(), times.tolist(), strict=True):
-                    size = int(n[j])
-                    into = _shard(base[j], np.arange(shards[j], dtype=U64)).tolist() if rep[j] and shards[j] > 1 else to[j : j + 1]
-                    for piece, at in _by_piece(symbols, every[edges[j] : edges[j + 1]], size + length - 1, glue):
-                        out += [(s, rids[i], ids[i], m, at, size, piece) for s in into]
-                        if is_hot[j] and rep[j]:
-                            for k in range(size):
-                                window, here = next(_by_piece(symbols, [at[0] + k], length, glue))
-                                out.append((_digest(window), rids[i], ids[i], m, [*here, *(a + k for a in at[1:])], 1, window))
-                    if len(out) > 5_000:
-                        yield _piece_rows(out)
-                        out = []
-        if out:
-            yield _piece_rows(out)
-
-    rows = shared.count()
-    n_shards = max(parts(docs.sparkSession), math.ceil(rows / shard))
-    at_hand = docs.select("rid", "text", "doc_id").join(lists.hint("merge"), "rid").select("rid", "text", "places", "doc_id")
-    return mapped(at_hand, cut, PIECES).repartition(n_shards, "shard")
-
-
-def _alike(kh: np.ndarray, sh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first of each, how often) of places alike: those of rows that repeat."""
-    order = np.lexsort((sh, kh))
-    k, s = kh[order], sh[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (k[1:] != k[:-1]) | (s[1:] != s[:-1])
-    at = np.flatnonzero(new)
-    return order[at], np.diff(np.append(at, len(order)))
-
-
-def _shard(base: np.ndarray, salt: np.ndarray) -> np.ndarray:
-    return mix(base + salt * U64(0xA24BAED4963EE407)).view(np.int64)
-
+            for i, j in _blocks(offs):
+                here, edges = data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
+                lists_ = batch.column(2).slice(i, j - i)
+                flat, bounds = lists_.flatten(), lists_.offsets.to_numpy() - lists_.offsets[0].as_py()
+                to, n, deal = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("to", "n", "deal"))
+                starts, first = flat.field("starts").values.to_numpy(), flat.field("starts").offsets.to_numpy()
+                row = np.repeat(np.arange(j - i), np.diff(bounds))
+                if unit == "bytes":
+                    begin, end, at = np.arange(len(here)), np.arange(1, len(here) + 1), edges
+                else:
+                    begin, end, at = words(here, edges)
+                # a place that came more than once is of rows that repeat
+                order = np.lexsort((n, starts[first[:-1]], to, row))
+                key = [x[order] for x in (row, to, starts[first[:-1]], n)]
+                new = np.append(True, np.logical_or.reduce([x[1:] != x[:-1] for x in key]))[: len(order)]
+                head = np.flatnonzero(new)
+                keep, times = order[head], np.diff(np.append(head, len(order)))
+                ids = [batch.column(c).slice(i, j - i) for c in (0, 3)]
+                for a in range(0, len(keep), 5_000):
+                    some = keep[a : a + 5_000]
+                    yield from _cut(here, begin, end, at, row[some], to[some], n[some], times[a : a + 5_000], starts, first[some], first[some + 1], length, ids)
+                dealt = np.flatnonzero(deal[keep])
+                for a in range(0, len(dealt), 100):
+                    some, m = keep[dealt[a : a + 100]], times[dealt[a : a + 100]]
+                    many = n[some]
+                    which = np.repeat(np.arange(len(some)), many)
+                    lists__ = [starts[x:y] for x, y in zip(first[some], first[some + 1], strict=True)]
+                    moved = [lists__[w] + o for w, o in zip(which.tolist(), in_runs(many).tolist(), strict=True)]
+                    ends = np.cumsum([0, *map(len, moved)])
+                    yield from _cut(here, begin, end, at, row[some][which], None, np.ones(len(which), np.int32), m[which], np.concatenate(moved), ends[:-1], ends[1:], length, ids)
 
-def _by_piece(symbols, starts: list[int], size: int, glue: bytes | None) -> Iterator[tuple[bytes, list[int]]]:
-    """The pieces that begin at starts, each different one once, with its starts."""
-    found: dict[bytes, list[int]] = {}
-    for a in starts:
-        found.setdefault(symbols[a : a + size] if glue is None else glue.join(symbols[a : a + size]), []).append(a)
-    return iter(found.items())
+    at_hand = docs.select("rid", "text", "doc_id").join(lists.hint("merge"), "rid").select("rid", "text", "places", "doc_id")
+    return mapped(at_hand, cut, PIECES).repartition(max(parts(docs.sparkSession), math.ceil(size / shard)), "shard")
+
+
+def _cut(data, begin, end, at, row, to, n, times, starts, lo, hi, length, ids) -> Iterator[pa.RecordBatch]:
+    """PIECES of places: a row, n windows from each of starts[lo:hi]; to: their shards, or none if their content tells."""
+    if not len(row):
+        return
+    one = at[row] + starts[lo]
+    b, e = begin[one], end[one + n + length - 2]
+    size = e - b
+    raw = data[np.repeat(b, size) + in_runs(size)]
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    if to is None:
+        to = np.array([_digest(raw[x:y].tobytes()) for x, y in zip(offsets[:-1], offsets[1:], strict=True)], np.int64)
+    several = np.flatnonzero(hi - lo > 1)
+    pieces_ = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(raw)])
+    counts = hi - lo
+    every = starts[np.repeat(lo, counts) + in_runs(counts)]
+    for k in several.tolist():  # the hashes say that the others are alike: their symbols tell
+        if any(_symbols(data, begin, end, at[row[k]] + s, n[k] + length - 1) != _symbols(data, begin, end, one[k], n[k] + length - 1) for s in starts[lo[k] + 1 : hi[k]].tolist()):
+            raise ValueError("two spans of one text share both hashes but not their symbols")
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(every))
+    take = pa.array(row)
+    columns = [pa.array(to), ids[0].take(take), ids[1].take(take), pa.array(times.astype(np.int32)), lists, pa.array(n.astype(np.int32)), pieces_]
+    yield pa.RecordBatch.from_arrays(columns, ["shard", "rid", "doc_id", "times", "starts", "n", "piece"])
+
+
+def _symbols(data: np.ndarray, begin: np.ndarray, end: np.ndarray, a: int, size: int) -> list[bytes]:
+    return data[begin[a] : end[a + size - 1]].tobytes().split() if end[a] - begin[a] > 1 or size > 1 else [data[a : a + 1].tobytes()]
 
 
 def _digest(window: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "big", signed=True)
-
-
-def _piece_rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["shard", "rid", "doc_id", "times", "starts", "n", "piece"])
+    return int.from_bytes(hashlib.blake2b(b" ".join(window.split()), digest_size=8).digest(), "big", signed=True)
 
 
 class Shard:
     """The pieces of a task: each different one once, and the rows that hold it.
 
-    by_shard: pieces of different shards differ, whatever they hold.  A row that came twice (as its document's row repeats)
-    counts once here; `times` says how often it stands.
+    by_shard: pieces of different shards differ, whatever they hold.  A place that came twice counts once.
     """
 
     def __init__(self, batches: Iterator[pa.RecordBatch], by_shard: bool) -> None:
         rows = [b for b in batches if b.num_rows]
-        t = pa.Table.from_batches(rows).combine_chunks() if rows else None
-        size = len(t) if t else 0
-        self.keys: dict = {}
-        self.pieces: list[bytes] = []
-        entry, keep, seen, n = [], [], set(), []
-        if size:
-            shard, rid, count = (t[k].to_numpy() for k in ("shard", "rid", "n"))
-            lists = t["starts"].chunk(0)
-            starts, edges = lists.values.to_numpy(), lists.offsets.to_numpy()
-            begins = starts[edges[:-1]]
-            places = zip(shard.tolist() if by_shard else [0] * size, rid.tolist(), begins.tolist(), count.tolist(), strict=True)
-            for i, (place, piece) in enumerate(zip(places, t["piece"].to_pylist(), strict=True)):
-                if place in seen:
-                    continue
-                seen.add(place)
-                key = (place[0], piece)
-                if key not in self.keys:
-                    self.keys[key] = len(self.pieces)
-                    self.pieces.append(piece), n.append(place[3])
-                entry.append(self.keys[key]), keep.append(i)
-        self.n, self.entry = np.array(n, np.int64), np.array(entry, np.int64)
-        keep = np.array(keep, np.int64)
-        self.rid = rid[keep] if size else keep
-        self.doc = t["doc_id"].fill_null(-(1 << 63)).to_numpy()[keep] if size else keep
-        self.times = t["times"].to_numpy()[keep].astype(np.int64) if size else keep
-        self.first = begins[keep] if size else keep
-        self.how_many = np.diff(edges)[keep] if size else keep
-        self.starts = starts[np.repeat(edges[:-1][keep], self.how_many) + in_runs(self.how_many)] if size else keep
+        if not rows:
+            self.entry = np.zeros(0, np.int64)
+            return
+        t = pa.Table.from_batches(rows).combine_chunks()
+        shard, rid, count = (t[k].to_numpy() for k in ("shard", "rid", "n"))
+        shard = shard if by_shard else np.zeros(len(t), np.int64)
+        lists = t["starts"].chunk(0)
+        starts, edges = lists.values.to_numpy(), lists.offsets.to_numpy()
+        content = t["piece"].chunk(0).dictionary_encode()
+        order = np.lexsort((count, starts[edges[:-1]], rid, shard))
+        key = [x[order] for x in (shard, rid, starts[edges[:-1]], count)]
+        keep = np.sort(order[np.append(True, np.logical_or.reduce([x[1:] != x[:-1] for x in key]))])
+        codes = content.indices.to_numpy()[keep]
+        order = np.lexsort((codes, shard[keep]))
+        a, c = shard[keep][order], codes[order]
+        new = np.append(True, (a[1:] != a[:-1]) | (c[1:] != c[:-1]))
+        self.entry = np.empty(len(keep), np.int64)
+        self.entry[order] = np.cumsum(new) - 1
+        some = keep[order[new]]
+        self.pieces: list[bytes] = t["piece"].take(pa.array(some)).to_pylist()
+        self.shards, self.n = shard[some], count[some].astype(np.int64)
+        self.rid, self.doc = rid[keep], t["doc_id"].fill_null(-(1 << 63)).to_numpy()[keep]
+        self.times = t["times"].to_numpy()[keep].astype(np.int64)
+        self.first, self.how_many = starts[edges[:-1]][keep], np.diff(edges)[keep]
+        self.starts = starts[np.repeat(edges[:-1][keep], self.how_many) + in_runs(self.how_many)]
 
     def ranges(self, row: np.ndarray, start: np.ndarray, bounds: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> pa.RecordBatch:
         """RANGES for occurrences (row, start) of entries, whose offsets are begin to stop; bounds: where each entry's are."""

@@ -111,16 +111,13 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, core: int = CORE, hot
             return
         often = np.bincount(s.entry, s.times * s.how_many, len(s.pieces)) > 1
         texts = [*s.pieces, *(p for p, o in zip(s.pieces, often.tolist(), strict=True) if o)]
-        marks = np.array([k for k, _ in s.keys], np.int64)
         again = np.flatnonzero(often)
-        flags = repeated_windows(texts, np.append(s.n, s.n[again]), length, np.append(marks, marks[again]))[: int(s.n.sum())]
+        flags = repeated_windows(texts, np.append(s.n, s.n[again]), length, np.append(s.shards, s.shards[again]))[: int(s.n.sum())]
         found = np.flatnonzero(flags)
         row, start, _ = s.occurrences()
         yield s.ranges(row, start, *runs_in(np.repeat(np.arange(len(s.n)), s.n)[found], in_runs(s.n)[found], len(s.n)))
 
-    found = stored(mapped(pieces(docs, shared, length, "bytes", hot, shard), search, RANGES), "op4-ranges")
-    dropped(shared)
-    return found
+    return stored(mapped(pieces(docs, shared, length, "bytes", hot, shard), search, RANGES), "op4-ranges")
 
 
 def covered(begin: np.ndarray, stop: np.ndarray, length: int) -> np.ndarray:

@@ -47,14 +47,18 @@ def resolved(captures: DataFrame, stretches: int = STRETCHES) -> DataFrame:
     full = F.when((F.col("kind") == "response") & F.col("url_key").isNotNull() & F.col("ts").isNotNull(), F.struct("ts", "record_id", F.map_entries("headers").alias("headers"), "digest"))
     c = c.withColumn("full", full)
     within = Window.partitionBy("url_key", "stretch").orderBy("ts").rangeBetween(Window.unboundedPreceding, -1)
-    here = c.withColumn("near", F.max("full").over(within)).filter("kind = 'revisit'")
+    # rows without a url or time match nothing, and would meet in one partition
+    known = "url_key IS NOT NULL AND ts IS NOT NULL"
+    here = c.filter(known).withColumn("near", F.max("full").over(within)).filter("kind = 'revisit'")
     latest = c.filter("full IS NOT NULL").groupBy("url_key", "stretch").agg(F.max("full").alias("last"))
     # a stretch with revisits only also needs what came before it
     slots = latest.unionByName(c.filter("kind = 'revisit' AND url_key IS NOT NULL AND ts IS NOT NULL").select("url_key", "stretch").distinct().withColumn("last", F.lit(None).cast(latest.schema["last"].dataType)))
     slots = slots.groupBy("url_key", "stretch").agg(F.max("last").alias("last"))
     before = Window.partitionBy("url_key").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
     carried = slots.withColumn("far", F.max("last").over(before)).select("url_key", "stretch", "far")
-    out = here.join(carried, ["url_key", "stretch"], "left").withColumn("found", F.coalesce("near", "far"))
+    out = here.join(carried, ["url_key", "stretch"], "left").withColumn("found", F.coalesce("near", "far")).drop("near", "far")
+    lost = c.filter(f"kind = 'revisit' AND NOT ({known})").withColumn("found", F.lit(None).cast(c.schema["full"].dataType))
+    out = out.unionByName(lost)
 
     stored_headers = F.map_from_entries("found.headers")
     tag = lambda m: F.regexp_replace(F.element_at(m, F.lit("etag")), r"^W/", "")

@@ -111,7 +111,10 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, core: int = CORE, hot
         yield s.ranges(row[~first], start[~first], *runs_in(text, offset, len(s.n)))
         yield s.ranges(row[first], start[first], *runs_in(text[~earliest], offset[~earliest], len(s.n)))
 
-    return stored(mapped(pieces(docs, shared, length, "words", hot, shard), search, RANGES), "op7-ranges")
+    dealt = pieces(docs, shared, length, "words", hot, shard)
+    found = stored(mapped(dealt, search, RANGES), "op7-ranges")
+    dropped(dealt)
+    return found
 
 
 def cleaned(docs: DataFrame, length: int = LENGTH) -> DataFrame:

@@ -31,7 +31,9 @@ from .common import U64, byte_symbols, dropped, in_runs, mapped, mix, parts, pre
 
 #: Symbols handled at once; owners carry their place in as many low bits.
 BLOCK = 1 << 19
-SPAN_SCHEMA = "kh long, sh long, rid long, doc_id long, starts array<long>, n int"
+#: at: the first start in the text times 2 ** 20, plus the number of windows; more: further starts, null if there are none.
+SPAN_SCHEMA = "kh long, sh long, rid long, doc_id long, at long, more array<long>"
+_N = 20
 
 
 def runs_of(symbols: np.ndarray, bounds: np.ndarray, length: int, core: int) -> tuple[np.ndarray, ...]:
@@ -122,8 +124,11 @@ def spans(docs: DataFrame, length: int, core: int, unit: str) -> DataFrame:
                 new = np.ones(len(order), bool)
                 new[1:] = (kh[1:] != kh[:-1]) | (sh[1:] != sh[:-1]) | (text[1:] != text[:-1])
                 first = np.flatnonzero(new)
-                starts = pa.ListArray.from_arrays(pa.array(np.append(first, len(order)).astype(np.int32)), pa.array(start[order]))
-                yield pa.RecordBatch.from_arrays([*(pa.array(x[first]) for x in (kh.view(np.int64), sh.view(np.int64), *(i[order] for i in ids))), starts, pa.array(n[first].astype(np.int32))], ["kh", "sh", "rid", "doc_id", "starts", "n"])
+                at = (start[order][first] << _N) + n[first]
+                many = np.diff(np.append(first, len(order)))
+                edges = pa.array(np.concatenate([[0], np.cumsum(many - 1)]).astype(np.int32), mask=np.append(many == 1, False))
+                more = pa.ListArray.from_arrays(edges, pa.array(start[order][~new]))
+                yield pa.RecordBatch.from_arrays([*(pa.array(x[first]) for x in (kh.view(np.int64), sh.view(np.int64), *(i[order] for i in ids))), pa.array(at), more], ["kh", "sh", "rid", "doc_id", "at", "more"])
 
     return mapped(docs.select("doc_id", "text", "rid"), of, SPAN_SCHEMA)
 
@@ -140,7 +145,7 @@ def _blocks(offs: np.ndarray) -> list[tuple[int, int]]:
 def shared_only(all_spans: DataFrame) -> DataFrame:
     """The spans whose core occurs twice or more, stored.  Counts combine before the shuffle."""
     # stored, so that the join's other side can be split where a core is hot
-    cores = stored(all_spans.groupBy("kh").agg(F.sum(F.size("starts")).alias("c")).filter("c > 1").select("kh"), "cores")
+    cores = stored(all_spans.groupBy("kh").agg(F.sum(F.when(F.col("more").isNull(), 1).otherwise(F.size("more") + 1)).alias("c")).filter("c > 1").select("kh"), "cores")
     shared = stored(all_spans.join(cores, "kh"), "shared")
     dropped(cores)
     return shared
@@ -155,24 +160,27 @@ def _routes(shared: DataFrame, hot: int, shard: int) -> tuple[DataFrame, int]:
 
     deal: whether the span's windows are also dealt out one by one: it is the first of its kind and its core is hot.
     """
-    kinds = stored(shared.groupBy("kh", "sh").agg(F.count("*").alias("rows"), F.min(F.struct("doc_id", "rid")).alias("one")), "kinds")
+    order = [c for c in ("doc_id", "rid") if c in shared.columns]
+    kinds = stored(shared.groupBy("kh", "sh").agg(F.count("*").alias("rows"), F.min(F.struct(*order)).alias("one")), "kinds")
     cores = stored(kinds.groupBy("kh").agg((F.count("*") > hot).alias("hot"), F.sum("rows").alias("all")), "kinds-of-cores")
     size = cores.agg(F.sum("all")).first()[0] or 0
     rows = F.when(F.col("hot"), F.col("rows")).otherwise(F.col("all"))
     base = F.when(F.col("hot"), F.xxhash64("kh", "sh")).otherwise(F.col("kh"))
     routes = stored(kinds.join(cores, "kh").select("kh", "sh", "one", "hot", base.alias("base"), F.ceil(rows / shard).cast("int").alias("shards")), "routes")
     dropped(kinds, cores)
-    out = shared.join(routes.hint("merge"), ["kh", "sh"]).withColumn("rep", F.struct("doc_id", "rid") == F.col("one"))
+    out = shared.join(routes.hint("merge"), ["kh", "sh"]).withColumn("rep", F.struct(*order) == F.col("one"))
     own = F.array(F.pmod(F.xxhash64("rid", "sh"), "shards").cast("int"))
     out = out.withColumn("salt", F.explode(F.when(F.col("rep"), F.sequence(F.lit(0), F.col("shards") - 1)).otherwise(own)))
     deal = F.col("rep") & F.col("hot") & (F.col("salt") == 0)
-    out = out.select("rid", F.xxhash64("base", "salt").alias("to"), "n", deal.alias("deal"), "starts")
+    first, n = F.shiftright("at", _N), F.col("at").bitwiseAND((1 << _N) - 1).cast("int")
+    starts = F.when(F.col("more").isNull(), F.array(first)).otherwise(F.concat(F.array(first), "more"))
+    out = out.select("rid", F.xxhash64("base", "salt").alias("to"), n.alias("n"), deal.alias("deal"), starts.alias("starts"))
     out._scratch = routes._scratch
     return out, size
 
 
 def pieces(docs: DataFrame, shared: DataFrame, length: int, unit: str, hot: int, shard: int) -> DataFrame:
-    """PIECES of the spans in shared, dealt out by shard; docs: of keyed().  shared is deleted."""
+    """PIECES of the spans in shared, dealt out by shard; docs: of keyed().  shared is deleted; dropped() takes what this stores."""
     routes, size = _routes(shared, hot, shard)
     lists = stored(routes.groupBy("rid").agg(F.collect_list(F.struct("to", "n", "deal", "starts")).alias("places")), "places")
     dropped(routes, shared)
@@ -212,7 +220,9 @@ def pieces(docs: DataFrame, shared: DataFrame, length: int, unit: str, hot: int,
                     yield from _cut(here, begin, end, at, row[some][which], None, np.ones(len(which), np.int32), m[which], np.concatenate(moved), ends[:-1], ends[1:], length, ids)
 
     at_hand = docs.select("rid", "text", "doc_id").join(lists.hint("merge"), "rid").select("rid", "text", "places", "doc_id")
-    return mapped(at_hand, cut, PIECES).repartition(max(parts(docs.sparkSession), math.ceil(size / shard)), "shard")
+    out = mapped(at_hand, cut, PIECES).repartition(max(parts(docs.sparkSession), math.ceil(size / shard)), "shard")
+    out._scratch = lists._scratch
+    return out
 
 
 def _cut(data, begin, end, at, row, to, n, times, starts, lo, hi, length, ids) -> Iterator[pa.RecordBatch]:

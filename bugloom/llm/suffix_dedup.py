@@ -101,7 +101,7 @@ def repeated_windows(texts: list[bytes], counts: np.ndarray, length: int, marks:
 
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, core: int = CORE, hot: int = HOT_CORE, shard: int = SHARD) -> DataFrame:
     """RANGES of the byte windows (starts begin to stop - 1) of docs (of keyed()) that stand elsewhere too, stored."""
-    sampled = stored(spans(docs, length, core, "bytes"), "op4-spans")
+    sampled = stored(spans(docs, length, core, "bytes").drop("doc_id"), "op4-spans")
     shared = shared_only(sampled)
     dropped(sampled)
 
@@ -117,7 +117,10 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, core: int = CORE, hot
         row, start, _ = s.occurrences()
         yield s.ranges(row, start, *runs_in(np.repeat(np.arange(len(s.n)), s.n)[found], in_runs(s.n)[found], len(s.n)))
 
-    return stored(mapped(pieces(docs, shared, length, "bytes", hot, shard), search, RANGES), "op4-ranges")
+    dealt = pieces(docs, shared, length, "bytes", hot, shard)
+    found = stored(mapped(dealt, search, RANGES), "op4-ranges")
+    dropped(dealt)
+    return found
 
 
 def covered(begin: np.ndarray, stop: np.ndarray, length: int) -> np.ndarray:

@@ -220,8 +220,11 @@ def pieces(docs: DataFrame, shared: DataFrame, length: int, unit: str, hot: int,
                     yield from _cut(here, begin, end, at, row[some][which], None, np.ones(len(which), np.int32), m[which], np.concatenate(moved), ends[:-1], ends[1:], length, ids)
 
     at_hand = docs.select("rid", "text", "doc_id").join(lists.hint("merge"), "rid").select("rid", "text", "places", "doc_id")
-    out = mapped(at_hand, cut, PIECES).repartition(max(parts(docs.sparkSession), math.ceil(size / shard)), "shard")
-    out._scratch = lists._scratch
+    # stored, so that the texts' shuffle is gone before that of the pieces begins
+    at_shards = stored(mapped(at_hand, cut, PIECES), "pieces")
+    dropped(lists)
+    out = at_shards.repartition(max(parts(docs.sparkSession), math.ceil(size / shard)), "shard")
+    out._scratch = at_shards._scratch
     return out
 
 

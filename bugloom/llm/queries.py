@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import collocations, gam_quality, gbt_quality, html_template, icws, line_spread, packing, phrase_automata, qgram_decon, suffix_dedup, warc_revisit
+from . import collocations, gam_quality, gbt_quality, html_template, icws, line_spread, packing, phrase_automata, qgram_decon, suffix_dedup, top_products, warc_revisit
 
 QUERIES = {
     "op1_quality_rules": gbt_quality.op1_quality_rules,
@@ -16,7 +16,8 @@ QUERIES = {
     "op9_line_spread": line_spread.op9_line_spread,
     "op10_near_duplicates": icws.op10_near_duplicates,
     "op11_phrase_collocations": collocations.op11_phrase_collocations,
+    "op12_top_products": top_products.op12_top_products,
 }
 
 #: No entry where SQL can't express the operator; tests/llm compares those with brute force.
-ORACLE_SQL: dict[str, str] = {"op2_warc_revisit": warc_revisit.OP2_SQL, "op9_line_spread": line_spread.OP9_SQL, "op11_phrase_collocations": collocations.OP11_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_warc_revisit": warc_revisit.OP2_SQL, "op9_line_spread": line_spread.OP9_SQL, "op11_phrase_collocations": collocations.OP11_SQL, "op12_top_products": top_products.OP12_SQL}

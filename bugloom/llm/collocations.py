@@ -29,7 +29,7 @@ from .common import dropped, mapped, parts, stored, table, text_buffers
 #: Words of the longest phrase, least occurrences, rows of each language.
 LONGEST, LEAST, TOP = 5, 100, 2000
 #: Bytes of text in a segment, keys in a range, sampled keys for each border of ranges.
-SEGMENT, RANGE, SAMPLES = 1 << 24, 1 << 21, 16
+SEGMENT, RANGE, SAMPLES = 1 << 24, 1 << 20, 16
 #: Beyond so many words the dictionary is joined by a shuffle.
 BROADCAST_WORDS = 1_000_000
 
@@ -167,6 +167,16 @@ def _text(rows: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(rows).view(f"S{rows.shape[1]}").ravel()  # compares as bytes do: all rows are of one width
 
 
+def squeezed(rows: np.ndarray) -> bytes:
+    """Rows of bytes, column by column and compressed: the columns of sorted keys are alike in long runs."""
+    return pa.compress(np.ascontiguousarray(rows.T), codec="zstd", asbytes=True)
+
+
+def spread(cell: pa.BinaryScalar, n: int, width: int) -> np.ndarray:
+    """What squeezed() has packed."""
+    return np.ascontiguousarray(np.frombuffer(pa.decompress(cell.as_buffer(), n * width, codec="zstd", asbytes=True), np.uint8).reshape(width, n).T)
+
+
 def borders(coded: DataFrame, n_keys: int, ranges: int, width: int, longest: int) -> np.ndarray:
     """Keys between ranges of about one size, from evenly spaced samples; they decide who sorts what, not what is counted."""
     step = max(1, n_keys // (SAMPLES * ranges))
@@ -188,7 +198,7 @@ def borders(coded: DataFrame, n_keys: int, ranges: int, width: int, longest: int
 
 
 def dealt(coded: DataFrame, edges: np.ndarray, width: int, longest: int) -> DataFrame:
-    """range, keys, counts: each segment's distinct keys in order, cut at the borders."""
+    """range, n, keys, counts: each segment's distinct keys in order, cut at the borders."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,19 +209,19 @@ def dealt(coded: DataFrame, edges: np.ndarray, width: int, longest: int) -> Data
                 rows, counts = runs(rows, np.ones(len(rows), np.int64))
                 cuts = np.concatenate([[0], np.searchsorted(_text(rows), edges), [len(rows)]])
                 full = np.flatnonzero(np.diff(cuts))
-                ends = np.append(0, cuts[full + 1])
-                binary = lambda data, n: pa.Array.from_buffers(pa.binary(), len(full), [None, pa.py_buffer((ends * n).astype(np.int32)), pa.py_buffer(data.tobytes())])
-                yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int64)), binary(rows, width * longest), binary(counts.astype("<u4"), 4)], ["range", "keys", "counts"])
+                parts_of = [(rows[cuts[r] : cuts[r + 1]], counts[cuts[r] : cuts[r + 1]].astype("<u4")) for r in full]
+                yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int64)), pa.array([len(r) for r, _ in parts_of]), pa.array([squeezed(r) for r, _ in parts_of], pa.binary()), pa.array([squeezed(c.view(np.uint8).reshape(-1, 4)) for _, c in parts_of], pa.binary())], ["range", "n", "keys", "counts"])
 
-    return mapped(coded.select("ids"), of, "range long, keys binary, counts binary")
+    return mapped(coded.select("ids"), of, "range long, n long, keys binary, counts binary")
 
 
 def counted(dealt_keys: DataFrame, width: int, longest: int, least: int) -> DataFrame:
     """key (two to `longest` ids), a: the phrases that occur `least` times."""
 
     def of(group: pa.Table) -> pa.Table:
-        rows = np.frombuffer(b"".join(x.as_buffer() for x in group["keys"]), np.uint8).reshape(-1, width * longest)
-        rows, counts = runs(rows, np.frombuffer(b"".join(x.as_buffer() for x in group["counts"]), "<u4").astype(np.int64))
+        sizes = group["n"].to_pylist()
+        rows = np.concatenate([spread(x, n, width * longest) for x, n in zip(group["keys"], sizes, strict=True)])
+        rows, counts = runs(rows, np.concatenate([spread(x, n, 4) for x, n in zip(group["counts"], sizes, strict=True)]).view("<u4").ravel().astype(np.int64))
         keys, sums = [], []
         differs = rows[1:] != rows[:-1]
         for k in range(2, longest + 1):

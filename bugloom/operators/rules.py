@@ -49,17 +49,15 @@ def lines_of(files: DataFrame, text: str = "text") -> DataFrame:
     return files.select(*keep, F.posexplode(F.split(text, "\n", -1)).alias("pos", "value")).select(*keep, (F.col("pos") + 1).alias("line"), "value")
 
 
-def line_findings(files: DataFrame, rules: tuple[Rule, ...] = CATALOGUE, path: str | None = None) -> DataFrame:
-    """A finding for each line and rule that hits it.  files: file, text.
+def line_findings(files: DataFrame, rules: tuple[Rule, ...] = CATALOGUE, path: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """A finding for each line and rule that hits it.  files: file, text and the columns to keep.
 
-    Texts without any match of any rule go first; then rules become columns of one projection over the exploded lines.
+    Each rule looks at each line by itself, as columns of one projection over the exploded lines, lowered once.
     """
-    files = files.filter(F.lower("text").rlike("(?m)" + "|".join(f"(?:{r.pattern})" for r in rules)))
-    low = F.lower("value")
-    p = F.col(path) if path else None
+    low, p = F.col("_low"), F.col(path) if path else None
     found = F.filter(F.array(*(F.when(hits(F.col("value"), low, r, p), F.struct(F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity"))) for r in rules)), lambda x: x.isNotNull())
-    rows = lines_of(files).withColumn("found", found).filter(F.size("found") > 0)
-    return rows.select(F.explode("found").alias("f"), "file", "line", F.left(F.btrim("value"), F.lit(200)).alias("snippet")).select("f.rule", "f.severity", "file", "line", "snippet")
+    rows = lines_of(files).withColumn("_low", F.lower("value")).select("*", F.explode(found).alias("f"))
+    return rows.select("f.rule", "f.severity", "file", "line", F.left(F.btrim("value"), F.lit(200)).alias("snippet"), *keep)
 
 
 def rule_table(spark: SparkSession, rules: tuple[Rule, ...] = CATALOGUE) -> DataFrame:

@@ -115,6 +115,12 @@ def last_commit(entries: DataFrame) -> DataFrame:
     return entries.agg(F.max_by("commit_sha", F.struct("committed_at", "commit_sha")).alias("commit_sha"))
 
 
+def recurring(rows: DataFrame, keys: list[str], repo: str, order: str, least: int, lang: str) -> DataFrame:
+    """keys, n, n_sources, first_file, n_langs of what stands in `least` repositories or more; order: the least is the first."""
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.count_distinct(repo).alias("n_sources"), F.min(order).alias("first_file"), F.count_distinct(lang).alias("n_langs"))
+    return counts.filter(F.col("n_sources") >= least)
+
+
 def first_examples(rows: DataFrame, group: list[str], n: int, *order) -> DataFrame:
     return first_n(rows, group, n, *order)
 

@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .catalog import ORACLE_SQL, _vectors, query
-from .operators import vector_index
+from .catalog import LINES, ORACLE_SQL, _vectors, query
+from .operators import diffs, vector_index
 from .session import shared_folder, table
 
 
@@ -26,3 +26,41 @@ def vector_index_exact(spark, at):
     vector_index.built(v, path, 32)
     found = vector_index.search(spark, path, v.filter("id % 50 = 0"), 5, 4, exact=True)
     return found.select("query", "id", F.round("cos", 6).alias("cos"), F.col("rank").cast("long").alias("rank"))
+
+
+# --- diffs of several files and hunks: five lines of a document make a file, its first and fourth begin hunks ---
+
+_AT = f"(SELECT doc_id, source, (line - 1) // 5 AS f, line - 1 AS i, [' ', '-', '+'][(line - 1) % 3 + 1] || value AS marked, '@@ -' || line || ',2 +' || line || CASE WHEN line % 7 > 0 THEN ',' || (line - 1) % 4 ELSE '' END || ' @@ f()' AS hunk FROM {LINES})"
+
+
+def _shown(trap: str) -> str:
+    shown = f"CASE WHEN i % 5 IN (0, 3) THEN hunk || CASE WHEN {trap} THEN '' ELSE chr(10) END ELSE '' END || CASE WHEN {trap} THEN '' ELSE marked END"
+    alone = f"i % 5 IN (0, 3) OR NOT ({trap})"
+    return f"""SELECT doc_id, CAST(f AS INTEGER) AS ord, 'dir ' || f || '/F' || doc_id || '.scala' AS path, string_agg({shown}, chr(10) ORDER BY i) FILTER (WHERE {alone}) AS body,
+  coalesce(string_agg(substr(marked, 2), chr(10) ORDER BY i) FILTER (WHERE starts_with(marked, '-') AND NOT starts_with(marked, '---')), '') AS removed FROM {_AT} GROUP BY doc_id, f"""
+
+
+def _many(spark, at):
+    path = lambda i: F.concat(F.lit("dir "), F.floor(i / 5), F.lit("/F"), "doc_id", F.lit(".scala"))
+    header = lambda i: F.concat(F.lit("diff --git a/"), path(i), F.lit(" b/"), path(i), F.lit("\nindex 1..2\n--- a/"), path(i), F.lit("\n+++ b/"), path(i), F.lit("\n"))
+    hunk = lambda i: F.concat(F.lit("@@ -"), i + 1, F.lit(",2 +"), i + 1, F.when((i + 1) % 7 > 0, F.concat(F.lit(","), i % 4)).otherwise(""), F.lit(" @@ f()\n"))
+    mark = lambda i: F.when(i % 3 == 0, " ").when(i % 3 == 1, "-").otherwise("+")
+    lines = F.transform(F.split("text", "\n", -1), lambda x, i: F.concat(F.when(i % 5 == 0, header(i)).otherwise(""), F.when((i % 5 == 0) | (i % 5 == 3), hunk(i)).otherwise(""), mark(i), x))
+    return _docs(spark, at).select("doc_id", "source", F.array_join(lines, "\n").alias("diff"))
+
+
+@query(_shown("false"))
+def many_files_show(spark, at):
+    return diffs.parsed(_many(spark, at).drop("source"), False, ["doc_id"])
+
+
+@query(_shown("starts_with(marked, '+++ ') OR starts_with(marked, '--- ')"))
+def many_files_pull(spark, at):
+    return diffs.parsed(_many(spark, at).drop("source"), True, ["doc_id"])
+
+
+@query(f"""SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INTEGER) AS ord, file, CAST(start AS INTEGER) AS start, CAST(start + n - 1 AS INTEGER) AS "end", source FROM
+  (SELECT doc_id, source, i, 'dir ' || f || '/F' || doc_id || '.scala' AS file, i + 1 AS start, CASE WHEN (i + 1) % 7 > 0 THEN i % 4 ELSE 1 END AS n FROM {_AT} WHERE i % 5 IN (0, 3)) WHERE n > 0""")
+def many_hunks_ranges(spark, at):
+    d = _many(spark, at)
+    return diffs.added_ranges(d, ["doc_id"]).join(d.select("doc_id", "source"), "doc_id")

@@ -300,17 +300,17 @@ def _diffs(spark, at):
 
 @query(f"SELECT doc_id, 0 AS ord, 'src/F' || doc_id || '.scala' AS path, rtrim(pulled, chr(10)) AS body, removed FROM {SHOWN}")
 def parse_diff(spark, at):
-    return diffs.parsed(_diffs(spark, at).select("doc_id", "diff"), pull=True).withColumn("body", F.rtrim(F.col("body"), F.lit("\n")))
+    return diffs.parsed(_diffs(spark, at).select("doc_id", "diff"), True, ["doc_id"]).withColumn("body", F.rtrim(F.col("body"), F.lit("\n")))
 
 
 @query(f"SELECT doc_id, 0 AS ord, 'src/F' || doc_id || '.scala' AS path, rtrim(body, chr(10)) AS body, removed FROM {SHOWN}")
 def show_diff(spark, at):
-    return diffs.parsed(_diffs(spark, at).select("doc_id", "diff"), pull=False).withColumn("body", F.rtrim(F.col("body"), F.lit("\n")))
+    return diffs.parsed(_diffs(spark, at).select("doc_id", "diff"), False, ["doc_id"]).withColumn("body", F.rtrim(F.col("body"), F.lit("\n")))
 
 
 @query("SELECT doc_id, 0 AS ord, 'src/F' || doc_id || '.scala' AS file, CAST(doc_id % 100 + 1 AS INTEGER) AS start, CAST(doc_id % 100 + CASE WHEN doc_id % 5 > 0 THEN doc_id % 4 ELSE 1 END AS INTEGER) AS \"end\" FROM documents WHERE doc_id % 5 = 0 OR doc_id % 4 > 0")
 def diff_added_ranges(spark, at):
-    return diffs.added_ranges(_diffs(spark, at).select("doc_id", "diff"))
+    return diffs.added_ranges(_diffs(spark, at).select("doc_id", "diff"), ["doc_id"])
 
 
 @query(f"""SELECT 'commit-' || left(md5(CAST(doc_id AS VARCHAR)), 12) AS bug_key, source AS repo, 'src/F' || doc_id || '.scala' AS file_path, 'scala' AS language, code AS buggy_code, cut AS fix_diff, 'Fix: crash (#' || doc_id || ') PROJ-7' AS bug_summary, 'PROJ-7,PROJ-9' AS labels, CAST(0.7 AS DOUBLE) AS szz_confidence, CAST(doc_id AS INTEGER) AS pr_number, lang || ' proj-9' AS pr_body_excerpt

@@ -6,13 +6,12 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 
 _SHOW = re.compile(r"diff --git a/(.+) b/(.+)$")
-_GIT = re.compile(r"diff --git a/\S+ b/(\S+)")
 _HUNK = re.compile(r"^@@ -\d+(?:,\d+)? \+(\d+)(?:,(\d+))? @@")
 
 
@@ -82,9 +81,9 @@ def ranges_of(diff: str) -> list[tuple[str, int, int]]:
     """
     out = []
     for header, *lines in _sections(diff):
-        if named := _GIT.match(header):
+        if named := _SHOW.match(header):
             hunks = (m for line in lines if (m := _HUNK.match(line)))
-            out += [(named[1], start, start + n - 1) for start, n in ((int(m[1]), int(m[2] or 1)) for m in hunks) if n]
+            out += [(named[2], start, start + n - 1) for start, n in ((int(m[1]), int(m[2] or 1)) for m in hunks) if n]
     return out
 
 
@@ -99,12 +98,78 @@ def _table(diffs: DataFrame, parse, names: list[str], schema: str) -> DataFrame:
     return diffs.select(*(f.name for f in kept), "diff").mapInPandas(of, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "ord int", schema]))
 
 
-def parsed(diffs: DataFrame, pull: bool) -> DataFrame:
-    """The files of each diff, in order; diffs: diff and further columns, which are kept."""
+#: What ends a line, besides which a last line needs no end.
+_ENDS = r"\r\n|[\n\x0b\x0c\r\x1c-\x1e\x85\u2028\u2029]"
+
+
+def lines_of(diffs: DataFrame, key: list[str]) -> DataFrame:
+    """key, pos, line of each diff's lines; a key names one diff."""
+    lines = F.split("diff", _ENDS, -1)
+    lines = F.when(F.element_at(lines, -1) == "", F.slice(lines, 1, F.size(lines) - 1)).otherwise(lines)
+    return diffs.select(*key, F.posexplode(lines).alias("pos", "line"))
+
+
+def _carried(lines: DataFrame, key: list[str]) -> DataFrame:
+    """Lines of files with the header line of their file, its place (section), and of the last hunk's first line.
+
+    lines: key, pos, line, of any source: a diff may be larger than a task's memory, since header and hunk are carried
+    forward over its ordered lines.
+    """
+    w = Window.partitionBy(*key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    begins, line = F.startswith("line", F.lit("diff --git ")), F.col("line")
+    last = lambda c: F.last(c, ignorenulls=True).over(w)
+    new = F.nullif(F.nullif(_named(line, "+++ ", "b/"), F.lit("/dev/null")), F.lit(""))
+    old = F.nullif(F.nullif(_named(line, "--- ", "a/"), F.lit("/dev/null")), F.lit(""))
+    rows = lines.select("*", begins.alias("begins"), new.alias("new"), old.alias("old"))
+    rows = rows.select("*", last(F.when(begins, line)).alias("header"), last(F.when(begins, F.col("pos"))).alias("section"), last(F.when(line.startswith("@@"), F.col("pos"))).alias("hunk"), last(F.when(F.col("new").isNotNull(), F.col("pos"))).alias("named"))
+    return rows.filter(F.col("section").isNotNull() & ~F.col("begins")).withColumn("in_hunk", F.coalesce(F.col("hunk") > F.col("section"), F.lit(False)))
+
+
+def _named(line: Column, mark: str, prefix: str) -> Column:
+    bare = F.regexp_replace(F.substring(line, 5, 1 << 30), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.when(line.startswith(mark), F.regexp_replace(bare, "^" + prefix, ""))
+
+
+def files_in(lines: DataFrame, key: list[str], pull: bool) -> DataFrame:
+    """key, ord, path, body, removed: the files of diffs that come as lines, as files_of_pull or files_of_show tell them.
+
+    Only a file's own lines meet in a row.
+    """
+    rows, line = _carried(lines, key), F.col("line")
+    header = (line.startswith("+++ ") | line.startswith("--- ")) if pull else F.lit(False)
+    kept, gone = F.col("in_hunk") & ~header, line.startswith("-") & ~line.startswith("---")
+    ordered = lambda keep, x: F.array_join(F.transform(F.sort_array(F.collect_list(F.when(keep, F.struct("pos", x.alias("x"))))), lambda v: v["x"]), "\n")
+    new, old = F.max(F.when(F.col("new").isNotNull(), F.struct("pos", "new"))), F.min(F.when(F.col("old").isNotNull() & ~F.coalesce(F.col("named") > F.col("section"), F.lit(False)), F.struct("pos", "old")))
+    files = rows.groupBy(*key, "section", "header").agg(ordered(kept, line).alias("body"), ordered(kept & gone, F.substring(line, 2, 1 << 30)).alias("removed"), F.bool_or("in_hunk").alias("in_hunk"), new.alias("n"), old.alias("o"))
+    shown = F.nullif(F.regexp_extract("header", r"(?s)^diff --git a/(.+) b/(.+)\z", 2), F.lit(""))
+    files = files.withColumn("path", F.coalesce("n.new", "o.old") if pull else F.when(F.col("in_hunk"), shown)).filter("path IS NOT NULL")
+    return files.select(*key, (F.row_number().over(Window.partitionBy(*key).orderBy("section")) - 1).alias("ord"), "path", "body", "removed")
+
+
+def ranges_in(lines: DataFrame, key: list[str]) -> DataFrame:
+    """key, ord, file, start, end: the new sides of the hunks of diffs that come as lines, as ranges_of tells them."""
+    part = lambda k: F.regexp_extract("line", r"^@@ -\d+(?:,\d+)? \+(\d+)(?:,(\d+))? @@", k)
+    start, n = part(1).try_cast("int"), F.coalesce(F.nullif(part(2), F.lit("")).try_cast("int"), F.lit(1))
+    path = F.nullif(F.regexp_extract("header", r"(?s)^diff --git a/(.+) b/(.+)\z", 2), F.lit(""))
+    rows = _carried(lines, key).select(*key, "pos", path.alias("file"), start.alias("start"), (start + n - 1).alias("end")).filter("file IS NOT NULL AND end >= start")
+    return rows.select(*key, (F.row_number().over(Window.partitionBy(*key).orderBy("pos")) - 1).alias("ord"), "file", "start", "end")
+
+
+def parsed(diffs: DataFrame, pull: bool, key: list[str] | None = None) -> DataFrame:
+    """The files of each diff, in order; diffs: diff and further columns, which are kept.
+
+    With a key that names a diff its lines are dealt with in the JVM, else each diff is a text of one Python call.
+    """
+    if key:
+        others = [c for c in diffs.columns if c != "diff"]
+        found = files_in(lines_of(diffs, key), key, pull)
+        return (diffs.select(*others).join(found, key) if set(others) > set(key) else found).select(*others, "ord", "path", "body", "removed")
     return _table(diffs, files_of_pull if pull else files_of_show, ["path", "body", "removed"], "path string, body string, removed string")
 
 
-def added_ranges(diffs: DataFrame) -> DataFrame:
+def added_ranges(diffs: DataFrame, key: list[str] | None = None) -> DataFrame:
+    if key:
+        return ranges_in(lines_of(diffs, key), key)
     return _table(diffs, ranges_of, ["file", "start", "end"], "file string, start int, end int")
 
 

@@ -549,4 +549,4 @@ def stream_threshold_cross(spark, at):
     return _run(spark, incremental.threshold_crossings(incremental.table_stream(spark, at, "events").select("user_id"), "user_id", 5), "crossings")
 
 
-from . import catalog_further, catalog_more  # noqa: E402, F401  they register further queries
+from . import catalog_more, catalog_further  # noqa: E402, F401  they register further queries

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .catalog import LINES, ORACLE_SQL, _vectors, query
-from .operators import diffs, vector_index
+from .catalog_more import FIXTURES, PATTERN_FIXTURES
+from .operators import diffs, patterns, scanners, vector_index
 from .session import shared_folder, table
 
 
@@ -64,3 +65,71 @@ def many_files_pull(spark, at):
 def many_hunks_ranges(spark, at):
     d = _many(spark, at)
     return diffs.added_ranges(d, ["doc_id"]).join(d.select("doc_id", "source"), "doc_id")
+
+
+# --- rules over whole texts: a document is the comments of a source file, with a piece of code after half of its lines ---
+
+
+def _value(v) -> str:
+    return "NULL" if v is None else str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
+
+
+def _rows_sql(rows) -> str:
+    return ", ".join("(" + ", ".join(_value(v) for v in (k, *r)) + ")" for k, r in enumerate(rows))
+
+
+def _planted(spark, at, fixtures, comment: str):
+    """path, text: the document's lines as comments, and one fixture's code among them."""
+    pick = lambda place: F.element_at(F.array(*(F.lit(f[place]) for f in fixtures)), (F.col("doc_id") % len(fixtures) + 1).cast("int"))
+    lines = F.transform(F.split("text", "\n", -1), lambda x: F.concat(F.lit(comment), x))
+    half = F.floor(F.size(lines) / 2).cast("int")
+    text = F.array_join(F.concat(F.slice(lines, 1, half), F.array(pick(1)), F.slice(lines, half + 1, F.size(lines))), "\n")
+    return _docs(spark, at).select(F.concat("source", F.lit("/"), "doc_id", F.lit("/"), pick(0)).alias("path"), text.alias("text"))
+
+
+#: ending of the path, code, rule or None, line in it, snippet, severity, category, message
+TEMPLATE_FIXTURES = (
+    ("BookingRepo.scala", "class R {\n  def all = coll.find(Filters.and(Filters.eq(\"a\", 1), Filters.gt(\"t\", f(2, 3))))\n}", "missing-meta-site-filter-mongo", 2, 'coll.find(Filters.and(Filters.eq("a", 1), Filters.gt("t", f(2, 3))))', "high", "tenancy", "a query isn't scoped to its site"),
+    ("BookingRepo.scala", "class R {\n  def all = coll.find(Filters.and(Filters.gt(\"t\", f(2, 3)), Filters.eq(\"metaSiteId\", site(x))))\n}", None, None, None, None, None, None),
+    ("dao/B.scala", "class R {\n\n  def one = db.bookings.findOne(byId(id))\n}", "missing-meta-site-filter-mongo", 3, "db.bookings.findOne(byId(id))", "high", "tenancy", "a query isn't scoped to its site"),
+    ("dao/B.scala", 'val q = coll.find(base.append("metaSiteId", id))', None, None, None, None, None, None),
+    ("S.scala", "val x = Await.result(call(a, b), 5.seconds)", "no-await-result-in-production", 1, "Await.result(call(a, b), 5.seconds)", "high", "reliability", "a thread waits for a future"),
+    ("test/S.scala", "val x = Await.result(call(a, b), 5.seconds)", None, None, None, None, None, None),
+    ("S.scala", 'val x = "Await.result(f, d)" // Await.result(f, d)', None, None, None, None, None, None),
+)
+PYTHON_FIXTURES = (
+    ("a.py", "try:\n    f()\nexcept:\n    pass", "py-bare-except", 3, "except:", "medium", "correctness", "an except without a type catches everything"),
+    ("a.py", 'text = """\nexcept:\ndef f(a, b=[]): pass\n"""', None, None, None, None, None, None),
+    ("b.py", "def f(a: dict[str, int], b=[]):\n    return b", "py-mutable-default-arg", 1, "def f(a: dict[str, int], b=[])", "high", "correctness", "a mutable default is shared by all calls"),
+    ("b.py", "def f(a, b=None):\n    return b", None, None, None, None, None, None),
+    ("c.py", "def f(:\n    pass", "unparsed-python", 1, "", "low", "syntax", "invalid syntax"),
+)
+
+
+def _planted_sql(fixtures, columns: str) -> str:
+    return f"""SELECT rule, severity, category, source || '/' || doc_id || '/' || path AS file, CAST(len(string_split(text, chr(10))) // 2 + line AS INTEGER) AS line, snippet, message
+  FROM documents JOIN (VALUES {_rows_sql(fixtures)}) f(k, path, code, {columns}) ON k = doc_id % {len(fixtures)} WHERE rule IS NOT NULL"""
+
+
+_COLUMNS = "rule, line, snippet, severity, category, message"
+
+
+@query(_planted_sql(TEMPLATE_FIXTURES, _COLUMNS))
+def template_rules_in_texts(spark, at):
+    return patterns.pattern_findings(_planted(spark, at, TEMPLATE_FIXTURES, "// "))
+
+
+@query(_planted_sql(PYTHON_FIXTURES, _COLUMNS))
+def python_rules_in_texts(spark, at):
+    return patterns.pattern_findings(_planted(spark, at, PYTHON_FIXTURES, "# "))
+
+
+@query(f"""SELECT rule, CASE WHEN rule IN ('go-ignored-error') THEN 'high' ELSE 'medium' END AS severity, source || '/' || doc_id || '/' || path AS file, CAST(len(string_split(text, chr(10))) // 2 + line AS INTEGER) AS line, snippet
+  FROM documents JOIN (VALUES {_rows_sql([f for f in PATTERN_FIXTURES if not f[0].endswith(".py")])}) f(k, path, code, rule, line, snippet) ON k = doc_id % {sum(not f[0].endswith(".py") for f in PATTERN_FIXTURES)} WHERE rule IS NOT NULL""")
+def declarative_rules_in_texts(spark, at):
+    return patterns.pattern_findings(_planted(spark, at, [f for f in PATTERN_FIXTURES if not f[0].endswith(".py")], "// ")).select("rule", "severity", "file", "line", "snippet")
+
+
+@query(f"""SELECT rule, severity, source || '/' || doc_id || '/' || path AS file, CAST(len(string_split(text, chr(10))) // 2 + line AS INTEGER) AS line FROM documents JOIN (VALUES {_rows_sql(FIXTURES)}) f(k, path, code, rule, severity, line, mark) ON k = doc_id % {len(FIXTURES)} WHERE rule IS NOT NULL""")
+def emulators_in_texts(spark, at):
+    return scanners.scan(_planted(spark, at, FIXTURES, "// ")).select("rule", "severity", "file", "line")

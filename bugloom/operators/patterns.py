@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from . import trees
 from .scanners import closing
 
 
@@ -41,6 +42,15 @@ class Pattern:
     include: tuple[str, ...] = ()
     exclude: tuple[str, ...] = ()
     category: str = "uncategorized"
+    #: Patterns of calls, matched as trees: a match of any of the first that is of none of the second.
+    calls: tuple[str, ...] = ()
+    calls_none: tuple[str, ...] = ()
+    #: A kind of node of Python's syntax tree.
+    python: str | None = None
+
+
+#: The row of a text that a rule over syntax trees can't read.
+UNPARSED = "unparsed-python"
 
 
 def _fits(m: re.Match, where: dict[str, str]) -> bool:
@@ -59,6 +69,15 @@ def _spans(block: Block, text: str) -> list[tuple[int, int]]:
 
 def matches(rule: Pattern, text: str) -> Iterator[tuple[int, str]]:
     """Places and texts of a rule's matches, in order; a place counts once."""
+    if rule.calls:
+        either, none = (tuple(map(trees.pattern, p)) for p in (rule.calls, rule.calls_none))
+        yield from sorted(trees.call_matches(either, none, text))
+        return
+    if rule.python:
+        tree = trees.python_tree(text)
+        if not isinstance(tree, tuple):
+            yield from sorted(trees.python_matches(rule.python, text, tree))
+        return
     inside = [[s for b in rule.inside for s in _spans(b, text)]] if rule.inside else []
     outside = [s for b in rule.outside for s in _spans(b, text)]
     found = {}
@@ -87,10 +106,13 @@ RULES = (
     Pattern("form-payload-direct-access-without-validation", ("typescript",), "medium", "a form's fields are read before it is validated", (r"\b(?P<X>[A-Za-z_$][\w$]*)\.(?:fields|formFields)\.[A-Za-z_$][\w$]*",), outside=(Block(rf"\bif\s*\(\s*(?P<GUARD>[\w$.]+)\s*{_ARGS}\s*\)\s*\{{", {"GUARD": GUARDS}), Block(r"\bif\s*\(\s*[\w$]+\.isValid(?:\(\s*\))?\s*\)\s*\{")), where={"X": FORMS}, exclude=TEST_FILES),
     Pattern("go-defer-in-loop", ("go",), "medium", "what a loop opens stays open until the function ends", (r"\b\w+\s*,\s*_\s*:=\s*os\.Open\([^)\n]*\)",), inside=(Block(r"\bfor\s+_\s*,\s*\w+\s*:=\s*range\s+[^{\n]+\{"),), category="correctness"),
     Pattern("go-ignored-error", ("go",), "high", "an error is thrown away", (rf"(?m)\b\w+\s*,\s*_\s*=\s*[\w.]+{_ARGS}",), category="correctness"),
-    Pattern("py-bare-except", ("python",), "medium", "an except without a type catches everything", (r"(?m)^[ \t]*except[ \t]*:",), category="correctness"),
-    Pattern("py-mutable-default-arg", ("python",), "high", "a mutable default is shared by all calls", (r"(?m)^[ \t]*(?:async[ \t]+)?def\s+\w+\s*\(\s*[^=,()\[\]{}]+,\s*[^=,()\[\]{}]+=\s*(?:\[\s*\]|\{\s*\})\s*,?\s*\)",), category="correctness"),
+    Pattern("py-bare-except", ("python",), "medium", "an except without a type catches everything", (), category="correctness", python="bare-except"),
+    Pattern("py-mutable-default-arg", ("python",), "high", "a mutable default is shared by all calls", (), category="correctness", python="mutable-default"),
     Pattern("ts-array-sort-numbers-without-comparator", ("typescript",), "medium", "numbers are sorted as texts", (rf"\bArray\.from\(\s*new\s+Set{_ARGS}\s*\)\.sort\(\s*\)", r"(?<![\w$.)])(?P<ARR>[A-Za-z_$][\w$]*)\.sort\(\s*\)"), where={"ARR": NUMBERS}),
     Pattern("ts-staff-query-missing-appdefid", ("typescript",), "medium", "a staff query isn't scoped to an application", (rf"\b(?:{STAFF_CLIENTS})\.[\w$]+\(\s*\{{[^{{}}]*(?:\{{[^{{}}]*\}}[^{{}}]*)*\}}\s*\)",), none=(rf"[{{,]\s*(?:{APP_IDS})\s*[:,}}]",), exclude=TEST_FILES),
+    #: Templates: a team names its own collection and bootstrap files.
+    Pattern("no-await-result-in-production", ("scala",), "high", "a thread waits for a future", (), exclude=("**/test/**", "**/it/**", "**/specs2/**", "**/Main.scala"), category="reliability", calls=("scala.concurrent.Await.result(...)", "scala.concurrent.Await.ready(...)", "Await.result(...)", "Await.ready(...)")),
+    Pattern("missing-meta-site-filter-mongo", ("scala",), "high", "a query isn't scoped to its site", (), include=("**/*Repo.scala", "**/repo/*.scala", "**/dao/*.scala"), exclude=("**/test/**",), category="tenancy", calls=("$COLL.find($FILTER)", "$COLL.find($FILTER, $OPTS)", "$COLL.findOne($FILTER)", "$COLL.aggregate(...)"), calls_none=('$COLL.find(Filters.and(..., Filters.eq("metaSiteId", $X), ...))', '$COLL.find($FILTER.append("metaSiteId", $X))', '$COLL.find(Filters.eq("metaSiteId", $X))')),
     #: Deferred: too broad to run unless it is named.
     Pattern("calendar-now-without-explicit-timezone", ("typescript",), "medium", "now is taken without a zone", (r"\bnew\s+Date\s*\(\s*\)",), include=("**/*.ts", "**/*.tsx"), exclude=TEST_FILES),
 )
@@ -108,13 +130,18 @@ def _applies(rule: Pattern) -> Column:
 
 
 def pattern_findings(files: DataFrame, rules: tuple[Pattern, ...] = RULES, names: tuple[str, ...] = ACTIVE) -> DataFrame:
-    """rule, severity, category, file, line, snippet, message; files: path, text (null: none)."""
+    """rule, severity, category, file, line, snippet, message; files: path, text (null: none).
+
+    A Python file that doesn't parse is a row of its own, UNPARSED with line and message, and no other of its tree rules.
+    """
     chosen = tuple(r for r in rules if r.id in names)
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for path, text, applies in zip(batch.path, batch.text, batch.applies, strict=True):
+                if any(chosen[k].python for k in applies) and isinstance(bad := trees.python_tree(text), tuple):
+                    rows.append((UNPARSED, "low", "syntax", path, bad[0], "", bad[1]))
                 for k in applies:
                     rule = chosen[k]
                     rows += [(rule.id, rule.severity, rule.category, path, text.count("\n", 0, at) + 1, " ".join(hit.split())[:200], rule.message) for at, hit in matches(rule, text)]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .catalog import LINES, ORACLE_SQL, _vectors, query
 from .catalog_more import FIXTURES, PATTERN_FIXTURES
 from .operators import diffs, patterns, scanners, vector_index
+from .plans import batch
 from .session import shared_folder, table
 
 
@@ -133,3 +134,26 @@ def declarative_rules_in_texts(spark, at):
 @query(f"""SELECT rule, severity, source || '/' || doc_id || '/' || path AS file, CAST(len(string_split(text, chr(10))) // 2 + line AS INTEGER) AS line FROM documents JOIN (VALUES {_rows_sql(FIXTURES)}) f(k, path, code, rule, severity, line, mark) ON k = doc_id % {len(FIXTURES)} WHERE rule IS NOT NULL""")
 def emulators_in_texts(spark, at):
     return scanners.scan(_planted(spark, at, FIXTURES, "// ")).select("rule", "severity", "file", "line")
+
+
+# --- validation that runs the rules: texts of a cluster, of others and clean ones ---
+
+_FIRES = "CASE k WHEN 0 THEN 'missing-meta-site-filter-mongo' WHEN 2 THEN 'missing-meta-site-filter-mongo' WHEN 4 THEN 'no-await-result-in-production' END"
+
+
+@query(f"""WITH e AS (SELECT doc_id, {_FIRES} AS fires, CASE WHEN doc_id % 10 = 0 THEN -1 ELSE CAST(doc_id % 21 // 4 AS INTEGER) END AS cluster_id, quality FROM (SELECT doc_id, doc_id % {len(TEMPLATE_FIXTURES)} AS k FROM documents) LEFT JOIN (SELECT doc_id, min(quality) AS quality FROM labels GROUP BY doc_id) USING (doc_id)),
+  r AS (SELECT p || '@' || cluster_id AS rule_id, p AS pattern, cluster_id, CASE WHEN cluster_id % 2 = 0 THEN 'scalafix' ELSE 'opengrep' END AS target FROM (SELECT DISTINCT cluster_id FROM e WHERE cluster_id >= 0), (VALUES ('missing-meta-site-filter-mongo'), ('no-await-result-in-production')) v(p)),
+  own AS (SELECT rule_id, count(*) AS n_tests, count(*) FILTER (WHERE fires = pattern) AS matched FROM r JOIN e USING (cluster_id) GROUP BY rule_id),
+  off AS (SELECT rule_id, count(*) AS n, count(*) FILTER (WHERE fires = pattern) AS fp FROM (SELECT rule_id, pattern, fires, row_number() OVER (PARTITION BY rule_id ORDER BY doc_id) AS place FROM r JOIN e ON e.cluster_id <> r.cluster_id) WHERE place <= 20 GROUP BY rule_id),
+  clean AS (SELECT rule_id, count(*) FILTER (WHERE fires = pattern) AS clean FROM r, e WHERE quality = 1 GROUP BY rule_id),
+  v AS (SELECT rule_id, target, n_tests, n, matched, fp, coalesce(clean, 0) AS clean, 1 - fp / CASE WHEN target = 'scalafix' THEN 20 ELSE greatest(n, 1) END AS precision, matched / n_tests AS recall FROM r JOIN own USING (rule_id) JOIN off USING (rule_id) LEFT JOIN clean USING (rule_id))
+  SELECT rule_id, n_tests, n, matched, fp, clean, target, precision, recall AS recall_in_cluster, clean AS false_positives_on_clean, precision >= 0.85 AND recall >= 0.5 AND (target <> 'scalafix' OR clean <= 20) AS ship FROM v""")
+def rule_validation(spark, at):
+    cluster = F.when(F.col("ord") % 10 == 0, -1).otherwise(F.floor(F.col("ord") % 21 / 4)).cast("int")
+    files = _planted(spark, at, TEMPLATE_FIXTURES, "// ").withColumn("ord", F.split_part("path", F.lit("/"), F.lit(2)).cast("long"))
+    entries = files.select(F.col("ord").alias("id"), cluster.alias("cluster_id"), F.lit("scala").alias("language"), "ord", "path", "text")
+    pattern = F.explode(F.array(F.lit("missing-meta-site-filter-mongo"), F.lit("no-await-result-in-production")))
+    rules = entries.filter("cluster_id >= 0").select("cluster_id", "language").distinct().withColumn("pattern", pattern)
+    rules = rules.withColumn("rule_id", F.concat_ws("@", "pattern", "cluster_id")).withColumn("target", F.when(F.col("cluster_id") % 2 == 0, "scalafix").otherwise("opengrep"))
+    good = table(spark, "labels", at).groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality = 1").select(F.col("doc_id").alias("id"))
+    return batch.rule_validation(entries, rules, entries.join(good, "id").select("id", "language", "path", "text"))

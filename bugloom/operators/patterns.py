@@ -150,3 +150,20 @@ def pattern_findings(files: DataFrame, rules: tuple[Pattern, ...] = RULES, names
     which = F.filter(F.array(*(F.when(_applies(r), F.lit(k)) for k, r in enumerate(chosen))), lambda x: x.isNotNull())
     wanted = files.select("path", "text", which.alias("applies")).filter((F.size("applies") > 0) & F.col("text").isNotNull())
     return wanted.mapInPandas(of, "rule string, severity string, category string, file string, line int, snippet string, message string")
+
+
+def keyed_findings(files: DataFrame, rules: tuple[Pattern, ...] = RULES) -> DataFrame:
+    """files with a row for each finding of the rule that the file names, and its line.  files: pattern, path, text and more.
+
+    Each text meets its own rule only; a pattern that isn't known finds nothing.
+    """
+    known, kept = {r.id: r for r in rules}, [f for f in files.schema if f.name not in ("path", "text")]
+
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            lines = [[text.count("\n", 0, at) + 1 for at, _ in matches(known[p], text)] for p, text in zip(batch.pattern, batch.text, strict=True)]
+            yield batch.drop(columns=["text"]).assign(line=lines).explode("line").dropna(subset=["line"])
+
+    wanted = F.coalesce(*(F.when(F.col("pattern") == r.id, _applies(r)) for r in rules), F.lit(False))
+    rows = files.filter(wanted & F.col("text").isNotNull()).select(*(f.name for f in kept), "text")
+    return rows.mapInPandas(of, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "line int"]))

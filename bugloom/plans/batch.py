@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.vectors import normalised
-from ..operators import corpus, hdbscan, quality, report, vectorise
+from ..operators import corpus, hdbscan, patterns, quality, report, vectorise
 from ..sources import sinks
 
 
@@ -62,3 +62,26 @@ def validated(rules: DataFrame, hits: DataFrame, n_sampled: DataFrame) -> DataFr
     r = rules.join(hits, "rule_id", "left").join(n_sampled, "rule_id", "left").na.fill(0, ["matched", "fp", "clean", "n"])
     p = F.when(F.col("target") == "scalafix", quality.validation_precision(F.col("fp"), F.col("n"), True)).otherwise(quality.validation_precision(F.col("fp"), F.col("n"), False))
     return quality.ship_gate(r.select("rule_id", "target", p.alias("precision"), (F.col("matched") / F.greatest("n_tests", F.lit(1))).alias("recall_in_cluster"), F.col("clean").alias("false_positives_on_clean")))
+
+
+def rule_validation(entries: DataFrame, rules: DataFrame, clean: DataFrame | None = None, n_off: int = 20) -> DataFrame:
+    """Each rule run over its own cluster's entries, a sample of others and clean texts: counts, precision, recall, ship.
+
+    entries: id, cluster_id, language, ord, path, text; rules: rule_id, pattern, cluster_id, language, target; clean: id,
+    language, path, text.  matched: entries of its cluster with a finding, of n_tests; fp: of the first n_off others with
+    one; clean: clean texts with one, 0 if there are none to scan.  A rule meets no other text than these.
+    """
+    r = rules.select("rule_id", "pattern", "cluster_id", "language")
+    texts = ["rule_id", "pattern", "kind", "id", "path", "text"]
+    own = entries.join(r, ["cluster_id", "language"]).withColumn("kind", F.lit("own")).select(texts)
+    off = quality.off_cluster(entries, rules, n_off).join(r.select("rule_id", "pattern"), "rule_id").withColumn("kind", F.lit("off")).select(texts)
+    scanned = own.unionByName(off)
+    if clean is not None:
+        scanned = scanned.unionByName(clean.join(r.drop("cluster_id"), "language").withColumn("kind", F.lit("clean")).select(texts))
+    found = patterns.keyed_findings(scanned).select("rule_id", "kind", "id").distinct()
+    of = lambda kind: F.count_if(F.col("kind") == kind)
+    hits = found.groupBy("rule_id").agg(of("own").alias("matched"), of("off").alias("fp"), of("clean").alias("clean"))
+    sizes = own.select("rule_id", "kind").unionByName(off.select("rule_id", "kind")).groupBy("rule_id").agg(of("own").alias("n_tests"), of("off").alias("n"))
+    counted = rules.select("rule_id", "target").join(sizes, "rule_id", "left").na.fill(0, ["n_tests", "n"])
+    verdicts = validated(counted.select("rule_id", "target", "n_tests"), hits, counted.select("rule_id", "n"))
+    return counted.join(hits, "rule_id", "left").na.fill(0, ["matched", "fp", "clean"]).drop("target").join(verdicts, "rule_id")

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from .catalog import LINES, ORACLE_SQL, _vectors, query
 from .catalog_more import FIXTURES, PATTERN_FIXTURES
-from .operators import diffs, patterns, scanners, vector_index
+from .operators import diffs, patterns, scanners, vector_index, vectorise
+from .functions import registry
 from .plans import batch
 from .session import shared_folder, table
 
@@ -157,3 +158,43 @@ def rule_validation(spark, at):
     rules = rules.withColumn("rule_id", F.concat_ws("@", "pattern", "cluster_id")).withColumn("target", F.when(F.col("cluster_id") % 2 == 0, "scalafix").otherwise("opengrep"))
     good = table(spark, "labels", at).groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality = 1").select(F.col("doc_id").alias("id"))
     return batch.rule_validation(entries, rules, entries.join(good, "id").select("id", "language", "path", "text"))
+
+
+# --- embeddings of one's own, functions in SQL ---
+
+
+@query("""WITH tok AS (SELECT doc_id AS id, unnest(regexp_extract_all(lower(text), '([a-z_][a-z0-9_]+|[+\\-=!<>]+)', 1)) AS term FROM documents), tf AS (SELECT id, term, 1 + ln(count(*)) AS w, md5(term) AS h FROM tok GROUP BY ALL),
+  p AS (SELECT id, CAST(CAST('0x' || left(h, 8) AS BIGINT) % 64 AS INTEGER) AS place, sum(CASE WHEN CAST('0x' || h[9:16] AS BIGINT) % 2 = 0 THEN w ELSE -w END) AS x FROM tf GROUP BY ALL)
+  SELECT * FROM (SELECT id, place, round(x / sqrt(sum(x * x) OVER (PARTITION BY id)), 6) AS value FROM p) WHERE value <> 0 AND NOT isnan(value)""")
+def hashed_embeddings(spark, at):
+    docs = _docs(spark, at).select(F.col("doc_id").alias("id"), "text")
+    v = vectorise.hashed(docs, vectorise.code_tokens(F.col("text")), 64).select("id", F.posexplode("vector").alias("place", "value"))
+    return v.select("id", "place", F.round("value", 6).alias("value")).filter("value <> 0")
+
+
+@query("""WITH f AS (SELECT doc_id, source, (line - 1) // 5 AS f, line - 1 AS i, line FROM """ + LINES + """ l)
+  SELECT source, 'dir ' || f || '/F' || doc_id || '.scala' AS file, i + 1 AS start, CAST(i + CASE WHEN (i + 1) % 7 > 0 THEN i % 4 ELSE 1 END AS INTEGER) AS "end" FROM f WHERE i % 5 IN (0, 3) AND NOT ((i + 1) % 7 > 0 AND i % 4 = 0)""")
+def sql_lateral_diff_ranges(spark, at):
+    """Through SQL: a table function for each row of a view."""
+    registry.register(spark)
+    view = f"diffs_{uuid.uuid4().hex}"
+    _many(spark, at).createOrReplaceTempView(view)
+    return spark.sql(f"SELECT d.source, r.file, CAST(r.start AS BIGINT) AS start, r.end FROM {view} d, LATERAL diff_ranges(d.diff) r")
+
+
+@query("SELECT label, i AS place, round(avg(CAST(embedding[i] AS DOUBLE)), 5) AS mean, count(*) AS n FROM (SELECT label, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings) GROUP BY label, i")
+def sql_partitioned_centroids(spark, at):
+    """Through SQL: a table function over a table argument, a partition for each cluster and part, and sums in SQL."""
+    registry.register(spark)
+    view = f"vectors_{uuid.uuid4().hex}"
+    table(spark, "embeddings", at).select(F.col("label").alias("key"), F.pmod(F.xxhash64("vec_id"), F.lit(8)).alias("part"), F.col("embedding").cast("array<double>").alias("vector")).createOrReplaceTempView(view)
+    return spark.sql(f"""SELECT key AS label, CAST(place AS BIGINT) AS place, round(sum(total) / sum(n), 5) AS mean, sum(n) AS n FROM
+      place_sums(TABLE(SELECT key, part, vector FROM {view}) PARTITION BY (key, part), 'vector') GROUP BY key, place""")
+
+
+@query(f"SELECT source || '/' || doc_id || '/' || path AS file, rule, severity, CAST(len(string_split(text, chr(10))) // 2 + line AS INTEGER) AS line FROM documents JOIN (VALUES {_rows_sql(FIXTURES)}) f(k, path, code, rule, severity, line, mark) ON k = doc_id % {len(FIXTURES)} WHERE rule IS NOT NULL")
+def sql_lateral_scan(spark, at):
+    registry.register(spark)
+    view = f"files_{uuid.uuid4().hex}"
+    _planted(spark, at, FIXTURES, "// ").createOrReplaceTempView(view)
+    return spark.sql(f"SELECT f.path AS file, s.rule, s.severity, s.line FROM {view} f, LATERAL scan_text(f.path, f.text, NULL) s")

@@ -63,6 +63,23 @@ def tfidf(docs: DataFrame, terms: Column, max_features: int | None = None, min_d
     return rows.join(length, "id").select("id", "term", (F.col("w") / F.col("length")).alias("weight"))
 
 
+def hashed(docs: DataFrame, terms: Column, dims: int = 256) -> DataFrame:
+    """id, vector: terms hashed into `dims` places with signs, (1 + ln tf) each, of length 1; no vocabulary and no model.
+
+    A text without terms has no vector.  docs: id.  The place and the sign come from the md5 of the term, so that vectors
+    of any run, machine or engine can be compared.  Two different terms of one place add up or cancel: with signs the
+    expected product of two texts is that of their terms.
+    """
+    tf = docs.select("id", F.explode(terms).alias("term")).groupBy("id", "term").agg(F.count("*").alias("tf"))
+    digest = F.md5(F.col("term").cast("binary"))
+    part = lambda at: F.conv(F.substring(digest, at, 8), 16, 10).cast("long")
+    signed = F.when(part(9) % 2 == 0, 1.0).otherwise(-1.0) * (1 + F.log("tf"))
+    places = tf.groupBy("id", (part(1) % dims).cast("int").alias("place")).agg(F.sum(signed).alias("x"))
+    packed = places.groupBy("id").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("length"), F.map_from_entries(F.collect_list(F.struct("place", "x"))).alias("m"))
+    at = F.sequence(F.lit(0), F.lit(dims - 1))
+    return packed.filter("length > 0").select("id", F.transform(at, lambda i: F.coalesce(F.try_element_at(F.col("m"), i), F.lit(0.0)) / F.col("length")).alias("vector"))
+
+
 def tfidf_blocks(docs: DataFrame, word_terms: Column, char_terms: Column) -> DataFrame:
     """Words and characters side by side, each block of length 1, then the whole."""
     words = tfidf(docs, word_terms, 8192, 3).withColumn("term", F.concat(F.lit("w:"), "term"))

@@ -32,8 +32,15 @@ def mined(bugs: DataFrame, fixes: DataFrame, repo: str | None = None) -> tuple[D
     return bugs.join(fixes.select(F.col("bug_key").alias("key")), "key", "left_semi"), fixes
 
 
-def run(inducing: DataFrame, bugs: DataFrame, fixes: DataFrame, embed, settings: Settings) -> dict[str, DataFrame]:
+def hashed_terms(rows: DataFrame) -> DataFrame:
+    """id, language, vector: hashed runs of one to three code tokens, where no embedding service is named."""
+    vectors = vectorise.hashed(rows, vectorise.ngrams(vectorise.code_tokens(F.col("text")), 1, 3), 256)
+    return rows.select("id", "language").join(vectors, "id")
+
+
+def run(inducing: DataFrame, bugs: DataFrame, fixes: DataFrame, embed=hashed_terms, settings: Settings | None = None) -> dict[str, DataFrame]:
     """corpus, clusters, bundles and summary.  embed: rows (id, language, text) to rows with a vector."""
+    settings = settings or Settings()
     bugs, fixes = mined(bugs, fixes, settings.repo)
     rows = corpus.cleaned(corpus.build(inducing, bugs, fixes), settings.cap, settings.seed)
     rows = rows.withColumn("id", F.xxhash64("bug_key", "file_path", "buggy_code")).withColumn("text", T.rich_text(F.col("bug_summary"), F.col("buggy_code"), F.col("fix_diff"), F.col("jira_labels")))

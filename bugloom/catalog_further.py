@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from .catalog import LINES, ORACLE_SQL, _vectors, query
 from .catalog_more import FIXTURES, PATTERN_FIXTURES
-from .operators import diffs, patterns, scanners, vector_index, vectorise
+from .operators import diffs, patterns, report, scanners, vector_index, vectorise
 from .functions import registry
 from .plans import batch
 from .session import shared_folder, table
+from .streaming import incremental
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -198,3 +199,36 @@ def sql_lateral_scan(spark, at):
     view = f"files_{uuid.uuid4().hex}"
     _planted(spark, at, FIXTURES, "// ").createOrReplaceTempView(view)
     return spark.sql(f"SELECT f.path AS file, s.rule, s.severity, s.line FROM {view} f, LATERAL scan_text(f.path, f.text, NULL) s")
+
+
+# --- runs, sessions, cubes ---
+
+_RUNS = """(SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM
+  (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) > INTERVAL {gap} THEN 1 ELSE 0 END AS new FROM events))"""
+
+
+@query(f"""SELECT user_id, epoch_us(since) AS since, epoch_us(ts) AS at FROM (SELECT user_id, ts, min(ts) OVER (PARTITION BY user_id, run) AS since, row_number() OVER (PARTITION BY user_id, run ORDER BY ts, event_id) AS n FROM {_RUNS.format(gap="2 DAY")}) WHERE n = 4""")
+def stream_runs_reaching(spark, at):
+    events = incremental.table_stream(spark, at, "events").select("user_id", "ts")
+    path = _scratch(spark, "runs")
+    found = incremental.runs_reaching(events, "user_id", "ts", 4, 2 * 86_400)
+    incremental.with_setting(spark, "spark.sql.streaming.stateStore.providerClass", incremental.ROCKS, lambda: incremental.run_once(found, path + "-state", path=path))
+    return spark.read.schema("user_id long, since long, at long").parquet(path)
+
+
+@query(f"""SELECT user_id, epoch_us(min(ts)) AS since, count(*) AS n FROM {_RUNS.format(gap="2 DAY")} GROUP BY user_id, run HAVING max(ts) + INTERVAL 2 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+def stream_sessions(spark, at):
+    events = incremental.table_stream(spark, at, "events").select("user_id", "ts")
+    path = _scratch(spark, "sessions")
+    counts = incremental.session_counts(events, "ts", "user_id", "2 days").select("user_id", F.unix_micros("session_window.start").alias("since"), F.col("count").alias("n"))
+    incremental.run_once(counts, path + "-state", path=path)
+    return spark.read.schema("user_id long, since long, n long").parquet(path)
+
+
+@query("""SELECT lang, source, CAST(grouping(lang) * 2 + grouping(source) AS BIGINT) AS level, count(*) AS n, quantile_cont(n_chars, 0.5) AS p50, quantile_cont(n_chars, 0.9) AS p90, true AS close FROM documents GROUP BY CUBE (lang, source)""")
+def length_cube(spark, at):
+    """close: where there are 50 rows or more, sketched percentiles lie between the exact ones of two hundredths less and more."""
+    d = _docs(spark, at)
+    c = report.cube(d, ["lang", "source"], "n_chars", (0.48, 0.5, 0.52, 0.88, 0.9, 0.92), 1000)
+    within = F.col("p50_sketched").between(F.col("p48"), F.col("p52")) & F.col("p90_sketched").between(F.col("p88"), F.col("p92"))
+    return c.select("lang", "source", F.col("level").cast("long").alias("level"), "n", "p50", "p90", ((F.col("n") < 50) | within).alias("close"))

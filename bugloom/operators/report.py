@@ -115,6 +115,18 @@ def last_commit(entries: DataFrame) -> DataFrame:
     return entries.agg(F.max_by("commit_sha", F.struct("committed_at", "commit_sha")).alias("commit_sha"))
 
 
+def cube(rows: DataFrame, keys: list[str], value: str, quantiles: tuple[float, ...] = (0.5, 0.9), accuracy: int = 1000) -> DataFrame:
+    """Counts and percentiles of a value by every subset of keys, exact and of a sketch; level: bits of the keys summed over.
+
+    Exact percentiles keep each different value with its count; a sketch keeps some `accuracy` values whatever the rows,
+    and errs by at most 1 / accuracy of the rows in rank.  Both combine before the shuffle.
+    """
+    names = [f"p{round(100 * q)}" for q in quantiles]
+    exact = [F.percentile(value, q).alias(n) for q, n in zip(quantiles, names, strict=True)]
+    sketched = [F.percentile_approx(value, q, accuracy).alias(f"{n}_sketched") for q, n in zip(quantiles, names, strict=True)]
+    return rows.cube(*keys).agg(F.grouping_id().alias("level"), F.count("*").alias("n"), *exact, *sketched)
+
+
 def recurring(rows: DataFrame, keys: list[str], repo: str, order: str, least: int, lang: str) -> DataFrame:
     """keys, n, n_sources, first_file, n_langs of what stands in `least` repositories or more; order: the least is the first."""
     counts = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.count_distinct(repo).alias("n_sources"), F.min(order).alias("first_file"), F.count_distinct(lang).alias("n_langs"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +69,71 @@ def threshold_crossings(members: DataFrame, key: str, least: int) -> DataFrame:
     return members.groupBy(key).applyInPandasWithState(count, f"`{key}` {kind}, n long", "n long", "append", GroupStateTimeout.NoTimeout)
 
 
+#: The store that keeps state of processors with timers.
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def runs_reaching(events: DataFrame, key: str, stamp: str, least: int, gap_seconds: int, delay: str = "1 hour") -> DataFrame:
+    """A row when a key's run of events reaches `least`: key, since and at (microseconds).  A longer gap begins a new run.
+
+    State is one run for each key; a timer removes it once the watermark is past its last event by the gap, so that keys
+    which have gone quiet cost nothing.  What comes out doesn't depend on how a stream in order is cut into batches.
+    """
+    from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+    name, kind = key, events.schema[key].dataType.simpleString()
+    gap = gap_seconds * 1_000_000
+
+    class Runs(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle, self.run = handle, handle.getValueState("run", "since long, last long, n long")
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+            at = np.sort(np.concatenate([r["at"].to_numpy(np.int64) for r in rows]))
+            since, last, n = self.run.get() if self.run.exists() else (at[0], at[0], 0)
+            breaks = np.flatnonzero(np.diff(at, prepend=last) > gap)
+            found = []
+            for a, b in zip([0, *breaks], [*breaks, len(at)], strict=True):
+                if a in breaks:
+                    since, n = at[a], 0
+                if n < least <= n + b - a:
+                    found.append((key[0], int(since), int(at[a + least - n - 1])))
+                n += b - a
+            last = max(int(last), int(at[-1]))
+            self.run.update((int(since), last, int(n)))
+            for t in list(self.handle.listTimers()):
+                self.handle.deleteTimer(t)
+            self.handle.registerTimer((last + gap) // 1000 + 1)
+            if found:
+                yield pd.DataFrame(found, columns=[name, "since", "at"])
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            self.run.clear()
+            return iter(())
+
+        def close(self) -> None:
+            pass
+
+    rows = events.withColumn(stamp, at_utc(F.col(stamp))).filter(F.col(key).isNotNull() & F.col(stamp).isNotNull()).withWatermark(stamp, delay)
+    rows = rows.select(key, stamp, F.unix_micros(stamp).alias("at"))
+    return rows.groupBy(key).transformWithStateInPandas(Runs(), f"`{key}` {kind}, since long, at long", "Append", "EventTime")
+
+
+def session_counts(events: DataFrame, stamp: str, key: str, gap: str, delay: str = "1 hour") -> DataFrame:
+    """key, window, count of sessions that end after a gap; a stream tells a session once it is closed."""
+    return events.withColumn(stamp, at_utc(F.col(stamp))).withWatermark(stamp, delay).groupBy(F.session_window(stamp, gap), key).count()
+
+
+def with_setting(spark: SparkSession, name: str, value: str, run: Callable[[], None]) -> None:
+    """Runs with a setting of the session and puts it back."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        run()
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def run_once(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None] | None = None, path: str | None = None, mode: str = "append") -> None:
     """Takes what is there, then stops; to a Parquet path, or to a function for each batch."""
     w = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)

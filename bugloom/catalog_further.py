@@ -7,12 +7,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .catalog import LINES, ORACLE_SQL, _vectors, query
+from .catalog import CENTROIDS_SQL, HITS, LINES, ORACLE_SQL, _vectors, query
 from .catalog_more import FIXTURES, PATTERN_FIXTURES
-from .operators import diffs, patterns, report, scanners, vector_index, vectorise
+from .operators import diffs, patterns, quality, report, rules, scanners, vector_index, vectorise
 from .functions import registry
+from .functions import text as T
+from .functions import vectors as V
 from .plans import batch
 from .session import shared_folder, table
+from .sources import readers
 from .streaming import incremental
 
 
@@ -232,3 +235,95 @@ def length_cube(spark, at):
     c = report.cube(d, ["lang", "source"], "n_chars", (0.48, 0.5, 0.52, 0.88, 0.9, 0.92), 1000)
     within = F.col("p50_sketched").between(F.col("p48"), F.col("p52")) & F.col("p90_sketched").between(F.col("p88"), F.col("p92"))
     return c.select("lang", "source", F.col("level").cast("long").alias("level"), "n", "p50", "p90", ((F.col("n") < 50) | within).alias("close"))
+
+
+# --- reports, bundles and reviews over all rows ---
+
+
+@query("SELECT source, count(*) FILTER (WHERE lang = 'en') AS en, count(*) FILTER (WHERE lang = 'de') AS de, count(*) FILTER (WHERE lang IS NULL OR lang NOT IN ('en', 'de')) AS other, count(*) AS total FROM documents GROUP BY source")
+def coverage_with_others(spark, at):
+    return report.coverage_of_all(_docs(spark, at), "source", "lang", ["en", "de"])
+
+
+_ITEMS = "list_sort(list_distinct(regexp_extract_all(lower(text), '[a-z]{6,}')))[1:8]"
+
+
+@query(f"""WITH r AS (SELECT printf('p%08d', doc_id) AS path, 'C' || doc_id AS class_name, doc_id % 2 = 1 AS candidate, {_ITEMS} AS items FROM documents WHERE len(regexp_extract_all(lower(text), '[a-z]{{6,}}')) > 0),
+  s AS (SELECT *, list_filter(items, lambda w: NOT list_contains(['position', 'exists', 'collect', 'flatten', 'message', 'values', 'option', 'implicit', 'diagnostic'], w)) AS a FROM r),
+  x AS (SELECT items, arg_min(class_name, path) AS name FROM r WHERE NOT candidate GROUP BY items),
+  p AS (SELECT x.path, max(len(list_intersect(x.a, y.a)) / (len(x.a) + len(y.a) - len(list_intersect(x.a, y.a)))) AS j FROM s x JOIN s y ON x.path <> y.path WHERE x.candidate AND len(x.a) > 0 AND len(y.a) > 0 GROUP BY x.path)
+  SELECT s.path, CASE WHEN x.name IS NOT NULL THEN 'EXACT' WHEN j >= 0.6 THEN 'OVERLAP' ELSE 'DISTINCT' END AS verdict, x.name AS exact_name, CASE WHEN x.name IS NOT NULL THEN 1.0 WHEN j >= 0.6 THEN round(j, 3) ELSE 0.0 END AS jaccard FROM s LEFT JOIN x USING (items) LEFT JOIN p ON p.path = s.path WHERE candidate""")
+def rule_duplicates(spark, at):
+    """Rules made of texts' words, without a number of their own: copies of a text are the same rule."""
+    words = F.slice(F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{6,}"), 0))), 1, 8)
+    source = F.concat(F.lit("/* "), "doc_id", F.lit(' */ class R { Term.Name("'), F.array_join(words, '");  // a\n Term.Name("'), F.lit('") }'))
+    r = _docs(spark, at).filter(F.size(words) > 0).select(F.format_string("p%08d", "doc_id").alias("path"), F.concat(F.lit("C"), "doc_id").alias("class_name"), F.concat(F.lit("d"), "doc_id").alias("diagnostic_id"), source.alias("text"), "doc_id")
+    out = quality.dedup_rules(r.filter("doc_id % 2 = 1"), r.filter("doc_id % 2 = 0"))
+    return out.select("path", "verdict", F.when(F.col("verdict") == "EXACT", F.col("overlaps_with")[0]).alias("exact_name"), "jaccard")
+
+
+@query(f"""WITH h AS (SELECT rule, severity, file, line FROM {HITS}), c AS (SELECT h.rule, h.file, h.line, string_agg(CASE WHEN n.line = h.line THEN '>>' ELSE '  ' END || ' ' || lpad(CAST(n.line AS VARCHAR), 5, ' ') || '  ' || n.value, chr(10) ORDER BY n.line) AS context
+    FROM h JOIN {LINES} n ON n.doc_id = h.file AND n.line BETWEEN h.line - 15 AND h.line + 15 GROUP BY ALL)
+  SELECT rule, file, line, '# ' || rule || ' (' || severity || ')' || chr(10) || file || ':' || line || repeat(chr(10), 2) || context || repeat(chr(10), 2) || 'why ' || rule || repeat(chr(10), 2) || 'PR-' || length(rule) AS bundle FROM h JOIN c USING (rule, file, line)""")
+def review_bundles_of_findings(spark, at):
+    """A finding's bundle with 15 lines around it, from whole texts."""
+    files = _docs(spark, at).select(F.col("doc_id").alias("file"), "text")
+    found = rules.line_findings(files).drop("snippet")
+    lines = rules.lines_of(files).join(found.select("file", "line").distinct().withColumn("marked", F.lit(True)), ["file", "line"], "left")
+    contexts = rules.context_window(lines.select("file", "line", "value", "marked"), "file", F.coalesce("marked", F.lit(False)), 15)
+    why = rules.rule_table(spark).select("rule", F.concat(F.lit("why "), "rule").alias("rationale"), F.array(F.concat(F.lit("PR-"), F.length("rule"))).alias("links"))
+    return quality.review_bundle(found, contexts, why).select("rule", "file", F.col("line").cast("int").alias("line"), "bundle")
+
+
+@query("SELECT rule, severity, source || '/' || doc_id || '/T.scala' AS file, CAST(len(string_split(text, chr(10))) // 2 + 2 AS INTEGER) AS line FROM (SELECT *, 'TryOptionUnwrappedAccess' AS rule, 'medium' AS severity FROM documents) WHERE doc_id % 2 = 0")
+def try_option_in_texts(spark, at):
+    """The scanner that runs only if it is named."""
+    code = (("T.scala", "val n =\n  tryResult.size"), ("T.scala", "val n = tryResult.map(_.size)\n"))
+    return scanners.scan(_planted(spark, at, code, "// "), rules=("TryOptionUnwrappedAccess",)).select("rule", "severity", "file", "line")
+
+
+@query("SELECT CAST(source_id AS INTEGER) AS cluster_id, language, 'clusters_v2' AS folder, CAST(n AS INTEGER) AS size FROM (SELECT lang AS language, dense_rank() OVER (ORDER BY source) - 1 AS source_id, count(*) AS n FROM documents GROUP BY lang, source)")
+def preferred_bundles(spark, at):
+    """Bundles written as JSON below two folders; the loader takes the newer one and the language of its folders."""
+    from pyspark.sql import Window
+
+    root = _scratch(spark, "bundles")
+    sizes = _docs(spark, at).groupBy("lang", "source").agg(F.count("*").cast("int").alias("size")).withColumn("cluster_id", (F.dense_rank().over(Window.orderBy("source")) - 1).cast("int"))
+    for folder, some in (("clusters", sizes.filter("cluster_id = 0")), ("clusters_v2", sizes)):
+        for r in sizes.select("lang").distinct().collect():  # languages
+            part = some.filter(F.col("lang").eqNullSafe(r.lang)).select("cluster_id", "size")
+            part.write.mode("append").option("maxRecordsPerFile", 1).json(f"{root}/{folder}/{r.lang}/cluster_all")
+    return readers.preferred_bundles(spark, root, "*.json").select("cluster_id", "language", "folder", "size")
+
+
+# --- streams into tables that are merged ---
+
+
+@query("SELECT label, i AS place, round(avg(CAST(embedding[i] AS DOUBLE)), 5) AS mean, count(*) AS size, 'cluster ' || label AS description FROM (SELECT label, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings WHERE label >= 0) GROUP BY label, i")
+def stream_cluster_upserts(spark, at):
+    """Clusters whose description, centroid and size follow the vectors that arrive."""
+    path, schema = _scratch(spark, "clusters"), "label int, description string, total array<double>, size long"
+
+    def sums(df: DataFrame) -> DataFrame:
+        places = df.filter("label >= 0").select("label", F.posexplode(V.doubles(F.col("embedding"))).alias("pos", "x")).groupBy("label", "pos").agg(F.sum("x").alias("x"), F.count("*").alias("n"))
+        packed = places.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("c"), F.max("n").alias("size"))
+        return packed.select("label", F.concat(F.lit("cluster "), "label").alias("description"), F.transform("c", lambda v: v["x"]).alias("total"), "size")
+
+    def merge(name: str, old, new):
+        return new if name == "description" else old + new if name == "size" else F.zip_with(old, new, lambda x, y: x + y)
+
+    stream = incremental.table_stream(spark, at, "embeddings")
+    incremental.run_once(stream, path + "-state", each=lambda df, n: incremental.merged_into(path, sums(df), n, schema, ["label"], merge, 8))
+    rows = incremental.merged_rows(spark, path, schema)
+    return rows.select("label", F.posexplode("total").alias("pos", "x"), "size", "description").select("label", (F.col("pos") + 1).cast("long").alias("place"), F.round(F.col("x") / F.col("size"), 5).alias("mean"), "size", "description")
+
+
+@query(f"""SELECT id AS vec_id, label FROM (SELECT vec_id AS id, label, list_cosine_similarity(CAST(embedding AS DOUBLE[]), c) AS cos, row_number() OVER (PARTITION BY vec_id ORDER BY list_cosine_similarity(CAST(embedding AS DOUBLE[]), c) DESC, k) AS n FROM embeddings, {CENTROIDS_SQL}) WHERE n = 1 AND cos < 0.3""")
+def routed_batch_rows(spark, at):
+    """What the routes of a stream leave for the next run over everything."""
+    cents = vectorise.centroids(table(spark, "embeddings", at), "label", "embedding").select(F.col("label").alias("cluster_id"), "centroid", "size", (F.col("label") % 3 == 0).alias("has_rule"))
+    vectors = incremental.table_stream(spark, at, "embeddings").select(F.col("vec_id").alias("id"), V.doubles(F.col("embedding")).alias("vector"))
+    path = _scratch(spark, "routes")
+    routes = incremental.routed(vectors, cents, 0.3, 50)
+    incremental.run_once(routes, path + "-state", path=path)
+    return incremental.kept_for_batch(spark.read.schema(routes.schema).parquet(path), table(spark, "embeddings", at), "vec_id").select("vec_id", "label")

@@ -467,11 +467,11 @@ def stream_windows(spark, at):
 
 @query("SELECT user_id, max(event_id) AS event_id FROM events GROUP BY user_id")
 def stream_upserts(spark, at):
-    path = _scratch(spark, "upserts")
-    rows = incremental.Table(spark, path, "user_id long, event_id long", ["user_id"])
+    path, schema = _scratch(spark, "upserts"), "user_id long, event_id long"
     stream = incremental.table_stream(spark, at, "events").select("user_id", "event_id")
-    incremental.run_once(stream, path + "-state", each=lambda df, _: rows.upsert(df, ["event_id"]))
-    return incremental.Table(spark, path, "user_id long, event_id long", ["user_id"]).read()
+    last = lambda df: df.groupBy("user_id").agg(F.max("event_id").alias("event_id"))
+    incremental.run_once(stream, path + "-state", each=lambda df, n: incremental.merged_into(path, last(df), n, schema, ["user_id"], lambda c, old, new: F.greatest(old, new)))
+    return incremental.merged_rows(spark, path, schema).select("user_id", "event_id")
 
 
 @query("SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-20 00:00:00'")

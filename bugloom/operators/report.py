@@ -15,6 +15,12 @@ def coverage(findings: DataFrame, row: str, column: str, values: list) -> DataFr
     return out.withColumn("total", sum((F.col(str(v)) for v in values), F.lit(0)).cast("long"))
 
 
+def coverage_of_all(findings: DataFrame, row: str, column: str, values: list) -> DataFrame:
+    """As coverage, but rows of other values, null included, are counted too, as `other` and in the total."""
+    named = F.coalesce(F.col(column).isin(*values), F.lit(False))
+    return coverage(findings.withColumn(column, F.when(named, F.col(column)).otherwise("other")), row, column, [*values, "other"])
+
+
 def monthly(rows: DataFrame, stamp: str) -> DataFrame:
     return rows.groupBy(T.month_of(F.col(stamp).cast("string")).alias("month")).agg(F.count("*").alias("n"))
 

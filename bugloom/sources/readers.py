@@ -6,6 +6,7 @@ import os
 import tomllib
 from collections.abc import Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,9 +123,20 @@ def yaml_rules(files: DataFrame) -> DataFrame:
     return out.withColumn("severity", T.engine_severity(F.col("severity")))
 
 
-def bundles(spark: SparkSession, path: str) -> DataFrame:
-    """Cluster bundles with the language that their folder names."""
-    return spark.read.schema(schemas.BUNDLE).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", "bundle.json").json(path).withColumn("language", F.regexp_extract(F.input_file_name(), r"/([^/]+)/cluster_[^/]*/bundle\.json$", 1))
+def bundles(spark: SparkSession, path: str, files: str = "bundle.json") -> DataFrame:
+    """Cluster bundles, one a file below cluster_ folders, with the language that the folder above names."""
+    return spark.read.schema(schemas.BUNDLE).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", files).json(path).withColumn("language", F.regexp_extract(F.input_file_name(), r"/([^/]+)/cluster_[^/]*/[^/]+$", 1))
+
+
+def preferred_bundles(spark: SparkSession, root: str, files: str = "bundle.json", folders: tuple[str, ...] = ("clusters_v2", "clusters")) -> DataFrame:
+    """Bundles of the first of some folders that is there, with its name; none if none is."""
+    for name in folders:
+        try:
+            return bundles(spark, f"{root}/{name}", files).withColumn("folder", F.lit(name))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return spark.createDataFrame([], f"{schemas.BUNDLE}, language string, folder string")
 
 
 def candidates(files: DataFrame) -> DataFrame:

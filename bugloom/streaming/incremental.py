@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.vectors import cosine
-from ..operators.relational import append_new, upsert
 
 
 def table_stream(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -140,57 +141,49 @@ def run_once(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int]
     (w.foreachBatch(each).start() if each else w.format("parquet").option("path", path).start()).awaitTermination()
 
 
-class Table:
-    """A Parquet table in a folder, in versions: what is being read is never written.
+def merged_into(path: str, changes: DataFrame, batch: int, schema: str, key: list[str], merge: Callable[[str, Column, Column], Column], buckets: int = 64) -> None:
+    """Merges a batch's rows, one for each key, into a Parquet table that is partitioned by a hash of the key.
 
-    Rows lie in buckets by a hash of their key.  A change writes the buckets that its rows fall into, below the new
-    version's folder, then a manifest, which names the version that holds each bucket and makes the change count.  A new
-    object on the folder takes the newest manifest, so the table outlives its driver; what a lost driver left without a
-    manifest is written anew.  One writer at a time.
+    merge(name, old, new) gives each further column of a key that is there already.  Only partitions that the batch's keys
+    fall into are read and replaced (Spark's dynamic overwrite).  Each row says which batch was the last to change it, so
+    that a batch that comes again, after a failure between its partitions, changes nothing twice.
     """
+    spark = changes.sparkSession
+    fields = [f.name for f in spark.createDataFrame([], schema).schema]
+    at = F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
+    new = changes.select(*fields).withColumn("bucket", at).persist()
+    try:
+        touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # at most `buckets` numbers
+        if not touched:
+            return
+        old = merged_rows(spark, path, schema).filter(F.col("bucket").isin(touched))
+        o, n = (df.select(*(F.col(c).alias(f"{p}_{c}") for c in df.columns)) for p, df in (("o", old), ("n", new)))
+        rows = o.join(n, reduce(lambda x, y: x & y, (F.col(f"o_{c}").eqNullSafe(F.col(f"n_{c}")) for c in ["bucket", *key])), "full")
+        is_old, is_new = F.col("o_bucket").isNotNull(), F.col("n_bucket").isNotNull()
+        again = is_old & (F.col("o_batch") >= batch)
+
+        def value(c: str) -> Column:
+            both = F.col(f"o_{c}") if c in key else merge(c, F.col(f"o_{c}"), F.col(f"n_{c}"))
+            return F.when(is_old & is_new & ~again, both).when(is_old, F.col(f"o_{c}")).otherwise(F.col(f"n_{c}")).alias(c)
+
+        stamp = F.when(is_new & ~again, F.lit(batch)).otherwise(F.col("o_batch")).cast("long").alias("batch")
+        out = rows.select(*map(value, fields), stamp, F.coalesce("o_bucket", "n_bucket").alias("bucket"))
+        out.repartition(len(touched), "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    finally:
+        new.unpersist()
 
-    def __init__(self, spark: SparkSession, root: str, schema: str, key: list[str], buckets: int = 64) -> None:
-        self.spark, self.root, self.key, self.buckets = spark, root.rstrip("/"), list(key), buckets
-        self.schema = spark.createDataFrame([], schema).schema
-        jvm = spark._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
-        names = [x.getPath().getName() for x in self._fs.globStatus(self._path(f"{self.root}/_manifests/*")) or []]
-        self.version = max((int(n) for n in names if n.isdigit()), default=0)
-        self.held: dict[int, int] = {}  # bucket: version
-        if self.version:
-            rows = spark.read.schema("bucket int, version int").parquet(f"{self.root}/_manifests/{self.version}").collect()  # at most `buckets`
-            self.held = {r.bucket: r.version for r in rows}
-
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
-
-    def _rows(self, buckets: list[int]) -> DataFrame:
-        paths = [f"{self.root}/v{self.held[b]}/_b={b}" for b in buckets if b in self.held]
-        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
-
-    def read(self) -> DataFrame:
-        return self._rows(sorted(self.held))
-
-    def _change(self, new: DataFrame, change: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
-        touched = [r.b for r in new.select(self._bucket().alias("b")).distinct().collect()]  # at most `buckets`
-        version = self.version + 1
-        rows = change(self._rows(touched), new).select(*(f.name for f in self.schema)).withColumn("_b", self._bucket())
-        rows.repartition(len(touched) or 1, "_b").write.mode("overwrite").partitionBy("_b").parquet(f"{self.root}/v{version}")
-        held = {**self.held, **dict.fromkeys(touched, version)}
-        there = {b: v for b, v in held.items() if v != version or self._fs.exists(self._path(f"{self.root}/v{version}/_b={b}"))}
-        done = f"{self.root}/_manifests/{version}"
-        self.spark.createDataFrame(sorted(there.items()), "bucket int, version int").coalesce(1).write.mode("overwrite").parquet(f"{self.root}/_manifests/_{version}")
-        self._fs.rename(self._path(f"{self.root}/_manifests/_{version}"), self._path(done))
-        self.version, self.held = version, there
-
-    def upsert(self, new: DataFrame, updated: list[str], required: list[str] = ()) -> None:
-        self._change(new, lambda old, rows: upsert(old, rows, self.key, updated, required))
-
-    def append_new(self, new: DataFrame, *order: str) -> None:
-        self._change(new, lambda old, rows: append_new(old, rows, self.key, *order))
+
+def merged_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table of merged_into, with batch and bucket; empty if nothing has been merged."""
+    whole = spark.createDataFrame([], f"{schema}, batch long, bucket int")
+    try:
+        return spark.read.schema(whole.schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return whole
 
 
 def kept_for_batch(routed_rows: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """The rows of vectors that no cluster took, which the next run over everything clusters anew; for Table.append_new."""
+    """The rows of vectors that no cluster took, which the next run over everything clusters anew."""
     return rows.join(routed_rows.filter("route = 'batch'").select(F.col("id").alias(key)).distinct(), key, "left_semi")

@@ -74,22 +74,37 @@ def test_sinks(spark, tmp_path):
     assert sinks.ship_plan(rules, v, "r").first().path == "rules/src/main/scala/fix/NoX.scala"
 
 
-def test_table_versions(spark, tmp_path):
-    opened = lambda: incremental.Table(spark, str(tmp_path), "k string, v int", ["k"], 4)
-    t = opened()
-    rows = spark.createDataFrame([("a", 1), ("b", 2)], t.schema)
-    t.append_new(rows, "v")
-    t.append_new(rows, "v")
-    t.upsert(spark.createDataFrame([("a", 5)], t.schema), ["v"])
-    assert {tuple(r) for r in t.read().collect()} == {("a", 5), ("b", 2)} and t.version == 3
-    again = opened()  # another driver
-    assert again.version == 3 and {tuple(r) for r in again.read().collect()} == {("a", 5), ("b", 2)}
-    again.append_new(spark.createDataFrame([("c", 7), ("a", 9)], t.schema), "v")
-    (tmp_path / "v5").mkdir()  # left by a writer that was lost
-    last = opened()
-    assert last.version == 4 and {tuple(r) for r in last.read().collect()} == {("a", 5), ("b", 2), ("c", 7)}
-    last.upsert(spark.createDataFrame([(f"k{i}", i) for i in range(20)], t.schema), ["v"])
-    assert opened().read().count() == 23
+def test_batches_merge_into_partitions(spark, tmp_path):
+    path, schema = f"file://{tmp_path}/t", "k string, v int, n int"
+    merge = lambda rows, batch: incremental.merged_into(path, spark.createDataFrame(rows, schema), batch, schema, ["k"], lambda c, old, new: old + new if c == "n" else new, 8)
+    read = lambda: {tuple(r) for r in incremental.merged_rows(spark, path, schema).select("k", "v", "n").collect()}
+    assert read() == set()
+    merge([("a", 1, 1), ("b", 2, 1), (None, 3, 1)], 0)
+    merge([("a", 5, 2), ("c", 6, 1), (None, 7, 4)], 1)
+    want = {("a", 5, 3), ("b", 2, 1), ("c", 6, 1), (None, 7, 5)}
+    assert read() == want
+    merge([("a", 5, 2), ("c", 6, 1), (None, 7, 4)], 1)  # the batch comes again
+    merge([], 2)
+    assert read() == want
+    files = lambda: {f.stat().st_ino for f in tmp_path.glob("t/bucket=*/*.parquet")}
+    before = files()
+    merge([("b", 9, 1)], 3)
+    assert read() == want - {("b", 2, 1)} | {("b", 9, 2)} and len(before - files()) == 1  # one partition is written anew
+    merge([(f"k{i}", i, 1) for i in range(40)], 4)
+    assert len(read()) == 44
+
+
+def test_bundles_of_the_preferred_folder(spark, tmp_path):
+    assert readers.preferred_bundles(spark, str(tmp_path)).count() == 0
+    for folder, lang, k in (("clusters", "go", 1), ("clusters", "scala", 2)):
+        (tmp_path / folder / lang / f"cluster_{k}").mkdir(parents=True)
+        (tmp_path / folder / lang / f"cluster_{k}" / "bundle.json").write_text('{\n "cluster_id": %d, "size": 3,\n "bug_summaries": ["a"]}' % k)
+        (tmp_path / folder / lang / f"cluster_{k}" / "other.json").write_text("{}")
+    read = lambda: {(r.cluster_id, r.language, r.folder) for r in readers.preferred_bundles(spark, str(tmp_path)).collect()}
+    assert read() == {(1, "go", "clusters"), (2, "scala", "clusters")}
+    (tmp_path / "clusters_v2" / "go" / "cluster_9").mkdir(parents=True)
+    (tmp_path / "clusters_v2" / "go" / "cluster_9" / "bundle.json").write_text('{"cluster_id": 9}')
+    assert read() == {(9, "go", "clusters_v2")}
 
 
 def test_stream_state_over_restarts(spark, tmp_path):

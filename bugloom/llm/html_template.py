@@ -37,8 +37,11 @@ SHIPPED = 16 << 20
 MOST_LINKED = 0.5
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var wbr img label".split())
-RAW = "script|style|noscript|template|svg|iframe|textarea|title|object|math"
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var wbr img label svg".split())
+MATH = frozenset("math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split())
+INLINE |= MATH
+#: Elements whose content is no text; they don't end the block that they stand in.  A drawing may close itself.
+RAW = "script|style|noscript|template|svg|iframe|textarea|title|object|annotation|annotation-xml"
 #: Elements that are never part of the text, and classes, ids and roles that say the same if a host's pages share them.
 CHROME_TAGS = frozenset("head nav header footer aside form menu dialog button select input fieldset".split())
 CHROME_WORDS = frozenset(
@@ -51,7 +54,7 @@ TITLED = HEADINGS | frozenset("section body html".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 CLOSES_OWN = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
-_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|[^<]+|<", re.S | re.I)
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(?:svg|annotation|{'|'.join(sorted(MATH))})(?![\w-])(?:[^>\"'/]++|\"[^\"]*+\"|'[^']*+'|/(?!>))*+/>|<(?P<raw>{RAW})(?![\w-])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|[^<]+|<", re.S | re.I)
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 #: Between the elements of a path, and before a chrome word: neither stands in a tag or class name.
 SEP, MARK = " ", "\t"
@@ -93,9 +96,11 @@ class Page:
             nonlocal linked, place
             if text:
                 if joined := " ".join(html.unescape("".join(text)).split()):
-                    _, path, _, content, _ = next(x for x in reversed(stack) if x[0] not in INLINE)
+                    tag, path, _, content, _ = next(x for x in reversed(stack) if x[0] not in INLINE)
                     place += 1
-                    self.blocks.append((path, any(x[2] for x in stack), content, joined, linked, [x[4] for x in stack if x[4]], place))
+                    own = tag in HEADINGS and content  # an article's header holds its heading
+                    chrome = any(x[2] and not (own and x[0] == "header" and x[3]) for x in stack)
+                    self.blocks.append((path, chrome, content, joined, linked, [x[4] for x in stack if x[4]], place))
                 text.clear()
             linked = 0
 
@@ -107,12 +112,10 @@ class Page:
         for m in _TOKEN.finditer(source):
             tag = m["tag"]
             if tag is None:
-                piece = m[0]
+                piece = m[0]  # also a comment, a raw element or a closed drawing, which hold no text
                 if piece[0] != "<" or piece == "<":
                     text.append(piece)
                     linked += len(piece) if in_link else 0
-                elif m["raw"]:
-                    close()
                 continue
             tag = tag.lower()
             if tag not in INLINE:

@@ -126,10 +126,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int) -> tuple[np.n
     """FEATURES and quality of at most `most` labelled documents, the first by a hash of doc_id.
 
     A document with several labels counts with the least; labels without doc_id or quality, and those of no document, count for nothing.
+    Of rows of one doc_id that of the least hash of text counts, so that the sample is bounded by rows too.
     """
     chosen = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).filter("doc_id IS NOT NULL AND quality IS NOT NULL")
     chosen = chosen.groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")  # at most `most` rows of two numbers
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t"), F.first("quality").alias("quality")).select("doc_id", "t.text", "quality")
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

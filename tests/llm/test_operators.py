@@ -56,13 +56,14 @@ def sf(docs, spark, store):
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(30)] + [(3, 0, 0), (None, 1, 0), (4, None, None), (10**6, 1, 1)], "doc_id long, quality int, toxic int")
     bench = spark.createDataFrame([(0, "an item that is nowhere in the documents at all, surely"), (1, None), (None, "x"), (2, "tiny")], "item_id long, text string").selectExpr("*", "'c' AS doc_id")
     pages = spark.createDataFrame([(1, "http://a.example/x#t", "<p>One</p>"), (2, None, None), (3, "HTTPS://www.A.example:443/x/?utm_a=1", ""), (3, "https://a.example/x", "<p>again"), (None, "x", "<b")], "page_id long, url string, html string").selectExpr("*", "'c' AS text")
-    return store(documents=wide, labels=labels, benchmark=bench, pages=pages)
+    vectors = spark.createDataFrame([(i, [float(i % 7), 0.5, -1.0]) for i in range(0, 400, 20)] + [(7, None), (None, [1.0, 1.0, 1.0])], "vec_id long, embedding array<float>").selectExpr("*", "'c' AS row")
+    return store(documents=wide, labels=labels, benchmark=bench, pages=pages, embeddings=vectors)
 
 
 @pytest.fixture(scope="module")
 def empty(docs, spark, store, sf):
     read = lambda t: spark.read.parquet(f"{sf}/{t}.parquet").limit(0)
-    return store(documents=docs.limit(0), labels=read("labels"), benchmark=read("benchmark"), pages=read("pages"))
+    return store(documents=docs.limit(0), labels=read("labels"), benchmark=read("benchmark"), pages=read("pages"), embeddings=read("embeddings"))
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -522,7 +523,7 @@ def test_oracle(spark, name):
     import duckdb
 
     sf, c = "/root/testdata/sf0.001", duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     want = c.sql(ORACLE_SQL[name])
     got = QUERIES[name](spark, sf).select(*want.columns)
@@ -632,6 +633,31 @@ def test_op5_classes_out_of_order_or_crossing_are_none():
     assert html_template.main_text(page(two), late) == "B\nC\nt"
 
 
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ('<article><p>First.</p><svg class="i"/><p>Second.</p></article>', "First.\nSecond."),
+        ('<article><p>a <svg viewBox="0 0 1 1"><title>icon</title><path d="M0/1"/></svg> b</p><svg/></article>', "a b"),
+        ("<article><p>Let <math><mi>x</mi><mo>=</mo><msup><mi>y</mi><mn>2</mn></msup></math> hold.</p></article>", "Let x=y2 hold."),
+        ("<article><p>Let <math><semantics><mi>x</mi><annotation>\\x</annotation></semantics></math> hold, <math/> too.</p></article>", "Let x hold, too."),
+        ("<article><main/><p>open</p></article>", "open"),
+        ("<article><p>one<script>x</script> two<!-- c --> three</p></article>", "one two three"),
+        ("<header><h1>Site</h1></header><article><header><h1>Title</h1><p>by me</p></header><p>Body</p></article>", "Title\nBody"),
+        ("<article><nav><h2>Menu</h2></nav><header><nav><h3>On this page</h3></nav></header><p>Body</p></article>", "Body"),
+        ("<article><p>main and <main-menu>x</main-menu></p><script src='/a/'/>var p;</script><p>z</p></article>", "main and\nx\nz"),
+    ],
+)
+def test_op5_parts_of_blocks(source, text):
+    assert html_template.main_text(html_template.Page(source), html_template.Template()) == text
+
+
+def test_labelled_sample_is_bounded_by_rows(spark):
+    docs = spark.createDataFrame([(1, f"text {i % 50}") for i in range(500)] + [(2, "b"), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (3, 1)], "doc_id long, quality int")
+    x, y = textstats.labelled_sample(docs, labels, 10)
+    assert x.shape[0] == 3 and sorted(y) == [0, 1, 1]
+
+
 def test_op5_heads_inside_articles_stay(spark):
     page = '<article><h1 class="post-header">Title {k}</h1><div class="share-price">The price rose {k}.</div><p>Body {k}</p></article>'
     assert texts_of(spark, [page.replace("{k}", str(k)) for k in range(4)]) == {k: f"Title {k}\nThe price rose {k}.\nBody {k}" for k in range(4)}

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from bugloom.functions import text as T
 from bugloom.operators import report, rules
 from bugloom.session import session
+from bugloom.streaming import incremental
 
 from . import config_of, log, told
 
@@ -47,9 +48,15 @@ def taken(spark: SparkSession, documents: str, out: str, checkpoint: str, settin
     schema = spark.read.parquet(documents).schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", settings["files_per_batch"]).parquet(pattern_of(documents))
     found = found_in(stream, settings["min_severity"])
-    query = found.writeStream.format("parquet").partitionBy("severity", "rule").option("path", f"{out}/findings").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    seen = []
+
+    def drained() -> None:
+        query = found.writeStream.format("parquet").partitionBy("severity", "rule").option("path", f"{out}/findings").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+        seen.append(sum(p["numInputRows"] for p in query.recentProgress))
+
+    incremental.with_setting(spark, "spark.sql.streaming.numRecentProgressUpdates", "1000000", drained)  # else rows of the last 100 batches
+    return seen[0]
 
 
 def findings_of(spark: SparkSession, out: str) -> DataFrame:

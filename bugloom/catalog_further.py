@@ -7,9 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .catalog import CENTROIDS_SQL, HITS, LINES, ORACLE_SQL, _vectors, query
+from .catalog import CENTROIDS_SQL, FIRST_LINE, HITS, LINES, ORACLE_SQL, _quoted, _tokens_sql, _vectors, query
 from .catalog_more import FIXTURES, PATTERN_FIXTURES
-from .operators import diffs, patterns, quality, report, rules, scanners, vector_index, vectorise
+from .operators import diffs, patterns, quality, relational, report, rules, scanners, vector_index, vectorise
 from .functions import registry
 from .functions import text as T
 from .functions import vectors as V
@@ -327,3 +327,63 @@ def routed_batch_rows(spark, at):
     routes = incremental.routed(vectors, cents, 0.3, 50)
     incremental.run_once(routes, path + "-state", path=path)
     return incremental.kept_for_batch(spark.read.schema(routes.schema).parquet(path), table(spark, "embeddings", at), "vec_id").select("vec_id", "label")
+
+
+# --- the report across repositories, blocks of features, seeds, strict reading ---
+
+_CROSS = f"""s AS (SELECT DISTINCT source AS repo, {FIRST_LINE} AS s FROM documents WHERE source IN ('src0', 'src1') AND {FIRST_LINE} <> ''), total AS (SELECT repo, count(*) AS total FROM s GROUP BY repo),
+  c AS (SELECT repo, token, count(*) AS n FROM (SELECT repo, unnest({_tokens_sql("s")}) AS token FROM s) GROUP BY ALL),
+  sides AS (SELECT token, max(CASE WHEN repo = 'src0' THEN n ELSE 0 END) AS n_a, max(CASE WHEN repo = 'src1' THEN n ELSE 0 END) AS n_b, bool_or(n > 0.3 * total) AS generic FROM c JOIN total USING (repo) GROUP BY token),
+  chosen AS (SELECT token FROM sides WHERE NOT generic AND greatest(n_a, n_b) >= 3 AND least(n_a, n_b) >= 1 AND token NOT IN ({", ".join(_quoted(w) for w in T.NON_DOMAIN)}))"""
+
+
+@query(f"""WITH {_CROSS}, seen AS (SELECT source AS repo, summary, token, min(doc_id) AS ord FROM (SELECT source, doc_id, {FIRST_LINE} AS summary, unnest({_tokens_sql(FIRST_LINE)}) AS token FROM documents WHERE source IN ('src0', 'src1')) JOIN chosen USING (token) GROUP BY ALL),
+  best AS (SELECT *, row_number() OVER (PARTITION BY repo, token ORDER BY ord) AS place FROM seen)
+  SELECT repo, token, summary, CASE WHEN ord % 2 = 0 THEN 'PR-' || ord ELSE left(md5(CAST(ord AS VARCHAR)), 10) END AS pr, CASE token WHEN 'error' THEN 'flag catch blocks that swallow' ELSE 'look into fixes that mention ' || token END AS shape FROM best WHERE place <= 5""")
+def cross_repo_examples(spark, at):
+    """The first five summaries of each side for each word that recurs, with their pull request and what rule the word hints at."""
+    sha = F.md5(F.col("doc_id").cast("string").cast("binary"))
+    s = _docs(spark, at).filter(F.col("source").isin("src0", "src1")).select(F.col("source").alias("repo"), F.split("text", "\n", -1)[0].alias("summary"), F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("https://h/o/r/pull/"), "doc_id")).alias("pr_url"), sha.alias("commit_sha"), F.col("doc_id").alias("ord"))
+    return report.pattern_examples(s, report.cross_patterns(s.select("repo", "summary"), "src0", "src1", 3, 1), 5)
+
+
+_BLOCK = """{name}_n AS (SELECT id, term, count(*) AS tf FROM {name}_t GROUP BY ALL), {name}_v AS (SELECT term, count(*) AS df FROM {name}_n GROUP BY term HAVING count(*) >= 3 ORDER BY sum(tf) DESC, term LIMIT {most}),
+  {name}_w AS (SELECT id, '{name}:' || term AS term, (1 + ln(tf)) * (ln((1 + (SELECT count(*) FROM d)) / (1 + df)) + 1) AS w FROM {name}_n JOIN {name}_v USING (term)), {name}_u AS (SELECT id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS w FROM {name}_w)"""
+_TITLE = "left(string_split(text, chr(10))[1], 60)"
+
+
+@query(f"""WITH d AS (SELECT doc_id AS id, {_TITLE} AS s FROM documents), w_t AS (SELECT id, unnest(list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]), list_transform(range(1, len(t) - 1), lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2]))) AS term FROM (SELECT id, regexp_extract_all(lower(s), '([a-z_][a-z0-9_]+|[+\\-=!<>]+)', 1) AS t FROM d)),
+  p AS (SELECT id, ' ' || x || ' ' AS x FROM (SELECT id, unnest(string_split_regex(lower(s), '[ \\t\\n\\x0B\\f\\r]+')) AS x FROM d) WHERE x <> ''), c_t AS (SELECT id, unnest(CASE WHEN length(x) >= k THEN list_transform(range(1, length(x) - k + 2), lambda i: substr(x, i, k)) ELSE [x] END) AS term FROM p, (VALUES (3), (4), (5)) v(k)),
+  {_BLOCK.format(name="w", most=8192)}, {_BLOCK.format(name="c", most=4096)}, u AS (SELECT * FROM w_u UNION ALL SELECT * FROM c_u), n AS (SELECT id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS w FROM u)
+  SELECT term, count(*) AS n, round(sum(w), 4) AS weight FROM n GROUP BY term""")
+def word_and_char_blocks(spark, at):
+    """Runs of one to three tokens beside runs of three to five characters, of titles."""
+    d = _docs(spark, at).select(F.col("doc_id").alias("id"), F.left(F.split("text", "\n", -1)[0], F.lit(60)).alias("s"))
+    rows = vectorise.tfidf_blocks(d, vectorise.ngrams(vectorise.code_tokens(F.col("s")), 1, 3), vectorise.char_ngrams(F.col("s"), 3, 5))
+    return rows.groupBy("term").agg(F.count("*").alias("n"), F.round(F.sum("weight"), 4).alias("weight"))
+
+
+@query("SELECT source, CAST('0x' || right(sha256(source), 8) AS BIGINT) AS seed, arg_min(doc_id, (md5(CAST(CAST('0x' || right(sha256(source), 8) AS BIGINT) AS VARCHAR) || '|' || doc_id), doc_id)) AS first_id FROM documents GROUP BY source")
+def named_seeds(spark, at):
+    """A sample of each source by a seed that its name gives."""
+    d = _docs(spark, at).select("source", "doc_id", T.seed_of(F.col("source")).alias("seed"))
+    order = F.struct(F.md5(F.concat_ws("|", F.col("seed").cast("string"), F.col("doc_id").cast("string"))), "doc_id")
+    return d.groupBy("source", "seed").agg(F.min_by("doc_id", order).alias("first_id"))
+
+
+@query("SELECT source, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents GROUP BY source")
+def json_lines_strict(spark, at):
+    """A corpus written as JSON lines and read so that a malformed line would fail."""
+    path = _scratch(spark, "corpus")
+    _docs(spark, at).select("source", "doc_id", "text").write.json(path)
+    rows = readers.json_lines(spark, path, "source string, doc_id long, text string", strict=True)
+    return rows.groupBy("source").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
+
+
+@query("SELECT e.event_id, CASE WHEN c_custkey IS NULL THEN 'unknown' ELSE 'user' END AS kind, 'events' AS part FROM events e LEFT JOIN customer ON c_custkey = user_id UNION ALL SELECT event_id, event_type, 'errors' FROM events WHERE event_type = 'error'")
+def tagged_union(spark, at):
+    """Rows of two selections one after another, each with where it came from; ids go along."""
+    e, c = table(spark, "events", at), table(spark, "customer", at).select(F.col("c_custkey").alias("user_id"), F.lit(True).alias("known"))
+    users = relational.first_of(c, ["user_id"], "known")
+    a = e.join(users, "user_id", "left").select("event_id", F.when(F.col("known"), "user").otherwise("unknown").alias("kind"), F.lit("events").alias("part"))
+    return a.unionByName(e.filter("event_type = 'error'").select("event_id", F.col("event_type").alias("kind"), F.lit("errors").alias("part")))

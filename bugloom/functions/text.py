@@ -300,6 +300,11 @@ def stop_words() -> list[str]:
     return sorted({w for w in StopWordsRemover.loadDefaultStopWords("english") if w.isalpha() and len(w) >= 3})
 
 
+def seed_of(name: Column) -> Column:
+    """seed_number of a name that is no number: the last 32 bits of its SHA-256."""
+    return F.conv(F.right(F.sha2(name.cast("binary"), 256), F.lit(8)), 16, 10).cast("long")
+
+
 def tokens(text: Column, stop: list[str] | None = None) -> Column:
     """Runs of ASCII letters of the text in lower case, three letters or more, without stop words (stop: a list of one's own)."""
     found = F.filter(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z]+"), 0), lambda t: F.length(t) >= 3)

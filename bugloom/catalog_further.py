@@ -15,7 +15,7 @@ from .functions import text as T
 from .functions import vectors as V
 from .plans import batch
 from .session import shared_folder, table
-from .sources import readers
+from .sources import readers, sinks
 from .streaming import incremental
 
 
@@ -387,3 +387,14 @@ def tagged_union(spark, at):
     users = relational.first_of(c, ["user_id"], "known")
     a = e.join(users, "user_id", "left").select("event_id", F.when(F.col("known"), "user").otherwise("unknown").alias("kind"), F.lit("events").alias("part"))
     return a.unionByName(e.filter("event_type = 'error'").select("event_id", F.col("event_type").alias("kind"), F.lit("errors").alias("part")))
+
+
+@query("SELECT source, quality, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents JOIN labels USING (doc_id) WHERE n_chars > 100 GROUP BY source, quality")
+def bucketed_tables_join(spark, at):
+    """Two tables of the catalogue with equal buckets, read by name and joined where they lie."""
+    path, names = _scratch(spark, "bucketed"), []
+    for name in ("documents", "labels"):
+        names.append(sinks.bucketed(table(spark, name, at), f"{path}/{name}", "doc_id", 8))
+    d = readers.rows_of_table(spark, names[0], ["doc_id", "source", "n_chars"], "n_chars > 100")
+    rows = d.join(readers.rows_of_table(spark, names[1], ["doc_id", "quality"]), "doc_id")
+    return rows.groupBy("source", "quality").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))

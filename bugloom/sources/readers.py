@@ -42,6 +42,12 @@ def json_lines(spark: SparkSession, path: str, schema: str, strict: bool = False
     return spark.read.schema(schema).option("mode", "FAILFAST" if strict else "DROPMALFORMED").json(path)
 
 
+def rows_of_table(spark: SparkSession, name: str, columns: list[str], where: str | None = None) -> DataFrame:
+    """Columns and rows of a table of the catalogue; what `where` says about columns of files or partitions reaches the scan."""
+    rows = spark.table(name)
+    return (rows.filter(where) if where else rows).select(*columns)
+
+
 def issues(df: DataFrame, project: str, since: str, limit: int = 500) -> DataFrame:
     """Resolved bugs of a project, latest first."""
     return df.filter((F.col("project") == project) & (F.col("type") == "Bug") & F.col("status").isin("Done", "Closed", "Resolved") & (F.col("resolved_at") >= F.lit(since).cast("timestamp"))).orderBy(F.desc("resolved_at"), "key").limit(limit)

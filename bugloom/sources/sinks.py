@@ -81,3 +81,17 @@ def ship_plan(rules: DataFrame, validation: DataFrame, repo: str, category: str
     path = F.when(F.col("target") == "scalafix", F.concat(F.lit("rules/src/main/scala/fix/"), T.class_name(F.col("rule_id")), F.lit(".scala"))).otherwise(F.concat(F.lit(f"rules/{category}/"), "rule_id", F.lit(".yaml")))
     body = F.concat(F.lit("Precision "), T.percent(F.col("precision")), F.lit(", recall "), T.percent(F.col("recall_in_cluster")), F.lit("\n\n"), "rationale", F.lit("\n\nFrom: "), F.array_join("origin_bug_keys", ", "))
     return c.select(F.lit(repo).alias("repo"), F.concat(F.lit("rule/"), "rule_id").alias("branch"), path.alias("path"), F.col("rule_source").alias("content"), F.concat(F.lit("Add rule "), "rule_id").alias("title"), body.alias("body"))
+
+
+def bucketed(df: DataFrame, path: str, key: str, buckets: int = 64) -> str:
+    """Writes a table of the catalogue below a path, hashed by a key into sorted buckets; gives its name, new with each call.
+
+    Two such tables of one key and number of buckets are joined, and each is grouped by the key, without a shuffle.  The
+    files stay when the table is dropped.
+    """
+    import uuid
+
+    name = f"bucketed_{uuid.uuid4().hex}"
+    # one file for each bucket, not one for each task and bucket
+    df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return name

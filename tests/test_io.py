@@ -94,6 +94,18 @@ def test_batches_merge_into_partitions(spark, tmp_path):
     assert len(read()) == 44
 
 
+def test_bucketed_tables_join_where_they_lie(spark, tmp_path):
+    a = sinks.bucketed(spark.range(1000).selectExpr("id", "id % 7 AS x"), f"file://{tmp_path}/a", "id", 4)
+    b = sinks.bucketed(spark.range(500, 1500).selectExpr("id", "id % 5 AS y"), f"file://{tmp_path}/b", "id", 4)
+    assert len(list((tmp_path / "a").glob("part-*"))) == 4
+    rows = readers.rows_of_table(spark, a, ["id", "x"], "x = 3").join(readers.rows_of_table(spark, b, ["id", "y"]).hint("merge"), "id")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert "PushedFilters: [IsNotNull(x), EqualTo(x,3)" in plan and rows.count() == sum(i % 7 == 3 for i in range(500, 1000))
+    spark.sql(f"DROP TABLE {a}")
+    assert spark.read.parquet(f"file://{tmp_path}/a").count() == 1000
+
+
 def test_bundles_of_the_preferred_folder(spark, tmp_path):
     assert readers.preferred_bundles(spark, str(tmp_path)).count() == 0
     for folder, lang, k in (("clusters", "go", 1), ("clusters", "scala", 2)):

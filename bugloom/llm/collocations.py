@@ -98,13 +98,16 @@ def segments(docs: DataFrame) -> DataFrame:
 
 
 def dictionary(segs: DataFrame, least: int) -> DataFrame:
-    """lang, word, f, id of the words that occur `least` times in their language; ids from 1, none left out."""
+    """lang, word, f, id of the words that occur `least` times in their language, stored; ids from 1, none left out."""
     counted = segs.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("f"))
     named = stored(counted.filter(F.col("f") >= least).withColumn("at", F.monotonically_increasing_id()), "op11-words", light=True)
     part = F.shiftright("at", 33)
     sizes = named.groupBy(part.alias("part")).count()  # a row for each task of the count, no more
     first = sizes.select("part", (F.sum("count").over(Window.orderBy("part")) - F.col("count")).alias("before"))
-    return named.withColumn("part", part).join(F.broadcast(first), "part").select("lang", "word", "f", (F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1) + 1).alias("id"))
+    ids = named.withColumn("part", part).join(F.broadcast(first), "part").select("lang", "word", "f", (F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1) + 1).alias("id"))
+    out = stored(ids, "op11-dictionary", light=True)
+    dropped(named)
+    return out
 
 
 def with_ids(segs: DataFrame, words: DataFrame, n_words: int) -> DataFrame:
@@ -265,7 +268,7 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
     """lang, rank, phrase, a, l, r, n, score of each language's best phrases."""
     segs = stored(segments(docs), "op11-segments", light=True)
     totals = stored(segs.groupBy("lang").agg(F.sum("n_words").alias("n")), "op11-totals", light=True)
-    words = stored(dictionary(segs, least), "op11-dictionary", light=True)
+    words = dictionary(segs, least)
     n_words = words.count()
     if n_words >= 1 << 32:
         raise ValueError("over 2^32 frequent words: raise `least`")
@@ -278,15 +281,17 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
     phrases = stored(counted(dealt(coded, edges, width, longest), width, longest, least), "op11-phrases")
     dropped(coded)
     key = F.expr(f"unhex(lpad(hex(id), {2 * width}, '0'))")
-    words = words.withColumn("key", key)
-    chosen = maximal(scored(phrases, words, totals, width), width)
+    keyed = words.withColumn("key", key)
+    chosen = maximal(scored(phrases, keyed, totals, width), width)
     order = [F.desc("score"), F.desc("a")]
     near = chosen.withColumn("place", F.rank().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("place") <= top)
     near = near.withColumn("at", F.explode(F.sequence(F.lit(0), (F.length("key") / width).cast("int") - 1))).withColumn("one", F.expr(f"substring(key, at * {width} + 1, {width})"))
-    spelt = near.join(words.select(F.col("key").alias("one"), "word"), "one").groupBy("key", "lang", "a", "l", "r", "n", "score").agg(F.sort_array(F.collect_list(F.struct("at", "word"))).alias("words"))
+    spelt = near.join(keyed.select(F.col("key").alias("one"), "word"), "one").groupBy("key", "lang", "a", "l", "r", "n", "score").agg(F.sort_array(F.collect_list(F.struct("at", "word"))).alias("words"))
     spelt = spelt.withColumn("phrase", F.concat_ws(" ", "words.word"))
     ranked = spelt.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order, "phrase")).cast("long")).filter(F.col("rank") <= top)
-    return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"))
+    out = stored(ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score")), "op11-out")
+    dropped(totals, words, phrases)
+    return out
 
 
 def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:

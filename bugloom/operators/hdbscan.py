@@ -1,41 +1,94 @@
 """Density clustering of each group's vectors (Campello et al. 2013), with excess-of-mass or leaf selection.
 
 A core distance is that to the min_samples-th point counting the point itself.  The root is never a cluster, so a group
-without a split is noise throughout.  Groups are clustered whole, each in one task, as pairs within one are what the
-method is about; MAX_GROUP bounds what such a task may hold, and a larger group is an error, not a sample.
+without a split is noise throughout.
+
+Vectors of a group are dealt to blocks, and a task holds two blocks: it finds the nearest neighbours among them, later a
+least spanning tree of their mutual reachability.  An edge of the whole group's tree is in the tree of any part that holds
+both its ends, so the trees of all pairs of blocks hold the whole tree; they are merged a few at a time.  Only the tree of
+a group, three numbers for each vector, meets in one task, which cuts it into clusters; MAX_GROUP bounds that, and a
+larger group is an error, not a sample.  Edges are in a total order (distance to ten places, then ids), so that the tree
+and the labels don't depend on blocks.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_GROUP = 20_000
+from ..functions.vectors import doubles
+from ..session import shared_folder
 
+MAX_GROUP = 500_000
+#: Vectors of a block, trees that are merged in a task.
+BLOCK, FAN = 4096, 8
 
-def spanning_tree(x: np.ndarray, min_samples: int) -> np.ndarray:
-    """Rows (a, b, distance) of a least spanning tree over mutual reachability, sorted by distance."""
-    n, sq = len(x), (x * x).sum(1)
 
-    def distances(i: int) -> np.ndarray:
-        return np.sqrt(np.maximum(sq + sq[i] - 2 * x @ x[i], 0))
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """To ten places; 0 where two vectors differ by rounding only."""
+    sx, sy = (x * x).sum(1)[:, None], (y * y).sum(1)
+    d = sx + sy - 2 * x @ y.T
+    d[d < 1e-12 * (sx + sy)] = 0
+    return np.round(np.sqrt(d), 10)
+
 
-    core = np.array([np.partition(distances(i), min(min_samples, n) - 1)[min(min_samples, n) - 1] for i in range(n)])
-    best, parent, left = np.full(n, np.inf), np.zeros(n, int), np.ones(n, bool)
+def nearest_distances(x: np.ndarray, y: np.ndarray, k: int, own: bool) -> np.ndarray:
+    """The k least distances of each row of x to rows of y, infinite beyond their number; own: y is x."""
+    out = np.full((len(x), k), np.inf)
+    for i in range(0, len(x), 1024):
+        d = _distances(x[i : i + 1024], y)
+        if own:
+            d[np.arange(len(d)), i + np.arange(len(d))] = 0
+        out[i : i + 1024, : len(y)] = np.sort(np.partition(d, k - 1, axis=1)[:, :k] if k < len(y) else d, axis=1)[:, :k]
+    return out
+
+
+def tree_of(x: np.ndarray, core: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """(a, b, distance) of the spanning tree of mutual reachability that is least by distance, then a, then b, with a < b."""
+    n = len(x)
+    best, left = np.full(n, np.inf), np.ones(n, bool)
+    low, high = np.full(n, np.iinfo(np.int64).max), np.full(n, np.iinfo(np.int64).max)
     at, edges = 0, []
-    left[0] = False
     for _ in range(n - 1):
-        reach = np.maximum(np.maximum(distances(at), core), core[at])
-        nearer = left & (reach < best)
-        best[nearer], parent[nearer] = reach[nearer], at
-        new = int(np.argmin(np.where(left, best, np.inf)))
-        edges.append((parent[new], new, best[new]))
-        left[new] = False
-        at = new
-    edges = np.array(edges).reshape(-1, 3)
-    return edges[np.argsort(edges[:, 2], kind="stable")]
+        left[at] = False
+        reach = np.maximum(np.maximum(_distances(x[at : at + 1], x)[0], core), core[at])
+        lo, hi = np.minimum(ids, ids[at]), np.maximum(ids, ids[at])
+        nearer = left & ((reach < best) | ((reach == best) & ((lo < low) | ((lo == low) & (hi < high)))))
+        best[nearer], low[nearer], high[nearer] = reach[nearer], lo[nearer], hi[nearer]
+        some = np.flatnonzero(left & (best == best[left].min()))
+        at = int(some[np.lexsort((high[some], low[some]))[0]])
+        edges.append((low[at], high[at], best[at]))
+    return np.array(edges, dtype=[("a", np.int64), ("b", np.int64), ("w", np.float64)])
+
+
+def least_forest(a: np.ndarray, b: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Places of the edges of the least spanning forest, in order."""
+    order = np.lexsort((b, a, w))
+    names, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    ends = ends.reshape(2, -1).T[order].tolist()
+    top, kept = list(range(len(names))), []
+    for k, (i, j) in enumerate(ends):
+        while top[i] != i:
+            top[i] = i = top[top[i]]
+        while top[j] != j:
+            top[j] = j = top[top[j]]
+        if i != j:
+            top[i] = j
+            kept.append(k)
+    return order[kept]
+
+
+def spanning_tree(x: np.ndarray, min_samples: int) -> np.ndarray:
+    """Rows (a, b, distance) of a least spanning tree over mutual reachability, sorted by distance."""
+    k = min(min_samples, len(x))
+    edges = tree_of(x, nearest_distances(x, x, k, True)[:, k - 1], np.arange(len(x)))
+    edges = edges[np.lexsort((edges["b"], edges["a"], edges["w"]))] if len(edges) else edges
+    return np.stack([edges["a"], edges["b"], edges["w"]], axis=1).reshape(-1, 3) if len(edges) else np.zeros((0, 3))
 
 
 class _Cluster:
@@ -116,13 +169,15 @@ def selected(root: _Cluster, leaf: bool) -> list[_Cluster]:
 
 def labels_of(x: np.ndarray, min_cluster_size: int, min_samples: int | None = None, leaf: bool = False) -> np.ndarray:
     """A label for each vector, -1 for noise; clusters are numbered by their first vector."""
-    n = len(x)
+    return labels_of_tree(spanning_tree(x, min_samples or min_cluster_size) if len(x) > 1 else np.zeros((0, 3)), len(x), min_cluster_size, leaf)
+
+
+def labels_of_tree(edges: np.ndarray, n: int, min_cluster_size: int, leaf: bool) -> np.ndarray:
     out = np.full(n, -1)
     if n < min_cluster_size or n < 2:
         return out
-    root = condensed(spanning_tree(x, min_samples or min_cluster_size), n, min_cluster_size)
     found = []
-    for c in selected(root, leaf):
+    for c in selected(condensed(edges, n, min_cluster_size), leaf):
         points, stack = [], [c]
         while stack:
             k = stack.pop()
@@ -134,21 +189,90 @@ def labels_of(x: np.ndarray, min_cluster_size: int, min_samples: int | None = No
     return out
 
 
-def clustered(vectors: DataFrame, group: list[str], min_cluster_size: int = 5, min_samples: int | None = 2, leaf: bool = True) -> DataFrame:
-    """group, id, label of every row of vectors (group columns, id, vector).  A cluster's number is within its group."""
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = f"{shared_folder(df.sparkSession)}/hdbscan-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _matrix(t: pa.Table) -> np.ndarray:
+    return np.asarray(t["x"].combine_chunks().flatten()).astype(np.float64).reshape(len(t), -1)
+
+
+def _by_pairs(rows: DataFrame, twice: bool) -> DataFrame:
+    """rows once for each pair of blocks (i <= j) that theirs is in; twice: also for (i, i) where there are several blocks."""
+    other = F.explode(F.sequence(F.lit(0), F.col("_k") - 1)).alias("_o")
+    out = rows.select("*", other).withColumn("_i", F.least("_b", "_o")).withColumn("_j", F.greatest("_b", "_o"))
+    return out if twice else out.filter((F.col("_i") < F.col("_j")) | (F.col("_k") == 1))
+
+
+def spanning_edges(rows: DataFrame, group: list[str], min_samples: int, block: int) -> DataFrame:
+    """group, a, b, w: the edges of each group's tree.  rows: group, id, x, all of one length in a group."""
+    kinds = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in group)
+    sizes = rows.groupBy(*group).agg(F.ceil(F.count("*") / block).cast("int").alias("_k"))
+    on = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in group]
+    dealt = rows.alias("r").join(sizes.alias("s"), on).select("r.*", "_k").withColumn("_b", F.pmod(F.xxhash64("id"), F.col("_k")).cast("int"))
+
+    def near(t: pa.Table) -> pa.Table:
+        x, ids, b = _matrix(t), t["id"], np.asarray(t["_b"])
+        if t["_i"][0] == t["_j"][0]:
+            d = nearest_distances(x, x, min_samples, True)
+        else:
+            d = np.empty((len(x), min_samples))
+            for one in np.unique(b):
+                d[b == one] = nearest_distances(x[b == one], x[b != one], min_samples, False) if (b != one).any() else np.inf
+        return pa.table({**{k: t[k] for k in group}, "id": ids, "d": pa.ListArray.from_arrays(pa.array(np.arange(0, d.size + 1, min_samples), pa.int32()), pa.array(d.ravel()))})
+
+    found = _by_pairs(dealt, True).groupBy(*group, "_i", "_j").applyInArrow(near, f"{kinds}, id long, d array<double>")
+    least = F.sort_array(F.flatten(F.collect_list("d")))
+    core = found.groupBy(*group, "id").agg(least.alias("d")).select(*group, "id", F.coalesce(F.array_max(F.filter(F.slice("d", 1, min_samples), lambda v: v < float("inf"))), F.lit(0.0)).alias("core"))
+    on = [F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}")) for k in [*group, "id"]]
+    dealt = _stored(dealt.alias("r").join(core.alias("c"), on).select("r.*", "core"), "dealt")
+
+    def tree(t: pa.Table) -> pa.Table:
+        ids = np.asarray(t["id"])
+        order = np.argsort(ids, kind="stable")
+        e = tree_of(_matrix(t)[order], np.asarray(t["core"])[order], ids[order])
+        i, j = t["_i"][0].as_py(), t["_j"][0].as_py()
+        return pa.table({**{k: pa.array([t[k][0].as_py()] * len(e), t.schema.field(k).type) for k in group}, "_slot": pa.array(np.full(len(e), j * (j + 1) // 2 + i)), **{k: pa.array(e[k]) for k in ("a", "b", "w")}})
+
+    schema = f"{kinds}, _slot long, a long, b long, w double"
+    edges = _stored(_by_pairs(dealt, False).groupBy(*group, "_i", "_j").applyInArrow(tree, schema), "trees")
+
+    def merged(t: pa.Table) -> pa.Table:
+        return t.take(pa.array(least_forest(*(np.asarray(t[k]) for k in ("a", "b", "w")))))
+
+    most = (edges.agg(F.max("_slot")).first()[0] or 0) + 1
+    while most > 1:
+        most = -(-most // FAN)
+        edges = _stored(edges.withColumn("_slot", F.floor(F.col("_slot") / FAN)).groupBy(*group, "_slot").applyInArrow(merged, schema), "merged")
+    return edges.select(*group, "a", "b", "w")
+
+
+def clustered(vectors: DataFrame, group: list[str], min_cluster_size: int = 5, min_samples: int | None = 2, leaf: bool = True, block: int = BLOCK) -> DataFrame:
+    """group, id, label of every row of vectors (group columns, id, vector).  A cluster's number is within its group.
+
+    An id names one vector of its group, and a group's vectors are of one length; null vectors and those with a null or NaN
+    component are noise.
+    """
     kinds = {f.name: f.dataType.simpleString() for f in vectors.schema}
-    keep = [*group, "id"]
-
-    def of(pdf: pd.DataFrame) -> pd.DataFrame:
-        if len(pdf) > MAX_GROUP:
-            raise ValueError(f"a group has {len(pdf)} vectors, the most is {MAX_GROUP}: group by more columns")
-        pdf = pdf.sort_values("id")
-        x = np.stack(pdf["vector"].to_numpy()).astype(float)
-        return pdf[keep].assign(label=labels_of(x, min_cluster_size, min_samples, leaf).astype("int32"))
-
-    schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), "label int"])
-    rows = vectors.select(*keep, "vector")
-    return (rows.groupBy(*group) if group else rows.groupBy(F.lit(0))).applyInPandas(of, schema)
+    by = group or ["_all"]
+    rows = vectors.select(*group, "id", doubles(F.col("vector")).alias("x"))
+    rows = _stored(rows if group else rows.withColumn("_all", F.lit(0)), "rows")
+    known = rows.filter(F.col("x").isNotNull() & ~F.exists("x", lambda v: v.isNull() | F.isnan(v))).withColumn("id", F.col("id").cast("long"))
+    edges = spanning_edges(known, by, min_samples or min_cluster_size, block)
+
+    def of(members: pd.DataFrame, tree: pd.DataFrame) -> pd.DataFrame:
+        if len(members) > MAX_GROUP:
+            raise ValueError(f"a group has {len(members)} vectors, the most is {MAX_GROUP}: group by more columns")
+        members = members.sort_values("id")
+        ids = members["id"].to_numpy()
+        tree = tree.sort_values(["w", "a", "b"])
+        e = np.stack([np.searchsorted(ids, tree["a"]), np.searchsorted(ids, tree["b"]), tree["w"]], axis=1) if len(tree) else np.zeros((0, 3))
+        return members.assign(label=labels_of_tree(e, len(ids), min_cluster_size, leaf).astype("int32"))
+
+    schema = ", ".join([*(f"`{k}` {kinds.get(k, 'int')}" for k in [*by, "id"]), "label int"])
+    return rows.select(*by, "id").groupBy(*by).cogroup(edges.groupBy(*by)).applyInPandas(of, schema).select(*group, "id", "label")
 
 
 def numbered(labels: DataFrame, group: list[str], step: int = 1000, least: int = 5) -> DataFrame:

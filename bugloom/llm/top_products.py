@@ -244,7 +244,8 @@ def top_products(vectors: DataFrame, id_col: str, vec_col: str, every: int = EVE
     falling = [F.desc("length"), F.col("row")]
     buckets = stored(packed(cut(rows.withColumn("bound", F.lit(float("-inf"))), min(n // (4 * BUCKET) + 1, 4 * some), *falling), BUCKET), "op12-buckets")
     asked = rows.filter((F.col("vec_id") % every) == 0)
-    first = buckets.orderBy(F.desc("longest"), "block").limit(1).withColumn("j", F.lit(0))  # one bucket
+    seen = buckets.agg(F.max_by("block", F.struct("longest", -F.col("block"))).alias("block"))  # one number
+    first = buckets.join(F.broadcast(seen), "block", "left_semi").withColumn("j", F.lit(0))  # one bucket
     blocks = packed(cut(asked.withColumn("bound", F.lit(float("-inf"))), some, "row"), BLOCK)
     left, right = _sides(blocks, first, F.lit(0))
     seeds = stored(met(left.join(F.broadcast(right), "j"), k), "op12-seeds")
@@ -253,7 +254,6 @@ def top_products(vectors: DataFrame, id_col: str, vec_col: str, every: int = EVE
     blocks = stored(packed(cut(asked, some, "need", "row"), BLOCK), "op12-queries")
     n_buckets = buckets.count()
     keys = max(1, min(n_buckets, max(some, n_buckets // DEALT)))
-    seen = first.select("block")
     rest = buckets.join(F.broadcast(seen), "block", "left_anti").withColumn("j", F.pmod(F.shiftright("block", 32) + F.col("block").bitwiseAND((1 << 32) - 1), F.lit(keys)).cast("int"))
     left, right = _sides(blocks, rest, F.explode(F.sequence(F.lit(0), F.lit(keys - 1))))
     pairs = left.repartition(keys, "j").join(right.repartition(keys, "j").hint("merge"), "j").filter(F.col("longest") >= F.col("q_need") * (1 - 1e-9))

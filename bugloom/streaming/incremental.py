@@ -15,10 +15,16 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..functions.vectors import cosine
 
 
+def path_pattern(path: str) -> str:
+    """A pattern that matches the path alone: a file stream takes a folder or a pattern, no single file."""
+    path = path.rstrip("/")
+    return path if set("*?[{") & set(path) else f"{path[:-1]}[{path[-1]}]"
+
+
 def table_stream(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """A stream of the Parquet files of one table in a folder."""
-    schema = spark.read.parquet(f"{folder}/{table}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(folder)
+    """A stream of the Parquet files of one table in a folder: one file, or a folder of its own."""
+    path = f"{folder}/{table}.parquet"
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path_pattern(path))
 
 
 def at_utc(stamp: Column) -> Column:

@@ -37,16 +37,10 @@ def found_in(documents: DataFrame, least: str) -> DataFrame:
     return found.filter(T.at_least(F.col("severity"), least)).select(*(c.split()[0] for c in FINDINGS.split(", ")))
 
 
-def pattern_of(path: str) -> str:
-    """A pattern that matches the path alone: a file stream takes a folder or a pattern, no single file."""
-    path = path.rstrip("/")
-    return path if set("*?[{") & set(path) else f"{path[:-1]}[{path[-1]}]"
-
-
 def taken(spark: SparkSession, documents: str, out: str, checkpoint: str, settings: dict) -> int:
     """Appends the findings of files that are new; gives the number of documents in them."""
     schema = spark.read.parquet(documents).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", settings["files_per_batch"]).parquet(pattern_of(documents))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", settings["files_per_batch"]).parquet(incremental.path_pattern(documents))
     found = found_in(stream, settings["min_severity"])
     seen = []
 

@@ -49,7 +49,8 @@ def word_codes(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     edge[offs] = True
     begin = np.flatnonzero(solid & (~np.append(False, solid[:-1])[: len(data)] | edge[:-1]))
     end = np.flatnonzero(solid & (~np.append(solid[1:], False)[: len(data)] | edge[1:])) + 1
-    ends = np.concatenate([[0], np.cumsum(_BREAK[data] | edge[:-1])])  # breaks and beginnings of texts before a byte
+    ends = np.zeros(len(data) + 1, np.int32 if len(data) < 1 << 31 else np.int64)
+    np.cumsum(_BREAK[data] | edge[:-1], out=ends[1:])  # breaks and beginnings of texts before a byte
     new = np.append(True, ends[begin[1:] + 1] != ends[end[:-1]])[: len(begin)]
     starts = np.concatenate([[0], np.cumsum(end - begin)]).astype(np.int64)
     words = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(starts), pa.py_buffer(data[solid])]).dictionary_encode()

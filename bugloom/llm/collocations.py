@@ -29,7 +29,7 @@ from .common import dropped, mapped, parts, stored, table, text_buffers
 #: Words of the longest phrase, least occurrences, rows of each language.
 LONGEST, LEAST, TOP = 5, 100, 2000
 #: Bytes of text in a segment, keys in a range, sampled keys for each border of ranges.
-SEGMENT, RANGE, SAMPLES = 1 << 24, 1 << 20, 16
+SEGMENT, RANGE, SAMPLES = 1 << 23, 1 << 20, 16
 #: Beyond so many words the dictionary is joined by a shuffle.
 BROADCAST_WORDS = 1_000_000
 
@@ -115,7 +115,7 @@ def with_ids(segs: DataFrame, words: DataFrame, n_words: int) -> DataFrame:
     """ids (little-endian 32-bit, 0 for a break) and n_keys of each segment that has frequent words."""
     at = segs.select("seg", "lang", F.posexplode("words").alias("at", "word"))
     known = words.select("lang", "word", "id")
-    found = at.join(F.broadcast(known) if n_words <= BROADCAST_WORDS else known, ["lang", "word"])
+    found = at.join(F.broadcast(known) if n_words <= BROADCAST_WORDS else known, ["lang", "word"], "left")  # others: no id, not listed
     lists = found.groupBy("seg").agg(F.collect_list(F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("id"))).alias("found"))
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -84,3 +84,26 @@ def test_empty(spark, tmp_path):
     none = spark.createDataFrame([], "id long, vector array<double>")
     vector_index.built(none, f"file://{tmp_path}", 4)
     assert vector_index.search(spark, f"file://{tmp_path}", none, 3, 2, exact=True).count() == 0
+
+
+def test_nearest_by_blocks_is_that_of_pairs(spark, monkeypatch):
+    """No pair of vectors is a row of its own; odd vectors and copies rank as they do by pairs."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from bugloom.functions.vectors import cosine
+
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(300)]
+    rows += [(300 + i, rows[50][1]) for i in range(40)] + [(400 + i, [2 * x for x in rows[100][1]]) for i in range(5)]
+    rows += [(500, None), (501, [0.0] * 6), (502, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (503, [1.0, 2.0]), (504, [float("nan")] * 6), (505, [1e200] * 6), (550, [3.0, 1.0]), (600, None)]
+    df = spark.createDataFrame(rows, "id long, vector array<double>").repartition(3)
+    q = df.filter("id % 50 = 0").select(F.col("id").alias("query"), F.col("vector").alias("q"))
+    ranked = df.crossJoin(q).filter("id <> query").withColumn("cos", cosine(F.col("vector"), F.col("q")))
+    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("cos"), "id"))).filter("rank <= 5")
+    key = lambda d: sorted((r.query, r["rank"], r.id, str(r.cos)) for r in d.collect())
+    monkeypatch.setattr(vectorise, "BLOCK", 64)
+    got = vectorise.knn(df.filter("id % 50 = 0"), df, 5)
+    assert key(got) == key(ranked)
+    assert "aggregate(zip_with" in ranked._jdf.queryExecution().executedPlan().toString()
+    assert "aggregate(zip_with" not in got._jdf.queryExecution().executedPlan().toString()

@@ -142,6 +142,32 @@ def test_similar_sets_match_brute_force(spark):
         assert got == {(a, b) for a, x in sets for b, y in sets if a < b and len(set(x) & set(y)) / len(set(x) | set(y)) >= t}
 
 
+def test_sets_of_all_sizes_match_brute_force(spark):
+    """Small sets meet by threes of rare items, large ones and both kinds by one."""
+    rng = random.Random(4)
+    base = [rng.sample(range(40), n) for n in (2, 3, 4, 8, 11, 13, 16, 22) for _ in range(4)]
+    sets = [(i, sorted({f"w{x if rng.random() < 0.85 else rng.randrange(40)}" for x in rng.choice(base)})) for i in range(150)]
+    df = spark.createDataFrame(sets, "id int, items array<string>")
+    l, r = df.filter("id % 3 = 0"), df.filter("id % 3 > 0")
+    for t in (0.3, 0.6, 0.9):
+        got = relational.similar_sets(l, r, t)
+        want = {(a, b) for a, x in sets for b, y in sets if a % 3 == 0 and b % 3 and len(set(x) & set(y)) / len(set(x) | set(y)) >= t}
+        assert {(p.left_id, p.right_id) for p in got.collect()} == want and len(want) > 10
+    assert "three" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_copies_of_a_rule_are_compared_as_one(spark, monkeypatch):
+    text = F.concat(F.lit('class R { Term.Name("alpha"); Term.Name("beta"); Term.Name("c'), (F.col("id") % 4).cast("string"), F.lit('") }'))
+    rows = spark.range(200).select(F.format_string("p%03d", "id").alias("path"), F.concat(F.lit("C"), "id").alias("class_name"), F.lit(None).cast("string").alias("diagnostic_id"), F.concat(text, F.lit("/*"), "id", F.lit("*/"), F.when(F.col("id") < 4, "x").otherwise("")).alias("text"), "id")
+    asked, plain = [], quality.similar_sets
+    monkeypatch.setattr(quality, "similar_sets", lambda a, b, t: asked.append((a.count(), b.count())) or plain(a, b, t))
+    got = {r.path: r for r in quality.dedup_rules(rows.filter("id < 40"), rows.filter("id >= 40")).collect()}
+    assert asked == [(4, 4)]
+    alike = [f"C{k}" for k in range(1, 200) if k % 4 == 0]
+    assert got["p000"].verdict == "OVERLAP" and got["p000"].overlaps_with == sorted(alike) and got["p000"].jaccard == 1.0
+    assert got["p005"].verdict == "EXACT" and got["p005"].overlaps_with == ["C41"]
+
+
 def test_samples(spark):
     df = spark.range(100)
     one, two = (relational.sampled_seeds(df, 10, s, F.col("id")) for s in (["1"], ["1", "2"]))

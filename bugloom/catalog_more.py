@@ -380,10 +380,10 @@ def generic_scanners(spark, at):
 ANCHOR_SQL = "list_distinct(regexp_extract_all(lower(text), '[a-z]{6,}'))[1:8]"
 
 
-def _rule_sources(spark, at):
+def _rule_sources(spark, at, which: str):
     words = F.slice(F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{6,}"), 0))), 1, 8)
     source = F.concat(F.lit("/* c"), "doc_id", F.lit(" */ class C"), "doc_id", F.lit(' { Term.Name("'), F.array_join(words, '"); Term.Name("'), F.lit('"); x.endsWith("flatMap") }'))
-    return _docs(spark, at).filter(F.size(words) > 0).select(F.format_string("p%08d", "doc_id").alias("path"), F.concat(F.lit("C"), "doc_id").alias("class_name"), F.lit(None).cast("string").alias("diagnostic_id"), source.alias("text"), "doc_id")
+    return _docs(spark, at).filter(which).filter(F.size(words) > 0).select(F.format_string("p%08d", "doc_id").alias("path"), F.concat(F.lit("C"), "doc_id").alias("class_name"), F.lit(None).cast("string").alias("diagnostic_id"), source.alias("text"), "doc_id")
 
 
 @query("""WITH r AS (SELECT printf('p%08d', doc_id) AS path, 'C' || doc_id AS class_name, doc_id % 2 = 1 AS candidate, list_sort(list_distinct(regexp_extract_all(lower(text), '[a-z]{6,}')))[1:8] AS items FROM documents WHERE len(regexp_extract_all(lower(text), '[a-z]{6,}')) > 0),
@@ -392,8 +392,7 @@ def _rule_sources(spark, at):
   b AS (SELECT path, max(j) AS j, list(other ORDER BY j DESC, other) AS names FROM p WHERE j >= 0.6 GROUP BY path)
   SELECT s.path, CASE WHEN b.path IS NULL THEN 'DISTINCT' ELSE 'OVERLAP' END AS verdict, coalesce(array_to_string(names, ','), '') AS overlaps_with, coalesce(round(j, 3), 0.0) AS jaccard FROM s LEFT JOIN b ON b.path = s.path WHERE candidate""")
 def rule_overlaps(spark, at):
-    r = _rule_sources(spark, at)
-    return quality.dedup_rules(r.filter("doc_id % 2 = 1"), r.filter("doc_id % 2 = 0")).select("path", "verdict", _joined(F.col("overlaps_with")).alias("overlaps_with"), "jaccard")
+    return quality.dedup_rules(_rule_sources(spark, at, "doc_id % 2 = 1"), _rule_sources(spark, at, "doc_id % 2 = 0")).select("path", "verdict", _joined(F.col("overlaps_with")).alias("overlaps_with"), "jaccard")
 
 
 @query("""SELECT rule_id, target, CASE WHEN target = 'scalafix' THEN 1 - fp / 20 ELSE 1 - fp / greatest(n, 1) END AS precision, matched / greatest(t, 1) AS recall_in_cluster, clean AS false_positives_on_clean,

@@ -252,3 +252,15 @@ def test_blame(spark):
     blame = spark.createDataFrame([("f", "a.scala", 1, "s1"), ("f", "a.scala", 2, "s2"), ("h", "b.py", 1, "s3")], "fix_sha string, file string, line int, sha string")
     commits = spark.createDataFrame([("s1", 1, 5, 0), ("s2", 1, 5, 0), ("s3", 0, 5, 5)], "sha string, n_files int, insertions int, deletions int")
     assert {(r.bug_key, r.start_line, r.szz_confidence) for r in corpus.blamed(deleted, blame, commits).collect()} == {("B1", 1, 0.7), ("B1", 2, 0.7)}
+
+
+def test_terms_are_counted_once(spark):
+    """The vocabulary and the weights read one shuffle of the same counts."""
+    from bugloom.operators import vectorise
+
+    docs = spark.createDataFrame([(1, "a b b"), (2, "a c"), (1, "b"), (3, "")], "id long, text string")
+    got = vectorise.tfidf(docs, F.split("text", " "), 3, 1)
+    rows = {(r.id, r.term): round(r.weight, 6) for r in got.collect()}
+    assert {(1, "a"), (1, "b"), (2, "a")} <= set(rows) and abs(sum(v * v for (i, _), v in rows.items() if i == 1) - 1) < 1e-5
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[0].count("explode(") == 1 and "ReusedExchange" in plan

@@ -264,3 +264,17 @@ def test_terms_are_counted_once(spark):
     assert {(1, "a"), (1, "b"), (2, "a")} <= set(rows) and abs(sum(v * v for (i, _), v in rows.items() if i == 1) - 1) < 1e-5
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.split("Initial Plan")[0].count("explode(") == 1 and "ReusedExchange" in plan
+
+
+def test_view_shuffles_sums_only(spark):
+    """The view is that of the matrix, by id, and no round joins rows with vectors."""
+    from bugloom.operators import vectorise
+
+    rng = random.Random(5)
+    docs = spark.createDataFrame([(i, " ".join(rng.choices("abcdefgh", k=9))) for i in range(60)], "id long, text string")
+    got = vectorise.svd_view(docs, F.split("text", " "), 8, 40)
+    w = {(r.id, r.term): r.weight for r in vectorise.tfidf(docs, F.split("text", " "), 8, 1).collect()}
+    m = np.array([[w.get((i, t), 0.0) for t in "abcdefgh"] for i in range(60)])
+    xy = np.array([(r.x, r.y) for r in got.orderBy("id").collect()])
+    assert np.allclose(np.sort((xy * xy).sum(0)), np.sort(np.linalg.svd(m)[1][:2] ** 2), rtol=1e-4)
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from . import trees
-from .scanners import closing
+from .scanners import closing, in_slices
 
 
 @dataclass(frozen=True)
@@ -145,11 +145,11 @@ def pattern_findings(files: DataFrame, rules: tuple[Pattern, ...] = RULES, names
                 for k in applies:
                     rule = chosen[k]
                     rows += [(rule.id, rule.severity, rule.category, path, text.count("\n", 0, at) + 1, " ".join(hit.split())[:200], rule.message) for at, hit in matches(rule, text)]
-            yield pd.DataFrame(rows, columns=["rule", "severity", "category", "file", "line", "snippet", "message"])
+            yield pd.DataFrame(rows, columns=["rule", "severity", "category", "file", "line", "snippet", "message"]).astype({"line": "int32"})
 
     which = F.filter(F.array(*(F.when(_applies(r), F.lit(k)) for k, r in enumerate(chosen))), lambda x: x.isNotNull())
     wanted = files.select("path", "text", which.alias("applies")).filter((F.size("applies") > 0) & F.col("text").isNotNull())
-    return wanted.mapInPandas(of, "rule string, severity string, category string, file string, line int, snippet string, message string")
+    return wanted.mapInArrow(in_slices(of), "rule string, severity string, category string, file string, line int, snippet string, message string")
 
 
 def keyed_findings(files: DataFrame, rules: tuple[Pattern, ...] = RULES) -> DataFrame:

@@ -27,3 +27,21 @@ def test_counts_by_hand(spark):
 def test_each_text_meets_its_own_rule_only(spark):
     files = spark.createDataFrame([(RULE, "a.scala", HIT + "\n" + HIT, 7), ("missing-meta-site-filter-mongo", "a.scala", HIT, 8), (RULE, "a.py", HIT, 9), (None, "a.scala", HIT, 10)], "pattern string, path string, text string, k int")
     assert sorted((r.k, r.line) for r in patterns.keyed_findings(files).collect()) == [(7, 1), (7, 2)]
+
+
+def test_texts_do_not_meet_by_language(spark):
+    """Rules go to the texts, as all texts of a language would meet in one task."""
+    from bugloom.plans import batch
+
+    texts = spark.range(40).selectExpr("id", "CAST(id % 4 AS int) AS cluster_id", "'scala' AS language", "id AS ord", "concat('dao/B', id, '.scala') AS path", "'val x = Await.result(call(a, b), 5)' AS text")
+    rules = spark.range(4).selectExpr("concat('r', id) AS rule_id", "'no-await-result-in-production' AS pattern", "CAST(id AS int) AS cluster_id", "'scala' AS language", "'opengrep' AS target")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = batch.rule_validation(texts, rules, texts.select("id", "language", "path", "text"))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = {r.rule_id: (r.n_tests, r.n, r.matched, r.clean) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == {f"r{k}": (10, 20, 10, 40) for k in range(4)}
+    assert "SortMergeJoin [cluster_id" not in plan and "SortMergeJoin [language" not in plan

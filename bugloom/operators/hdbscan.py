@@ -3,9 +3,10 @@
 A core distance is that to the min_samples-th point counting the point itself.  The root is never a cluster, so a group
 without a split is noise throughout.
 
-Vectors of a group are dealt to blocks, and a task holds two blocks: it finds the nearest neighbours among them, later a
-least spanning tree of their mutual reachability.  An edge of the whole group's tree is in the tree of any part that holds
-both its ends, so the trees of all pairs of blocks hold the whole tree; they are merged a few at a time.  Only the tree of
+Vectors of a group are dealt to blocks, and a task holds two blocks: it finds the nearest vectors of each, by products in
+single precision that leave few pairs whose distance is worked out.  Of the edges to these neighbours a forest is left;
+`joined` takes those that no edge which isn't listed can be less than, as each is the least that leaves some part.  Of the
+parts that remain, all but the largest then look for their least edge among all vectors, until one is left.  Only the tree of
 a group, three numbers for each vector, meets in one task, which cuts it into clusters; MAX_GROUP bounds that, and a
 larger group is an error, not a sample.  Edges are in a total order (distance to ten places, then ids), so that the tree
 and the labels don't depend on blocks.
@@ -14,6 +15,8 @@ and the labels don't depend on blocks.
 from __future__ import annotations
 
 import uuid
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,9 +27,13 @@ from pyspark.sql import functions as F
 from ..functions.vectors import doubles
 from ..session import shared_folder
 
-MAX_GROUP = 500_000
-#: Vectors of a block, trees that are merged in a task.
-BLOCK, FAN = 4096, 8
+MAX_GROUP = 5_000_000
+#: Vectors of a block at most, forests that are merged in a task.
+BLOCK, FAN = 32_768, 8
+#: Blocks that a group has if it is large enough to be worth them, neighbours listed beyond min_samples, edges of a task.
+SPREAD, MORE, EDGES = 8, 7, 500_000
+#: Rows and columns of products that are worked out at once.
+ROWS, COLUMNS = 1024, 4096
 
 
 def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -48,6 +55,109 @@ def nearest_distances(x: np.ndarray, y: np.ndarray, k: int, own: bool) -> np.nda
     return out
 
 
+class _Products:
+    """x against y in single precision: what may be as near as a distance is told by a product, then worked out."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray) -> None:
+        self.x, self.y, self.sx, self.sy = x, y, (x * x).sum(1), (y * y).sum(1)
+        self.scale = float(max(self.sx.max(initial=0), self.sy.max(initial=0))) or 1.0
+        self.margin = (x.shape[1] + 8) * 2.0**-22
+        self.q = np.column_stack([x / self.scale**0.5, np.ones(len(x))]).astype(np.float32)
+        self.v = np.column_stack([y / self.scale**0.5, -self.sy / self.scale / 2]).astype(np.float32)
+
+    def of(self, rows: slice, columns: slice) -> np.ndarray:
+        """Greater is nearer: half the square of the row's length, less half that of the distance, by scale."""
+        return self.q[rows] @ self.v[columns].T
+
+    def least(self, rows: np.ndarray | slice, d: np.ndarray) -> np.ndarray:
+        """The product that a vector at distance d of each row has at least."""
+        return ((self.sx[rows] - (d + 1e-9) ** 2) / (2 * self.scale) - self.margin).astype(np.float32)
+
+    def distances(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """To ten places; 0 where two vectors differ by rounding only."""
+        out = np.empty(len(i))
+        for n in range(0, len(i), 65_536):
+            a, b = i[n : n + 65_536], j[n : n + 65_536]
+            d = ((self.x[a] - self.y[b]) ** 2).sum(1)
+            d[d < 1e-12 * (self.sx[a] + self.sy[b])] = 0
+            out[n : n + 65_536] = np.round(np.sqrt(d), 10)
+        return out
+
+
+def _hits(s: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.divmod(np.flatnonzero(s >= least[:, None]), s.shape[1])
+
+
+def nearest_of(x: np.ndarray, y: np.ndarray, k: int, own: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Distances and places of the k nearest rows of y for each row of x, infinite and -1 beyond their number; own: y is x, but not itself."""
+    p = _Products(x, y)
+    ends = [0]
+    while ends[-1] < len(y):
+        ends.append(min(len(y), ends[-1] + min(COLUMNS, max(ROWS, ends[-1]))))
+    dist, at = np.full((len(x), k), np.inf), np.full((len(x), k), -1)
+    for r in range(0, len(x), ROWS):
+        rows = slice(r, min(r + ROWS, len(x)))
+        here = np.arange(rows.start, rows.stop)
+        for lo, hi in zip(ends, ends[1:], strict=False):
+            s = p.of(rows, slice(lo, hi))
+            if own:
+                self_at = here[(here >= lo) & (here < hi)]
+                s[self_at - r, self_at - lo] = -np.inf
+            last = dist[rows, k - 1]
+            least = np.where(last == 0, np.inf, np.where(np.isinf(last), np.finfo(np.float32).min, p.least(rows, np.where(np.isinf(last), 0, last)))).astype(np.float32)
+            if lo == 0 and hi > k:
+                least = np.maximum(np.partition(s, hi - k, axis=1)[:, hi - k] - np.float32(2 * p.margin), np.finfo(np.float32).min)
+            i, j = _hits(s, least)
+            if not len(i):
+                continue
+            d = p.distances(i + r, j + lo)
+            some = np.unique(i)
+            i, j, d = np.concatenate([i, np.repeat(some, k)]), np.concatenate([j + lo, at[some + r].ravel()]), np.concatenate([d, dist[some + r].ravel()])
+            order = np.lexsort((d, i))
+            i, j, d = i[order], j[order], d[order]
+            place = np.arange(len(i)) - np.searchsorted(i, i)
+            kept = place < k
+            dist[i[kept] + r, place[kept]], at[i[kept] + r, place[kept]] = d[kept], j[kept]
+    return dist, at
+
+
+def least_leaving(asked: dict[str, np.ndarray], all_: dict[str, np.ndarray]) -> tuple[np.ndarray, ...]:
+    """(part, w, a, b): the least edge of each part that leaves it from one of its asked vectors, or that known before if it is less.
+
+    asked: x, id, core, _part, and w, a, b of the edge known for the part, w infinite if there is none; all_: x, id, core, _part.
+    """
+    p = _Products(asked["x"], all_["x"])
+    parts, first, part = np.unique(asked["_part"], return_index=True, return_inverse=True)
+    w, a, b = (asked[c][first].copy() for c in ("w", "a", "b"))
+    for r in range(0, len(part), ROWS):
+        rows = slice(r, min(r + ROWS, len(part)))
+        for c in range(0, len(all_["id"]), COLUMNS):
+            columns = slice(c, min(c + COLUMNS, len(all_["id"])))
+            s = p.of(rows, columns)
+            s[asked["_part"][rows, None] == all_["_part"][None, columns]] = -np.inf
+
+            def take(i: np.ndarray, j: np.ndarray, r: int = r, c: int = c) -> None:
+                reach = np.maximum(p.distances(i + r, j + c), np.maximum(asked["core"][i + r], all_["core"][j + c]))
+                ids = asked["id"][i + r], all_["id"][j + c]
+                of, lo, hi = part[i + r], np.minimum(*ids), np.maximum(*ids)
+                of, reach, lo, hi = (np.concatenate(z) for z in ((of, np.arange(len(parts))), (reach, w), (lo, a), (hi, b)))
+                order = np.lexsort((hi, lo, reach, of))
+                order = order[np.r_[True, of[order][1:] != of[order][:-1]]]
+                w[:], a[:], b[:] = reach[order], lo[order], hi[order]
+
+            near = s.argmax(1)
+            i = np.flatnonzero(s[np.arange(len(s)), near] > -np.inf)
+            take(i, near[i])  # so that few are left to look at
+            bound = w[part[rows]]
+            least = np.where(np.isinf(bound), np.finfo(np.float32).min, p.least(rows, np.where(np.isinf(bound), 0, bound))).astype(np.float32)
+            least[asked["core"][rows] > bound] = np.inf
+            i, j = _hits(s, least)
+            fits = all_["core"][j + c] <= bound[i]
+            take(i[fits], j[fits])
+    known = np.isfinite(w)
+    return parts[known], w[known], a[known], b[known]
+
+
 def tree_of(x: np.ndarray, core: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """(a, b, distance) of the spanning tree of mutual reachability that is least by distance, then a, then b, with a < b."""
     n = len(x)
@@ -66,13 +176,50 @@ def tree_of(x: np.ndarray, core: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return np.array(edges, dtype=[("a", np.int64), ("b", np.int64), ("w", np.float64)])
 
 
+def _pairs(ends: np.ndarray) -> Iterator[tuple[int, list[int]]]:
+    """The rows with their places, a few at a time as Python objects."""
+    for n in range(0, len(ends), 65_536):
+        yield from enumerate(ends[n : n + 65_536].tolist(), n)
+
+
+def joined(ids: np.ndarray, floor: np.ndarray, a: np.ndarray, b: np.ndarray, w: np.ndarray, sure: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the edges that are in the least tree for sure, in order; the part of each id that they make; the least other edge of its part, or -1.
+
+    ids: in order; floor: no edge of an id that isn't among a, b is less.  Edges come in order: one that isn't sure yet is the
+    least to leave a part if no floor of the part is as low, since lesser ones that left it were taken before.
+    """
+    order = np.lexsort((~sure, b, a, w))
+    ends = np.searchsorted(ids, np.stack([a[order], b[order]], axis=1))
+    top, low, kept, taken = list(range(len(ids))), floor.tolist(), [], sure[order]
+    weight = w[order]
+    for k, (i, j) in _pairs(ends):
+        while top[i] != i:
+            top[i] = i = top[top[i]]
+        while top[j] != j:
+            top[j] = j = top[top[j]]
+        if i != j and (taken[k] or max(low[i], low[j]) > weight[k]):
+            top[i] = j
+            low[j] = min(low[i], low[j])
+            kept.append(k)
+    part = np.array(top)
+    while (part != part[part]).any():
+        part = part[part]
+    rest = np.setdiff1d(np.arange(len(order)), kept)
+    here, there = part[ends[rest, 0]], part[ends[rest, 1]]
+    rest, here, there = (z[here != there] for z in (rest, here, there))
+    least = np.full(len(ids), len(order))
+    np.minimum.at(least, here, rest)
+    np.minimum.at(least, there, rest)
+    return order[kept], part, np.append(order, -1)[least[part]]
+
+
 def least_forest(a: np.ndarray, b: np.ndarray, w: np.ndarray) -> np.ndarray:
     """Places of the edges of the least spanning forest, in order."""
     order = np.lexsort((b, a, w))
     names, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
-    ends = ends.reshape(2, -1).T[order].tolist()
+    ends = ends.reshape(2, -1).T[order]
     top, kept = list(range(len(names))), []
-    for k, (i, j) in enumerate(ends):
+    for k, (i, j) in _pairs(ends):
         while top[i] != i:
             top[i] = i = top[top[i]]
         while top[j] != j:
@@ -98,8 +245,8 @@ class _Cluster:
 
 def condensed(edges: np.ndarray, n: int, least: int) -> _Cluster:
     """The tree of clusters of at least `least` points; points are those that leave a cluster for noise."""
-    left, right, dist, size = {}, {}, {}, dict.fromkeys(range(n), 1)
-    top = list(range(n))
+    left, right, dist, size = array("q", bytes(16 * n)), array("q", bytes(16 * n)), array("d", bytes(16 * n)), array("q", [1]) * (2 * n)
+    top = array("q", range(n))
 
     def find(a: int) -> int:
         while top[a] != a:
@@ -206,47 +353,124 @@ def _by_pairs(rows: DataFrame, twice: bool) -> DataFrame:
     return out if twice else out.filter((F.col("_i") < F.col("_j")) | (F.col("_k") == 1))
 
 
-def spanning_edges(rows: DataFrame, group: list[str], min_samples: int, block: int) -> DataFrame:
-    """group, a, b, w: the edges of each group's tree.  rows: group, id, x, all of one length in a group."""
-    kinds = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in group)
-    sizes = rows.groupBy(*group).agg(F.ceil(F.count("*") / block).cast("int").alias("_k"))
-    on = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in group]
-    dealt = rows.alias("r").join(sizes.alias("s"), on).select("r.*", "_k").withColumn("_b", F.pmod(F.xxhash64("id"), F.col("_k")).cast("int"))
+def _keys(t: pa.Table, group: list[str], n: int) -> dict[str, pa.Array]:
+    return {k: pa.array([t[k][0].as_py()] * n, t.schema.field(k).type) for k in group}
+
+
+def _same(left: str, right: str, columns: list[str]) -> list:
+    return [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in columns]
+
+
+def neighbours(dealt: DataFrame, group: list[str], min_samples: int) -> DataFrame:
+    """group, id, core, floor, near (array of d, id): the nearest others of each; those not listed are at floor or beyond.  dealt: group, id, x, _k, _b."""
+    kinds, k = ", ".join(f"`{c}` {dealt.schema[c].dataType.simpleString()}" for c in group), min_samples + MORE
 
     def near(t: pa.Table) -> pa.Table:
-        x, ids, b = _matrix(t), t["id"], np.asarray(t["_b"])
+        x, ids, b = _matrix(t), np.asarray(t["id"]), np.asarray(t["_b"])
+        d, to = np.full((len(x), k), np.inf), np.full((len(x), k), -1)
         if t["_i"][0] == t["_j"][0]:
-            d = nearest_distances(x, x, min_samples, True)
+            d, to = nearest_of(x, x, k, True)
         else:
-            d = np.empty((len(x), min_samples))
             for one in np.unique(b):
-                d[b == one] = nearest_distances(x[b == one], x[b != one], min_samples, False) if (b != one).any() else np.inf
-        return pa.table({**{k: t[k] for k in group}, "id": ids, "d": pa.ListArray.from_arrays(pa.array(np.arange(0, d.size + 1, min_samples), pa.int32()), pa.array(d.ravel()))})
-
-    found = _by_pairs(dealt, True).groupBy(*group, "_i", "_j").applyInArrow(near, f"{kinds}, id long, d array<double>")
-    least = F.sort_array(F.flatten(F.collect_list("d")))
-    core = found.groupBy(*group, "id").agg(least.alias("d")).select(*group, "id", F.coalesce(F.array_max(F.filter(F.slice("d", 1, min_samples), lambda v: v < float("inf"))), F.lit(0.0)).alias("core"))
-    on = [F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}")) for k in [*group, "id"]]
-    dealt = _stored(dealt.alias("r").join(core.alias("c"), on).select("r.*", "core"), "dealt")
-
-    def tree(t: pa.Table) -> pa.Table:
-        ids = np.asarray(t["id"])
-        order = np.argsort(ids, kind="stable")
-        e = tree_of(_matrix(t)[order], np.asarray(t["core"])[order], ids[order])
-        i, j = t["_i"][0].as_py(), t["_j"][0].as_py()
-        return pa.table({**{k: pa.array([t[k][0].as_py()] * len(e), t.schema.field(k).type) for k in group}, "_slot": pa.array(np.full(len(e), j * (j + 1) // 2 + i)), **{k: pa.array(e[k]) for k in ("a", "b", "w")}})
-
-    schema = f"{kinds}, _slot long, a long, b long, w double"
-    edges = _stored(_by_pairs(dealt, False).groupBy(*group, "_i", "_j").applyInArrow(tree, schema), "trees")
+                here, there = np.flatnonzero(b == one), np.flatnonzero(b != one)
+                if len(there):
+                    d[here], at = nearest_of(x[here], x[there], k, False)
+                    to[here] = np.where(at < 0, -1, there[at])
+        known = to >= 0
+        found = pa.StructArray.from_arrays([pa.array(d[known]), pa.array(ids[to[known]])], names=["d", "id"])
+        ends = pa.array(np.append(0, np.cumsum(known.sum(1))), pa.int32())
+        return pa.table({**{c: t[c] for c in group}, "id": t["id"], "near": pa.ListArray.from_arrays(ends, found)})
+
+    found = _by_pairs(dealt, True).groupBy(*group, "_i", "_j").applyInArrow(near, f"{kinds}, id long, near array<struct<d: double, id: long>>")
+    least = found.groupBy(*group, "id").agg(F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, k).alias("near"))
+    core = F.coalesce(F.try_element_at("near", F.least(F.size("near"), F.lit(min_samples - 1)))["d"], F.lit(0.0)) if min_samples > 1 else F.lit(0.0)
+    core = F.when(F.size("near") > 0, core).otherwise(0.0)
+    rows = least.withColumn("core", core)
+    floor = F.when(F.size("near") < k, float("inf")).otherwise(F.greatest("core", F.try_element_at("near", F.lit(k))["d"]))
+    return rows.select(*group, "id", "core", floor.alias("floor"), "near")
+
+
+def _forest(edges: DataFrame, group: list[str]) -> DataFrame:
+    """The least forest of each group's edges (group, a, b, w), merged a few parts at a time."""
+    edges = _stored(edges, "edges")
+    schema = ", ".join([*(f"`{c}` {edges.schema[c].dataType.simpleString()}" for c in group), "_slot long, a long, b long, w double"])
 
     def merged(t: pa.Table) -> pa.Table:
         return t.take(pa.array(least_forest(*(np.asarray(t[k]) for k in ("a", "b", "w")))))
 
-    most = (edges.agg(F.max("_slot")).first()[0] or 0) + 1
-    while most > 1:
+    most = -(-edges.count() // EDGES) or 1
+    edges = edges.withColumn("_slot", F.pmod(F.xxhash64("a"), F.lit(most))).select(*group, "_slot", "a", "b", "w")
+    while True:
+        edges = _stored(edges.groupBy(*group, "_slot").applyInArrow(merged, schema), "merged")
+        if most == 1:
+            return edges.drop("_slot")
         most = -(-most // FAN)
-        edges = _stored(edges.withColumn("_slot", F.floor(F.col("_slot") / FAN)).groupBy(*group, "_slot").applyInArrow(merged, schema), "merged")
-    return edges.select(*group, "a", "b", "w")
+        edges = edges.withColumn("_slot", F.floor(F.col("_slot") / FAN))
+
+
+def _alike(rows: DataFrame, group: list[str], min_samples: int) -> DataFrame:
+    """group, a, b, w: copies of a vector, if they are min_samples or more, hang on that of the least id at distance 0."""
+    first = rows.groupBy(*group, "x").agg(F.min("id").alias("a"), F.count("*").alias("n")).filter(F.col("n") >= max(2, min_samples))
+    pairs = rows.alias("r").join(first.alias("f"), _same("r", "f", [*group, "x"])).filter("id <> a")
+    return pairs.select(*(f"r.{c}" for c in group), "a", F.col("id").alias("b"), F.lit(0.0).alias("w"))
+
+
+def spanning_edges(rows: DataFrame, group: list[str], min_samples: int, block: int) -> DataFrame:
+    """group, a, b, w: the edges of each group's tree.  rows: group, id, x, all of one length in a group."""
+    kinds = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in group)
+    blocks = F.greatest(F.ceil(F.count("*") / block), F.least(F.lit(SPREAD), F.ceil(F.count("*") * SPREAD / block)))
+    sizes = rows.groupBy(*group).agg(blocks.cast("int").alias("_k"))
+    dealt = rows.alias("r").join(sizes.alias("s"), _same("r", "s", group)).select("r.*", "_k").withColumn("_b", F.pmod(F.xxhash64("id"), F.col("_k")).cast("int"))
+    points = _stored(neighbours(dealt, group, min_samples), "near")
+    ends = points.select(*group, "id", "core", F.explode("near").alias("to")).alias("r")
+    met = ends.join(points.select(*group, F.col("id").alias("other"), F.col("core").alias("far")).alias("o"), [*_same("r", "o", group), F.col("to.id") == F.col("other")])
+    listed = met.select(*(f"r.{k}" for k in group), F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"), F.greatest("core", "far", "to.d").alias("w"))
+    known = _forest(listed, group).withColumn("sure", F.lit(False)).unionByName(_alike(rows, group, min_samples).withColumn("sure", F.lit(True)))
+    edges = _stored(known, "known")
+
+    def taken(p: pa.Table, e: pa.Table) -> tuple[np.ndarray, ...]:
+        order = np.argsort(np.asarray(p["id"]))
+        ids, floor = np.asarray(p["id"])[order], np.asarray(p["floor"])[order]
+        return ids, floor, *joined(ids, floor, *(np.asarray(e[c]) for c in ("a", "b", "w", "sure")))
+
+    def parts(p: pa.Table, e: pa.Table) -> pa.Table:
+        ids, floor, _, part, least = taken(p, e)
+        w, a, b = (np.append(np.asarray(e[c]), none)[least] for c, none in (("w", np.inf), ("a", 0), ("b", 0)))
+        asks = (part != np.bincount(part).argmax()) & (floor <= w)
+        return pa.table({**_keys(p, group, len(ids)), "id": ids, "_part": ids[part], "asks": asks, "w": w, "a": a, "b": b})
+
+    def tree(p: pa.Table, e: pa.Table) -> pa.Table:
+        return e.take(pa.array(taken(p, e)[2])).select([*group, "a", "b", "w"])
+
+    def sought(q: pa.Table, v: pa.Table) -> pa.Table:
+        if not (len(q) and len(v)):
+            return pa.table({**{c: pa.array([], (q if len(q) else v).schema.field(c).type) for c in group}, "_part": pa.array([], pa.int64()), "w": pa.array([], pa.float64()), "a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        asked, all_ = ({"x": _matrix(t)} | {c: np.asarray(t[c]) for c in columns} for t, columns in ((q, ("id", "core", "_part", "w", "a", "b")), (v, ("id", "core", "_part"))))
+        part, w, a, b = least_leaving(asked, all_)
+        return pa.table({**_keys(q, group, len(part)), "_part": part, "w": w, "a": a, "b": b})
+
+    def met_with(f, schema: str) -> DataFrame:
+        return points.select(*group, "id", "floor").groupBy(*group).cogroup(edges.groupBy(*group)).applyInArrow(f, f"{kinds}, {schema}")
+
+    while True:
+        now = _stored(met_with(parts, "id long, _part long, asks boolean, w double, a long, b long"), "parts")
+        if now.filter("asks").isEmpty():
+            return met_with(tree, "a long, b long, w double")
+        cores = points.select(*group, "id", "core")
+        all_ = dealt.alias("r").join(now.alias("n"), _same("r", "n", [*group, "id"])).select("r.*", "_part", "asks", "w", "a", "b")
+        all_ = _stored(all_.alias("r").join(cores.alias("c"), _same("r", "c", [*group, "id"])).select("r.*", "core"), "asked")
+        many = all_.filter("asks").groupBy(*group).agg(F.ceil(F.count("*") / block).cast("int").alias("_q"))
+        with_q = all_.alias("r").join(many.alias("m"), _same("r", "m", group)).select("r.*", "_q")
+        each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        q = with_q.filter("asks").withColumn("_i", F.pmod(F.xxhash64("id"), F.col("_q")).cast("int")).withColumn("_j", each("_k"))
+        v = with_q.select(*(F.col(c).alias(c) for c in (*group, "id", "x", "core", "_part")), F.col("_b").alias("_j"), F.col("_q").alias("_m")).withColumn("_i", each("_m"))
+        keys = [*group, "_i", "_j"]
+        found = q.groupBy(*keys).cogroup(v.groupBy(*keys)).applyInArrow(sought, f"{kinds}, _part long, w double, a long, b long")
+        found = found.groupBy(*group, "_part").agg(F.min(F.struct("w", "a", "b")).alias("e")).select(*group, "e.a", "e.b", "e.w", F.lit(True).alias("sure"))
+        found = _stored(found.distinct(), "found")
+        if found.isEmpty():
+            raise ValueError("a vector has no finite distance to the others of its group")
+        edges = _stored(edges.unionByName(found), "edges")
 
 
 def clustered(vectors: DataFrame, group: list[str], min_cluster_size: int = 5, min_samples: int | None = 2, leaf: bool = True, block: int = BLOCK) -> DataFrame:

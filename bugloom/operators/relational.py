@@ -26,6 +26,18 @@ def _extreme(df: DataFrame, key: list[str], order, pick) -> DataFrame:
     return df.groupBy(*key).agg(pick(row, F.struct(*(o.alias(f"o{i}") for i, o in enumerate(_cols(order))))).alias("_row")).select("_row.*")
 
 
+#: Rows of a task that counts keys.
+COUNTED = 250_000
+
+
+def counted(df: DataFrame, key: list[str], about: int) -> DataFrame:
+    """key, n, in tasks of COUNTED rows; about: how many rows df may have.
+
+    Rows that were joined by a part of the key would be counted where they are, however many a task holds.
+    """
+    return df.repartition(max(1, -(-about // COUNTED)), *key).groupBy(*key).agg(F.count("*").alias("n"))
+
+
 def first_n(df: DataFrame, key: list[str], n: int, *order: Column) -> DataFrame:
     """At most n rows of each key, in order."""
     w = Window.partitionBy(*key).orderBy(*order)

@@ -12,12 +12,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from . import trees
-from .scanners import closing, in_slices
+from .scanners import SLICE, closing, in_slices
 
 
 @dataclass(frozen=True)
@@ -159,11 +160,14 @@ def keyed_findings(files: DataFrame, rules: tuple[Pattern, ...] = RULES) -> Data
     """
     known, kept = {r.id: r for r in rules}, [f for f in files.schema if f.name not in ("path", "text")]
 
-    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            lines = [[text.count("\n", 0, at) + 1 for at, _ in matches(known[p], text)] for p, text in zip(batch.pattern, batch.text, strict=True)]
-            yield batch.drop(columns=["text"]).assign(line=lines).explode("line").dropna(subset=["line"])
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(i, SLICE) for b in batches for i in range(0, len(b), SLICE)):
+            texts = enumerate(zip(batch["pattern"].to_pylist(), batch["text"].to_pylist(), strict=True))
+            found = [(k, text.count("\n", 0, at) + 1) for k, (p, text) in texts for at, _ in matches(known[p], text)]
+            if found:
+                places, lines = zip(*found, strict=True)
+                yield batch.select([f.name for f in kept]).take(pa.array(places)).append_column("line", pa.array(lines, pa.int32()))
 
     wanted = F.coalesce(*(F.when(F.col("pattern") == r.id, _applies(r)) for r in rules), F.lit(False))
     rows = files.filter(wanted & F.col("text").isNotNull()).select(*(f.name for f in kept), "text")
-    return rows.mapInPandas(of, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "line int"]))
+    return rows.mapInArrow(of, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "line int"]))

@@ -45,3 +45,14 @@ def test_texts_do_not_meet_by_language(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert got == {f"r{k}": (10, 20, 10, 40) for k in range(4)}
     assert "SortMergeJoin [cluster_id" not in plan and "SortMergeJoin [language" not in plan
+
+
+def test_rows_of_texts_are_kept_as_they_are(spark):
+    """Texts become objects a few at a time; what stands beside them stays in Arrow: large numbers beside nulls, lists, moments."""
+    columns = "CASE WHEN id % 2 = 0 THEN 9007199254740993 + id END AS n", "CASE WHEN id % 3 > 0 THEN array(id, NULL) END AS xs", "timestamp_micros(id) AS t", "CASE WHEN id % 5 > 0 THEN id % 2 = 0 END AS b"
+    files = spark.range(0, 900, 1, 1).selectExpr("id", *columns, f"'{RULE}' AS pattern", "'a.scala' AS path", f"IF(id % 9 = 0, '{MISS}', '{HIT}\\n\\n{HIT}') AS text")
+    found = patterns.keyed_findings(files)
+    assert found.columns == ["id", "n", "xs", "t", "b", "pattern", "line"] and "MapInArrow" in found._jdf.queryExecution().executedPlan().toString()
+    want = files.filter("id % 9 > 0").selectExpr("id", "n", "xs", "t", "b", "pattern", "explode(array(1, 3)) AS line")
+    assert found.count() == 1600 and found.exceptAll(want).isEmpty() and want.exceptAll(found).isEmpty()
+    assert patterns.keyed_findings(files.filter("id % 9 = 0")).isEmpty()

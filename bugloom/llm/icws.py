@@ -1,8 +1,8 @@
 """Near-duplicate classes by improved consistent weighted sampling over TF-IDF shingles.
 
-1. Document frequencies.  Copies must not lower the weights of what they share, so one text of each group of near copies
-   counts: groups are found by steps 3 to 5 from plain minima of hashes, with every shingle weighing the same.  Counts go
-   into a sketch of fixed size.
+1. Document frequencies.  Copies must not lower the weights of what they share, so one text of each group of copies counts:
+   groups are found by steps 3 to 5 from plain minima of hashes, with every shingle weighing the same and by COPY in place
+   of SIMILAR, as copies edited too much to be links are copies still.  Counts go into a sketch of fixed size.
 2. A shingle's weight is (1 + ln tf) * idf with idf = ln((1 + n) / (1 + df)) + 1, as a share of the greatest idf; HASHES
    consistent weighted samples of a text's shingles form BANDS band keys.
 3. Texts alike word for word collapse to one; texts that share a band key are candidates, and candidate groups are the
@@ -31,11 +31,15 @@ from .graph import components
 
 SHINGLE = 5
 SIMILAR = 0.8
+#: Least plain similarity of texts that document frequencies count as one, if the shorter has SIMILAR of the longer's shingles.
+#: A text and its copy with a tenth of its words replaced have 0.42; two texts that share a passage of a third of each have 0.2.
+COPY = 0.35
 ROWS, BANDS = 4, 16
 #: At similarity 0.8 a pair meets in no band twice in 10,000 times: (1 - 0.8 ** ROWS) ** BANDS = 0.0002; at 0.3 it meets
 #: in one 12 times in 100, so unlike texts seldom chain candidate groups together.
 HASHES = ROWS * BANDS
-#: Bands of plain minima, ROWS each, by which the texts that count are found: at similarity 0.8 a pair meets in none 2 times in 1,000.
+#: Bands of plain minima, ROWS each, by which the texts that count are found: at similarity 0.8 a pair meets in none 2 times in
+#: 1,000, at COPY 83 times in 100; a group whose df matters has so many pairs that links connect it all the same.
 PLAIN_BANDS = 12
 #: The sketch of document frequencies: DEPTH rows of WIDTH counters, whatever the corpus.  A counter also holds the other
 #: shingles that fall on it, m on average; df is what is above m if that is beyond NOISE standard deviations of m, else 1.
@@ -272,15 +276,15 @@ def _texts(signed: DataFrame) -> DataFrame:
 
 
 class Texts:
-    """Weighted shingle sets laid end to end."""
+    """Weighted shingle sets laid end to end; least: the similarity that links two of them."""
 
-    def __init__(self, h: np.ndarray, w: np.ndarray, bounds: np.ndarray) -> None:
-        self.h, self.w, self.bounds = h, w.astype(np.float64), bounds
+    def __init__(self, h: np.ndarray, w: np.ndarray, bounds: np.ndarray, least: float = SIMILAR) -> None:
+        self.h, self.w, self.bounds, self.least = h, w.astype(np.float64), bounds, least
         self.text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
         self.sums = np.bincount(self.text, self.w, len(bounds) - 1)
 
     def similar(self, one: int, others: np.ndarray) -> np.ndarray:
-        """Which of the texts others have a weighted Jaccard similarity to one of SIMILAR or more."""
+        """Which of the texts others have a weighted Jaccard similarity to one of least or more, and weigh as much by SIMILAR."""
         a, e = self.bounds[one], self.bounds[one + 1]
         s = self.sums
         others = others[(np.minimum(s[others], s[one]) >= SIMILAR * np.maximum(s[others], s[one]) - 1e-9)]
@@ -292,19 +296,20 @@ class Texts:
         place = np.minimum(np.searchsorted(self.h[a:e], h), e - a - 1)
         both = np.where(self.h[a:e][place] == h, np.minimum(w, self.w[a:e][place]), 0)
         shared = np.bincount(np.repeat(np.arange(len(others)), n), both, len(others))
-        return others[shared >= SIMILAR * (s[others] + s[one] - shared) - 1e-9]
+        return others[shared >= self.least * (s[others] + s[one] - shared) - 1e-9]
 
 
 class Partners:
     """Finds the texts of a group that are similar to one of them.
 
     Each text's shingles in order of how many of the group's texts hold them, the rarest first: two similar texts share one
-    of those that make up the first 1 - SIMILAR of either's weight, so only texts that do are compared.
+    of those that make up the first 1 - least of either's weight, so only texts that do are compared.  Where to walk through
+    those takes more than to compare all that are left, all are.
     """
 
     def __init__(self, texts: Texts, members: np.ndarray) -> None:
         self.texts, self.members = texts, members
-        n = np.diff(texts.bounds)[members]
+        self.size = n = np.diff(texts.bounds)[members]
         at = np.repeat(texts.bounds[members], n) + in_runs(n)
         who = np.repeat(np.arange(len(members)), n)
         _, ids, many = np.unique(texts.h[at], return_inverse=True, return_counts=True)
@@ -312,7 +317,7 @@ class Partners:
         ids, weight = ids[order], texts.w[at][order]
         first = np.concatenate([[0], np.cumsum(n)])
         before = np.concatenate([[0], np.cumsum(weight)])
-        keep = before[:-1] - before[first[:-1]][who] <= (1 - SIMILAR) * texts.sums[members][who] + 1e-6
+        keep = before[:-1] - before[first[:-1]][who] <= (1 - texts.least) * texts.sums[members][who] + 1e-6
         self.ids, self.bounds = ids[keep], np.concatenate([[0], np.cumsum(np.bincount(who, keep, len(members)))]).astype(np.int64)
         order = np.argsort(self.ids, kind="stable")
         self.holders = who[keep][order]
@@ -322,9 +327,11 @@ class Partners:
         """Places in members of the alive ones that are similar to the one at a place."""
         ids = self.ids[self.bounds[one] : self.bounds[one + 1]]
         n = self.first[ids + 1] - self.first[ids]
-        met = np.zeros(len(self.members), bool)
-        met[self.holders[np.repeat(self.first[ids], n) + in_runs(n)]] = True
-        met &= alive
+        met = alive.copy()
+        if n.sum() < self.size[alive].sum():
+            met[:] = False
+            met[self.holders[np.repeat(self.first[ids], n) + in_runs(n)]] = True
+            met &= alive
         met[one] = False
         some = np.flatnonzero(met)
         return some[np.isin(self.members[some], self.texts.similar(self.members[one], self.members[some]))]
@@ -434,7 +441,7 @@ def _linked(docs: DataFrame, wanted: DataFrame, idf: np.ndarray | None) -> DataF
             return
         task, th, side, doc, is_part = map(np.concatenate, columns)
         h, w, n = (np.concatenate(x) for x in zip(*found, strict=True))
-        texts = Texts(h, w, np.concatenate([[0], np.cumsum(n)]))
+        texts = Texts(h, w, np.concatenate([[0], np.cumsum(n)]), COPY if idf is None else SIMILAR)
         order = np.lexsort((-side, th, task))
         order = order[np.append(True, (th[order][1:] != th[order][:-1]) | (task[order][1:] != task[order][:-1]))]
         edges = np.flatnonzero(np.append(True, task[order][1:] != task[order][:-1]))

@@ -572,6 +572,22 @@ def test_op10_weighs_by_merged_groups(spark):
     assert {r.doc_id: r.class_id for r in icws.near_classes(docs).collect()} == want
 
 
+def test_op10_heavier_edited_copies_keep_weights(spark):
+    rng = random.Random(14)
+    word = lambda n: [f"{rng.choice('bcdfg')}{rng.randrange(10**6)}" for _ in range(n)]
+    base, texts = word(120), []
+    for edits in (0, 2, *[7] * 60):  # 0.84, and 0.6 or less to the first: no links, but copies
+        w = list(base)
+        for i in rng.sample(range(10, 110, 10), edits):
+            w[i] = word(1)[0]
+        texts.append(w)
+    texts += [word(90) for _ in range(40)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in icws.near_classes(docs).collect()}
+    assert got == weighted_classes({i: " ".join(t) for i, t in enumerate(texts)}, set())
+    assert got[1] == 0 and len({got[i] for i in range(2, 62)}) > 30
+
+
 def texts_of(spark, sources):
     pages = [(k, f"http://h.example/{k}", x) for k, x in enumerate(sources)]
     return {r.page_id: r.text for r in html_template.extracted(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}

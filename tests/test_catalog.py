@@ -50,3 +50,15 @@ def test_hdbscan_clusters_the_whole_table(spark):
     want = hdbscan.labels_of(x / np.linalg.norm(x, axis=1, keepdims=True), 5, 2, True)
     got = {r.id: r.label for r in QUERIES["hdbscan_clusters"](spark, SF).collect()}
     assert got == dict(zip((i for i, _ in rows), want.tolist(), strict=True))
+
+
+def test_rule_duplicates_use_all_words(spark, tmp_path):
+    """Texts alike in their first eight words only are different rules; words that come later make others alike."""
+    same, word = [f"aaaaaa{c}" for c in "abcdefgh"], lambda k, n: ["zz" + "".join(chr(97 + int(x)) for x in f"{k}{i:05d}") for i in range(n)]
+    texts = [same + word(1, 20), same + word(2, 20), ["bbbbbb"] + word(3, 30), ["cccccc"] + word(3, 29), word(4, 12), word(4, 12)[::-1]]
+    spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.path: (r.verdict, r.exact_name, r.jaccard) for r in QUERIES["rule_duplicates"](spark, str(tmp_path)).collect()}
+    assert got == {"p00000001": ("DISTINCT", None, 0.0), "p00000003": ("OVERLAP", None, 0.906), "p00000005": ("EXACT", "C4", 1.0)}
+    c = duckdb.connect()
+    c.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert {x[0]: x[1:] for x in c.sql(ORACLE_SQL["rule_duplicates"]).fetchall()} == got

@@ -156,6 +156,22 @@ def test_sets_of_all_sizes_match_brute_force(spark):
     assert "three" in got._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_sets_of_whole_texts_match_brute_force(spark):
+    """Large sets around the threshold: neither places nor signatures drop a pair, and few pairs below it are compared."""
+    rng = random.Random(6)
+    base = [rng.sample(range(900), n) for n in (20, 60, 150, 400) for _ in range(3)]
+    sets = []
+    for i in range(160):
+        kept = rng.uniform(0.6, 1)
+        sets.append((i, sorted({f"w{x if rng.random() < kept else rng.randrange(900)}" for x in rng.choice(base)})))
+    df = spark.createDataFrame(sets, "id int, items array<string>")
+    l, r = df.filter("id % 3 = 0"), df.filter("id % 3 > 0")
+    for t in (0.4, 0.6, 0.8):
+        got = {(p.left_id, p.right_id) for p in relational.similar_sets(l, r, t).collect()}
+        want = {(a, b) for a, x in sets for b, y in sets if a % 3 == 0 and b % 3 and len(set(x) & set(y)) / len(set(x) | set(y)) >= t}
+        assert got == want and len(want) > 10
+
+
 def test_copies_of_a_rule_are_compared_as_one(spark, monkeypatch):
     text = F.concat(F.lit('class R { Term.Name("alpha"); Term.Name("beta"); Term.Name("c'), (F.col("id") % 4).cast("string"), F.lit('") }'))
     rows = spark.range(200).select(F.format_string("p%03d", "id").alias("path"), F.concat(F.lit("C"), "id").alias("class_name"), F.lit(None).cast("string").alias("diagnostic_id"), F.concat(text, F.lit("/*"), "id", F.lit("*/"), F.when(F.col("id") < 4, "x").otherwise("")).alias("text"), "id")
